@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerforge.llm.common import table
 from ledgerforge.llm.packing import pack_documents
+from ledgerforge.llm.quality_rules import quality_rules
+from ledgerforge.llm.secrets import secret_report
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -15,5 +17,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents", ["doc_id", "text"]), TOKENIZER)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing,)}
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op7_secrets, op9_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
