@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerforge.llm.common import table
+from ledgerforge.llm.near_dups import near_duplicates
 from ledgerforge.llm.packing import pack_documents
 from ledgerforge.llm.quality_rules import quality_rules
 from ledgerforge.llm.secrets import secret_report
@@ -17,6 +18,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents", ["doc_id", "text"]), TOKENIZER)
 
 
+def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents", ["doc_id", "text"]), shingle=2)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
 
@@ -25,5 +30,5 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op7_secrets, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_near_dups, op7_secrets, op9_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
