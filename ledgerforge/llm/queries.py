@@ -10,6 +10,7 @@ from ledgerforge.llm.near_dups import near_duplicates
 from ledgerforge.llm.packing import pack_documents
 from ledgerforge.llm.quality_rules import quality_rules
 from ledgerforge.llm.secrets import secret_report
+from ledgerforge.llm.warc import archive_round_trip
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -22,6 +23,11 @@ def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", ["doc_id", "text"]), shingle=2)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archive_round_trip(table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
 
@@ -30,5 +36,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_near_dups, op7_secrets, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_near_dups, op5_warc, op7_secrets, op9_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL["op5_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+r AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM q)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
+FROM r
+"""
