@@ -5,11 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerforge.llm.chat import digests, format_conversations
+from ledgerforge.llm.classifier import classify
 from ledgerforge.llm.common import table
 from ledgerforge.llm.near_dups import near_duplicates
 from ledgerforge.llm.packing import pack_documents
 from ledgerforge.llm.quality_rules import quality_rules
 from ledgerforge.llm.secrets import secret_report
+from ledgerforge.llm.topk import top_k
 from ledgerforge.llm.warc import archive_round_trip
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +26,17 @@ def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents", ["doc_id", "text"]), shingle=2)
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", body), (-1, 1, "assistant", body)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    return digests(format_conversations(rows.unionByName(more)))
+
+
+def op4_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents", ["doc_id", "text", "source", "lang"]), table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"]))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = archive_round_trip(table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -32,11 +46,15 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_near_dups, op5_warc, op7_secrets, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_near_dups, op3_chat, op4_classifier, op5_warc, op7_secrets, op8_topk, op9_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL["op5_warc"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
@@ -47,3 +65,21 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
 FROM r
 """
+ORACLE_SQL["op8_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q, v c WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+ORACLE_SQL["op3_chat"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, len(replace(text, '\\', '\\\\')) + len(regexp_extract_all(text, '<s>|</s>|\[INST\]|\[/INST\]')) AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars + len(role) + 20) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
