@@ -9,6 +9,7 @@ counts for little, whatever its share.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +20,14 @@ from pyspark.sql import functions as F
 from ledgerforge.llm.common import written
 
 #: Hash buckets of words, and the ratios that follow them in a model's weights, with the constant as the last.
-BUCKETS, RATIOS = 1 << 14, 6
+BUCKETS, RATIOS = 1 << 17, 6
 #: The most labelled rows that a fit uses, and characters of them that it reads at once: the bound of what the driver holds.
 FIT_ROWS = 20_000
 MODEL_SEED = 7
+#: Stripped from words before they are hashed, so that marks around a word don't hide it.
+MARKS = b".,;:!?#*$%&|<>\"'()"
+#: Of each target, how a text's words spread its evidence, and how telling a word must be to count.
+TARGETS = {"quality": (0.5, 0.0), "toxic": (0.0, 5.0)}
 
 
 def features(text: str, cache: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -36,7 +41,7 @@ def features(text: str, cache: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray
         if h is None:
             if len(cache) > 500_000:
                 cache.clear()
-            h = cache[w] = xxhash.xxh3_64_intdigest(w.strip(b".,;:!?")) % BUCKETS
+            h = cache[w] = xxhash.xxh3_64_intdigest(w.strip(MARKS)) % BUCKETS
         buckets.append(h)
     chars = max(1, len(text))
     marked = sum(map(text.count, "#*$%&|<>")) / chars
@@ -45,28 +50,53 @@ def features(text: str, cache: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray
     return np.unique(np.array(buckets, np.int64)), ratios
 
 
-def log_odds(model: np.ndarray, buckets: np.ndarray, ratios: np.ndarray) -> float:
-    weight = 1 / np.sqrt(max(1, len(buckets)))
-    return float(model[buckets].sum() * weight + model[BUCKETS:] @ ratios)
+@dataclass
+class Model:
+    """Weights of buckets and ratios; a text's buckets count with the number of them to the power of -`spread`.
+
+    With 0.5 the whole of a text speaks, as for quality; with 0 a word is as telling in a long text as in a short one.
+    """
+
+    weights: np.ndarray
+    spread: float
+
+    def scale(self, buckets: np.ndarray) -> float:
+        return max(1, len(buckets)) ** -self.spread
+
+    def log_odds(self, buckets: np.ndarray, ratios: np.ndarray) -> float:
+        return float(self.weights[buckets].sum() * self.scale(buckets) + self.weights[BUCKETS:] @ ratios)
+
+
+def telling(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, least_z: float) -> np.ndarray:
+    """Which buckets occur with a label more often, or less, than chance would have it: by at least so many deviations."""
+    with_label, without = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for (buckets, _), y in zip(rows, labels, strict=True):
+        (with_label if y else without)[buckets] += 1
+    n, share = with_label + without, labels.mean()
+    return np.abs(with_label - n * share) >= least_z * np.sqrt(n * share * (1 - share) + 1)
 
 
-def _fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, epochs: int = 12, rate: float = 0.3, decay: float = 1e-5) -> np.ndarray:
-    """Logistic regression by AdaGrad, one row at a time in a fixed random order."""
-    model, gathered = np.zeros(BUCKETS + RATIOS), np.full(BUCKETS + RATIOS, 1e-6)
+def _fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, spread: float, least_z: float, *, epochs: int = 12, rate: float = 0.3, decay: float = 1e-5) -> Model:
+    """Logistic regression by AdaGrad on telling buckets and all ratios, one row at a time in a fixed random order."""
+    model, gathered = Model(np.zeros(BUCKETS + RATIOS), spread), np.full(BUCKETS + RATIOS, 1e-6)
+    if len(set(labels.tolist())) < 2:
+        return model
+    told = telling(rows, labels, least_z)
     draw = np.random.default_rng(MODEL_SEED)
     for _ in range(epochs):
         for k in draw.permutation(len(rows)):
             buckets, ratios = rows[k]
-            error = 1 / (1 + np.exp(-np.clip(log_odds(model, buckets, ratios), -30, 30))) - labels[k]
-            at = np.concatenate([buckets, np.arange(BUCKETS, BUCKETS + RATIOS)])
-            slope = error * np.concatenate([np.full(len(buckets), 1 / np.sqrt(max(1, len(buckets)))), ratios]) + decay * model[at]
+            error = 1 / (1 + np.exp(-np.clip(model.log_odds(buckets, ratios), -30, 30))) - labels[k]
+            scale, known = model.scale(buckets), buckets[told[buckets]]
+            at = np.concatenate([known, np.arange(BUCKETS, BUCKETS + RATIOS)])
+            slope = error * np.concatenate([np.full(len(known), scale), ratios]) + decay * model.weights[at]
             gathered[at] += slope**2
-            model[at] -= rate * slope / np.sqrt(gathered[at])
+            model.weights[at] -= rate * slope / np.sqrt(gathered[at])
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...], *, fit_rows: int = FIT_ROWS) -> dict[str, np.ndarray]:
-    """One model per target column (0/1) of labels, on at most `fit_rows` labelled documents, drawn by a hash of their id.
+def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, tuple[float, float]], *, fit_rows: int = FIT_ROWS) -> dict[str, Model]:
+    """One model per target column (0/1) of labels, given its spread and least z, on at most `fit_rows` labelled documents, drawn by a hash of their id.
 
     Rows without an id or a label don't count; a target without both classes gets a model of zeros.
     """
@@ -85,15 +115,14 @@ def fit(docs: DataFrame, labels: DataFrame, targets: tuple[str, ...], *, fit_row
     got = list(zip(table["buckets"], table["ratios"], strict=True))
     data = [(b.values.to_numpy(), r.values.to_numpy()) for b, r in got]
     out = {}
-    for t in targets:
+    for t, (spread, least_z) in targets.items():
         y = table[t].to_pylist()
         known = [k for k, v in enumerate(y) if v is not None]
-        values = np.array([y[k] for k in known], float)
-        out[t] = _fit([data[k] for k in known], values) if len(set(values.tolist())) == 2 else np.zeros(BUCKETS + RATIOS)
+        out[t] = _fit([data[k] for k in known], np.array([y[k] for k in known], float), spread, least_z)
     return out
 
 
-def document_evidence(docs: DataFrame, models: dict[str, np.ndarray], *, doc_id: str = "doc_id", text: str = "text", host: str = "source", path: str = "lang") -> DataFrame:
+def document_evidence(docs: DataFrame, models: dict[str, Model], *, doc_id: str = "doc_id", text: str = "text", host: str = "source", path: str = "lang") -> DataFrame:
     """doc_id, host, path, and the log odds of each model as `<name>_odds`. Null texts are empty, null hosts and paths are ''."""
     names = [f"{n}_odds" for n in models]
 
@@ -101,7 +130,7 @@ def document_evidence(docs: DataFrame, models: dict[str, np.ndarray], *, doc_id:
         cache: dict[bytes, int] = {}
         for batch in batches:
             found = [features(x.as_py() or "", cache) for x in batch.column(3)]
-            odds = [pa.array([log_odds(m, *f) for f in found], pa.float64()) for m in models.values()]
+            odds = [pa.array([m.log_odds(*f) for f in found], pa.float64()) for m in models.values()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *odds], ["doc_id", "host", "path", *names])
 
     of = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
@@ -146,7 +175,7 @@ def classify(docs: DataFrame, labels: DataFrame, *, keep_odds: float = 0.0, toxi
     odds reach `keep_odds` and it isn't toxic. Sites count for quality only: an insult is in the text. Null or empty texts are judged
     by the ratios of an empty text and their site.
     """
-    models = fit(docs, labels, ("quality", "toxic"), fit_rows=fit_rows)
+    models = fit(docs, labels, TARGETS, fit_rows=fit_rows)
     scored = written(document_evidence(docs, models, host=host, path=path), "evidence")
     sites = site_posteriors(scored, "quality_odds")
     odds = lambda p: F.log(p / (1 - p))

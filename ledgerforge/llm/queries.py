@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerforge.llm.chat import digests, format_conversations
 from ledgerforge.llm.classifier import classify
 from ledgerforge.llm.common import table
+from ledgerforge.llm.html_text import extract
+from ledgerforge.llm.mixing import mix
 from ledgerforge.llm.near_dups import near_duplicates
 from ledgerforge.llm.packing import pack_documents
 from ledgerforge.llm.quality_rules import quality_rules
@@ -42,6 +45,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents", ["doc_id", "source", "text"]))
+    return mixed.select("doc_id", "source", F.col("__tokens").alias("tokens"), F.col("__epoch").alias("epoch"), F.col("__place").alias("place"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
 
@@ -54,7 +62,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_near_dups, op3_chat, op4_classifier, op5_warc, op7_secrets, op8_topk, op9_quality_rules)}
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_near_dups, op3_chat, op4_classifier, op5_warc, op6_mixing, op7_secrets, op8_topk, op9_quality_rules, op10_html)}
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL["op5_warc"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
