@@ -24,13 +24,13 @@ BUCKETS, RATIOS = 1 << 17, 6
 #: The most labelled rows that a fit uses, and characters of them that it reads at once: the bound of what the driver holds.
 FIT_ROWS = 20_000
 MODEL_SEED = 7
-#: Stripped from words before they are hashed, so that marks around a word don't hide it.
+#: A word is hashed as it is and without these, so that marks tell of quality and hide no word.
 MARKS = b".,;:!?#*$%&|<>\"'()"
 #: Of each target, how a text's words spread its evidence, and how telling a word must be to count.
 TARGETS = {"quality": (0.5, 0.0), "toxic": (0.0, 5.0)}
 
 
-def features(text: str, cache: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+def features(text: str, cache: dict[bytes, tuple]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct word buckets of a text, and its ratios."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     n = max(1, len(words))
@@ -41,8 +41,8 @@ def features(text: str, cache: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray
         if h is None:
             if len(cache) > 500_000:
                 cache.clear()
-            h = cache[w] = xxhash.xxh3_64_intdigest(w.strip(MARKS)) % BUCKETS
-        buckets.append(h)
+            h = cache[w] = tuple({xxhash.xxh3_64_intdigest(x) % BUCKETS for x in (w.strip(b".,;:!?"), w.strip(MARKS))})
+        buckets += h
     chars = max(1, len(text))
     marked = sum(map(text.count, "#*$%&|<>")) / chars
     repeats = sum(a == b for a, b in zip(words, words[1:], strict=False)) / n
@@ -105,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, tuple[float, floa
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[bytes, int] = {}
+        cache: dict[bytes, tuple] = {}
         for batch in batches:
             found = [features(x.as_py() or "", cache) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64())), *batch.columns[2:]], ["doc_id", "buckets", "ratios", *targets])
@@ -127,7 +127,7 @@ def document_evidence(docs: DataFrame, models: dict[str, Model], *, doc_id: str
     names = [f"{n}_odds" for n in models]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[bytes, int] = {}
+        cache: dict[bytes, tuple] = {}
         for batch in batches:
             found = [features(x.as_py() or "", cache) for x in batch.column(3)]
             odds = [pa.array([m.log_odds(*f) for f in found], pa.float64()) for m in models.values()]

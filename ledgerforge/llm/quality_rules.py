@@ -97,4 +97,15 @@ def quality_rules(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(judge, RESULT)
 
 
+def filter_quality(docs: DataFrame, *, text: str = "text", limits: dict[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT) -> DataFrame:
+    """The rows of docs that quality_rules keeps, with all their columns. Nothing is shuffled and no key is needed."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([measure(x.as_py() or "", limits, line_limit)[-1] for x in batch.column(at)], pa.bool_()))
+
+    at = docs.columns.index(text)
+    return docs.mapInArrow(keep, docs.schema)
+
+
 RESULT_NAMES = [x.split()[0] for x in RESULT.split(", ")]
