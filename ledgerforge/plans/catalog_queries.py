@@ -1,4 +1,6 @@
-"""The registered catalog queries and their SQL."""
+"""All registered catalog queries and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from ledgerforge.plans import colour_queries
+from ledgerforge.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "colour_queries"]
