@@ -8,26 +8,27 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 SPACE = r"\s+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _ascii(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unmarked(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c) != "Mn"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_html(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else html.unescape(s))
 
