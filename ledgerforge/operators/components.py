@@ -1,36 +1,73 @@
-"""Connected components over edges, in rounds of joins that each write their result."""
+"""Connected components over edges."""
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerforge.sources.shared import at_most, written
 
-def cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a checkpoint in the folder that the session names."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='checkpoint-')}")
-    return df.checkpoint()
+#: Up to so many edges (16 MB of numbers) one task finds the components; more go round by round through joins.
+ONE_TASK_EDGES = 1_000_000
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def least_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the edges, in order, and for each the place of the least node that it reaches."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        before = label.copy()
+        low = np.minimum(label[x], label[y])
+        # hook both ends' roots to the lower label, then shorten all ways
+        np.minimum.at(label, label[x], low)
+        np.minimum.at(label, label[y], low)
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+        if np.array_equal(before, label):
+            return nodes, label
+
+
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    kind = edges.schema["a"].dataType.simpleString()
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if parts:
+            table = pa.Table.from_batches(parts)
+            nodes, label = least_labels(*(table[c].to_numpy() for c in ("a", "b")))
+            to = table.schema.field("a").type
+            for k in range(0, len(nodes), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[k : k + 10_000], to), pa.array(nodes[label[k : k + 10_000]], to)], ["id", "comp"])
+
+    return written(edges.select("a", "b").repartition(1).mapInArrow(solve, f"id {kind}, comp {kind}"), "components")
+
+
+def connected_components(edges: DataFrame, *, one_task_edges: int = ONE_TASK_EDGES) -> DataFrame:
     """(id, comp): the least node that each node of the edges (a, b) reaches.
 
-    Alternating stars: each node's neighbours are joined to the least of them, larger ones first, then smaller ones. Edges never
-    grow in number, and about log(n) rounds suffice; only minima are aggregated, so hubs don't matter.
+    Beyond `one_task_edges` by alternating stars: each node's neighbours are joined to the least of them, larger ones first, then
+    smaller ones. Edges never grow in number, and about log(n) written rounds suffice; only minima are aggregated, so hubs don't
+    matter. Both ways give the same rows.
     """
-    edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    if at_most(edges, one_task_edges):
+        return _in_one_task(edges)
     state = None
     while True:
         sides = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         tops = sides.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("top"))
-        upper = sides.join(tops, "a").where("b > a AND b <> top").select(F.col("b").alias("a"), F.col("top").alias("b")).distinct()
+        upper = sides.join(tops, "a").where("b > a AND b <> top").select(F.col("b").alias("a"), F.col("top").alias("b"))
+        # a local minimum keeps its own edges: they are those to the top itself
+        upper = upper.unionByName(sides.join(tops, "a").where("b > a AND top = a").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+        upper = upper.unionByName(tops.where("top <> a").select("a", F.col("top").alias("b"))).distinct()
         tops = upper.groupBy("a").agg(F.min("b").alias("top"))
         lower = upper.join(tops, "a").where("b <> top").select(F.greatest("b", "top").alias("a"), F.least("b", "top").alias("b"))
-        edges = cut(lower.unionByName(tops.select("a", F.col("top").alias("b"))).distinct())
+        edges = written(lower.unionByName(tops.select("a", F.col("top").alias("b"))).distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
         if now == state:
             roots = edges.groupBy("a").agg(F.min("b").alias("comp")).select(F.col("a").alias("id"), "comp")
