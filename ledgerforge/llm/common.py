@@ -2,65 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most rows of a one- or two-column table of longs that a plan may broadcast (16 MB a column).
-BROADCAST_ROWS = 1_000_000
-
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in a session without it one of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='checkpoint-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when the driver's Python ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
-    return path
-
+from ledgerforge.sources.shared import at_most, delete, shared_dir, shared_path, written
 
-def delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-@atexit.register
-def _delete_written() -> None:
-    for spark, path in _written:
-        if spark.sparkContext._jsc is None:
-            return
-        try:
-            delete(spark, path)
-        except Exception:  # the JVM may have ended before us; a shared folder is then cleaned by its owner
-            return
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet to the shared folder and read again: cuts lineage, and no executor's loss brings it back."""
-    path = shared_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether df has at most so many rows; reads no more than one row beyond."""
-    return df.limit(rows + 1).count() <= rows
+__all__ = ["BROADCAST_ROWS", "at_most", "delete", "semi", "shared_dir", "shared_path", "table", "written"]
 
+#: Most rows of a one- or two-column table of longs that a plan may broadcast (16 MB a column).
+BROADCAST_ROWS = 1_000_000
 
 def semi(df: DataFrame, ids: DataFrame, column: str, *, how: str = "left_semi", rows: int = BROADCAST_ROWS) -> DataFrame:
     """df's rows whose column is (how='left_anti': isn't) among ids' only column.

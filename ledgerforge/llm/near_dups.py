@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerforge.llm.common import semi, written
+from ledgerforge.operators.components import connected_components
 
 TREES, MIN_DEPTH, DEPTH = 24, 3, 5
 #: A region with more pairs than this is read one value deeper; at the whole row its documents are one cluster.
@@ -165,26 +166,6 @@ def block_links(sets: list[np.ndarray], comps: np.ndarray, few: np.ndarray, perc
     return out
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, comp): the least id that each node of the edges (a, b) reaches, by alternating large and small stars.
-
-    A star joins a node's neighbours to the least of them; only minima are aggregated and joined, so a hub is no burden.
-    """
-    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    last = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")))).alias("e")).select("e.a", "e.b")
-        edges = written(small.where("a <> b").distinct(), "edges")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == last:
-            return edges.groupBy("a").agg(F.min("b").alias("comp")).withColumnRenamed("a", "id")
-        last = now
-
-
 class Forest:
     """The search over one table of documents."""
 
@@ -210,9 +191,7 @@ class Forest:
         """id, cluster: documents with a row in common in any tree, directly or over others; those of one only are left out."""
         runs = self.members.groupBy("tree", "key").agg(F.min("id").alias("first"), F.count("*").alias("k")).where("k > 1")
         edges = self.members.select("tree", "key", "id").join(runs, ["tree", "key"]).select(F.col("id").alias("a"), F.col("first").alias("b"))
-        found = connected_components(edges).withColumnRenamed("comp", "cluster")
-        roots = found.select(F.col("cluster").alias("id"), "cluster").distinct()
-        return written(found.unionByName(roots), "clusters")
+        return written(connected_components(edges).withColumnRenamed("comp", "cluster"), "clusters")
 
     def components(self) -> DataFrame:
         """(id, comp) of every class that isn't alone."""
@@ -224,7 +203,7 @@ class Forest:
         # every block with itself and with the first
         where = F.when(F.col("block") > 0, F.array("block")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
         links = self._in_blocks(placed.select("cluster", F.explode(where).alias("at"), F.lit(0).alias("by"), "id", F.col("id").alias("comp"), F.lit(True).alias("few"), "set"))
-        comps = written(connected_components(links), "components")
+        comps = connected_components(links)
         # what is still apart, in large clusters, with every block
         large = placed.where("blocks > 1").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         parts = large.groupBy("cluster", "comp").agg(F.count("*").alias("k")).groupBy("cluster").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"))
