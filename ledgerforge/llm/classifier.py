@@ -152,7 +152,7 @@ def site_posteriors(scored: DataFrame, odds: str) -> DataFrame:
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
     total = hosts.agg(F.sum("hn").alias("n"), F.sum("hs").alias("s"), F.count("*").alias("k"), F.sum(F.col("hs") * F.col("hs") / F.col("hn")).alias("q"), F.sum(F.col("hn") * F.col("hn")).alias("nn")).first()
     if not total["n"]:
-        return scored.select("host", "path").withColumn("site", F.lit(None).cast("double"))
+        return scored.select("host", "path").withColumns({"site": F.lit(None).cast("double"), "mean": F.lit(None).cast("double")})
     mean = min(max(total["s"] / total["n"], 1e-6), 1 - 1e-6)
 
     def strength(n: float, k: int, q: float, nn: float) -> float:

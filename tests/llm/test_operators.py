@@ -1,0 +1,310 @@
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerforge.llm.chat import digests, escape, format_conversations, locate, parse_instruct, unescape
+from ledgerforge.llm.classifier import classify
+from ledgerforge.llm.html_text import Page, extract
+from ledgerforge.llm.mixing import exponent, mix
+from ledgerforge.llm.near_dups import block_links, near_duplicates
+from ledgerforge.llm.packing import WordEncoder, first_fit, pack_documents, token_pieces
+from ledgerforge.llm.quality_rules import measure, quality_rules
+from ledgerforge.llm.queries import TOKENIZER
+from ledgerforge.llm.secrets import find_secrets, redact, secret_report
+from ledgerforge.llm.topk import Block, top_k
+from ledgerforge.llm.warc import CaptureIndex, archive_round_trip, read_archives, surt, write_archives, write_index
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs(spark, *texts, source=lambda k: f"s{k % 3}"):
+    return spark.createDataFrame([(k, t, "en", source(k), len(t or "")) for k, t in enumerate(texts)], DOCS)
+
+
+def prose(seed, n, words=400):
+    draw = random.Random(seed)
+    return " ".join(f"w{draw.randrange(words)}" for _ in range(n))
+
+
+# packing
+
+
+def test_words_encode_as_whole_texts_do():
+    encode = WordEncoder(TOKENIZER)
+    texts = ["It's A.B., ça Éa! é. <|endoftext|>x don't İ H̱ \x1cq\xa0z 12.5 ½ あい ß Σς 'S '.s", "", "  ", "a.́ b,‍ ﬁ.", "x " * 50, "end."]
+    want = encode.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(encode(t), "<u4").tolist() for t in texts] == [w.ids for w in want]
+    small = WordEncoder(TOKENIZER, cache_words=3)
+    assert [small(t) for t in texts * 2] == [encode(t) for t in texts * 2]
+
+
+def test_first_fit_is_first_fit():
+    draw = random.Random(1)
+    lengths = np.array([draw.randrange(1, 101) for _ in range(300)])
+    bins, offsets = first_fit(lengths, 100)
+    room, want = [], {}
+    for k in np.argsort(-lengths, kind="stable"):
+        at = next((b for b, r in enumerate(room) if r >= lengths[k]), len(room))
+        room += [100] * (at == len(room))
+        want[k] = (at, 100 - room[at])
+        room[at] -= lengths[k]
+    assert {k: (bins[k], offsets[k]) for k in range(300)} == want
+
+
+def test_pieces_cover_every_id_once(spark):
+    texts = [None, "", "one two", prose(1, 5000), "one two", prose(2, 900)]
+    rows = docs(spark, *texts).withColumn("deal", F.lit(1)).unionByName(docs(spark, "again").withColumn("deal", F.lit(2)))
+    got = pack_documents(rows, TOKENIZER, group_pieces=3).collect()
+    by, seqs = defaultdict(list), defaultdict(list)
+    for r in got:
+        by[r.doc_id, r.doc_tokens].append((r.start, r.length))
+        seqs[r.sequence_id].append((r.offset, r.length))
+    for (_, tokens), pieces in by.items():
+        if len({s for s, _ in pieces}) == len(pieces):
+            assert sum(n for _, n in pieces) == tokens and sorted(s for s, _ in pieces)[0] == 0
+    for pieces in seqs.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert sum(r.length for r in got) == sum(len(WordEncoder(TOKENIZER)(t or "")) // 4 + 1 for t in [*texts, "again"])
+    assert pack_documents(rows.limit(0), TOKENIZER).count() == 0 and token_pieces(rows.limit(0), TOKENIZER).count() == 0
+
+
+# near duplicates
+
+
+def similar(a, b, n):
+    sets = [{tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w := t.encode().lower().split()) >= n else ({tuple(w)} if w else set()) for t in (a, b)]
+    return bool(sets[0]) and bool(sets[1]) and 100 * len(sets[0] & sets[1]) >= 80 * len(sets[0] | sets[1])
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates_equal_brute_force(spark, size):
+    draw, texts = random.Random(3), [None, "", "  ", "Single", "single", "two words", "TWO\twords\n"]
+    for g in range(12):
+        words = prose(g, 120).split()
+        for _ in range(draw.choice([1, 2, 9])):
+            new = words[:]
+            for _ in range(draw.randrange(8)):
+                new[draw.randrange(len(new))] = f"x{draw.randrange(99)}"
+            texts.append(" ".join(new))
+    rows = docs(spark, *texts).withColumn("sig", F.lit("clash")).withColumn("comp", F.lit(1))
+    got = {r.doc_id: r for r in near_duplicates(rows, shingle=size).collect()}
+    root = list(range(len(texts)))
+    for _ in range(3):
+        for a in range(len(texts)):
+            for b in range(a):
+                if similar(texts[a] or "", texts[b] or "", size):
+                    root[a] = root[b] = min(root[a], root[b])
+    assert [got[k].component_id for k in range(len(texts))] == root
+    assert all(got[k].kept == (root[k] == k) for k in got) and got[0].n_shingles == 0
+
+
+def test_near_duplicates_of_null_ids_and_no_rows(spark):
+    rows = docs(spark, prose(1, 50), prose(1, 50)).withColumn("doc_id", F.when(F.col("doc_id") == 0, F.col("doc_id")))
+    assert sorted((r.doc_id is None, r.component_id, r.kept) for r in near_duplicates(rows).collect()) == [(False, 0, True), (True, None, True)]
+    assert near_duplicates(rows.limit(0)).count() == 0
+
+
+def test_blocks_link_what_is_apart():
+    sets = [np.arange(k % 4, 40 + k % 4).astype(np.int64) + 1000 * (k // 4) for k in range(12)]
+    links = block_links(sets, np.arange(12), np.ones(12, bool), 80)
+    assert len(links) == 9 and all(a // 4 == b // 4 for a, b in links)
+    assert all(a >= 8 or b >= 8 for a, b in block_links(sets, np.arange(12), np.arange(12) >= 8, 80))
+
+
+# chat
+
+
+def test_escapes_are_reversible_and_hide_control_strings():
+    draw = random.Random(5)
+    for _ in range(300):
+        text = "".join(draw.choice(["<s>", "</s>", "[INST]", "[/INST]", "\\", "<", "s>", "a", "\n"]) for _ in range(draw.randrange(9)))
+        assert unescape(escape(text)) == text and not re.search(r"</?s>|\[/?INST\]", escape(text))
+        assert parse_instruct("".join(f"<s>[INST]{escape(x)}[/INST]{escape(text)}</s>" for x in (text, "u"))) == [(text, text), ("u", text)]
+
+
+def test_rewriting_templates_are_told(spark):
+    last_only = lambda turns: "".join(f"{r}:" + (t if k == len(turns) - 1 else "...") + ";" for k, (r, t) in enumerate(turns))
+    assert locate([("u", "aaaa"), ("a", "bb")], last_only)[1]
+    plain = lambda turns: "".join(f"{r}: {t}\n" for r, t in turns)
+    out, rewrites, spans = locate([("u", "\n x"), ("a", "")], plain)
+    assert not rewrites and [out[a:b] for _, _, a, b in spans] == ["\n x", ""]
+
+
+def test_conversations_round_trip(spark):
+    rows = spark.createDataFrame([(1, 1, "assistant", "</s>é"), (1, 0, "user", None), (1, 1, "assistant", "</s>é"), (None, 0, None, "x"), (2, None, "assistant", "late")], "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit(0))
+    got = {r.conv_id: r for r in digests(format_conversations(rows)).collect()}
+    whole = "user\n\nassistant\n</s>é\nassistant\n</s>é\n"
+    assert (got[1].n_turns, got[1].turns_sha256, got[1].loss_chars) == (3, hashlib.sha256(whole.encode()).hexdigest(), 10)
+    assert got[1].loss_sha256 == hashlib.sha256("</s>é</s>é".encode()).hexdigest() and got[None].n_turns == 1 and got[2].loss_chars == 4
+    assert digests(format_conversations(rows.limit(0))).count() == 0
+
+
+# classifier
+
+
+def test_classifier_on_held_out_rows(spark):
+    all_, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    test = labels.where("doc_id % 4 = 0").select("doc_id", F.col("quality").alias("y"), F.col("toxic").alias("t"))
+    got = classify(all_, labels.where("doc_id % 4 <> 0")).join(test, "doc_id").collect()
+    assert sum((r.quality >= 0.5) == (r.y == 1) for r in got) >= 0.93 * len(got)
+    clean = [r for r in got if r.y == 1 and r.t == 0]
+    assert sum(r.kept for r in clean) >= 0.95 * len(clean)
+
+
+def test_classifier_of_odd_rows(spark):
+    rows = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0)], DOCS)
+    labels = spark.createDataFrame([(1, 1, None), (None, 0, 0)], "doc_id long, quality int, toxic int")
+    assert classify(rows, labels).count() == 3 and classify(rows.limit(0), labels.limit(0)).count() == 0
+
+
+# archives
+
+
+def test_archives_and_their_index(spark, tmp_path):
+    big, odd = "<p>" + "ä" * 100, "a\r\n\r\nWARC/1.1\r\n\r\n" * 20
+    pages = spark.createDataFrame([(3, "http://b.org/x", big), (1, "https://www.a.org:80/y?q=1", big), (2, None, None), (4, "http://a.org/\r\nz", "small"), (5, "http://a.org/z", "small"), (None, "http://c.org", big), (6, "http://a.org/y?q=1", odd), (6, "http://a.org/y?q=1", odd)], "page_id long, url string, html string").withColumn("digest", F.lit(1))
+    got = {(r.page_id, r.payload_bytes): (r.record_type, r.refers_to) for r in archive_round_trip(pages).collect()}
+    size = len(big.encode())
+    assert got == {(3, size): ("revisit", 1), (1, size): ("response", None), (2, 0): ("response", None), (4, 5): ("response", None), (5, 5): ("response", None), (None, size): ("revisit", 1), (6, len(odd)): ("response", None)}
+    write_archives(pages, str(tmp_path / "w"))
+    write_index(read_archives(spark, str(tmp_path / "w")), str(tmp_path / "i"), block_rows=2)
+    index = CaptureIndex(spark, str(tmp_path / "i"))
+    found = index.captures("http://a.org/y?q=1")
+    assert sorted(c["page_id"] for c in found) == [1, 6, 6] and {index.payload(c) for c in found} == {big.encode(), odd.encode()}
+    assert index.captures("http://nowhere.org/") == [] and surt("https://www.a.b.org/x") == "org,b,a)/x"
+    assert archive_round_trip(pages.limit(0)).count() == 0
+
+
+# mixing
+
+
+def test_exponents_reach_their_targets(spark):
+    totals = spark.createDataFrame([("a", 1000), ("b", 100), ("c", 10)], "source string, tokens long")
+    a, _ = exponent(totals, target_entropy=0.8, max_epochs=1e9, budget=1000.0)
+    p = np.array([1000, 100, 10.0]) ** a
+    p /= p.sum()
+    assert abs(-(p * np.log(p)).sum() / np.log(3) - 0.8) < 1e-3
+    a, budget = exponent(totals, target_entropy=1.0, max_epochs=2.0, budget=None)
+    assert (1000 / 10) ** (1 - a) <= 2.0 + 1e-6 and budget >= 1110
+    assert exponent(totals.limit(0), target_entropy=0.8, max_epochs=2.0, budget=None) == (1.0, 0.0)
+
+
+def test_mixing_keeps_all_and_meets_its_budget(spark):
+    texts = [prose(k, 5 + k % 9) for k in range(400)]
+    rows = docs(spark, *texts, source=lambda k: None if k % 20 == 1 else ("big" if k % 20 else "tiny")).withColumn("__key", F.lit(1))
+    got = mix(rows, target_entropy=0.95).collect()
+    assert {r.doc_id for r in got} == set(range(400))
+    per = defaultdict(Counter)
+    for r in got:
+        per[r.source][r.doc_id] += 1
+    assert max(per["big"].values()) == 1 and all(max(c.values()) - min(c.values()) <= 1 for c in per.values()) and min(per["tiny"].values()) >= 2
+    total = sum(len(t.split()) + 1 for t in texts)
+    small = mix(rows, target_entropy=0.0, budget=total / 2).collect()
+    assert 0 <= total / 2 - sum(r["__tokens"] for r in small) <= 3 * 15
+    assert mix(rows.limit(0)).count() == 0
+
+
+# secrets
+
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def spans_of(text):
+    found = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(found))
+
+
+def test_secrets_equal_brute_force(spark):
+    draw = random.Random(8)
+    parts = ["password:token", " = abcdefgh", "SECRET='x1y2z3w4'", "AKIA" + "B" * 16, "AKIAshort", "0123456789abcdef" * 2, "é😀 ", "\n", "api_key: ", "xyz123456", "token", "=", "plain words "]
+    texts = [None, "", *("".join(draw.choices(parts, k=draw.randrange(1, 14))) for _ in range(150)), "token=abcdef " * 300]
+    got = {r.doc_id: r for r in secret_report(docs(spark, *texts).withColumn("hash", F.lit(1)).withColumn("row", F.lit(1))).collect()}
+    for k, t in enumerate(texts):
+        want = spans_of(t or "")
+        assert got[k].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+        assert (got[k].n_assign, got[k].n_access, got[k].n_hex) == tuple(want.count(f"{kind}:") for kind in ("assign", "access", "hex"))
+    assert secret_report(docs(spark, *texts).limit(0)).count() == 0
+
+
+def test_owners_part_examples_from_secrets(spark):
+    own, example, key = "token=" + "a1" * 12 + "Q", "token=EXAMPLE9", "ghp_" + "Z9" * 12
+    rows = docs(spark, f"é {own} {example} {key}", example, f"x {example}", None)
+    assert {x["kind"] for r in find_secrets(rows).collect() for x in r.spans} == {"assign", "key", "hex"}
+    texts = [r.text for r in redact(rows).orderBy("doc_id").collect()]
+    assert texts == [f"é <secret> {example} <secret>", example, f"x {example}", None]
+    assert redact(rows).columns == rows.columns
+
+
+# top k
+
+
+@pytest.mark.parametrize("low", [-40, 0, 5])
+def test_blocks_find_the_best(low):
+    draw = np.random.default_rng(low + 50)
+    values, ids = draw.integers(low, low + 60, (200, 9)), draw.permutation(1000)[:200].astype(np.int64)
+    values[:20] = values[0]
+    block = Block(ids, values)
+    asked = values[:70]
+    for (_, rows, scores), q, own in zip(block.best(asked, ids[:70], 7), asked, ids[:70], strict=True):
+        want = sorted((-int(v @ q), int(i)) for v, i in zip(values, ids, strict=True) if i != own)[:7]
+        assert sorted(zip((-scores).tolist(), rows.tolist(), strict=True)) == want
+
+
+def test_top_k_of_odd_vectors(spark):
+    rows = [(0, [0.5, 1.0]), (20, [0.5, 1.0]), (1, None), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, [-1.0]), (None, [1.0, 1.0]), (5, [0.26, -0.26]), (40, [])]
+    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("block", F.lit(1)), k=2).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == [(0, 1, 20, 5120), (0, 2, 40, 0), (20, 1, 0, 5120), (20, 2, 40, 0), (40, 1, 0, 0), (40, 2, 4, 0)]
+    assert top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+# quality rules
+
+
+def test_quality_measures_equal_brute_force(spark):
+    draw = random.Random(4)
+    texts = [None, "", "a b c d e\na b c d e\n \n \n", "é! #x " * 12, *("".join(draw.choice(["a ", "b ", "c\n", "d\t", "#$ ", "é "]) for _ in range(draw.randrange(60))) for _ in range(60)), prose(1, 300)]
+    got = {r.doc_id: r for r in quality_rules(docs(spark, *texts).withColumn("kept", F.lit(1))).collect()}
+    for k, t in enumerate(t or "" for t in texts):
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        count, seen, again = Counter(grams), set(), 0
+        inside = {j for i, g in enumerate(grams) if count[g] > 1 for j in range(i, i + 5)}
+        for line in t.split("\n"):
+            if re.search(r"[^\x20\x09-\x0D]", line):
+                again += line in seen
+                seen.add(line)
+        r = got[k]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), again, len(inside))
+        assert r.base_failed == (len(words) < 10 or 100 * len(inside) > 20 * len(words)) and not (r.kept and r.base_failed)
+    assert got[len(texts) - 1].kept and measure("x " * 5)[-1] is False and quality_rules(docs(spark, "a").limit(0)).count() == 0
+
+
+# web pages
+
+
+PAGE = '<!DOCTYPE html><html><head><title>no</title><style>p{{}}</style><script>var t="</p>";</script></head><body class="has-sidebar"><nav><a>Menu</a></nav><div class="cookie-notice">Accept</div><article><h1>Head &amp; {k}</h1><p>One<b> two</b>\n three<br>four<p>Five &lt;six&gt;<div class="share-buttons">Share</div><form>Name</form><p>Same line everywhere</p><ul><li>a<li>b</ul><section id="comments"><p>Nice!</p></section></article><aside>Ads</aside><footer>&copy; Foot</footer></body></html>'
+
+
+def test_articles_without_the_rest():
+    assert Page(PAGE.format(k=1)).text(set()).split("\n") == ["Head & 1", "One two three four", "Five <six>", "Same line everywhere", "a", "b"]
+    assert Page("just &am text").text(set()) == "just &am text" and Page("").text(set()) == "" and Page("<p>cut <foo").text(set()) == "cut"
+    assert Page("<div><nav>x</nav><p>body</div>").text(set()) == "body"
+
+
+def test_templates_take_what_all_pages_share(spark):
+    rows = [(k, "http://one.org/x", PAGE.format(k=k)) for k in range(12)] + [(90, "http://two.org", PAGE.format(k=9)), (91, None, None), (92, "::", "")]
+    got = {r.page_id: r for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(1))).collect()}
+    assert "Same line everywhere" not in got[3].text and got[3].text.startswith("Head & 3") and "Same line everywhere" in got[90].text
+    assert got[91].text == "" and got[92].n_chars == 0 and got[3].n_chars == len(got[3].text)
