@@ -23,12 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerforge.llm.common import semi, written
+from ledgerforge.llm.common import at_most, semi, written
 from ledgerforge.operators.components import connected_components
 
 TREES, MIN_DEPTH, DEPTH = 24, 3, 5
 #: A region with more pairs than this is read one value deeper; at the whole row its documents are one cluster.
 REGION_PAIRS = {3: 2_000, 4: 20_000}
+#: Texts with copies that may be broadcast (24 bytes each).
+COPIES_BROADCAST = 250_000
 #: Documents in a block of a cluster, about.
 BLOCK = 400
 #: Least share of equal minhashes with which a pair's sets are compared; at a similarity of 0.8 the deviation is 0.037.
@@ -173,7 +175,8 @@ class Forest:
         self.source, self.doc_id, self.text, self.shingle, self.percent = docs, doc_id, text, shingle, percent
         self.docs = written(signatures(docs, doc_id, text, shingle), "signatures")
         with_set = self.docs.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-        self.copies = with_set.groupBy("digest").agg(F.min("doc_id").alias("id"))
+        copies = with_set.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("k"))
+        self.copies = written(copies.where("k > 1").select("digest", "id"), "copies")
         classes = with_set.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
         self.classes = written(classes.select("id", "n", "sig"), "classes")
         self.members = written(forest_members(self.classes), "members")
@@ -295,7 +298,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     """
     forest = Forest(docs, doc_id=doc_id, text=text, shingle=shingle, percent=percent)
     comps = forest.components()
-    out = forest.docs.select("doc_id", "n_shingles", "digest").join(forest.copies, "digest", "left")
+    # most texts have no copy: those that have return by a broadcast while they are few, so that a text of many copies isn't one task's
+    copies = F.broadcast(forest.copies) if at_most(forest.copies, COPIES_BROADCAST) else forest.copies
+    out = forest.docs.select("doc_id", "n_shingles", "digest").join(copies, "digest", "left").withColumn("id", F.coalesce("id", "doc_id"))
     out = out.join(comps, "id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "id", "doc_id")).alias("component_id")
     return out.select("doc_id", "n_shingles", component).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
