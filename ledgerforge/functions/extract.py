@@ -113,3 +113,44 @@ def any_available(flags: Column) -> Column:
 def future(release: Column, run_date: Column) -> Column:
     """Whether a release date lies after the run; unknown or unreadable dates don't."""
     return F.coalesce(F.try_to_date(release, "yyyy-MM-dd") > run_date, F.lit(False))
+
+
+def legacy_page(html: Column) -> Column:
+    """Of an old shop page: struct(sku: its eleven-digit number, name: og:title, else title before its separator, price in pounds with raised pence)."""
+    og = plain_text(F.regexp_extract(html, r'(?is)<meta[^>]*property=["\']og:title["\'][^>]*content=["\']([^"\']*)["\']', 1))
+    name = blank_to_null(F.regexp_replace(F.coalesce(og, title(html)), r"\s(?:\||-|–|:)\s.*$", ""))
+    sku = F.nullif(F.regexp_extract(html, r"\b(\d{11})\b", 1), F.lit(""))
+    pounds, pence = (F.regexp_extract(html, r"(?is)£\s*(\d+)(?:\.(\d{2})|\s*<sup>\s*(\d{2}))?", k) for k in (1, 2))
+    raised = F.regexp_extract(html, r"(?is)£\s*(\d+)(?:\.(\d{2})|\s*<sup>\s*(\d{2}))?", 3)
+    price = F.concat(pounds, F.lit("."), F.coalesce(F.nullif(pence, F.lit("")), F.nullif(raised, F.lit("")), F.lit("00")))
+    return F.struct(sku.alias("sku"), name.alias("name"), F.when(pounds != "", price.try_cast("double")).alias("price"))
+
+
+def card_fields(card: Column) -> Column:
+    """Of a listing's card: struct(hex, finish, set_name, volume_ml, packaging), synonyms in one form."""
+    text = F.regexp_replace(card, "<[^>]+>", " ")
+    said = F.lower(text)
+    hexa = F.nullif(F.lower(F.regexp_extract(card, r"#([0-9A-Fa-f]{6})\b", 1)), F.lit(""))
+    finish = F.when(said.rlike(r"\b(gloss|glossy)\b"), "Gloss").when(said.rlike(r"\b(satin|semi-?gloss)\b"), "Satin").when(said.rlike(r"\bmetal(lic)?\b"), "Metallic").when(said.rlike(r"\b(matt|matte|flat)\b"), "Matte")
+    packaging = F.when(said.rlike(r"\b(spray|aerosol|can)\b"), "spray").when(said.rlike(r"\b(dropper|bottle)\b"), "dropper").when(said.rlike(r"\b(pot|jar)\b"), "pot")
+    set_name = blank_to_null(F.regexp_extract(card, r"(?is)\bset\s*:\s*(?:<[^>]+>\s*)*([^<|]+)", 1))
+    return F.struct(hexa.alias("hex"), finish.alias("finish"), set_name.alias("set_name"), volume_ml(text).alias("volume_ml"), packaging.alias("packaging"))
+
+
+def after_colon(x: Column) -> Column:
+    """What follows a title's last colon."""
+    return F.trim(F.substring_index(x, ":", -1))
+
+
+def bare_name(x: Column, prefix: str) -> Column:
+    """A name without its brand's prefix, what stands in parentheses, volumes and pack words; capitals become words."""
+    bare = F.regexp_replace(x, rf"(?i)^\s*{prefix}\s*[:-]?\s*", "")
+    bare = F.regexp_replace(bare, r"\([^)]*\)", " ")
+    bare = F.regexp_replace(bare, r"(?i)\b(\d+\s*ml|pack of \d+|single)\b", " ")
+    bare = F.trim(F.regexp_replace(bare, r"\s+", " "))
+    return F.array_join(F.transform(F.split(bare, " "), lambda w: F.when(w.rlike("^[A-Z]{2,}$"), F.initcap(w)).otherwise(w)), " ")
+
+
+def single_item(sku: Column, name: Column, grams: Column, pattern: str, most: int) -> Column:
+    """Whether a listing is one item: its SKU has the form, it isn't heavy, and its name isn't a set's."""
+    return F.coalesce(sku.rlike(pattern) & (grams <= most) & ~F.lower(name).rlike(r"\b(set|bundle|collection|case)\b"), F.lit(False))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerforge.functions import extract
 from ledgerforge.functions.text import canonical_hash
+from ledgerforge.operators import catalog as C
 from ledgerforge.operators import enrich as E
 from ledgerforge.operators import ledger as L
 from ledgerforge.operators import quality as Q
@@ -322,3 +324,32 @@ def windows_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerforge.streaming.windows import sessions
 
     return sessions(table(spark, sf_dir, "events"), "6 hours")
+
+
+@query("""WITH r AS (SELECT c_nationkey AS g, CAST(5000000000000 + c_custkey % 40 AS VARCHAR) AS ean, CAST(substr(c_mktsegment, 1, 1) = 'B' AS INTEGER) AS rank, c_custkey AS seq FROM customer),
+p AS (SELECT g, arg_min(ean, ROW(-rank, seq)) AS ean FROM r GROUP BY g) SELECT g, p.ean, list_sort(coalesce(list(DISTINCT r.ean) FILTER (WHERE r.ean <> p.ean), [])) AS others FROM r JOIN p USING (g) GROUP BY g, p.ean""")
+def barcode_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    rows = c.select(I("c_nationkey").alias("g"), (F.lit(5000000000000) + I("c_custkey") % 40).cast("string").alias("ean"), F.startswith("c_mktsegment", F.lit("B")).cast("int").alias("rank"), I("c_custkey").alias("seq"))
+    return C.barcode_rollup(rows, "g")
+
+
+@query("""SELECT o_orderkey AS id, substr(o_orderpriority, 1, 4) AS description, ['a=' || o_orderstatus, 'b=' || o_orderkey % 7] AS hints FROM orders WHERE o_orderkey % 3 = 0""")
+def work_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    hints = F.create_map(F.lit("b"), (I("o_orderkey") % 7).cast("string"), F.lit("a"), I("o_orderstatus"))
+    return C.work_queue(o.select(I("o_orderkey").alias("id"), I("o_orderpriority").alias("description"), hints.alias("hints"), F.when(I("o_orderkey") % 3 != 0, "s").alias("game_system")), 4)
+
+
+@query("SELECT o_orderstatus AS game_system, list_sort(list(DISTINCT o_orderpriority)) AS factions FROM orders GROUP BY 1")
+def observed_factions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.observed_factions(table(spark, sf_dir, "orders").select(I("o_orderstatus").alias("game_system"), I("o_orderpriority").alias("faction")))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Red ' || p_partkey WHEN 1 THEN 'Deep Blue' ELSE 'Moss' END AS name, p_partkey % 3 = 1 AND p_size <= 25 AS single FROM part")
+def bare_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = I("p_partkey") % 3
+    raw = F.when(k == 0, F.concat(F.lit("Acme: RED "), I("p_partkey").cast("string"), F.lit(" (new) 17ml"))).when(k == 1, F.lit("ACME - Deep Blue single")).otherwise(F.lit("Moss  pack of 6"))
+    sku = F.when(k < 2, F.concat(F.lit("AC"), I("p_partkey").cast("string"))).otherwise("x")
+    title = F.when(k == 0, "Set of Reds").otherwise("Deep Blue")
+    return table(spark, sf_dir, "part").select("p_partkey", extract.bare_name(raw, "acme").alias("name"), extract.single_item(sku, title, I("p_size"), r"^AC\d+$", 25).alias("single"))
