@@ -30,14 +30,14 @@ def ean_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", barcode.normalize_ean(raw).alias("ean"))
 
 
-_C = "('5011921' || lpad(CAST(p_partkey % 100000 AS VARCHAR), 5, '0'))"
+_C = "('5012345' || lpad(CAST(p_partkey % 100000 AS VARCHAR), 5, '0'))"
 
 
 @query(f"SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN {_C} || {check_sql(_C)} END AS ean FROM part")
 def ean_from_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     five = F.lpad((F.col("p_partkey") % 100000).cast("string"), 5, "0")
     code = F.when(F.col("p_partkey") % 7 != 0, F.concat(F.substring(five, 1, 2), F.lit("-"), F.substring(five, 3, 3))).otherwise(F.lit("12"))
-    return table(spark, sf_dir, "part").select("p_partkey", barcode.ean_from_code(F.lit("5011921"), code).alias("ean"))
+    return table(spark, sf_dir, "part").select("p_partkey", barcode.ean_from_code(F.lit("5012345"), code).alias("ean"))
 
 
 _DASH = "regexp_replace(regexp_replace({x}, '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
@@ -198,12 +198,12 @@ def first_image_hints_availability(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 @query("""SELECT p_partkey, CAST(CASE WHEN p_size % 2 = 0 THEN p_size END AS INTEGER) AS ml, CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_partkey + 1000.5 END AS price,
- CASE p_size % 3 WHEN 0 THEN 'in_stock' WHEN 1 THEN 'out_of_stock' ELSE 'pre_order' END AS state, CASE WHEN p_size % 2 = 0 THEN 'Orks' ELSE 'General' END AS faction, p_size > 25 AS later FROM part""")
+ CASE p_size % 3 WHEN 0 THEN 'in_stock' WHEN 1 THEN 'out_of_stock' ELSE 'pre_order' END AS state, CASE WHEN p_size % 2 = 0 THEN 'Toads' ELSE 'General' END AS faction, p_size > 25 AS later FROM part""")
 def price_volume_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     size, key = F.col("p_size"), F.col("p_partkey")
     said = F.when(size % 2 == 0, F.concat(F.lit("Pot "), size.cast("string"), F.lit(" ML"))).otherwise(F.lit("Pot"))
     price = F.when(size % 3 == 0, F.lit("0.00")).otherwise(F.concat(F.lit("£"), F.format_number(key + 1000.5, 1)))
     state = F.when(size % 3 == 0, "https://schema.org/InStock").when(size % 3 == 1, "OutOfStock").otherwise("http://schema.org/PreOrder")
-    path = F.when(size % 2 == 0, F.lit("Root > Skip > Orks > Boyz")).otherwise(F.lit("Root > Skip"))
+    path = F.when(size % 2 == 0, F.lit("Root > Skip > Toads > Frogs")).otherwise(F.lit("Root > Skip"))
     day = F.when(size > 25, F.lit("2024-02-01")).when(size > 10, F.lit("2023-13-45"))
     return table(spark, sf_dir, "part").select("p_partkey", extract.volume_ml(said).alias("ml"), extract.price_text(price).alias("price"), extract.snake(state).alias("state"), extract.hierarchy_term(path, ["Skip"]).alias("faction"), extract.future(day, F.lit("2024-01-01").cast("date")).alias("later"))

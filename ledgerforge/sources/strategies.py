@@ -118,7 +118,7 @@ def latest_captures(rows: DataFrame, source: str) -> DataFrame:
     return last.select(*observation(source, F.col("path"), url=F.col("original"), hints=F.create_map(F.lit("archiveTimestamp"), F.col("timestamp"))))
 
 
-@strategy("gw-trade-sheets")
+@strategy("trade-sheets")
 def trade_sheets(rows: DataFrame, source: str) -> DataFrame:
     """Sheet rows (seq, role, code, name, barcode, price): the first value of each field in scan order; withdrawn and not current is gone."""
     first = lambda c: F.expr(f"min_by({c}, seq) FILTER (WHERE {c} IS NOT NULL)")

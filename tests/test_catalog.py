@@ -6,18 +6,18 @@ from ledgerforge.operators import catalog, ledger, quality
 
 
 def test_legacy_pages_and_cards(spark):
-    page = spark.createDataFrame([('<meta property="og:title" content="Boyz | Shop"> no. 99120101001 £12<sup>50</sup>',), ("<title>Only - Shop</title> £7",), ("",)], "h string")
-    assert [tuple(r.x) for r in page.select(extract.legacy_page(F.col("h")).alias("x")).collect()] == [("99120101001", "Boyz", 12.5), (None, "Only", 7.0), (None, None, None)]
+    page = spark.createDataFrame([('<meta property="og:title" content="Frogs | Shop"> no. 12345678901 £12<sup>50</sup>',), ("<title>Only - Shop</title> £7",), ("",)], "h string")
+    assert [tuple(r.x) for r in page.select(extract.legacy_page(F.col("h")).alias("x")).collect()] == [("12345678901", "Frogs", 12.5), (None, "Only", 7.0), (None, None, None)]
     card = spark.createDataFrame([('<b>Set:</b> Base <i style="background:#AABBCC"> glossy 17 ml jar</i>',)], "h string")
     assert tuple(card.select(extract.card_fields(F.col("h")).alias("x")).first().x)[:2] == ("aabbcc", "Gloss")
     assert tuple(card.select(extract.card_fields(F.col("h")).alias("x")).first().x)[3:] == (17, "pot")
 
 
 def test_seeds(spark):
-    systems = spark.createDataFrame([("wh", "War Hammering")], "slug string, label string")
+    systems = spark.createDataFrame([("wh", "Old Worlds")], "slug string, label string")
     kind = "key string, name string, system string, faction string, contents array<struct<quantity:int>>"
-    rows = spark.createDataFrame([("a", "A", "war hammering", "Örks & Co", [(2,), (None,)]), ("b", "B", None, None, None)], kind)
-    assert sorted(map(tuple, catalog.seeds(rows, systems).collect())) == [("a", "A", "wh", "orks-co", 3), ("b", "B", None, None, 1)]
+    rows = spark.createDataFrame([("a", "A", "old worlds", "Töads & Co", [(2,), (None,)]), ("b", "B", None, None, None)], kind)
+    assert sorted(map(tuple, catalog.seeds(rows, systems).collect())) == [("a", "A", "wh", "toads-co", 3), ("b", "B", None, None, 1)]
     for bad, said in ((rows.unionByName(rows), "given twice"), (rows.withColumn("system", F.lit("?")), "unknown system")):
         with pytest.raises(Exception, match=said):
             catalog.seeds(bad, systems).collect()

@@ -36,7 +36,7 @@ def test_slugs_differ_where_letters_do_not_decompose(spark):
 
 
 def test_names_and_halves(spark):
-    assert one(spark, text.name_key(F.col("s")), s="  \"Ｎuln  Oil\" ") == "nuln oil"
+    assert one(spark, text.name_key(F.col("s")), s="  \"Ｄark  Ink\" ") == "dark ink"
     assert one(spark, text.halves_merged(F.col("s")), s="Red Red") == "Red"
     assert one(spark, text.halves_merged(F.col("s")), s="Red Blue") == "Red Blue"
     assert one(spark, text.without_fence(F.col("s")), s="```json\n{}\n```") == "{}"

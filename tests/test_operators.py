@@ -19,22 +19,22 @@ def slug():
 def test_resolve_links_by_code_barcode_and_name(spark):
     rows = obs(
         spark,
-        ("m:1", "m", "manufacturer", 1, "gw", "99-1", "111", "Boyz"), ("r:1", "r", "retailer", 2, "gw", None, "111", "Ork Boyz"), ("s:1", "s", "retailer", 2, "gw", None, None, "Boyz"),
-        ("b:1", "b", "barcode-db", 4, "gw", None, "111", "x"), ("b:2", "b", "barcode-db", 4, "gw", None, "999", "y"), ("o:1", "o", "retailer", 2, "other", None, "111", "Boyz"),
+        ("m:1", "m", "manufacturer", 1, "mk", "99-1", "111", "Frogs"), ("r:1", "r", "retailer", 2, "mk", None, "111", "Ork Frogs"), ("s:1", "s", "retailer", 2, "mk", None, None, "Frogs"),
+        ("b:1", "b", "barcode-db", 4, "mk", None, "111", "x"), ("b:2", "b", "barcode-db", 4, "mk", None, "999", "y"), ("o:1", "o", "retailer", 2, "other", None, "111", "Frogs"),
     )
     got = {r.key: r.entity for r in R.resolve(rows, slug()).collect()}
-    assert got == {"m:1": "gw/99-1", "r:1": "gw/99-1", "s:1": "gw/99-1", "b:1": "gw/99-1", "o:1": "other/boyz"}
+    assert got == {"m:1": "mk/99-1", "r:1": "mk/99-1", "s:1": "mk/99-1", "b:1": "mk/99-1", "o:1": "other/frogs"}
     assert [r.key for r in R.unjoined_barcode_claims(rows).collect()] == ["b:2"]
-    assert [(r.ean, r.owner, r.claimants) for r in R.disputed(rows).collect()] == [("111", "gw", ["b:1", "m:1", "o:1", "r:1"])]
+    assert [(r.ean, r.owner, r.claimants) for r in R.disputed(rows).collect()] == [("111", "mk", ["b:1", "m:1", "o:1", "r:1"])]
 
 
 def test_an_ambiguous_name_joins_nothing(spark):
-    rows = obs(spark, ("a", "a", "retailer", 2, "gw", "1", None, "Box"), ("b", "b", "retailer", 2, "gw", "2", None, "Box"), ("c", "c", "retailer", 2, "gw", None, None, "Box"))
-    assert {r.key: r.entity for r in R.resolve(rows, slug()).collect()}["c"] == "gw/box"
+    rows = obs(spark, ("a", "a", "retailer", 2, "mk", "1", None, "Box"), ("b", "b", "retailer", 2, "mk", "2", None, "Box"), ("c", "c", "retailer", 2, "mk", None, None, "Box"))
+    assert {r.key: r.entity for r in R.resolve(rows, slug()).collect()}["c"] == "mk/box"
 
 
 def test_survivors_keep_empty_texts(spark):
-    rows = obs(spark, ("a", "a", "curated", 0, "gw", None, None, ""), ("b", "b", "retailer", 2, "gw", "1", None, "Box")).withColumn("comp", F.lit(1))
+    rows = obs(spark, ("a", "a", "curated", 0, "mk", None, None, ""), ("b", "b", "retailer", 2, "mk", "1", None, "Box")).withColumn("comp", F.lit(1))
     assert tuple(R.survivors(rows, "comp", ["code", "name"]).first()) == (1, "1", "")
 
 
@@ -87,8 +87,8 @@ def test_suffix_joins_refuse_ties(spark):
 
 
 def test_fuzzy_takes_the_most_alike(spark):
-    claims = spark.createDataFrame([("c", "nuln oil", "b"), ("d", "zzz", "b")], "claim string, name string, block string")
-    dim = spark.createDataFrame([(1, "nuln oill", "b"), (2, "nuln oil gloss", "b"), (3, "nuln oil", "other")], "id int, name string, block string")
+    claims = spark.createDataFrame([("c", "dark ink", "b"), ("d", "zzz", "b")], "claim string, name string, block string")
+    dim = spark.createDataFrame([(1, "dark inkk", "b"), (2, "dark ink gloss", "b"), (3, "dark ink", "other")], "id int, name string, block string")
     assert [(r.claim, r["match"]) for r in enrich.fuzzy(claims, dim, "block").collect()] == [("c", 1)]
 
 

@@ -52,8 +52,8 @@ def test_platform_payloads(spark):
     assert (r.key, r.ean, r.price, r.availability, r.hints["vendor"]) == ("src:h", "4006381333931", 1200.5, "in_stock", "V")
     r = go("woo-store-api", [{"id": 7, "name": "A &amp; B", "sku": "", "permalink": "u", "prices": {"price": "1250", "currency_minor_unit": 2}, "is_in_stock": False, "categories": [{"slug": "z"}, {"slug": "a"}]}])
     assert (r.key, r.name, r.sku, r.price, r.availability, r.hints["category"]) == ("src:7", "A & B", None, 12.5, "out_of_stock", "a,z")
-    r = go("algolia", {"hits": [{"objectID": "prod-99", "name": "first", "price": 1.0, "gameHierarchy": "Root > Orks"}, {"objectID": "prod-99", "name": "second"}]})
-    assert (r.name, r.sku, r.hints["faction"]) == ("first", "99", "Orks")
+    r = go("algolia", {"hits": [{"objectID": "prod-99", "name": "first", "price": 1.0, "gameHierarchy": "Root > Toads"}, {"objectID": "prod-99", "name": "second"}]})
+    assert (r.name, r.sku, r.hints["faction"]) == ("first", "99", "Toads")
     r = go("appsync", {"data": {"products": {"products": [{"id": "1", "name": "n", "sku": "s", "inventory": 0, "preorder": True, "seo": ["x"]}]}}})
     assert r.availability == "pre_order"
     r = strategies.STRATEGIES["reaper"](spark.createDataFrame([('x products = [{"sku":"09001","name":"n","price":399,"images":[{"type":"side","order":1,"url":"a"},{"type":"main","order":5,"url":"b"}]}];',)], "body string"), "src").first()
