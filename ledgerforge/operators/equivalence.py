@@ -45,8 +45,8 @@ def equivalents(items: DataFrame, *, threshold: float = 10.0, close: float = 5.0
 
 
 def bidirectional(edges: DataFrame) -> DataFrame:
-    """id, n, and the sorted array of (delta_e, match, tier): each edge counts for both ends, the least distance for a pair."""
+    """id, n, nearest (unrounded), and the sorted array of (delta_e, match, tier): each edge counts for both ends, the least distance for a pair."""
     swapped = edges.select(F.col("match").alias("id"), F.col("id").alias("match"), "delta_e", "tier")
     both = edges.select("id", "match", "delta_e", "tier").unionByName(swapped).where("id <> match")
     least = both.groupBy("id", "match").agg(F.min(F.struct("delta_e", "tier")).alias("x"))
-    return least.groupBy("id").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct(rounded(F.col("x.delta_e")).alias("delta_e"), F.col("match"), F.col("x.tier").alias("tier")))).alias("equivalents"))
+    return least.groupBy("id").agg(F.count("*").alias("n"), F.min("x.delta_e").alias("nearest"), F.array_sort(F.collect_list(F.struct(rounded(F.col("x.delta_e")).alias("delta_e"), F.col("match"), F.col("x.tier").alias("tier")))).alias("equivalents"))

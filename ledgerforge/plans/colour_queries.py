@@ -59,10 +59,8 @@ def equiv_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 m AS (SELECT id, match, min(delta_e) AS d FROM both_ WHERE id <> match GROUP BY ALL)
 SELECT id, count(*) AS n, list_sort(list(match)) AS matches, CAST(floor(min(d) * 1000 + 1e-6) AS BIGINT) AS nearest_milli FROM m GROUP BY id""")
 def equiv_bidirectional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = bidirectional(equivalents(_live(spark, sf_dir)).withColumn("delta_e", F.col("delta_e")))
-    edges = equivalents(_live(spark, sf_dir))
-    nearest = edges.select("id", "delta_e").unionByName(edges.select(F.col("match").alias("id"), "delta_e")).groupBy("id").agg(F.floor(F.min("delta_e") * 1000 + 1e-6).alias("nearest_milli"))
-    return both.select("id", "n", F.array_sort("equivalents.match").alias("matches")).join(nearest, "id")
+    both = bidirectional(equivalents(_live(spark, sf_dir)))
+    return both.select("id", "n", F.array_sort("equivalents.match").alias("matches"), F.floor(F.col("nearest") * 1000 + 1e-6).alias("nearest_milli"))
 
 
 @query(f"WITH {PAINTS_SQL}, {LAB_SQL} SELECT id, CAST(floor(L * 1000 + 1e-6) AS BIGINT) AS l_milli, CAST(floor(A * 1000 + 1e-6) AS BIGINT) AS a_milli, CAST(floor(Bq * 1000 + 1e-6) AS BIGINT) AS b_milli FROM lab")
