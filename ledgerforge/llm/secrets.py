@@ -15,11 +15,18 @@ from ledgerforge.llm.common import written
 # The kinds in their order, with patterns, the group that holds the secret and its least length.
 # A longest run of at least n characters is found by {n,} as by + and a later test; in assign the test must come later, since a
 # match that is too short still uses up its characters.
+# A private key goes from BEGIN to its END, whatever is between; without an END before the next BEGIN or the text's end, as far as
+# what follows reads as a key: headers and runs of base64, then one short run that ends a line. The possessive loops don't recurse.
+_RULE = r"[A-Z ]{0,20}PRIVATE KEY-----"
+PEM = (
+    rf"-----BEGIN {_RULE}(?:[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END {_RULE}"
+    r"|(?:(?:\s|\\[nr])*+(?:(?:Proc-Type|DEK-Info): [^\r\n\\]*+|[A-Za-z0-9+/=]{16,}+))*+(?:(?:\s|\\[nr])++[A-Za-z0-9+/]{1,15}+={0,2}+(?=\\[nr]|[\r\n]|-----|\z))?)"
+)
 KINDS = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
-    ("key", r"gh[pousr]_[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 1),
+    ("key", r"gh[pousr]_[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|" + PEM, 0, 1),
 )
 BASE = ("assign", "access", "hex")
 SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint,hash:bigint>>"
@@ -46,11 +53,13 @@ def _spans(text: Column, rank: int) -> Column:
     kind, pattern, group, least = KINDS[rank]
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     secret = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    # a private key is known by its body, however its lines are broken
+    held = (lambda x: F.when(x.startswith("-----BEGIN "), F.regexp_replace(x, r"-----(?:BEGIN|END) [A-Z ]*-----|\s+|\\[nr]", "")).otherwise(x)) if kind == "key" else (lambda x: x)
     sizes = lambda array: F.transform(array, lambda x: F.length(x).cast("bigint"))
     between = sizes(F.split(text, pattern, -1))
     steps = F.zip_with(F.slice(between, F.lit(1), F.size(whole)), sizes(whole), lambda b, m: b + m)
     ends = F.zip_with(running(steps, F.lit(0).cast("bigint"), lambda a, b: a + b), steps, lambda a, b: a + b)
-    found = F.zip_with(F.arrays_zip(whole.alias("m"), secret.alias("s")), ends, lambda x, end: F.struct((end - F.length(x["m"])).alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), F.when(F.length(x["s"]) >= least, F.xxhash64(x["s"])).alias("hash")))
+    found = F.zip_with(F.arrays_zip(whole.alias("m"), secret.alias("s")), ends, lambda x, end: F.struct((end - F.length(x["m"])).alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), F.when(F.length(x["s"]) >= least, F.xxhash64(held(x["s"]))).alias("hash")))
     return F.when(F.size(whole) > 0, F.filter(found, lambda x: x["hash"].isNotNull())).otherwise(F.array().cast(SPAN)).cast(SPAN)
 
 

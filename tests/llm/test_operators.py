@@ -247,6 +247,20 @@ def test_owners_part_examples_from_secrets(spark):
     assert redact(rows).columns == rows.columns
 
 
+def test_private_keys_are_known_by_their_bodies(spark):
+    pem = lambda body, end="\n": f"-----BEGIN RSA PRIVATE KEY-----{end}{body}{end}-----END RSA PRIVATE KEY-----"
+    own = [f"{k}a+/B" * 12 + f"\n{k}Qx-y==" for k in range(4)]
+    cut = "-----BEGIN PRIVATE KEY-----\n" + "C3dE" * 16 + "\nshort1=="
+    copied = "Z9yX" * 16
+    texts = [*(f"é {pem(b)} tail-{k}" for k, b in enumerate(own)), f"x {cut}\nThe prose that follows stays", f"y {pem(copied)}", f"{pem(copied, chr(13) + chr(10))} z", f"{pem(copied)} w", f"{cut}{pem('Q' * 32)}"]
+    rows = docs(spark, *texts).withColumn("source", F.concat(F.lit("s"), F.col("doc_id").cast("string")))
+    got = [r.text for r in redact(rows).orderBy("doc_id").collect()]
+    assert got == [*(f"é <secret> tail-{k}" for k in range(4)), "x <secret>\nThe prose that follows stays", *texts[5:8], "<secret><secret>"]
+    found = {r.doc_id: r.spans for r in find_secrets(rows).collect()}
+    of = [[(x["start"], x["end"]) for x in found[k] if x["kind"] == "key"] for k in sorted(found)]
+    assert of[0] == [(2, 2 + len(pem(own[0])))] and of[5:8] == [[], [], []]
+
+
 # top k
 
 
