@@ -1,19 +1,23 @@
 """Main text of web pages by equivalence classes of tokens across the pages of a host.
 
 A token is a tag or a block of text with its path of open tags. Its occurrence vector says how often each page of the host has
-it; tokens with equal vectors form a class. Classes that are large and found on most pages of a host are its template: they nest
-(a class of rarer tokens lies in the gaps of a commoner one), and what remains between their tokens are slots. Text tokens of the
-template are the site's, not the page's. Of the slots, those of the article are kept, without the parts that markup names as menus,
-notices, adverts, forms or comments.
+it; tokens with equal vectors form a class. A large class found on nearly all pages of a host is of its template. A rarer one is of
+the template of a layout if it nests: on all its pages its texts have one order and lie in the same gaps of each ordered class that
+has all these pages, and the slots left beside it are filled by text that differs from page to page and is not less than its own
+(else it is a copied article). What remains between the tokens of a page's classes are its slots; as all tokens of a class have the
+same pages, these are its texts without those of the host's classes. Of the slots, those of the article are kept, without the parts
+that markup names as menus, notices, adverts, forms or comments.
 
 Vectors are never built: a class is known by the exclusive-or of one hash per page and count, an aggregate that combines on the
-map side, so a host with a third of all pages is no burden. Pages stay where they are read; only the templates travel.
+map side, so a host with a third of all pages is no burden. Pages stay where they are read; only the templates travel. Pages of
+hosts that have rarer classes are read once more, for the places of their tokens.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +31,8 @@ from ledgerforge.llm.common import written
 
 #: A class is valid with this many pages and tokens, on this share of the host's pages.
 LEAST_PAGES, LEAST_TOKENS, LEAST_SHARE = 10, 4, 0.9
+#: From this share of the host's pages on, a class that nests is of a layout's template.
+LAYOUT_SHARE = 0.1
 
 # HTML's elements by how they are read.
 _RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video", "textarea", "title", "xmp", "noembed", "noframes")
@@ -69,6 +75,7 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[tuple[str, str, bool, bool]] = []  # path, text, inside an article, set aside
         self.tags: list[str] = []
+        self.order: list[bool] = []  # of blocks (True) and tags
         self.stack: list[tuple[str, bool, bool]] = []  # tag, inside an article, set aside
         self.run: list[str] = []
         at, n = 0, len(source)
@@ -104,6 +111,7 @@ class Page:
             if text:
                 _, inside, aside = self.stack[-1] if self.stack else ("", False, False)
                 self.blocks.append((self._path(), text, inside, aside))
+                self.order.append(True)
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in _VOID or tag in _RAW_END:
@@ -127,6 +135,7 @@ class Page:
             self.stack.append((tag, inside or tag == "article" or tag == "main", aside))
         if block:
             self.tags.append(f"{self._path()}")
+            self.order.append(False)
 
     def _end_p(self) -> None:
         for k in range(len(self.stack) - 1, -1, -1):
@@ -159,17 +168,26 @@ class Page:
             self._flush()
 
     def tokens(self) -> list[int]:
-        """64-bit hashes of tags with their paths, and of texts with theirs."""
-        return [xxhash.xxh3_64_intdigest(t) for t in self.tags] + [text_token(p, t) for p, t, _, _ in self.blocks]
+        """64-bit hashes of tags with their paths (even), and of texts with theirs (odd), in the page's order."""
+        tags, blocks = iter(self.tags), iter(self.blocks)
+        return [text_token(*next(blocks)[:2]) if text else tag_token(next(tags)) for text in self.order]
 
-    def text(self, template: frozenset[int] | set[int]) -> str:
-        """The article's blocks, or all where no element is one, without those set aside and those of the template."""
+    def article(self) -> list[tuple[str, str]]:
+        """Path and text of the article's blocks, or of all where no element is one, without those set aside."""
         article = any(inside and not aside for _, _, inside, aside in self.blocks)
-        return "\n".join(t for p, t, inside, aside in self.blocks if not aside and (inside or not article) and (not template or text_token(p, t) not in template))
+        return [(p, t) for p, t, inside, aside in self.blocks if not aside and (inside or not article)]
+
+    def text(self, template: frozenset[int] | set[int]) -> str:
+        """The article's blocks without those of the template."""
+        return "\n".join(t for p, t in self.article() if not template or text_token(p, t) not in template)
+
+
+def tag_token(path: str) -> int:
+    return xxhash.xxh3_64_intdigest(path) & ~1
 
 
 def text_token(path: str, text: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{path}\n{text}")
+    return xxhash.xxh3_64_intdigest(f"{path}\n{text}") | 1
 
 
 def host_of(url: Column) -> Column:
@@ -199,29 +217,118 @@ def page_tokens(pages: DataFrame) -> DataFrame:
     return pages.select(host_of(F.col("url").cast("string")).alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(walk, "host string, token long, page long")
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """host, template: the tokens of the host's valid classes. Token 0 stands for the page itself, so its count is the host's."""
+def classes(pages: DataFrame) -> DataFrame:
+    """host, id, tokens, shared: the host's large classes, and whether nearly all of its pages have them.
+
+    Token 0 stands for the page itself, so its count is the host's.
+    """
     tokens = page_tokens(pages).groupBy("host", "token").agg(F.bit_xor("page").alias("vector"), F.count("*").alias("pages"))
     # what few pages have can't be of a template; most text is such, so little is left here
     tokens = written(tokens.where((F.col("pages") >= LEAST_PAGES) | (F.col("token") == 0)), "tokens")
     sizes = tokens.where("token = 0").select("host", F.col("pages").alias("of"))
-    common = tokens.where("token <> 0").join(sizes, "host").where(F.col("pages") >= LEAST_SHARE * F.col("of"))
-    classes = common.groupBy("host", "vector", "pages").agg(F.collect_set("token").alias("tokens")).where(F.size("tokens") >= LEAST_TOKENS)
-    return classes.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
+    common = tokens.where("token <> 0").join(sizes, "host").where(F.col("pages") >= LAYOUT_SHARE * F.col("of"))
+    found = common.groupBy("host", "vector", "pages", "of").agg(F.collect_set("token").alias("tokens")).where(F.size("tokens") >= LEAST_TOKENS)
+    return found.select("host", F.xxhash64("vector", "pages").alias("id"), "tokens", (F.col("pages") >= LEAST_SHARE * F.col("of")).alias("shared"))
+
+
+def _digest(values) -> int:
+    return xxhash.xxh3_64_intdigest(repr(values)) >> 2
+
+
+def _order(found: list[int]) -> int:
+    """A hash of the order in which tokens come, once or again and again; -1 if they come in several."""
+    n = len(set(found))
+    return _digest(found[:n]) if n == 0 or (len(found) % n == 0 and found == found[:n] * (len(found) // n)) else -1
+
+
+def _gaps(texts: list[tuple[int, int]], places: list[int], tokens: list[int]) -> int:
+    """A hash of the gaps, each known by the tokens around it, in which texts (place, token) lie."""
+    gaps = set()
+    for place, token in texts:
+        k = bisect_left(places, place)
+        gaps.add((token, tokens[places[k - 1]] if k else 0, tokens[places[k]] if k < len(places) else 0))
+    return _digest(sorted(gaps))
+
+
+def class_places(rows: DataFrame) -> DataFrame:
+    """For each page, class of texts, and class of the page: the places of the first in the second, or its own order.
+
+    rows: host, html, classes. Out: host, id, other, a and b (by all tokens of `other`, and by its texts), fill (a hash of the text
+    that is of no class), fill_chars, own_chars (of the class within the article).
+    """
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, last, known = ("host", "id", "other", "a", "b", "fill", "fill_chars", "own_chars"), None, {}
+        for batch in batches:
+            for start in range(0, batch.num_rows, 200):
+                out = []
+                for host, source, found in zip(*(batch.column(k).slice(start, 200) for k in range(3)), strict=True):
+                    if last != (now := host.as_py()):
+                        last, known = now, {x & 0xFFFFFFFFFFFFFFFF: c["id"] for c in found.as_py() for x in c["tokens"]}
+                    page = Page(source.as_py() or "")
+                    tokens, places, own = page.tokens(), {}, {}
+                    for k, x in enumerate(tokens):
+                        if x in known:
+                            places.setdefault(known[x], []).append(k)
+                    article = [(t, known.get(text_token(p, t))) for p, t in page.article()]
+                    for t, c in article:
+                        own[c] = own.get(c, 0) + len(t)
+                    fill = _digest([t for t, c in article if c is None])
+                    both = {c: (at, [k for k in at if tokens[k] & 1]) for c, at in places.items()}
+                    for c, (at, texts) in both.items():
+                        rest = (fill, own.get(None, 0), own.get(c, 0))
+                        out.append((last, c, c, _order([tokens[k] for k in at]), _order([tokens[k] for k in texts]), *rest))
+                        if texts:
+                            pairs = [(k, tokens[k]) for k in texts]
+                            out += [(last, c, d, _gaps(pairs, x, tokens), _gaps(pairs, y, tokens), *rest) for d, (x, y) in both.items() if d != c]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.string() if k == 0 else pa.int64()) for k in range(len(names))], names)
+
+    return rows.select("host", "html", "classes").mapInArrow(walk, "host string, id long, other long, a long, b long, fill long, fill_chars long, own_chars long")
+
+
+def layouts(places: DataFrame) -> DataFrame:
+    """host, id: the classes that nest, of those in `places`, and leave slots."""
+    one = lambda c: ((F.min(c) == F.max(c)) & (F.min(c) >= 0)).alias(f"one_{c}")
+    facts = written(places.groupBy("host", "id", "other").agg(one("a"), one("b"), F.count("*").alias("pages"), F.sum("fill_chars").alias("fill_chars"), F.sum("own_chars").alias("own_chars")), "places")
+    own = facts.where("id = other")
+    fills = places.where("id = other").groupBy("host", "id", "fill").count().groupBy("host", "id").agg(F.count("*").alias("fills"))
+    inner = facts.where("id <> other").join(own.select("host", "id", F.col("pages").alias("of")), ["host", "id"]).where("pages = of")
+    outer = own.select("host", F.col("id").alias("other"), F.col("one_a").alias("by_a"), F.col("one_b").alias("by_b"))
+    moved = inner.join(outer, ["host", "other"]).where("CASE WHEN by_a THEN NOT one_a WHEN by_b THEN NOT one_b ELSE false END").select("host", "id").distinct()
+    slotted = own.where("one_b AND own_chars <= fill_chars").join(fills, ["host", "id"]).where("2 * fills > pages")
+    return slotted.select("host", "id").join(moved, ["host", "id"], "left_anti")
+
+
+def _with(rows: DataFrame, found: DataFrame, column: str, how: str, most: int) -> DataFrame:
+    """rows, with their host's `column` of tokens: by a broadcast up to `most` tokens, by a shuffle beyond that."""
+    size = F.aggregate(column, F.lit(0), lambda n, c: n + F.size(c["tokens"])) if column == "classes" else F.size(column)
+    few = (found.agg(F.sum(size)).first()[0] or 0) <= most
+    return rows.withColumn("host", host_of(F.col("url"))).join(F.broadcast(found) if few else found, "host", how)
+
+
+def templates(pages: DataFrame, *, broadcast_tokens: int = 500_000) -> DataFrame:
+    """host, template: the tokens of the classes that nearly all of the host's pages have, and of those of its layouts."""
+    found = written(classes(pages), "classes")
+    kept = found.where("shared")
+    rarer = found.where("NOT shared").where(F.exists("tokens", lambda x: x.bitwiseAND(F.lit(1)) == 1))
+    if rarer.limit(1).count():
+        asked = found.join(rarer.select("host").distinct(), "host", "left_semi").groupBy("host").agg(F.collect_list(F.struct("id", "tokens")).alias("classes"))
+        rows = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+        places = written(class_places(_with(rows, written(asked, "asked"), "classes", "inner", broadcast_tokens)), "on_pages")
+        kept = kept.unionByName(rarer.join(layouts(places), ["host", "id"], "left_semi"))
+    return kept.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
 
 
 def extract(pages: DataFrame, *, broadcast_tokens: int = 500_000) -> DataFrame:
     """Per row of pages (page_id, url, html): page_id, url, text (blocks in order, joined by a line end), n_chars.
 
     A null or empty html has an empty text; a null or broken URL belongs to the host ''. Hosts with fewer than LEAST_PAGES pages
-    have no template, so markup alone decides. Text on most pages of a host is only taken for the site's if it shares the
+    have no template, so markup alone decides. Text of many pages of a host is only taken for the site's if it shares the
     occurrences of LEAST_TOKENS tokens. Templates are broadcast up to `broadcast_tokens` tokens, joined by a shuffle beyond that.
     """
-    found = written(templates(pages), "templates")
+    found = written(templates(pages, broadcast_tokens=broadcast_tokens), "templates")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    if (found.agg(F.sum(F.size("template"))).first()[0] or 0) <= broadcast_tokens:
-        found = F.broadcast(found)
-    rows = rows.withColumn("host", host_of(F.col("url"))).join(found, "host", "left").select("page_id", "url", "html", "host", "template")
+    rows = _with(rows, found, "template", "left", broadcast_tokens).select("page_id", "url", "html", "host", "template")
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, template = None, frozenset()

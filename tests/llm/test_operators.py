@@ -322,3 +322,16 @@ def test_templates_take_what_all_pages_share(spark):
     got = {r.page_id: r for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(1))).collect()}
     assert "Same line everywhere" not in got[3].text and got[3].text.startswith("Head & 3") and "Same line everywhere" in got[90].text
     assert got[91].text == "" and got[92].n_chars == 0 and got[3].n_chars == len(got[3].text)
+
+
+def test_layouts_have_templates_of_their_own(spark):
+    page = lambda before, own, after: "<html><body><article>" + "".join(f"<p>{x}</p>" for x in (*before, *own, *after)) + "</article></body></html>"
+    own = lambda k: [f"story {k} part {j} " + prose(100 * k + j, 20, 20) for j in range(3)]
+    notice = {name: [f"{name} line {j}" for j in range(5)] for name in "abcd"}
+    rows = [(k, "http://one.org/x", page(notice["a"][:2], own(k), notice["a"][2:]) if k % 5 < 3 else page(notice["b"][:1], own(k), notice["b"][1:])) for k in range(30)]
+    rows += [(100 + k, "http://copies.org", page([], notice["c"], [f"last {k}"]) if k < 12 else page([], own(k), [])) for k in range(30)]  # an article copied
+    rows += [(200 + k, "http://mixed.org", page([], own(k), notice["d"][k % 5 :] + notice["d"][: k % 5]) if k < 20 else page([], own(k), [])) for k in range(30)]  # in no order
+    got = {r.page_id: r.text.split("\n") for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == own(k) for k in range(30))
+    assert all(got[100 + k] == (notice["c"] + [f"last {k}"] if k < 12 else own(k)) for k in range(30))
+    assert all(set(got[200 + k]) == {*own(k), *notice["d"]} for k in range(20))
