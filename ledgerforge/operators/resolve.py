@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ledgerforge.operators.components import connected_components
 
 ORDER = ("priority", "key")
+#: Kinds whose rows may be live; imports and snapshots attest history.
+LIVE_KINDS = ("manufacturer", "retailer")
 
 
 def order() -> Column:
@@ -82,8 +84,12 @@ def forced(rows: DataFrame, joins: DataFrame, ids: DataFrame) -> tuple[DataFrame
 
 
 def survivors(rows: DataFrame, by: str, fields: list[str]) -> DataFrame:
-    """Per entity and field the first value that isn't null, in the order of trust. An empty text is a value."""
-    return rows.groupBy(by).agg(*(F.expr(f"min_by({f}, struct(priority, key)) FILTER (WHERE {f} IS NOT NULL)").alias(f) for f in fields))
+    """Per entity and field the first value that isn't null, in the order of trust. An empty text is a value.
+
+    Where rows have `superseded`, those of an old packaging come last within their kind.
+    """
+    trust = "priority, superseded, key" if "superseded" in rows.columns else "priority, key"
+    return rows.groupBy(by).agg(*(F.expr(f"min_by({f}, struct({trust})) FILTER (WHERE {f} IS NOT NULL)").alias(f) for f in fields))
 
 
 def ean_assertions(rows: DataFrame, by: str = "comp") -> DataFrame:
@@ -105,6 +111,38 @@ def primary_ean(assertions: DataFrame, by: str = "comp") -> DataFrame:
     return out.select(by, "ean", "confidence", rest.alias("others"), decision.alias("decision"))
 
 
+def corroborated_eans(rows: DataFrame, by: str = "entity") -> DataFrame:
+    """Per entity its barcode, confidence, `others` (kept as further ones), decision and `disputed` (the barcodes in conflict).
+
+    rows: as `superseded` gives them, with `live` (listed now: neither archived nor missed too often). The strongest barcode is live,
+    of the better live kind, of the better kind, of more sources, the smaller. Barcodes known only from superseded rows are never
+    the first while another is there. Else the one barcode that a live manufacturer lists under the surviving code decides, unless
+    a loser is known only from other codes; without such a one the barcodes are in conflict.
+    """
+    live = F.coalesce("live", F.lit(False)) & F.col("kind").isin(*LIVE_KINDS)
+    carried = F.coalesce(F.col("code") == F.col("surviving"), F.col("surviving").isNull())
+    each = rows.where("ean IS NOT NULL").groupBy(by, "ean").agg(
+        F.countDistinct("source").alias("sources"), F.min("priority").alias("best"), F.bool_or(F.col("kind").isin("curated", "manufacturer")).alias("authority"), F.bool_or(F.col("kind") != "barcode-db").alias("independent"),
+        F.bool_or(live).alias("live"), F.bool_or(live & (F.col("kind") == "manufacturer") & carried).alias("decides"), F.bool_or(carried).alias("carried"), F.bool_and("superseded").alias("old"),
+    )
+    confidence = F.when(F.col("authority") | ((F.col("sources") >= 2) & F.col("independent")), "confirmed").otherwise("provisional")
+    strength = F.struct((~F.col("live")).alias("a"), F.when(F.col("decides"), 1).when(F.col("live"), 2).otherwise(9).alias("b"), "best", (-F.col("sources")).alias("c"), F.col("ean").alias("d"))
+    each = each.withColumn("x", F.struct("ean", confidence.alias("confidence"))).withColumn("strength", strength)
+    first = lambda where: F.expr(f"min_by(x, strength) FILTER (WHERE {where})")
+    listed = lambda where: F.expr(f"array_sort(collect_list(ean) FILTER (WHERE {where}))")
+    out = each.groupBy(by).agg(
+        first("NOT old").alias("new"), first("decides").alias("decided"), first("true").alias("any"), listed("old").alias("olds"), listed("NOT old").alias("news"), listed("true").alias("all"),
+        F.count_if("decides").alias("deciding"), F.count_if(~F.col("carried") & ~F.col("decides")).alias("bridged"),
+    )
+    decision = F.when((F.size("olds") > 0) & (F.size("news") > 0), "repackaged").when(F.size("all") == 1, "single").when((F.col("deciding") == 1) & (F.col("bridged") == 0), "authority").otherwise("conflicted")
+    out = out.withColumn("decision", decision)
+    chosen = F.when(F.col("decision") == "repackaged", F.col("new")).when(F.col("deciding") == 1, F.col("decided")).otherwise(F.col("any"))
+    none = F.array().cast(each.select(F.array("ean")).schema[0].dataType)
+    disputed = F.when(F.col("decision") == "conflicted", F.col("all")).when((F.col("decision") == "repackaged") & (F.size("news") > 1), F.col("news")).otherwise(none)
+    others = F.when(F.col("decision") == "repackaged", F.col("olds")).when(F.col("decision") == "authority", F.array_remove("all", chosen["ean"])).otherwise(none)
+    return out.select(by, chosen["ean"].alias("ean"), F.when(F.size(disputed) > 0, "conflicted").otherwise(chosen["confidence"]).alias("confidence"), others.alias("others"), "decision", disputed.alias("disputed"))
+
+
 def shared_eans(primary: DataFrame, by: str = "comp") -> DataFrame:
     """Barcodes of several entities, as primary or further ones, with where they are further ones."""
     each = primary.select(F.col(by).alias("entity"), "ean", F.lit(False).alias("further")).unionByName(primary.select(F.col(by).alias("entity"), F.explode("others").alias("ean"), F.lit(True).alias("further")))
@@ -137,8 +175,12 @@ def category_fallback(base: DataFrame, members: DataFrame, prefixes: DataFrame,
 
 
 def superseded(rows: DataFrame, forced_keys: DataFrame) -> DataFrame:
-    """comp, code: codes that forced keys brought into an entity."""
-    return rows.where("code IS NOT NULL").join(forced_keys, "key", "left_semi").select("comp", "code").distinct()
+    """rows (with entity), `surviving` (the code in the entity's id, if a row has it) and `superseded`: whether the row has another
+    code that a forced key brought into an entity with a surviving code."""
+    codes = rows.where(F.col("code").cast("string") == F.regexp_extract("entity", r"(?s)^[^/]*/(.*)$", 1)).groupBy("entity").agg(F.min("code").alias("surviving"))
+    rows = rows.join(codes, "entity", "left")
+    folded = rows.where("code <> surviving").join(forced_keys.select("key"), "key", "left_semi").select("entity", "code", F.lit(True).alias("superseded")).distinct()
+    return rows.join(folded, ["entity", "code"], "left").withColumn("superseded", F.coalesce("superseded", F.lit(False)))
 
 
 def resolve(obs: DataFrame, slug: Column, *, aliases: DataFrame | None = None, joins: DataFrame | None = None, retracted: DataFrame | None = None) -> DataFrame:

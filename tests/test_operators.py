@@ -45,6 +45,33 @@ def test_confidence_needs_an_authority_or_two_sources(spark):
     assert {r.ean: r.confidence for r in R.ean_assertions(rows).collect()} == {"1": "confirmed", "2": "provisional", "3": "provisional"}
 
 
+def test_live_rows_of_the_surviving_code_decide_on_barcodes(spark):
+    c, m, r, a, d = ("c", "curated", 0), ("m", "manufacturer", 1), ("r", "retailer", 2), ("a", "archive", 3), ("d", "barcode-db", 4)
+    cases = {  # source, code, ean, live, forced; the entity's code is 1
+        "mk/1": [(c, "1", "11", False, False), (m, "1", "22", True, False)],  # a stale curated barcode gives way
+        "ml/1": [(m, "1", "22", True, False), (r, "2", "33", True, False)],  # a loser of a foreign code: bridged
+        "mn/1": [(m, "1", "22", True, False), (m, "2", "11", True, True), (c, "2", "11", False, False)],  # repackaged
+        "mo/1": [(c, "1", "11", False, False), (r, "1", "22", True, False), (d, "1", "00", True, False)],  # no live manufacturer
+        "mp/1": [(m, "1", "22", True, False), (m, "1", "11", True, False)],  # two of a live manufacturer
+        "mq/1": [(r, "1", "11", True, False), (r, "1", "22", True, False), (m, "2", "33", True, True)],  # repackaged and in conflict
+        "mr/x": [(m, "1", "22", True, False), (c, "2", "11", False, False)],  # no surviving code
+        "ms/1": [(a, "1", "11", True, False), (r, None, "11", True, False)],
+    }
+    rows = [(f"{e}:{k}", s, kind, n, code, ean, live, e, forced) for e, xs in cases.items() for k, ((s, kind, n), code, ean, live, forced) in enumerate(xs)]
+    rows = spark.createDataFrame(rows, "key string, source string, kind string, priority int, code string, ean string, live boolean, entity string, forced boolean")
+    marked = R.superseded(rows.drop("forced"), rows.where("forced").select("key"))
+    primary = R.corroborated_eans(marked)
+    assert {x.entity: (x.ean, x.confidence, x.others, x.decision, x.disputed) for x in primary.collect()} == {
+        "mk/1": ("22", "confirmed", ["11"], "authority", []), "ml/1": ("22", "conflicted", [], "conflicted", ["22", "33"]), "mn/1": ("22", "confirmed", ["11"], "repackaged", []),
+        "mo/1": ("22", "conflicted", [], "conflicted", ["00", "11", "22"]), "mp/1": ("11", "conflicted", [], "conflicted", ["11", "22"]), "mq/1": ("11", "conflicted", ["33"], "repackaged", ["11", "22"]),
+        "mr/x": ("22", "confirmed", ["11"], "authority", []), "ms/1": ("11", "confirmed", [], "single", []),
+    }
+    assert {x.ean: x.further_in for x in R.shared_eans(primary, "entity").collect()}["11"] == ["mk/1", "mn/1", "mr/x"]
+    assert R.survivors(marked, "entity", ["ean"]).where("entity = 'mq/1'").first().ean == "33"
+    old = marked.where("entity = 'mn/1' AND kind = 'manufacturer'").withColumn("key", F.when(F.col("superseded"), "0").otherwise("9"))
+    assert R.survivors(old, "entity", ["ean"]).first().ean == "22"
+
+
 def test_patches_set_nulls_too(spark):
     base = spark.createDataFrame([(1, "a", "b")], "id int, x string, y string")
     patch = spark.createDataFrame([(1, "x", None)], "id int, field string, value string")
