@@ -20,15 +20,25 @@ def order() -> Column:
     return F.struct(*ORDER)
 
 
-def unjoined_barcode_claims(obs: DataFrame) -> DataFrame:
-    """Rows of barcode databases whose manufacturer and barcode nobody else asserts: they name no product of their own."""
+def unjoined_barcode_claims(obs: DataFrame, joins: DataFrame | None = None) -> DataFrame:
+    """Rows of barcode databases whose manufacturer and barcode nobody else asserts: they name no product of their own.
+
+    Those with a manufacturer that a forced join names are joined all the same.
+    """
     own = obs.where("kind <> 'barcode-db' AND ean IS NOT NULL").select("manufacturer", "ean").distinct()
-    return obs.where("kind = 'barcode-db'").join(own, ["manufacturer", "ean"], "left_anti")
+    out = obs.where("kind = 'barcode-db'").join(own, ["manufacturer", "ean"], "left_anti")
+    if joins is None:
+        return out
+    return out.join(joins.select("key", F.lit(True).alias("__forced")).distinct(), "key", "left").where("__forced IS NULL OR manufacturer IS NULL").select(*obs.columns)
 
 
-def joinable(obs: DataFrame) -> DataFrame:
+def joinable(obs: DataFrame, joins: DataFrame | None = None) -> DataFrame:
     own = obs.where("kind <> 'barcode-db' AND ean IS NOT NULL").select("manufacturer", "ean").distinct()
-    return obs.where("kind <> 'barcode-db'").unionByName(obs.where("kind = 'barcode-db'").join(own, ["manufacturer", "ean"], "left_semi"))
+    out = obs.where("kind <> 'barcode-db'").unionByName(obs.where("kind = 'barcode-db'").join(own, ["manufacturer", "ean"], "left_semi"))
+    if joins is None:
+        return out
+    claims = unjoined_barcode_claims(obs).where("manufacturer IS NOT NULL")
+    return out.unionByName(claims.join(joins.select("key").distinct(), "key", "left_semi").select(*out.columns))
 
 
 def group_links(obs: DataFrame, by: list[str]) -> DataFrame:
@@ -83,6 +93,75 @@ def forced(rows: DataFrame, joins: DataFrame, ids: DataFrame) -> tuple[DataFrame
     return found.where("target IS NOT NULL").select(F.col("comp").alias("a"), F.col("target").alias("b")), found.where("target IS NULL").select("key", "entity")
 
 
+def forced_fixpoint(rows: DataFrame, joins: DataFrame, slug: Column, aliases: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(comp, __to): components that forced joins merge, and (comp): merged components in which a forced join landed.
+
+    The joins go in the order of their keys, pass by pass, until no pass merges any: each goes to the component that has its target's
+    id then, and ids follow every merge. The list is hand-kept. What it can reach are the components of its keys and those that have
+    its targets' ids at the start; of these one row each comes to the driver, since a merged id follows from them.
+    """
+    spark = rows.sparkSession
+    new = {r["old"]: r["new"] for r in aliases.collect()} if aliases is not None else {}
+    wanted = {(r["key"], new.get(r["entity"], r["entity"])) for r in joins.select("key", "entity").collect()}
+    keys = F.broadcast(spark.createDataFrame([(k,) for k in sorted({k for k, _ in wanted})], joins.select("key").schema))
+    targets = F.broadcast(spark.createDataFrame([(t,) for t in sorted({t for _, t in wanted})], "entity string"))
+    of = {r["key"]: r["comp"] for r in rows.select("key", "comp").join(keys, "key").collect()}
+    first = F.min(F.struct(*ORDER, F.struct(F.col("manufacturer").cast("string").alias("m"), "__slug").alias("x"))).alias("first")
+    code = F.min(F.when(F.col("code").isNotNull(), F.struct(*ORDER, F.col("code").cast("string").alias("x")))).alias("code")
+    reach = rows.select("comp").join(rows.select("key", "comp").join(keys, "key").select("comp").distinct(), "comp", "left_semi").unionByName(entity_ids(rows, slug, aliases).join(targets, "entity", "left_semi").select("comp")).distinct()
+    state = {r["comp"]: (r["first"], r["code"]) for r in rows.withColumn("__slug", slug).join(reach, "comp", "left_semi").groupBy("comp").agg(first, code).collect()}
+    rank = lambda x: tuple((v is not None, v) for v in x[:2])
+
+    def name(at) -> str:
+        (_, _, x), best = state[at]
+        raw = "/".join(v for v in (x["m"], best["x"] if best else x["__slug"]) if v is not None)
+        return new.get(raw, raw)
+
+    parent, ids = {c: c for c in state}, {c: name(c) for c in state}
+    having: dict[str, set] = {}
+    for c, i in ids.items():
+        having.setdefault(i, set()).add(c)
+
+    def root(c):
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    entries = sorted((k, t) for k, t in wanted if k in of)
+    for _ in range(len(entries) + 1):
+        changed = False
+        for key, target in entries:
+            at = root(of[key])
+            others = having.get(target, set()) - {at}
+            if ids[at] == target or not others:
+                continue
+            low, high = sorted((at, min(others)))
+            for c in (low, high):
+                having[ids[c]].discard(c)
+            codes = [x for x in (state[low][1], state[high][1]) if x]
+            state[low] = (min(state[low][0], state[high][0], key=rank), min(codes, key=rank, default=None))
+            parent[high] = low
+            del ids[high]
+            ids[low] = name(low)
+            having.setdefault(ids[low], set()).add(low)
+            changed = True
+        if not changed:
+            break
+    kind = rows.schema["comp"].dataType.simpleString()
+    moved = spark.createDataFrame([(c, root(c)) for c in parent if root(c) != c], f"comp {kind}, __to {kind}")
+    landed = spark.createDataFrame([(c,) for c in {root(of[k]) for k, t in entries if ids[root(of[k])] == t}], f"comp {kind}")
+    return moved, landed
+
+
+def unlanded(obs: DataFrame, joins: DataFrame, resolved: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """key, entity: forced joins of observed keys that aren't in their (renamed) target in what `resolve` gives, before retraction."""
+    out = joins.select("key", "entity").join(obs.select("key"), "key", "left_semi").withColumn("__target", F.col("entity"))
+    if aliases is not None:
+        out = out.join(F.broadcast(aliases.select("old", "new")), out["entity"] == F.col("old"), "left").withColumn("__target", F.coalesce("new", "entity"))
+    out = out.join(resolved.select("key", F.col("entity").alias("__in")), "key", "left")
+    return out.where("__in IS NULL OR __in <> __target").select("key", "entity")
+
+
 def survivors(rows: DataFrame, by: str, fields: list[str]) -> DataFrame:
     """Per entity and field the first value that isn't null, in the order of trust. An empty text is a value.
 
@@ -184,14 +263,20 @@ def superseded(rows: DataFrame, forced_keys: DataFrame) -> DataFrame:
 
 
 def resolve(obs: DataFrame, slug: Column, *, aliases: DataFrame | None = None, joins: DataFrame | None = None, retracted: DataFrame | None = None) -> DataFrame:
-    """Observations with comp and entity: links by code and by owned barcode, forced joins, names, then equal ids."""
-    rows = joinable(obs)
+    """Observations with comp and entity: links by code and by owned barcode, forced joins, names, then equal ids.
+
+    Groups whose forced join landed take no link by name.
+    """
+    rows = joinable(obs, joins)
     edges = group_links(rows, ["manufacturer", "code"]).unionByName(group_links(owned(rows).select(*rows.columns), ["manufacturer", "ean"]))
     rows = labelled(rows, edges)
-    ids = entity_ids(rows, slug, aliases)
-    more = name_candidates(rows).where("targets = 1").select(F.col("comp").alias("a"), F.col("target").alias("b"))
+    landed = None
     if joins is not None:
-        more = more.unionByName(forced(rows, joins, ids)[0])
+        moved, landed = forced_fixpoint(rows, joins, slug, aliases)
+        rows = rows.join(F.broadcast(moved), "comp", "left").withColumn("comp", F.coalesce("__to", "comp")).drop("__to")
+    more = name_candidates(rows).where("targets = 1").select(F.col("comp").alias("a"), F.col("target").alias("b"))
+    if landed is not None:
+        more = more.join(F.broadcast(landed.select(F.col("comp").alias("a"))), "a", "left_anti")
     comps = connected_components(more).select(F.col("id").alias("comp"), F.col("comp").alias("__to"))
     rows = rows.join(comps, "comp", "left").withColumn("comp", F.coalesce("__to", "comp")).drop("__to")
     out = rows.join(entity_ids(rows, slug, aliases), "comp")

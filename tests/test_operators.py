@@ -33,6 +33,28 @@ def test_an_ambiguous_name_joins_nothing(spark):
     assert {r.key: r.entity for r in R.resolve(rows, slug()).collect()}["c"] == "mk/box"
 
 
+def test_forced_joins_chain_follow_aliases_and_outrank_names(spark):
+    row = lambda key, n, code, ean, name, kind="retailer": (key, key, kind, n, "mk", code, ean, name)
+    rows = obs(
+        spark, row("a", 1, None, "501", "Alpha"), row("b", 2, "B1", None, "Beta"), row("z", 3, None, None, "Zeta"), row("y", 2, "Y9", None, "Zeta"),
+        row("d", 4, None, "599", "Delta", "barcode-db"), row("e", 4, None, "598", "Eps", "barcode-db"), row("w", 2, "W1", None, "Wu"), row("v", 3, "W2", None, "Vu"), row("n", 3, None, None, "Wu"),
+    )
+    aliases = spark.createDataFrame([("mk/B1", "mk/new"), ("mk/old", "mk/W1")], "old string, new string")
+    # z's target is B1's old id, and d's an alias of W1; a's target is nobody's
+    joins = spark.createDataFrame([("d", "mk/old"), ("z", "mk/B1"), ("a", "mk/none"), ("v", "mk/W1"), ("gone", "mk/W1")], "key string, entity string")
+    out = R.resolve(rows, slug(), aliases=aliases, joins=joins)
+    got = {r.key: r.entity for r in out.collect()}
+    assert got == {"a": "mk/alpha", "b": "mk/new", "z": "mk/new", "y": "mk/Y9", "d": "mk/W1", "w": "mk/W1", "v": "mk/W1", "n": "mk/W1"}
+    assert [tuple(r) for r in R.unlanded(rows, joins, out, aliases).collect()] == [("a", "mk/none")]
+    # m's target arises only from the union of x and c, which comes later in the order of keys
+    rows = obs(spark, row("m", 3, None, "701", "Mu"), row("x", 1, None, "702", "Xi"), row("c", 2, "C7", None, "Chi", "retailer"), ("q", "q", "manufacturer", 0, "ot", None, "703", "Qu"))
+    joins = spark.createDataFrame([("m", "ot/C7"), ("q", "mk/C7")], "key string, entity string")
+    out = R.resolve(rows, slug(), joins=joins)
+    assert {r.key: r.entity for r in out.collect()} == {"m": "ot/C7", "q": "ot/C7", "c": "ot/C7", "x": "mk/xi"}
+    assert [r.key for r in R.unlanded(rows, joins, out).collect()] == ["q"]
+    assert R.unlanded(rows, joins.limit(0), R.resolve(rows, slug(), joins=joins.limit(0))).count() == 0
+
+
 def test_survivors_keep_empty_texts(spark):
     rows = obs(spark, ("a", "a", "curated", 0, "mk", None, None, ""), ("b", "b", "retailer", 2, "mk", "1", None, "Box")).withColumn("comp", F.lit(1))
     assert tuple(R.survivors(rows, "comp", ["code", "name"]).first()) == (1, "1", "")
