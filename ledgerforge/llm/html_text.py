@@ -1,16 +1,20 @@
 """Main text of web pages by equivalence classes of tokens across the pages of a host.
 
-A token is a tag or a block of text with its path of open tags. Its occurrence vector says how often each page of the host has
-it; tokens with equal vectors form a class. A large class found on nearly all pages of a host is of its template. A rarer one is of
-the template of a layout if it nests: on all its pages its texts have one order and lie in the same gaps of each ordered class that
-has all these pages, and the slots left beside it are filled by text that differs from page to page and is not less than its own
-(else it is a copied article). What remains between the tokens of a page's classes are its slots; as all tokens of a class have the
-same pages, these are its texts without those of the host's classes. Of the slots, those of the article are kept, without the parts
-that markup names as menus, notices, adverts, forms or comments.
+A token is an element with its path of open elements, or a block of text with its path. Its occurrence vector says how often each
+page of the host has it; tokens with equal vectors form a class. A large class found on nearly all pages of a host is of its
+template. A rarer one is of the template of a layout if it nests: on all its pages its texts have one order and lie in the same gaps
+of each ordered class that has all these pages, and the slots left beside it are filled by text that differs from page to page and
+is not less than its own (else it is a copied article).
+
+The template's containers nest as the pages' elements do; what a container holds besides the template's texts and its inner
+containers is a slot. The slots of all pages of a host tell the article: it is where most pages have most of their text outside
+links, with what lies within it and the heading before it. Slots within it that hold links alone, or the same text on page after page,
+are the site's. Names of tags, classes and ids part menus, notices, adverts, forms and comments from the rest of those slots; they
+decide alone on pages without such a template.
 
 Vectors are never built: a class is known by the exclusive-or of one hash per page and count, an aggregate that combines on the
 map side, so a host with a third of all pages is no burden. Pages stay where they are read; only the templates travel. Pages of
-hosts that have rarer classes are read once more, for the places of their tokens.
+hosts that have a template are read once more for their slots, and once for the places of their tokens if the host has layouts.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ import html
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,58 +38,96 @@ from ledgerforge.llm.common import written
 LEAST_PAGES, LEAST_TOKENS, LEAST_SHARE = 10, 4, 0.9
 #: From this share of the host's pages on, a class that nests is of a layout's template.
 LAYOUT_SHARE = 0.1
+#: A slot beside the article's is a part of it with this share of its text, at most this share of it in links, if it differs on this share of pages.
+PART_TEXT, PART_LINKS, PART_FILLS = 0.25, 0.3, 0.9
+#: A slot within the article is the site's with this share of its text in links, or if its fills are at most this share of its pages.
+SITE_LINKS, SITE_FILLS = 0.9, 0.5
 
 # HTML's elements by how they are read.
-_RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video", "textarea", "title", "xmp", "noembed", "noframes")
+_RAW = ("script", "style", "noscript", "template", "iframe", "svg", "canvas", "audio", "video", "textarea", "title", "xmp", "noembed", "noframes")
 _VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 _BLOCK = frozenset(
     ("address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "optgroup", "option", "p", "pre", "section", "select", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul")
 )
+_CONTAINERS = frozenset(("article", "aside", "body", "center", "div", "footer", "form", "header", "main", "menu", "nav", "section", "td"))
+#: These are containers if they have a class or an id.
+_LABELLED = frozenset(("blockquote", "details", "dl", "figure", "ol", "table", "ul"))
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _ENDS_P = _BLOCK - {"body", "head", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup"}
 _DROPPED = frozenset(("nav", "footer", "aside", "form", "fieldset", "select", "button", "menu", "dialog", "head", "label", "input"))
+#: A class or id names what isn't the article if one of its words is of the first list, and all others are of these two.
 _NAMED = frozenset(
-    ("ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pagination", "popup", "promo", "promoted", "related", "replies", "reply", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget")
+    ("ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pagination", "popup", "promo", "promoted", "promotion", "related", "replies", "reply", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets")
+)
+_NEUTRAL = frozenset(
+    ("area", "article", "articles", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "content", "entry", "form", "global", "group", "holder", "inner", "item", "items", "left", "link", "links", "list", "main", "outer", "overlay", "page", "panel", "post", "posts", "primary", "right", "secondary", "section", "site", "slot", "stories", "text", "thread", "title", "top", "unit", "wrap", "wrapper")
 )
 _ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"))
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<[a-zA-Z/!?][^>]*\Z", re.DOTALL)
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.IGNORECASE) for t in _RAW}
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?![\w-])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_OWN_NUMBER = re.compile(r"[-_]\d+|\d{3}")
 _SPACE = re.compile(r"\s+")
 
 
-def set_aside(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element by its name or attributes isn't article text."""
-    if tag in _DROPPED or (tag == "header" and not in_article):
+def named(name: str) -> bool:
+    """Whether a class or id says that its element isn't the article's."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    return not _NAMED.isdisjoint(words) and all(w in _NAMED or w in _NEUTRAL or len(w) == 1 or w.isdigit() for w in words)
+
+
+def set_aside(tag: str, attributes: dict[str, str], inside: int) -> bool:
+    """Whether an element by its name or attributes isn't article text. inside: 0, or 1 in `main`, or 2 in an article."""
+    if tag in _DROPPED or (tag == "header" and not inside):
+        return True
+    if not attributes or tag in ("html", "body", "main") or tag in _HEADINGS:
+        return False
+    labels = [*attributes.get("class", "").split(), *attributes.get("id", "").split()]
+    if tag == "article":
+        return any("comment" in x.lower() for x in labels)
+    if any(map(named, labels)):
+        return True
+    if "header" in labels and not inside:
         return True
-    if not attributes or tag in ("html", "body", "main", "article"):
-        return "comment" in attributes.lower() if tag == "article" and attributes else False
-    for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), a or b or c
-        if name in ("class", "id") and not _NAMED.isdisjoint(w.lower() for w in _WORD.findall(value)):
-            return True
-        if name == "role" and value.lower() in _ROLES or name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "").lower()):
-            return True
-    return False
+    style = attributes.get("style", "").replace(" ", "").lower()
+    return attributes.get("role", "").lower() in _ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in style
+
+
+class Element(NamedTuple):
+    parent: int
+    tag: str
+    token: int
+    container: bool
+
+
+class Block(NamedTuple):
+    element: int
+    text: str
+    links: int  # characters in links
+    inside: int  # 2 within an article, 1 within main, else 0
+    aside: bool
 
 
 class Page:
-    """The blocks of a page in order, and its tokens."""
+    """The elements of a page (that of a block each, the first for the page itself) and its blocks of text, both in order."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, str, bool, bool]] = []  # path, text, inside an article, set aside
-        self.tags: list[str] = []
-        self.order: list[bool] = []  # of blocks (True) and tags
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, inside an article, set aside
+        self.elements: list[Element] = [Element(-1, "", 0, False)]
+        self.blocks: list[Block] = []
+        self.order: list[int] = []  # elements, and blocks as their complements
+        self.stack: list[tuple[str, int, int, bool]] = []  # tag, element, inside, set aside
         self.run: list[str] = []
+        self.links = self.linked = 0  # links open, and characters in links of the run
+        self.headers: dict[int, bool] = {}  # headers of `main` outside an article: whether they have a main heading
         at, n = 0, len(source)
         for m in _TOKEN.finditer(source) if "<" in source else ():
             start, end = m.span()
             if start < at:
                 continue  # within raw text
             if start > at:
-                self.run.append(source[at:start])
+                self._add(source[at:start])
             at = end
             tag = m[2]
             if tag is None:
@@ -98,20 +141,31 @@ class Page:
                     close = _RAW_END[tag].search(source, at)
                     at = close.end() if close else n
         if at < n:
-            self.run.append(source[at:])
+            self._add(source[at:])
         self._flush()
+        if not all(self.headers.values()):
+            self.blocks = [b._replace(aside=True) if any(not self.headers.get(e, True) for e in self.chain(b.element)) else b for b in self.blocks]
 
-    def _path(self) -> str:
-        return "/".join(t for t, _, _ in self.stack if t in _BLOCK)
+    def chain(self, element: int) -> Iterator[int]:
+        """The element and those around it, inner ones first."""
+        while element > 0:
+            yield element
+            element = self.elements[element].parent
+
+    def _add(self, text: str) -> None:
+        self.run.append(text)
+        if self.links:
+            self.linked += len(text)
 
     def _flush(self) -> None:
         if self.run:
             text = _SPACE.sub(" ", html.unescape("".join(self.run))).strip()
             self.run = []
             if text:
-                _, inside, aside = self.stack[-1] if self.stack else ("", False, False)
-                self.blocks.append((self._path(), text, inside, aside))
-                self.order.append(True)
+                _, element, inside, aside = self.stack[-1] if self.stack else ("", 0, 0, False)
+                self.order.append(~len(self.blocks))
+                self.blocks.append(Block(element, text, min(self.linked, len(text)), inside, aside))
+        self.linked = 0
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in _VOID or tag in _RAW_END:
@@ -127,20 +181,34 @@ class Page:
                 self._end_p()
             if tag in ("li", "dd", "dt", "option", "tr", "td", "th"):
                 self._end_like(tag)
-        _, inside, aside = self.stack[-1] if self.stack else ("", False, False)
-        aside = aside or set_aside(tag, attributes, inside)
-        if not block and aside and not (self.stack and self.stack[-1][2]):
+        _, element, inside, aside = self.stack[-1] if self.stack else ("", 0, 0, False)
+        known = {name.lower(): a or b or c for name, a, b, c in _ATTRIBUTE.findall(attributes)} if attributes and "=" in attributes or "hidden" in attributes else {}
+        before, aside = aside, aside or set_aside(tag, known, inside)
+        if not block and aside and not before:
             self._flush()  # an inline element that is set aside ends the text before it
-        if not attributes.rstrip().endswith("/") or block:
-            self.stack.append((tag, inside or tag == "article" or tag == "main", aside))
         if block:
-            self.tags.append(f"{self._path()}")
-            self.order.append(False)
+            # numbers in classes and ids are the page's own
+            labels = sorted(x for x in f"{known.get('class', '')} {known.get('id', '')}".split() if not _OWN_NUMBER.search(x))
+            path = f"{self.elements[element].token:x}/{tag} {' '.join(labels)}"
+            self.order.append(len(self.elements))
+            self.elements.append(Element(element, tag, xxhash.xxh3_64_intdigest(path) & ~1, tag in _CONTAINERS or bool(labels) and tag in _LABELLED))
+            element = len(self.elements) - 1
+            if tag == "header" and inside == 1:
+                self.headers[element] = False
+            elif tag == "h1":
+                self.headers.update((e, True) for e in self.chain(element) if e in self.headers)
+        if not attributes.rstrip().endswith("/") or block:
+            self.stack.append((tag, element, 2 if tag == "article" else max(inside, int(tag == "main")), aside))
+            self.links += tag == "a"
+
+    def _cut(self, k: int) -> None:
+        self.links -= sum(x[0] == "a" for x in self.stack[k:])
+        del self.stack[k:]
 
     def _end_p(self) -> None:
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == "p":
-                del self.stack[k:]
+                self._cut(k)
                 return
             if self.stack[k][0] in _BLOCK:
                 return
@@ -150,7 +218,7 @@ class Page:
         same, bound = {"li": (("li",), ("ul", "ol", "menu")), "dd": (("dd", "dt"), ("dl",)), "dt": (("dd", "dt"), ("dl",)), "option": (("option",), ("select",)), "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table"))}[tag]
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] in same:
-                del self.stack[k:]
+                self._cut(k)
                 return
             if self.stack[k][0] in bound:
                 return
@@ -158,36 +226,58 @@ class Page:
     def _close(self, tag: str) -> None:
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == tag:
-                if tag in _BLOCK or self.stack[k][2] != (self.stack[k - 1][2] if k else False):
+                if tag in _BLOCK or self.stack[k][3] != (self.stack[k - 1][3] if k else False):
                     self._flush()
-                del self.stack[k:]
+                self._cut(k)
                 return
             if self.stack[k][0] in _BLOCK and tag not in _BLOCK:
                 return  # an inline end tag doesn't close a block
         if tag in _BLOCK:
             self._flush()
 
-    def tokens(self) -> list[int]:
-        """64-bit hashes of tags with their paths (even), and of texts with theirs (odd), in the page's order."""
-        tags, blocks = iter(self.tags), iter(self.blocks)
-        return [text_token(*next(blocks)[:2]) if text else tag_token(next(tags)) for text in self.order]
-
-    def article(self) -> list[tuple[str, str]]:
-        """Path and text of the article's blocks, or of all where no element is one, without those set aside."""
-        article = any(inside and not aside for _, _, inside, aside in self.blocks)
-        return [(p, t) for p, t, inside, aside in self.blocks if not aside and (inside or not article)]
-
-    def text(self, template: frozenset[int] | set[int]) -> str:
-        """The article's blocks without those of the template."""
-        return "\n".join(t for p, t in self.article() if not template or text_token(p, t) not in template)
-
-
-def tag_token(path: str) -> int:
-    return xxhash.xxh3_64_intdigest(path) & ~1
+    def token(self, block: Block) -> int:
+        """A text's token: odd, while those of elements are even."""
+        return xxhash.xxh3_64_intdigest(f"{self.elements[block.element].token:x}\n{block.text}") | 1
 
-
-def text_token(path: str, text: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{path}\n{text}") | 1
+    def tokens(self) -> list[int]:
+        """64-bit hashes of elements and texts with their paths, in the page's order."""
+        return [self.elements[k].token if k >= 0 else self.token(self.blocks[~k]) for k in self.order]
+
+    def marked(self) -> list[Block]:
+        """The blocks of the article as markup tells it, or of all where no element is one, without those set aside."""
+        article = any(b.inside and not b.aside for b in self.blocks)
+        return [b for b in self.blocks if not b.aside and (b.inside or not article)]
+
+    def slots(self, template) -> list[int]:
+        """For each element the innermost of the template's containers that it is or lies in, 0 for none."""
+        out = [0]
+        for k, e in enumerate(self.elements[1:], 1):
+            out.append(k if e.container and e.token in template else out[e.parent])
+        return out
+
+    def text(self, template=frozenset(), mains=(), site=frozenset()) -> str:
+        """The article's blocks without the template's texts.
+
+        mains: (main, parts) containers by rank; the first that the page has holds the article, its parts are of it too. site: containers
+        within that aren't. Where the page has none of them, markup tells the article.
+        """
+        own = {e.token for e in self.elements} if mains else ()
+        region = next(({main, *parts} for main, parts in mains if main in own), None)
+        if region is None:
+            kept = self.marked()
+        else:
+            state = [0]  # of elements: 1 within the article, -1 within one of the site's containers in it
+            for e in self.elements[1:]:
+                up = state[e.parent]
+                state.append(1 if e.token in region else -1 if up and e.token in site else up)
+            of = [b for b in self.blocks if not b.aside]
+            kept = [b for b in of if state[b.element] == 1]
+            first = next((k for k, b in enumerate(of) if state[b.element] == 1), 0)
+            tags = [self.elements[b.element].tag for b in kept]
+            if "h1" not in tags and (not tags or tags[0] not in _HEADINGS):  # the heading before it, with what lies between
+                head = max((k for k in range(first) if self.elements[of[k].element].tag == "h1" and self.token(of[k]) not in template), default=first)
+                kept = [b for b in of[head:first] if not any(self.elements[e].token in site for e in self.chain(b.element))] + kept
+        return "\n".join(b.text for b in kept if not template or self.token(b) not in template)
 
 
 def host_of(url: Column) -> Column:
@@ -214,7 +304,7 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                     row += 1
                 yield pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(np.concatenate(tokens)), pa.array(np.concatenate(vector))], ["host", "token", "page"])
 
-    return pages.select(host_of(F.col("url").cast("string")).alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(walk, "host string, token long, page long")
+    return _hosted(pages).mapInArrow(walk, "host string, token long, page long")
 
 
 def classes(pages: DataFrame) -> DataFrame:
@@ -264,13 +354,13 @@ def class_places(rows: DataFrame) -> DataFrame:
                 out = []
                 for host, source, found in zip(*(batch.column(k).slice(start, 200) for k in range(3)), strict=True):
                     if last != (now := host.as_py()):
-                        last, known = now, {x & 0xFFFFFFFFFFFFFFFF: c["id"] for c in found.as_py() for x in c["tokens"]}
+                        last, known = now, {unsigned(x): c["id"] for c in found.as_py() for x in c["tokens"]}
                     page = Page(source.as_py() or "")
                     tokens, places, own = page.tokens(), {}, {}
                     for k, x in enumerate(tokens):
                         if x in known:
                             places.setdefault(known[x], []).append(k)
-                    article = [(t, known.get(text_token(p, t))) for p, t in page.article()]
+                    article = [(b.text, known.get(page.token(b))) for b in page.marked()]
                     for t, c in article:
                         own[c] = own.get(c, 0) + len(t)
                     fill = _digest([t for t, c in article if c is None])
@@ -299,11 +389,73 @@ def layouts(places: DataFrame) -> DataFrame:
     return slotted.select("host", "id").join(moved, ["host", "id"], "left_anti")
 
 
-def _with(rows: DataFrame, found: DataFrame, column: str, how: str, most: int) -> DataFrame:
-    """rows, with their host's `column` of tokens: by a broadcast up to `most` tokens, by a shuffle beyond that."""
-    size = F.aggregate(column, F.lit(0), lambda n, c: n + F.size(c["tokens"])) if column == "classes" else F.size(column)
-    few = (found.agg(F.sum(size)).first()[0] or 0) <= most
-    return rows.withColumn("host", host_of(F.col("url"))).join(F.broadcast(found) if few else found, "host", how)
+def page_slots(rows: DataFrame) -> DataFrame:
+    """Per page (rows: host, html, template) and container of the template: host, slot, outer (the container around it), chars and links
+    (characters, and those in links, of its slot: what inner containers, the template's texts and set-aside elements leave), fill (a hash
+    of that text), won (whether no slot of the page has more text outside links)."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, last, template = ("host", "slot", "outer", "chars", "links", "fill", "won"), None, frozenset()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 200):
+                out = []
+                for host, source, tokens in zip(*(batch.column(k).slice(start, 200) for k in range(3)), strict=True):
+                    if last != (now := host.as_py()):
+                        last, template = now, frozenset(map(unsigned, tokens.as_py()))
+                    page = Page(source.as_py() or "")
+                    inner = page.slots(template)
+                    found: dict[int, list] = {}
+                    for k, e in enumerate(page.elements):
+                        if k and inner[k] == k:
+                            found.setdefault(e.token, [page.elements[inner[e.parent]].token, 0, 0, []])
+                    for b in page.blocks:
+                        if not b.aside and (k := inner[b.element]) and page.token(b) not in template:
+                            slot = found[page.elements[k].token]
+                            slot[1:] = slot[1] + len(b.text), slot[2] + b.links, [*slot[3][-1:], _digest((slot[3], b.text))]
+                    most = max((x[1] - x[2] for x in found.values()), default=0)
+                    out += [(last, t - (t >> 63 << 64), o - (o >> 63 << 64), n, links, fill[-1] if fill else 0, most > 0 and n - links == most) for t, (o, n, links, fill) in found.items()]
+                kinds = (pa.string(), *[pa.int64()] * 5, pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k]) for k in range(len(names))], names)
+
+    return rows.select("host", "html", "template").mapInArrow(walk, "host string, slot long, outer long, chars long, links long, fill long, won boolean")
+
+
+def articles(slots: DataFrame) -> DataFrame:
+    """host, mains, site: the containers of the host's articles by the pages they won, each with its parts, and those of the site within."""
+    facts = slots.groupBy("host", "slot").agg(
+        F.min("outer").alias("outer"), F.count("*").alias("pages"), F.count_if("won").alias("won"), F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.count_if(F.col("chars") > 0).alias("filled"),
+        F.approx_count_distinct(F.when(F.col("chars") > 0, F.col("fill")), 0.02).alias("fills"),
+    )
+
+    def choose(table: pa.Table) -> pa.Table:
+        """A host has no more containers than ten pages: each is on a tenth of its pages."""
+        of = {r["slot"]: r for r in table.to_pylist()}
+        plain = lambda r: (r["chars"] - r["links"]) / max(1, r["filled"])
+        prose = lambda r, beside: r["filled"] and plain(r) >= PART_TEXT * plain(beside) and r["links"] <= PART_LINKS * r["chars"] and r["fills"] >= PART_FILLS * r["filled"]
+
+        def around(slot: int) -> Iterator[int]:
+            while (slot := of[slot]["outer"]) in of:
+                yield slot
+
+        mains: list[dict] = []
+        for slot in sorted((s for s in of if of[s]["won"]), key=lambda s: (-of[s]["won"], -of[s]["chars"], s)):
+            main = next((s for s in reversed(list(around(slot))) if prose(of[s], of[slot])), slot)  # a container of as much text holds it
+            if any(main == m["main"] or main in m["parts"] for m in mains):
+                continue
+            parts = [s for s in of if s != main and of[s]["outer"] == of[main]["outer"] and prose(of[s], of[slot])]
+            mains.append({"main": main, "parts": sorted(parts)})
+        heads = {m["main"] for m in mains} | {p for m in mains for p in m["parts"]}
+        site = [s for s, r in of.items() if s not in heads and r["filled"] >= LEAST_PAGES and (r["links"] >= SITE_LINKS * r["chars"] or r["fills"] <= SITE_FILLS * r["filled"])]
+        return pa.table({"host": table["host"][:1], "mains": pa.array([mains], pa.list_(pa.struct([("main", pa.int64()), ("parts", pa.list_(pa.int64()))]))), "site": pa.array([sorted(site)], pa.list_(pa.int64()))})
+
+    return facts.groupBy("host").applyInArrow(choose, "host string, mains array<struct<main:bigint,parts:array<bigint>>>, site array<bigint>")
+
+
+def _with(rows: DataFrame, found: DataFrame, columns: list[str], how: str, most: int) -> DataFrame:
+    """rows, with their host's columns of found: by a broadcast while the arrays have up to `most` tokens, by a shuffle beyond that."""
+    sizes = {"classes": lambda: F.aggregate("classes", F.lit(0), lambda n, c: n + F.size(c["tokens"]))}
+    few = (found.agg(F.sum(sum((sizes.get(c, lambda c=c: F.size(c))() for c in columns), F.lit(0)))).first()[0] or 0) <= most
+    return rows.join(F.broadcast(found) if few else found, "host", how)
 
 
 def templates(pages: DataFrame, *, broadcast_tokens: int = 500_000) -> DataFrame:
@@ -313,31 +465,48 @@ def templates(pages: DataFrame, *, broadcast_tokens: int = 500_000) -> DataFrame
     rarer = found.where("NOT shared").where(F.exists("tokens", lambda x: x.bitwiseAND(F.lit(1)) == 1))
     if rarer.limit(1).count():
         asked = found.join(rarer.select("host").distinct(), "host", "left_semi").groupBy("host").agg(F.collect_list(F.struct("id", "tokens")).alias("classes"))
-        rows = pages.select(F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-        places = written(class_places(_with(rows, written(asked, "asked"), "classes", "inner", broadcast_tokens)), "on_pages")
+        places = written(class_places(_with(_hosted(pages), written(asked, "asked"), ["classes"], "inner", broadcast_tokens)), "on_pages")
         kept = kept.unionByName(rarer.join(layouts(places), ["host", "id"], "left_semi"))
-    return kept.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
+    # a layout of markup alone needs no place: its containers nest as elements do
+    markup = found.where("NOT shared").where(~F.exists("tokens", lambda x: x.bitwiseAND(F.lit(1)) == 1))
+    return kept.unionByName(markup).groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
+
+
+def _hosted(pages: DataFrame) -> DataFrame:
+    return pages.select(host_of(F.col("url").cast("string")).alias("host"), F.col("html").cast("string").alias("html"))
+
+
+def unsigned(x: int) -> int:
+    return x & 0xFFFFFFFFFFFFFFFF
 
 
 def extract(pages: DataFrame, *, broadcast_tokens: int = 500_000) -> DataFrame:
     """Per row of pages (page_id, url, html): page_id, url, text (blocks in order, joined by a line end), n_chars.
 
-    A null or empty html has an empty text; a null or broken URL belongs to the host ''. Hosts with fewer than LEAST_PAGES pages
-    have no template, so markup alone decides. Text of many pages of a host is only taken for the site's if it shares the
-    occurrences of LEAST_TOKENS tokens. Templates are broadcast up to `broadcast_tokens` tokens, joined by a shuffle beyond that.
+    A null or empty html has an empty text; pages without a host, or of hosts with fewer than LEAST_PAGES pages, have no template, so
+    markup alone tells their article. Text of many pages of a host is only taken for the site's if it shares the occurrences of
+    LEAST_TOKENS tokens. Repeated rows are pages of their own; other columns of pages don't matter. Templates are broadcast up to
+    `broadcast_tokens` tokens, joined by a shuffle beyond that.
     """
-    found = written(templates(pages, broadcast_tokens=broadcast_tokens), "templates")
+    hosted = pages.where(host_of(F.col("url").cast("string")) != "")
+    found = written(templates(hosted, broadcast_tokens=broadcast_tokens), "templates")
+    plan = found.withColumns({"mains": F.lit(None).cast("array<struct<main:bigint,parts:array<bigint>>>"), "site": F.lit(None).cast("array<bigint>")})
+    if found.limit(1).count():
+        chosen = articles(page_slots(_with(_hosted(hosted), found, ["template"], "inner", broadcast_tokens)))
+        plan = written(found.join(chosen, "host", "left"), "plans")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    rows = _with(rows, found, "template", "left", broadcast_tokens).select("page_id", "url", "html", "host", "template")
+    rows = _with(rows.withColumn("host", host_of(F.col("url"))), plan, ["template"], "left", broadcast_tokens).select("page_id", "url", "html", "host", "template", "mains", "site")
 
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, template = None, frozenset()
+    def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, plan = None, (frozenset(), (), frozenset())
         for batch in batches:
             texts = []
-            for source, at, tokens in zip(batch.column(2), batch.column(3), batch.column(4), strict=True):
+            for source, at, tokens, mains, site in zip(*(batch.column(k) for k in range(2, 7)), strict=True):
                 if last != (now := at.as_py()):
-                    last, template = now, frozenset(x & 0xFFFFFFFFFFFFFFFF for x in tokens.as_py() or ())
-                texts.append(Page(source.as_py() or "").text(template))
+                    last = now
+                    regions = [(unsigned(m["main"]), frozenset(map(unsigned, m["parts"]))) for m in mains.as_py() or ()]
+                    plan = frozenset(map(unsigned, tokens.as_py() or ())), regions, frozenset(map(unsigned, site.as_py() or ()))
+                texts.append(Page(source.as_py() or "").text(*plan))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return rows.mapInArrow(slots, "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(extracted, "page_id long, url string, text string, n_chars long")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerforge.llm.chat import digests, escape, format_conversations, locate, parse_instruct, unescape
 from ledgerforge.llm.classifier import classify
-from ledgerforge.llm.html_text import Page, extract
+from ledgerforge.llm.html_text import LAYOUT_SHARE, LEAST_PAGES, LEAST_SHARE, LEAST_TOKENS, Page, classes, extract, named, templates
 from ledgerforge.llm.mixing import exponent, mix
 from ledgerforge.llm.near_dups import block_links, near_duplicates
 from ledgerforge.llm.packing import WordEncoder, first_fit, pack_documents, token_pieces
@@ -312,9 +312,9 @@ PAGE = '<!DOCTYPE html><html><head><title>no</title><style>p{{}}</style><script>
 
 
 def test_articles_without_the_rest():
-    assert Page(PAGE.format(k=1)).text(set()).split("\n") == ["Head & 1", "One two three four", "Five <six>", "Same line everywhere", "a", "b"]
-    assert Page("just &am text").text(set()) == "just &am text" and Page("").text(set()) == "" and Page("<p>cut <foo").text(set()) == "cut"
-    assert Page("<div><nav>x</nav><p>body</div>").text(set()) == "body"
+    assert Page(PAGE.format(k=1)).text().split("\n") == ["Head & 1", "One two three four", "Five <six>", "Same line everywhere", "a", "b"]
+    assert Page("just &am text").text() == "just &am text" and Page("").text() == "" and Page("<p>cut <foo").text() == "cut"
+    assert Page("<div><nav>x</nav><p>body</div>").text() == "body"
 
 
 def test_templates_take_what_all_pages_share(spark):
@@ -335,3 +335,66 @@ def test_layouts_have_templates_of_their_own(spark):
     assert all(got[k] == own(k) for k in range(30))
     assert all(got[100 + k] == (notice["c"] + [f"last {k}"] if k < 12 else own(k)) for k in range(30))
     assert all(set(got[200 + k]) == {*own(k), *notice["d"]} for k in range(20))
+
+
+def test_names_of_articles_are_no_names_of_sites():
+    kept = "ad-hoc share-price notice-period related-work has-sidebar menu-card comment_on banner-image pre-footer-notes".split()
+    assert not any(map(named, kept)) and all(map(named, "ad ad-300x250 adBanner cookie-notice site-footer share-buttons post-comments related-posts nav-primary sidebar".split()))
+    body = '<p class="ad-hoc">one</p><p class="share-price">two</p><h2 id="notice-period">three</h2><div id="related-work">four</div><p>x <math><mi>y</mi></math> <object>z</object></p><h2 id="comments">five</h2>'
+    assert Page(f"<article>{body}</article>").text().split("\n") == ["one", "two", "three", "four", "x y z", "five"]
+    assert Page("<main><header>Site <a>x</a></header><p>body</p></main>").text() == "body"
+    assert Page("<main><header><h1>Head</h1>by me</header><p>body</p></main>").text() == "Head\nby me\nbody"
+
+
+def unnamed(source):
+    """A page without any name that tells what its parts are."""
+    for tag, name in (("nav", "k1"), ("article", "k2"), ("footer", "k3")):
+        source = source.replace(f"<{tag}>", f'<div class="{name}">').replace(f"</{tag}>", "</div>")
+    return source.replace('class="ad"', 'class="k4"')
+
+
+def test_templates_tell_the_article_without_names(spark):
+    """The slots alone part articles from menus, adverts and footers: no name and no tag of the page says which is which."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    host = lambda r: re.match("https?://([^/]*)", r.url)[1]
+    size = Counter(map(host, pages))
+    some = [r for r in pages if size[host(r)] >= LEAST_PAGES and sum(map(ord, host(r))) % 3 == 0]
+    assert len(some) > 300
+    rows = spark.createDataFrame([(r.page_id, r.url, unnamed(r.html)) for r in some], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract(rows).collect()}
+    assert all(got[r.page_id] == Page(r.html).text() != Page(unnamed(r.html)).text() for r in some)
+
+
+def test_classes_equal_brute_force(spark):
+    pages = [r for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    host = lambda r: re.match("https?://([^/]*)", r.url)[1]
+    largest = [h for h, _ in Counter(map(host, pages)).most_common(3)]
+    some = [r for r in pages if host(r) in largest]
+    rows = spark.createDataFrame([(r.page_id, r.url, r.html) for r in some], "page_id long, url string, html string")
+    got = {(r.host, frozenset(x & (2**64 - 1) for x in r.tokens), r.shared) for r in classes(rows).collect()}
+    want = set()
+    for h in largest:
+        own = [r for r in some if host(r) == h]
+        vectors = defaultdict(dict)
+        for r in own:
+            for token, n in Counter(Page(r.html).tokens()).items():
+                vectors[token][r.page_id] = n
+        by = defaultdict(set)
+        for token, v in vectors.items():
+            by[tuple(sorted(v.items()))].add(token)
+        want |= {(h, frozenset(ts), len(v) >= LEAST_SHARE * len(own)) for v, ts in by.items() if len(v) >= max(LEAST_PAGES, LAYOUT_SHARE * len(own)) and len(ts) >= LEAST_TOKENS}
+    assert got == want and got and templates(rows.limit(0)).count() == extract(rows.limit(0)).count() == 0
+
+
+def test_slots_of_odd_sites(spark):
+    """Layouts of their own containers, parts beside each other, site slots within the article, and a heading outside it."""
+    menu = '<div class="q1"><a href="/">Home</a> <a href="/b">About us</a></div>'
+    own = lambda k, j: f"<p>story {k} part {j} {prose(100 * k + j, 30, 30)}</p>"
+    one = lambda k: f'<div class="a1">{menu}<h1>Title {k}</h1><div class="q2"><i>by author {k}</i></div><div class="q3">{own(k, 0)}<div class="q4">Follow us today</div>{own(k, 1)}</div><div class="q5">Terms apply</div></div>'
+    two = lambda k: f'<div class="a2">{menu}<div class="r3">{own(k, 0)}</div><div class="q6"><a href="x{k}">more {k}</a></div><div class="r4">{own(k, 1)}</div><div class="q7">tail</div></div>'
+    html = lambda k, f: f"<html><head><title>t</title></head><body>{f(k)}</body></html>"
+    rows = [(k, "http://s.org/", html(k, one if k % 3 else two)) for k in range(60)] + [(99, None, html(99, one)), (98, "http://s.org/", None), (97, "http://s.org/", "<p>bare " + "x" * 50_000)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("template", F.lit(1))).collect()}
+    text = lambda k, j: re.sub("<[^>]+>", "", own(k, j))
+    assert all(got[k] == "\n".join([f"Title {k}", f"by author {k}", text(k, 0), text(k, 1)] if k % 3 else [text(k, 0), text(k, 1)]) for k in range(60))
+    assert got[98] == "" and got[97] == "bare " + "x" * 50_000 and "Home" in got[99]
