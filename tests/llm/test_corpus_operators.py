@@ -107,6 +107,41 @@ def test_near_duplicates_equal_brute_force(spark, size):
     assert all(got[k].kept == (root[k] == k) for k in got) and got[0].n_shingles == 0
 
 
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates_of_the_corpus_equal_brute_force(spark, size):
+    """Every link of all 1,000 documents of sf0.01, found by comparing all pairs that share a shingle."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    text = {r.doc_id: r.text or "" for r in rows.collect()}
+    sets, holders = {}, defaultdict(list)
+    for k, x in text.items():
+        w = x.encode().lower().split()
+        sets[k] = {b" ".join(w[i : i + size]) for i in range(len(w) - size + 1)} or ({b" ".join(w)} if w else set())
+        for s in sets[k]:
+            holders[s].append(k)
+    shared = Counter((a, b) for ks in holders.values() for i, a in enumerate(ks) for b in ks[i + 1 :])
+    links = [p for p, n in shared.items() if 100 * n >= 80 * (len(sets[p[0]]) + len(sets[p[1]]) - n)]
+    root = {k: k for k in text}
+    for _ in range(len(links)):
+        before = dict(root)
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            break
+    got = {r.doc_id: (r.component_id, r.n_shingles) for r in near_duplicates(rows, shingle=size).collect()}
+    assert len(links) > 100 and got == {k: (root[k], len(sets[k])) for k in text}
+
+
+@pytest.mark.parametrize("limit", [2_000, 20, 0])
+def test_dense_regions_keep_every_link(spark, monkeypatch, limit):
+    """Texts that share half of themselves, some with a near copy: the copies alone are linked, whatever is read deeper or by rare shingles."""
+    draw, common = random.Random(4), [f"c{k}" for k in range(60)]
+    texts = [" ".join(common + [f"o{draw.randrange(10**9)}" for _ in range(60)]) for _ in range(600)]
+    copies = [" ".join(w if k not in (3, 70 + n % 40, 65) else f"n{n}" for k, w in enumerate(t.split())) for n, t in enumerate(texts[:60])]
+    monkeypatch.setattr("ledgerforge.llm.near_dups.REGION_PAIRS", limit)
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs(spark, *texts, *copies), shingle=2).collect()}
+    assert got == {k: k if k < 600 else k - 600 for k in range(660)}
+
+
 def test_near_duplicates_of_null_ids_and_no_rows(spark):
     rows = docs(spark, prose(1, 50), prose(1, 50)).withColumn("doc_id", F.when(F.col("doc_id") == 0, F.col("doc_id")))
     assert sorted((r.doc_id is None, r.component_id, r.kept) for r in near_duplicates(rows).collect()) == [(False, 0, True), (True, None, True)]
