@@ -22,10 +22,11 @@ def near_colours(colours: DataFrame, threshold: float) -> DataFrame:
     left = lab.select(F.col("colour").alias("one"), F.col("lab_l").alias("l1"), F.col("lab_a").alias("a1"), F.col("lab_b").alias("b1"), F.explode(F.array(F.col("bucket"), F.col("bucket") + 1)).alias("bucket"), F.pmod(F.xxhash64("colour"), F.lit(SALTS)).alias("salt"))
     right = lab.select(F.col("colour").alias("two"), F.col("lab_l").alias("l2"), F.col("lab_a").alias("a2"), F.col("lab_b").alias("b2"), "bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
     later = (F.col("l2") > F.col("l1")) | ((F.col("l2") == F.col("l1")) & (F.col("two") > F.col("one")))
-    pairs = left.join(right, ["bucket", "salt"]).where(later & (F.col("l2") - F.col("l1") <= width))
-    near = with_delta_e(pairs.drop("bucket", "salt"), ("l1", "a1", "b1"), ("l2", "a2", "b2")).where(F.col("delta_e") <= threshold).select("one", "two", "delta_e")
-    back = near.select(F.col("two").alias("one"), F.col("one").alias("two"), "delta_e")
-    return near.unionByName(back).unionByName(colours.select(F.col("colour").alias("one"), F.col("colour").alias("two"), F.lit(0.0).alias("delta_e")))
+    # both sides may be small enough to broadcast: the one that streams is dealt out all the same, since the pairs are the work
+    pairs = left.repartition("bucket", "salt").join(right, ["bucket", "salt"]).where(later & (F.col("l2") - F.col("l1") <= width))
+    near = with_delta_e(pairs.drop("bucket", "salt"), ("l1", "a1", "b1"), ("l2", "a2", "b2")).where(F.col("delta_e") <= threshold)
+    both = near.select(F.inline(F.array(F.struct(F.col("one").alias("one"), F.col("two").alias("two"), "delta_e"), F.struct(F.col("two").alias("one"), F.col("one").alias("two"), "delta_e"))))
+    return both.unionByName(colours.select(F.col("colour").alias("one"), F.col("colour").alias("two"), F.lit(0.0).alias("delta_e")))
 
 
 def equivalents(items: DataFrame, *, threshold: float = 10.0, close: float = 5.0, top: int = 5) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerforge.operators.components import connected_components
+from ledgerforge.sources.shared import written
 
 ORDER = ("priority", "key")
 #: Kinds whose rows may be live; imports and snapshots attest history.
@@ -20,25 +21,52 @@ def order() -> Column:
     return F.struct(*ORDER)
 
 
+def reassigned(obs: DataFrame, codes: DataFrame) -> DataFrame:
+    """obs, with the codes that a hand-kept list (key, code) corrects."""
+    new = codes.select("key", F.col("code").alias("__code"))
+    return obs.join(new, "key", "left").withColumn("code", F.coalesce("__code", "code")).select(*obs.columns)
+
+
+def unattributed(obs: DataFrame) -> DataFrame:
+    """key, name of rows without a manufacturer: they join nothing."""
+    return obs.where("manufacturer IS NULL").select("key", "name")
+
+
+def _with_forced(obs: DataFrame, joins: DataFrame | None) -> DataFrame:
+    if joins is None:
+        return obs.withColumn("__forced", F.lit(False))
+    forced_keys = joins.select("key", F.lit(True).alias("__forced")).distinct()
+    return obs.join(forced_keys, "key", "left").withColumn("__forced", F.coalesce("__forced", F.lit(False)))
+
+
+def _nameless(slug: Column) -> Column:
+    """Whether a row has neither code nor barcode nor a name to make an id of, nor a forced join."""
+    return F.col("code").isNull() & F.col("ean").isNull() & ~F.col("__forced") & (F.coalesce(slug, F.lit("")) == "")
+
+
+def degenerate_names(obs: DataFrame, slug: Column, joins: DataFrame | None = None) -> DataFrame:
+    """key, name of attributed rows that would make an id of nothing: they join nothing."""
+    return _with_forced(joinable(obs, joins), joins).where(_nameless(slug)).select("key", "name")
+
+
+def _guarded(obs: DataFrame, joins: DataFrame | None) -> DataFrame:
+    """Attributed rows with __joins: false for rows of barcode databases whose manufacturer and barcode nobody else asserts, unless a
+    forced join names them."""
+    own = obs.where("kind <> 'barcode-db' AND ean IS NOT NULL").select("manufacturer", "ean", F.lit(True).alias("__own")).distinct()
+    out = _with_forced(obs.where("manufacturer IS NOT NULL"), joins).join(own, ["manufacturer", "ean"], "left")
+    return out.withColumn("__joins", (F.col("kind") != "barcode-db") | F.col("__forced") | F.coalesce("__own", F.lit(False)))
+
+
 def unjoined_barcode_claims(obs: DataFrame, joins: DataFrame | None = None) -> DataFrame:
     """Rows of barcode databases whose manufacturer and barcode nobody else asserts: they name no product of their own.
 
-    Those with a manufacturer that a forced join names are joined all the same.
+    Those that a forced join names are joined all the same, as are no rows without a manufacturer.
     """
-    own = obs.where("kind <> 'barcode-db' AND ean IS NOT NULL").select("manufacturer", "ean").distinct()
-    out = obs.where("kind = 'barcode-db'").join(own, ["manufacturer", "ean"], "left_anti")
-    if joins is None:
-        return out
-    return out.join(joins.select("key", F.lit(True).alias("__forced")).distinct(), "key", "left").where("__forced IS NULL OR manufacturer IS NULL").select(*obs.columns)
+    return _guarded(obs, joins).where("NOT __joins").select(*obs.columns)
 
 
 def joinable(obs: DataFrame, joins: DataFrame | None = None) -> DataFrame:
-    own = obs.where("kind <> 'barcode-db' AND ean IS NOT NULL").select("manufacturer", "ean").distinct()
-    out = obs.where("kind <> 'barcode-db'").unionByName(obs.where("kind = 'barcode-db'").join(own, ["manufacturer", "ean"], "left_semi"))
-    if joins is None:
-        return out
-    claims = unjoined_barcode_claims(obs).where("manufacturer IS NOT NULL")
-    return out.unionByName(claims.join(joins.select("key").distinct(), "key", "left_semi").select(*out.columns))
+    return _guarded(obs, joins).where("__joins").select(*obs.columns)
 
 
 def group_links(obs: DataFrame, by: list[str]) -> DataFrame:
@@ -74,23 +102,16 @@ def entity_ids(rows: DataFrame, slug: Column, aliases: DataFrame | None = None)
     ids = rows.withColumn("__slug", slug).groupBy("comp").agg(F.min_by("manufacturer", order()).alias("m"), F.expr("min_by(code, struct(priority, key)) FILTER (WHERE code IS NOT NULL)").alias("code"), F.min_by("__slug", order()).alias("slug"))
     ids = ids.select("comp", F.concat_ws("/", F.col("m").cast("string"), F.coalesce("code", "slug")).alias("entity"))
     if aliases is not None:
-        ids = ids.join(F.broadcast(aliases), ids["entity"] == aliases["old"], "left").select("comp", F.coalesce("new", "entity").alias("entity"))
+        ids = ids.join(aliases, ids["entity"] == aliases["old"], "left").select("comp", F.coalesce("new", "entity").alias("entity"))
     return ids
 
 
-def name_candidates(rows: DataFrame) -> DataFrame:
-    """comp (a group without code and barcode), targets: the groups with a code of the same manufacturer and name."""
+def name_candidates(rows: DataFrame, slug: Column) -> DataFrame:
+    """comp (a group without code and barcode), targets: the groups with a code of the same manufacturer and name's slug."""
     groups = rows.groupBy("comp").agg(F.count("code").alias("codes"), F.count("ean").alias("eans"))
-    named = rows.where("name IS NOT NULL AND manufacturer IS NOT NULL").select("comp", "manufacturer", "name").distinct().join(groups, "comp")
-    coded = named.where("codes > 0").select("manufacturer", "name", F.col("comp").alias("target"))
-    return named.where("codes = 0 AND eans = 0").select("comp", "manufacturer", "name").join(coded, ["manufacturer", "name"]).groupBy("comp").agg(F.countDistinct("target").alias("targets"), F.min("target").alias("target"))
-
-
-def forced(rows: DataFrame, joins: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links that a hand-kept list (key, entity) forces, to the component that has the entity's id; and keys that find none."""
-    own = joins.join(rows.select("key", "comp"), "key")
-    found = own.join(ids.select(F.col("entity"), F.col("comp").alias("target")), "entity", "left")
-    return found.where("target IS NOT NULL").select(F.col("comp").alias("a"), F.col("target").alias("b")), found.where("target IS NULL").select("key", "entity")
+    named = rows.where("manufacturer IS NOT NULL").select("comp", "manufacturer", slug.alias("__slug")).where("__slug IS NOT NULL").distinct().join(groups, "comp")
+    coded = named.where("codes > 0").select("manufacturer", "__slug", F.col("comp").alias("target"))
+    return named.where("codes = 0 AND eans = 0").select("comp", "manufacturer", "__slug").join(coded, ["manufacturer", "__slug"]).groupBy("comp").agg(F.countDistinct("target").alias("targets"), F.min("target").alias("target"))
 
 
 def forced_fixpoint(rows: DataFrame, joins: DataFrame, slug: Column, aliases: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -157,7 +178,7 @@ def unlanded(obs: DataFrame, joins: DataFrame, resolved: DataFrame, aliases: Dat
     """key, entity: forced joins of observed keys that aren't in their (renamed) target in what `resolve` gives, before retraction."""
     out = joins.select("key", "entity").join(obs.select("key"), "key", "left_semi").withColumn("__target", F.col("entity"))
     if aliases is not None:
-        out = out.join(F.broadcast(aliases.select("old", "new")), out["entity"] == F.col("old"), "left").withColumn("__target", F.coalesce("new", "entity"))
+        out = out.join(aliases.select("old", "new"), out["entity"] == F.col("old"), "left").withColumn("__target", F.coalesce("new", "entity"))
     out = out.join(resolved.select("key", F.col("entity").alias("__in")), "key", "left")
     return out.where("__in IS NULL OR __in <> __target").select("key", "entity")
 
@@ -181,15 +202,6 @@ def ean_assertions(rows: DataFrame, by: str = "comp") -> DataFrame:
     return out.withColumn("confidence", F.when(confirmed, "confirmed").otherwise("provisional"))
 
 
-def primary_ean(assertions: DataFrame, by: str = "comp") -> DataFrame:
-    """Per entity its barcode by strength: confirmed, by an authority, of more sources, better kind, smaller number; and the others."""
-    strength = F.struct((F.col("confidence") != "confirmed").alias("a"), (~F.col("authority")).alias("b"), (-F.col("sources")).alias("c"), F.col("best"), F.col("ean"))
-    out = assertions.groupBy(by).agg(F.min_by("ean", strength).alias("ean"), F.min_by("confidence", strength).alias("confidence"), F.array_sort(F.collect_set("ean")).alias("all"), F.count_if("authority").alias("authorities"))
-    rest = F.array_remove("all", F.col("ean"))
-    decision = F.when(F.size(rest) == 0, "single").when(F.col("authorities") == 1, "authority").when(F.col("authorities") > 1, "repackaged").otherwise("conflicted")
-    return out.select(by, "ean", "confidence", rest.alias("others"), decision.alias("decision"))
-
-
 def corroborated_eans(rows: DataFrame, by: str = "entity") -> DataFrame:
     """Per entity its barcode, confidence, `others` (kept as further ones), decision and `disputed` (the barcodes in conflict).
 
@@ -229,28 +241,57 @@ def shared_eans(primary: DataFrame, by: str = "comp") -> DataFrame:
     return out.where(F.size("entities") > 1)
 
 
-def lifecycle(rows: DataFrame, by: str, live: Column) -> DataFrame:
-    """status per entity: a row that is live makes it current; none live, of those that may tell, discontinued; none that may, unknown.
+def lifecycle(rows: DataFrame, by: str, *, miss_threshold: int = 3) -> DataFrame:
+    """Per entity its status, and whether its availability is unknown for that.
 
-    Barcode databases tell nothing. A curated status comes first.
+    rows: kind, priority, key, archived, miss_streak, claimed (a curated row's own word on the status, or null). Archived rows and
+    barcode databases tell nothing; without others the entity is discontinued. Curated rows alone are believed, current if they say
+    nothing. Of scraped rows one that was missed less often than the threshold makes it current, else it is suspected to be
+    discontinued. A curated word that it is discontinued or delisted comes before all that.
     """
-    tells = F.col("kind") != "barcode-db"
-    out = rows.groupBy(by).agg(F.count_if(tells).alias("telling"), F.count_if(tells & live).alias("live"), F.bool_or((F.col("kind") == "curated") & ~live).alias("curated_gone"))
-    return out.select(by, F.when(F.col("curated_gone"), "discontinued").when(F.col("telling") == 0, "unknown").when(F.col("live") > 0, "current").otherwise("discontinued").alias("status"))
+    live = ~F.coalesce("archived", F.lit(False)) & (F.col("kind") != "barcode-db")
+    scraped = live & (F.col("kind") != "curated")
+    word = F.when(F.col("kind") == "curated", F.col("claimed"))
+    out = rows.withColumn("__word", word).groupBy(by).agg(
+        F.count_if(live).alias("live"), F.count_if(scraped).alias("scraped"), F.count_if(scraped & (F.col("miss_streak") < miss_threshold)).alias("seen"),
+        F.expr("min_by(__word, struct(priority, key)) FILTER (WHERE __word IS NOT NULL)").alias("word"),
+    )
+    told = F.when(F.col("live") == 0, "discontinued").when(F.col("scraped") == 0, F.coalesce(F.nullif("word", F.lit("")), F.lit("current"))).when(F.col("seen") > 0, "current").otherwise("suspected-discontinued")
+    status = F.when(F.col("word").isin("discontinued", "delisted"), F.col("word")).otherwise(told)
+    return out.select(by, status.alias("status"), (told == "suspected-discontinued").alias("availability_unknown"))
 
 
 def patched(base: DataFrame, patches: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """base, with the fields that a patch (key, field, value) names replaced, by null too."""
-    wide = patches.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("field", F.struct("value").alias("v")))).alias("__p"))
+    """base, with the fields that a patch (key, field, value) names replaced, by null too. A patch of any other field fails the query."""
+    field = F.when(F.col("field").isin(fields), F.col("field")).otherwise(F.raise_error(F.concat(F.lit("no such field: "), F.coalesce("field", F.lit("null")))))
+    wide = patches.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(field.alias("field"), F.struct("value").alias("v")))).alias("__p"))
     out = base.join(wide, key, "left")
     has = lambda f: F.coalesce(F.map_contains_key("__p", F.lit(f)), F.lit(False))
     return out.withColumns({f: F.when(has(f), F.try_element_at("__p", F.lit(f))["value"].cast(dict(base.dtypes)[f])).otherwise(F.col(f)) for f in fields}).drop("__p")
 
 
-def category_fallback(base: DataFrame, members: DataFrame, prefixes: DataFrame, by: str) -> DataFrame:
-    """base, its null `system` filled from the first member, in the order of trust, whose category's prefix is mapped."""
-    found = members.join(F.broadcast(prefixes), F.split_part("category", F.lit("/"), F.lit(1)) == prefixes["prefix"]).groupBy(by).agg(F.min_by("mapped", order()).alias("__s"))
-    return base.join(found, by, "left").withColumn("system", F.coalesce("system", "__s")).drop("__s")
+def require_live_targets(retracted: DataFrame, aliases: DataFrame | None = None, joins: DataFrame | None = None) -> None:
+    """Raises if an alias or a forced join leads to a retracted entity."""
+    for what, of, column in (("alias", aliases, "new"), ("join", joins, "entity")):
+        if of is not None and (bad := [r["entity"] for r in of.select(F.col(column).alias("entity")).join(retracted.select("entity"), "entity", "left_semi").limit(10).collect()]):
+            raise ValueError(f"{what} targets are retracted: {bad}")
+
+
+def category_fallback(base: DataFrame, members: DataFrame, systems: DataFrame, factions: DataFrame, by: str) -> DataFrame:
+    """base, its null `system` filled from the first member, in the order of trust, whose source maps its category, and its null
+    `faction` with it.
+
+    members: source, category. systems: source, prefix (a category's part before ' - '), mapped; factions: source, category, mapped.
+    Where base has a system, or no member's category is mapped, both stay.
+    """
+    prefix = F.split_part("category", F.lit(" - "), F.lit(1))
+    mapped = members.where("category IS NOT NULL").withColumn("prefix", prefix).join(systems.select("source", "prefix", F.col("mapped").alias("__s")), ["source", "prefix"])
+    mapped = mapped.join(factions.select("source", "category", F.col("mapped").alias("__f")), ["source", "category"], "left")
+    trust = F.struct("priority", "superseded", "key") if "superseded" in members.columns else order()
+    found = mapped.groupBy(by).agg(F.min_by(F.struct("__s", "__f"), trust).alias("__x"))
+    out = base.join(found, by, "left")
+    filled = F.col("system").isNull()
+    return out.withColumn("faction", F.when(filled, F.coalesce("faction", "__x.__f")).otherwise(F.col("faction"))).withColumn("system", F.coalesce("system", "__x.__s")).drop("__x")
 
 
 def superseded(rows: DataFrame, forced_keys: DataFrame) -> DataFrame:
@@ -262,19 +303,30 @@ def superseded(rows: DataFrame, forced_keys: DataFrame) -> DataFrame:
     return rows.join(folded, ["entity", "code"], "left").withColumn("superseded", F.coalesce("superseded", F.lit(False)))
 
 
-def resolve(obs: DataFrame, slug: Column, *, aliases: DataFrame | None = None, joins: DataFrame | None = None, retracted: DataFrame | None = None) -> DataFrame:
+def linked(obs: DataFrame, joins: DataFrame | None = None, slug: Column | None = None) -> DataFrame:
+    """Joinable rows with comp: linked by code and by owned barcode. Rows are written once, since links are found in several passes."""
+    rows = joinable(obs, joins)
+    if slug is not None:
+        rows = _with_forced(rows, joins).where(~_nameless(slug)).select(*obs.columns)
+    rows = written(rows, "joinable")
+    edges = group_links(rows, ["manufacturer", "code"]).unionByName(group_links(owned(rows).select(*rows.columns), ["manufacturer", "ean"]))
+    return written(labelled(rows, edges), "labelled")
+
+
+def resolve(obs: DataFrame, slug: Column, *, aliases: DataFrame | None = None, joins: DataFrame | None = None, retracted: DataFrame | None = None, codes: DataFrame | None = None) -> DataFrame:
     """Observations with comp and entity: links by code and by owned barcode, forced joins, names, then equal ids.
 
-    Groups whose forced join landed take no link by name.
+    Rows without a manufacturer, and those with nothing to make an id of, are left out. codes (key, code) corrects single rows.
+    Groups whose forced join landed take no link by name. Aliases and joins that lead to what is retracted are refused.
     """
-    rows = joinable(obs, joins)
-    edges = group_links(rows, ["manufacturer", "code"]).unionByName(group_links(owned(rows).select(*rows.columns), ["manufacturer", "ean"]))
-    rows = labelled(rows, edges)
+    if retracted is not None:
+        require_live_targets(retracted, aliases, joins)
+    rows = linked(reassigned(obs, codes) if codes is not None else obs, joins, slug)
     landed = None
     if joins is not None:
         moved, landed = forced_fixpoint(rows, joins, slug, aliases)
-        rows = rows.join(F.broadcast(moved), "comp", "left").withColumn("comp", F.coalesce("__to", "comp")).drop("__to")
-    more = name_candidates(rows).where("targets = 1").select(F.col("comp").alias("a"), F.col("target").alias("b"))
+        rows = written(rows.join(F.broadcast(moved), "comp", "left").withColumn("comp", F.coalesce("__to", "comp")).drop("__to"), "forced")
+    more = name_candidates(rows, slug).where("targets = 1").select(F.col("comp").alias("a"), F.col("target").alias("b"))
     if landed is not None:
         more = more.join(F.broadcast(landed.select(F.col("comp").alias("a"))), "a", "left_anti")
     comps = connected_components(more).select(F.col("id").alias("comp"), F.col("comp").alias("__to"))

@@ -29,7 +29,7 @@ PAINTS_SQL = """paint AS (SELECT p_partkey AS id, p_brand AS brand, p_type AS se
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per key: source, kind, priority, manufacturer, key, code, ean, name, seen, price."""
+    """One row per key: source, kind, priority, manufacturer, key, code, ean, name, seen, price, part, archived, miss_streak."""
     row = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").agg(F.min("l_shipdate").alias("shipped"), F.min("l_extendedprice").alias("price"))
     source = F.col("l_suppkey") % 6
     kind = F.element_at(F.array(*map(F.lit, KINDS)), (source + 1).cast("int"))
@@ -40,6 +40,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("key"),
         F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey").cast("string")).alias("code"), F.when(F.col("l_partkey") % 4 != 0, ean_from_stem(stem)).alias("ean"),
         F.concat(F.lit("item "), (F.col("l_partkey") % 500).cast("string")).alias("name"), F.to_date("shipped").alias("seen"), "price", F.col("l_partkey").alias("part"),
+        (F.col("l_orderkey") % 11 == 0).alias("archived"), (F.col("l_orderkey") % 5).cast("int").alias("miss_streak"),
     )
 
 
@@ -58,4 +59,4 @@ obs AS (SELECT CAST(l_suppkey % 6 AS INTEGER) AS source, ['curated', 'manufactur
   [0, 1, 1, 2, 3, 4][l_suppkey % 6 + 1] AS priority, CAST(l_suppkey % 7 AS INTEGER) AS manufacturer,
   concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS key, CASE WHEN l_partkey % 3 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS code,
   CASE WHEN l_partkey % 4 <> 0 THEN {_STEM} || {check_sql(_STEM)} END AS ean, 'item ' || CAST(l_partkey % 500 AS VARCHAR) AS name,
-  CAST(shipped AS DATE) AS seen, price, l_partkey AS part FROM row_)"""
+  CAST(shipped AS DATE) AS seen, price, l_partkey AS part, l_orderkey % 11 = 0 AS archived, CAST(l_orderkey % 5 AS INTEGER) AS miss_streak FROM row_)"""

@@ -53,9 +53,7 @@ cc AS (SELECT *, min(key) OVER (PARTITION BY grp) AS comp FROM g)"""
 
 
 def _components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = R.joinable(observations(spark, sf_dir))
-    edges = R.group_links(rows, ["manufacturer", "code"]).unionByName(R.group_links(R.owned(rows).select(*rows.columns), ["manufacturer", "ean"]))
-    return R.labelled(rows, edges)
+    return R.linked(observations(spark, sf_dir))
 
 
 @query(f"WITH {COMPS} SELECT key, comp FROM cc")
@@ -77,30 +75,53 @@ nc AS (SELECT n.comp, count(DISTINCT t.comp) AS targets, min(t.comp) AS target F
 
 @query(f"WITH {NAMES} SELECT comp, target FROM nc WHERE targets = 1")
 def name_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.name_candidates(_components(spark, sf_dir)).where("targets = 1").select("comp", "target")
+    return R.name_candidates(_components(spark, sf_dir), _slug()).where("targets = 1").select("comp", "target")
 
 
 @query(f"WITH {NAMES} SELECT comp, targets FROM nc WHERE targets > 1")
 def ambiguous_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.name_candidates(_components(spark, sf_dir)).where("targets > 1").select("comp", "targets")
+    return R.name_candidates(_components(spark, sf_dir), _slug()).where("targets > 1").select("comp", "targets")
 
 
-@query(f"""WITH {IDS}, f AS (SELECT key, manufacturer || '/' || (part - part % 3 + 1) AS entity FROM cc WHERE key LIKE '1%:1:%')
-SELECT f.key, cc.comp, ids.comp AS target FROM f JOIN cc USING (key) JOIN ids USING (entity)""")
+# Hand-kept lists and the rows they are about: (key, code, ean, name), all of manufacturer m but q's. Forced joins chain (x's target arises
+# from y's), follow aliases, keep a barcode database's row that nobody corroborates, and keep a name from joining.
+FORCED_ROWS = [
+    ("a1", "retailer", 2, "m", "A1", None, "Alpha"), ("b1", "retailer", 2, "m", "B1", None, "Beta"), ("c1", "retailer", 3, "m", None, "501", "Gamma"), ("d1", "barcode-db", 4, "m", None, "599", "Delta"),
+    ("e1", "barcode-db", 4, "m", None, "598", "Eps"), ("f1", "retailer", 3, "m", None, None, "Zeta"), ("g1", "retailer", 2, "m", "Z9", None, "Zeta"), ("h1", "retailer", 3, "m", None, None, "Zeta"),
+    ("m1", "retailer", 3, "m", None, "701", "Mu"), ("q1", "manufacturer", 0, "o", None, "703", "Qu"), ("r1", "retailer", 2, "m", "C7", None, "Chi"), ("s1", "retailer", 3, "m", "S3", None, "Sigma"),
+    ("t1", "retailer", 3, None, "A1", None, "None"), ("u1", "retailer", 3, "m", None, None, "?!"), ("v1", "retailer", 3, "m", "A1", None, "Mis-coded"),
+]
+FORCED_JOINS = [("c1", "m/B1"), ("d1", "m/old"), ("f1", "m/B1"), ("m1", "o/C7"), ("q1", "m/C7"), ("s1", "m/none"), ("gone", "m/A1")]
+FORCED_ALIASES = [("m/B1", "m/new"), ("m/old", "m/A1")]
+# By hand: q1 joins r1, whose group then is o/C7, so that m1 lands there, and q1 itself no longer is where its join says. f1 brings its name
+# to b1's group, so h1 has two groups to go by its name, and joins neither.
+FORCED_ENTITIES = {"a1": "m/A1", "b1": "m/new", "c1": "m/new", "d1": "m/A1", "f1": "m/new", "g1": "m/Z9", "h1": "m/zeta", "m1": "o/C7", "q1": "o/C7", "r1": "o/C7", "s1": "m/S3", "v1": "m/V1"}
+
+
+def _forced(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    rows = spark.createDataFrame(FORCED_ROWS, "key string, kind string, priority int, manufacturer string, code string, ean string, name string").withColumn("source", F.col("key"))
+    aliases = spark.createDataFrame(FORCED_ALIASES, "old string, new string")
+    joins = spark.createDataFrame(FORCED_JOINS, "key string, entity string")
+    return rows, aliases, joins, R.resolve(rows, F.regexp_replace(_slug(), "^-|-$", ""), aliases=aliases, joins=joins, codes=spark.createDataFrame([("v1", "V1")], "key string, code string"))
+
+
+@query(f"SELECT * FROM (VALUES {', '.join(map(str, FORCED_ENTITIES.items()))}) t(key, entity)")
 def forced_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _components(spark, sf_dir)
-    joins = rows.where("key LIKE '1%:1:%'").select("key", F.concat_ws("/", F.col("manufacturer").cast("string"), (F.col("part") - F.col("part") % 3 + 1).cast("string")).alias("entity"))
-    ids = R.entity_ids(rows, _slug())
-    links, _ = R.forced(rows, joins, ids)
-    return joins.join(rows.select("key", "comp"), "key").join(ids.select("entity", F.col("comp").alias("target")), "entity").select("key", "comp", "target").join(links.select(F.col("a").alias("comp"), F.col("b").alias("target")).distinct(), ["comp", "target"], "left_semi")
+    return _forced(spark)[3].select("key", "entity")
 
 
-@query(f"""WITH {IDS}, f AS (SELECT key, manufacturer || '/' || (part - part % 3 + 1) AS entity FROM cc WHERE key LIKE '1%:1:%')
-SELECT f.key, f.entity FROM f LEFT JOIN ids USING (entity) WHERE ids.comp IS NULL""")
+@query("SELECT * FROM (VALUES ('q1', 'm/C7'), ('s1', 'm/none')) t(key, entity)")
 def unresolved_forced_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _components(spark, sf_dir)
-    joins = rows.where("key LIKE '1%:1:%'").select("key", F.concat_ws("/", F.col("manufacturer").cast("string"), (F.col("part") - F.col("part") % 3 + 1).cast("string")).alias("entity"))
-    return R.forced(rows, joins, R.entity_ids(rows, _slug()))[1]
+    rows, aliases, joins, resolved = _forced(spark)
+    return R.unlanded(rows, joins, resolved, aliases)
+
+
+@query("SELECT * FROM (VALUES ('t1', 'unattributed'), ('u1', 'degenerate-name'), ('e1', 'barcode-db-unjoined')) t(key, report)")
+def left_out_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _, joins, _ = _forced(spark)
+    out = R.unattributed(rows).select("key", F.lit("unattributed").alias("report"))
+    out = out.unionByName(R.degenerate_names(rows, F.regexp_replace(_slug(), "^-|-$", ""), joins).select("key", F.lit("degenerate-name").alias("report")))
+    return out.unionByName(R.unjoined_barcode_claims(rows, joins).select("key", F.lit("barcode-db-unjoined").alias("report")))
 
 
 @query(f"""WITH RECURSIVE {NAMES}, lk AS (SELECT comp AS a, target AS b FROM nc WHERE targets = 1), sy AS (SELECT a, b FROM lk UNION SELECT b, a FROM lk),
@@ -119,51 +140,87 @@ def survivorship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.survivors(rows, "comp", ["code", "ean", "name", "price"]).join(more, "comp")
 
 
-# Entities of several barcodes: a part's rows are cut to groups of ten parts.
-EANS = f"""{OBS_SQL}, og AS (SELECT *, manufacturer || ':' || (part // 10) AS comp FROM obs),
-asr AS (SELECT comp, ean, count(DISTINCT source) AS sources, bool_or(kind IN ('curated', 'manufacturer')) AS authority, bool_or(kind <> 'barcode-db') AS independent, min(priority) AS best FROM og WHERE ean IS NOT NULL GROUP BY ALL),
-conf AS (SELECT *, CASE WHEN authority OR (sources >= 2 AND independent) THEN 'confirmed' ELSE 'provisional' END AS confidence FROM asr),
-pri AS (SELECT comp, arg_min(ean, ROW(confidence <> 'confirmed', NOT authority, -sources, best, ean)) AS ean, arg_min(confidence, ROW(confidence <> 'confirmed', NOT authority, -sources, best, ean)) AS confidence, list_sort(list(ean)) AS all_, count(*) FILTER (WHERE authority) AS authorities FROM conf GROUP BY comp),
-dec AS (SELECT comp, ean, confidence, list_filter(all_, lambda x: x <> ean) AS others, CASE WHEN len(all_) = 1 THEN 'single' WHEN authorities = 1 THEN 'authority' WHEN authorities > 1 THEN 'repackaged' ELSE 'conflicted' END AS decision FROM pri)"""
+# Entities of several barcodes: four parts make one, under two codes of which the second is the entity's; forced rows fold the first in.
+EANS = f"""{OBS_SQL}, og AS (SELECT * EXCLUDE code, manufacturer || '/' || (part // 4 * 4 + 2) AS entity, CASE WHEN part % 3 <> 0 THEN CAST(part // 2 * 2 AS VARCHAR) END AS code,
+  NOT archived AND miss_streak < 3 AS live, part % 4 = 1 AND source = 1 AS forced FROM obs),
+sv AS (SELECT entity, min(code) AS surviving FROM og WHERE code = split_part(entity, '/', 2) GROUP BY entity),
+fo AS (SELECT DISTINCT entity, code FROM og JOIN sv USING (entity) WHERE forced AND code <> surviving),
+mk AS (SELECT og.*, surviving, fo.code IS NOT NULL AS superseded, surviving IS NULL OR coalesce(og.code = surviving, false) AS carried FROM og LEFT JOIN sv USING (entity) LEFT JOIN fo ON fo.entity = og.entity AND fo.code = og.code),
+asr AS (SELECT entity, ean, count(DISTINCT source) AS sources, min(priority) AS best, bool_or(kind IN ('curated', 'manufacturer')) AS authority, bool_or(kind <> 'barcode-db') AS trusted,
+  bool_or(live AND kind IN ('manufacturer', 'retailer')) AS lv, bool_or(live AND kind = 'manufacturer' AND carried) AS mfr, bool_or(carried) AS held, bool_and(superseded) AS old FROM mk WHERE ean IS NOT NULL GROUP BY ALL),
+rk AS (SELECT *, CASE WHEN authority OR (sources >= 2 AND trusted) THEN 'confirmed' ELSE 'provisional' END AS conf,
+  row_number() OVER (PARTITION BY entity ORDER BY NOT lv, CASE WHEN mfr THEN 1 WHEN lv THEN 2 ELSE 9 END, best, -sources, ean) AS k FROM asr),
+ag AS (SELECT entity, count(*) AS n, count(*) FILTER (WHERE old) AS olds, count(*) FILTER (WHERE mfr) AS deciding, count(*) FILTER (WHERE NOT held AND NOT mfr) AS bridged, arg_min(ean, k) FILTER (WHERE NOT old) AS e_new,
+  arg_min(conf, k) FILTER (WHERE NOT old) AS c_new, min(ean) FILTER (WHERE mfr) AS e_mfr, min(conf) FILTER (WHERE mfr) AS c_mfr, arg_min(ean, k) AS e_any, arg_min(conf, k) AS c_any, list_sort(list(ean)) AS every,
+  list_sort(coalesce(list(ean) FILTER (WHERE old), [])) AS gone, list_sort(coalesce(list(ean) FILTER (WHERE NOT old), [])) AS kept FROM rk GROUP BY entity),
+dec AS (SELECT entity, CASE WHEN olds > 0 AND olds < n THEN e_new WHEN n = 1 THEN e_any WHEN deciding = 1 THEN e_mfr ELSE e_any END AS ean,
+  CASE WHEN olds > 0 AND olds < n THEN CASE WHEN n - olds > 1 THEN 'conflicted' ELSE c_new END WHEN n = 1 THEN c_any WHEN deciding = 1 AND bridged = 0 THEN c_mfr ELSE 'conflicted' END AS confidence,
+  CASE WHEN olds > 0 AND olds < n THEN gone WHEN n > 1 AND deciding = 1 AND bridged = 0 THEN list_filter(every, lambda x: x <> e_mfr) ELSE [] END AS others,
+  CASE WHEN olds > 0 AND olds < n THEN CASE WHEN n - olds > 1 THEN kept ELSE [] END WHEN n = 1 OR (deciding = 1 AND bridged = 0) THEN [] ELSE every END AS disputed FROM ag)"""
 
 
 def _grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir).withColumn("comp", F.concat_ws(":", F.col("manufacturer").cast("string"), F.floor(F.col("part") / 10).cast("string")))
+    part = F.col("part")
+    rows = observations(spark, sf_dir).withColumns({"entity": F.concat_ws("/", F.col("manufacturer").cast("string"), (F.floor(part / 4) * 4 + 2).cast("string")), "code": F.when(part % 3 != 0, (F.floor(part / 2) * 2).cast("string"))})
+    return rows.withColumn("live", ~F.col("archived") & (F.col("miss_streak") < 3))
+
 
+def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _grouped(spark, sf_dir)
+    return R.superseded(rows, rows.where("part % 4 = 1 AND source = 1").select("key"))
 
-@query(f"WITH {EANS} SELECT comp, ean, sources, confidence FROM conf")
+
+@query(f"WITH {EANS} SELECT entity, ean, sources, conf AS confidence FROM rk")
 def ean_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.ean_assertions(_grouped(spark, sf_dir)).select("comp", "ean", "sources", "confidence")
+    return R.ean_assertions(_grouped(spark, sf_dir), "entity").select("entity", "ean", "sources", "confidence")
 
 
-@query(f"WITH {EANS} SELECT comp, ean, confidence FROM dec")
+@query(f"WITH {EANS} SELECT entity, ean, confidence FROM dec")
 def ean_primary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.primary_ean(R.ean_assertions(_grouped(spark, sf_dir))).select("comp", "ean", "confidence")
+    return R.corroborated_eans(_marked(spark, sf_dir)).select("entity", "ean", "confidence")
 
 
-@query(f"WITH {EANS} SELECT comp, others, decision FROM dec")
+@query(f"WITH {EANS} SELECT entity, others, disputed FROM dec")
 def ean_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.primary_ean(R.ean_assertions(_grouped(spark, sf_dir))).select("comp", "others", "decision")
+    return R.corroborated_eans(_marked(spark, sf_dir)).select("entity", "others", "disputed")
 
 
-@query(f"WITH {EANS}, ea AS (SELECT comp, ean, false AS f FROM dec UNION ALL SELECT comp, unnest(others), true FROM dec) SELECT ean, list_sort(list(DISTINCT comp)) AS entities, list_sort(coalesce(list(DISTINCT comp) FILTER (WHERE f), [])) AS further_in FROM ea GROUP BY ean HAVING count(DISTINCT comp) > 1")
+@query(f"WITH {EANS}, ea AS (SELECT entity, ean, false AS f FROM dec UNION ALL SELECT entity, unnest(others), true FROM dec) SELECT ean, list_sort(list(DISTINCT entity)) AS entities, list_sort(coalesce(list(DISTINCT entity) FILTER (WHERE f), [])) AS further_in FROM ea GROUP BY ean HAVING count(DISTINCT entity) > 1")
 def shared_ean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.shared_eans(R.primary_ean(R.ean_assertions(_grouped(spark, sf_dir))))
+    return R.shared_eans(R.corroborated_eans(_marked(spark, sf_dir)), "entity")
 
 
-@query(f"""WITH {OBS_SQL}, og AS (SELECT *, manufacturer || ':' || (part // 10) AS comp, seen >= DATE '1997-01-01' AS live FROM obs)
-SELECT comp, CASE WHEN coalesce(bool_or(kind = 'curated' AND NOT live), false) THEN 'discontinued' WHEN count(*) FILTER (WHERE kind <> 'barcode-db') = 0 THEN 'unknown' WHEN count(*) FILTER (WHERE kind <> 'barcode-db' AND live) > 0 THEN 'current' ELSE 'discontinued' END AS status FROM og GROUP BY comp""")
-def lifecycle_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.lifecycle(_grouped(spark, sf_dir), "comp", F.col("seen") >= F.lit("1997-01-01").cast("date"))
+@query(f"WITH {EANS} SELECT entity, " + ", ".join(f"arg_min({f}, ROW(priority, superseded, key)) FILTER (WHERE {f} IS NOT NULL) AS {f}" for f in ("code", "ean", "price")) + " FROM mk GROUP BY entity")
+def superseded_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.survivors(_marked(spark, sf_dir), "entity", ["code", "ean", "price"])
 
 
-@query("""WITH m AS (SELECT o_custkey AS id, o_orderkey AS key, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority, CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2') THEN 's' || substr(o_orderpriority, 1, 1) END AS mapped FROM orders)
-SELECT c_custkey AS id, coalesce(CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment END, arg_min(mapped, ROW(priority, key)) FILTER (WHERE mapped IS NOT NULL)) AS system FROM customer LEFT JOIN m ON c_custkey = id GROUP BY c_custkey, c_mktsegment""")
+@query(f"""WITH {OBS_SQL}, og AS (SELECT *, manufacturer || ':' || part AS comp, part % 7 < 2 OR archived AS gone, CASE WHEN part % 5 = 0 THEN miss_streak % 3 ELSE 3 + miss_streak END AS misses,
+  CASE WHEN kind = 'curated' AND part % 9 = 0 THEN 'delisted' WHEN kind = 'curated' AND part % 9 = 1 THEN 'limited' END AS claimed FROM obs),
+g AS (SELECT comp, count(*) FILTER (WHERE NOT gone AND kind <> 'barcode-db') AS live, count(*) FILTER (WHERE NOT gone AND kind NOT IN ('barcode-db', 'curated')) AS scraped,
+  count(*) FILTER (WHERE NOT gone AND kind NOT IN ('barcode-db', 'curated') AND misses < 3) AS seen, arg_min(claimed, ROW(priority, key)) FILTER (WHERE claimed IS NOT NULL) AS word FROM og GROUP BY comp),
+t AS (SELECT *, CASE WHEN live = 0 THEN 'discontinued' WHEN scraped = 0 THEN coalesce(word, 'current') WHEN seen > 0 THEN 'current' ELSE 'suspected-discontinued' END AS told FROM g)
+SELECT comp, CASE WHEN word IN ('discontinued', 'delisted') THEN word ELSE told END AS status, told = 'suspected-discontinued' AS availability_unknown FROM t""")
+def lifecycle_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = F.col("part")
+    rows = observations(spark, sf_dir).withColumns({
+        "comp": F.concat_ws(":", F.col("manufacturer").cast("string"), part.cast("string")), "archived": (part % 7 < 2) | F.col("archived"), "miss_streak": F.when(part % 5 == 0, F.col("miss_streak") % 3).otherwise(3 + F.col("miss_streak")),
+        "claimed": F.when((F.col("kind") == "curated") & (part % 9 == 0), "delisted").when((F.col("kind") == "curated") & (part % 9 == 1), "limited"),
+    })
+    return R.lifecycle(rows, "comp")
+
+
+@query("""WITH m AS (SELECT o_custkey AS id, o_orderkey AS key, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority, o_orderkey % 3 AS source, substr(o_orderpriority, 1, 1) || ' - ' || o_orderstatus AS category FROM orders),
+s AS (SELECT *, CASE WHEN source = 0 AND priority <= 2 THEN 's' || priority WHEN source = 1 AND priority = 3 THEN 't3' END AS system, CASE WHEN source = 0 AND category = '1 - F' THEN 'f1' WHEN source = 1 AND category = '3 - O' THEN 'f3' END AS faction FROM m),
+f AS (SELECT id, arg_min(ROW(system, faction), ROW(priority, key)) AS x FROM s WHERE system IS NOT NULL GROUP BY id)
+SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment ELSE x[1] END AS system, CASE WHEN c_custkey % 6 = 0 THEN 'own' WHEN c_custkey % 4 <> 0 THEN x[2] END AS faction FROM customer LEFT JOIN f ON c_custkey = id""")
 def category_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 4 == 0, F.col("c_mktsegment")).alias("system"))
-    members = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("key"), F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"), F.concat(F.substring("o_orderpriority", 1, 1), F.lit("/x")).alias("category"))
-    prefixes = spark.createDataFrame([("1", "s1"), ("2", "s2")], "prefix string, mapped string")
-    return R.category_fallback(base, members, prefixes, "id").select("id", "system")
+    base = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 4 == 0, F.col("c_mktsegment")).alias("system"), F.when(F.col("c_custkey") % 6 == 0, "own").alias("faction"))
+    first = F.substring("o_orderpriority", 1, 1)
+    members = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("key"), first.cast("int").alias("priority"), (F.col("o_orderkey") % 3).cast("int").alias("source"), F.concat(first, F.lit(" - "), "o_orderstatus").alias("category"))
+    systems = spark.createDataFrame([(0, "1", "s1"), (0, "2", "s2"), (1, "3", "t3")], "source int, prefix string, mapped string")
+    factions = spark.createDataFrame([(0, "1 - F", "f1"), (1, "3 - O", "f3")], "source int, category string, mapped string")
+    return R.category_fallback(base, members, systems, factions, "id").select("id", "system", "faction")
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'patched' ELSE c_name END AS c_name, CASE WHEN c_custkey % 15 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 11 <> 0")

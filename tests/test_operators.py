@@ -94,10 +94,31 @@ def test_live_rows_of_the_surviving_code_decide_on_barcodes(spark):
     assert R.survivors(old, "entity", ["ean"]).first().ean == "22"
 
 
+def test_lifecycle_goes_by_liveness(spark):
+    rows = [
+        ("a", "manufacturer", 1, "k", False, 3, None), ("a", "retailer", 2, "k", False, 9, None), ("a", "barcode-db", 4, "k", False, 0, None),  # all missed
+        ("b", "retailer", 2, "k", False, 2, None), ("b", "archive", 3, "k", True, 0, None), ("c", "archive", 3, "k", True, 0, None), ("c", "barcode-db", 4, "k", False, 0, None),
+        ("d", "curated", 0, "k", False, 9, "limited"), ("e", "curated", 0, "k", False, 0, None), ("f", "curated", 0, "k", False, 0, "delisted"), ("f", "retailer", 2, "k", False, 0, None), ("g", "manufacturer", 1, "k", False, 0, "delisted"),
+    ]
+    rows = spark.createDataFrame(rows, "id string, kind string, priority int, key string, archived boolean, miss_streak int, claimed string")
+    got = {r.id: (r.status, r.availability_unknown) for r in R.lifecycle(rows, "id").collect()}
+    assert got == {"a": ("suspected-discontinued", True), "b": ("current", False), "c": ("discontinued", False), "d": ("limited", False), "e": ("current", False), "f": ("delisted", False), "g": ("current", False)}
+
+
+def test_retracted_targets_are_refused(spark):
+    gone, joins = spark.createDataFrame([("m/1",)], "entity string"), spark.createDataFrame([("k", "m/1")], "key string, entity string")
+    with pytest.raises(ValueError, match="join targets are retracted"):
+        R.require_live_targets(gone, None, joins)
+    with pytest.raises(ValueError, match="alias targets are retracted"):
+        R.require_live_targets(gone, spark.createDataFrame([("m/0", "m/1")], "old string, new string"))
+
+
 def test_patches_set_nulls_too(spark):
     base = spark.createDataFrame([(1, "a", "b")], "id int, x string, y string")
     patch = spark.createDataFrame([(1, "x", None)], "id int, field string, value string")
     assert tuple(R.patched(base, patch, "id", ["x", "y"]).first()) == (1, None, "b")
+    with pytest.raises(Exception, match="no such field: z"):
+        R.patched(base, patch.withColumn("field", F.lit("z")), "id", ["x", "y"]).collect()
 
 
 def test_upsert_is_idempotent_and_partial_sweeps_miss_nothing(spark):

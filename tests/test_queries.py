@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from ledgerforge.plans.catalog_queries import ORACLE_SQL, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
-SOME = ["equiv_top5", "lab_convert", "ean_normalize", "slug_marks", "gs1_prefix_attribution", "jsonld_extract", "components", "survivorship", "ean_decision", "reconcile", "liveness_flags", "detail_queue_budget", "windows_session"]
+SOME = ["equiv_top5", "lab_convert", "ean_normalize", "slug_marks", "gs1_prefix_attribution", "jsonld_extract", "components", "survivorship", "ean_primary", "ean_decision", "lifecycle_status", "category_fallback", "forced_join", "unresolved_forced_joins", "left_out_reports", "reconcile", "liveness_flags", "detail_queue_budget", "windows_session"]
 
 
 def plain(v):
