@@ -4,13 +4,15 @@ Every document gets one signature per tree: a row of minhashes. A tree is the or
 prefix that two neighbours share, the likelier they are alike. Three passes find the links:
 
 1. Neighbours in the orders, which have the longest common prefixes, are candidates; those whose whole signatures agree well chain
-   documents to clusters. In a cluster all pairs are compared on full sets, in blocks: first every block with itself and the first
-   one, then what is still apart from the cluster's main component with all blocks.
+   documents to clusters.
 2. Documents with the same first `MIN_DEPTH` values form a region; a region with many pairs that aren't joined yet is read a value
-   deeper, up to the whole row. In a region all such pairs are compared by their signatures, and those that agree on full sets.
+   deeper, up to the whole row. In a region all such pairs are compared by their signatures.
 3. Documents of regions with many such pairs even at the whole row (texts that share a passage, say) are compared in an exact way:
    two sets that are similar enough have a shingle in common among the rarest of each, as many as they may differ in and one more.
 
+Nothing is linked but by full sets: all pairs of a cluster, and then of a chain of such candidates, are compared in blocks, first every
+block with itself and the first one, then what is still apart from the main component with all blocks. So no pair becomes a row.
+
 Texts are read once for signatures and once for the sets of candidates; only sets, signatures and ids move. Copies (equal sets)
 are one class from the start. Sorted orders are range-partitioned with the id as the last key, so a region of any size spreads
 over tasks, and a block's size is bounded whatever the cluster's.
@@ -31,7 +33,7 @@ from ledgerforge.operators.components import connected_components
 
 TREES, MIN_DEPTH, DEPTH = 24, 4, 5
 #: A region with more pairs than this is read one value deeper; at the whole row its documents are compared by rare shingles.
-REGION_PAIRS = 2_000
+REGION_PAIRS = 20_000
 #: Texts with copies that may be broadcast (24 bytes each).
 COPIES_BROADCAST = 250_000
 #: Documents in a block of a cluster, about.
@@ -172,7 +174,8 @@ def agreeing(pairs: DataFrame, shorts: DataFrame, least: float) -> DataFrame:
 
 
 def region_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in each region (rows: region, id, n, comp, short) whose sizes and signatures allow a link.
+    """Links (a, b) that join what a region (rows: region, id, n, comp, short) has of different components whose sizes and signatures
+    allow a link: a document with all its candidates.
 
     A region has few pairs, if perhaps many rows of one component; those are compared with the others only.
     """
@@ -212,7 +215,7 @@ def region_pairs(rows: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from compare(pa.Table.from_batches(held))
 
-    return sorted_.mapInArrow(walk, "a long, b long").distinct()
+    return sorted_.mapInArrow(walk, "a long, b long")
 
 
 def block_links(sets: list[np.ndarray], comps: np.ndarray, few: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -261,15 +264,6 @@ class Forest:
         met = written(self.members.select("id").distinct(), "met")
         self.shorts = written(semi(self.classes, met, "id").select("id", lowest(F.col("sig")).alias("short")), "shorts")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The rows of pairs (a, b, ...) whose full sets are similar enough."""
-        pairs = written(pairs, "pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        sets = written(shingle_sets(semi(self.source, written(ids, "ids"), self.doc_id), self.doc_id, self.text, self.shingle).distinct(), "sets")
-        both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-        shared, sizes = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
-        return written(both.where(100 * shared >= self.percent * (sizes - shared)).select(*pairs.columns).distinct(), "confirmed")
-
     def clusters(self) -> DataFrame:
         """id, cluster: documents chained by neighbours whose signatures agree; those of one only are left out."""
         near = self.members.where("prev IS NOT NULL").select(F.least("id", "prev").alias("a"), F.greatest("id", "prev").alias("b"))
@@ -277,26 +271,31 @@ class Forest:
 
     def components(self) -> DataFrame:
         """(id, comp) of every class that isn't alone."""
-        clusters = self.clusters()
+        comps = self.compared(self.clusters(), None)
+        chains = connected_components(self._apart(comps)).withColumnRenamed("comp", "cluster")
+        return self.compared(written(chains, "chains"), comps) if chains.limit(1).count() else comps
+
+    def compared(self, clusters: DataFrame, comps: DataFrame | None) -> DataFrame:
+        """comps (id, comp), joined further by all links between documents of a cluster (id, cluster)."""
         sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         placed = clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         sets = shingle_sets(semi(self.source, clusters.select("id"), self.doc_id), self.doc_id, self.text, self.shingle)
         placed = written(placed.join(sets, "id").dropDuplicates(["id"]), "sets")
+        of = lambda rows, known: (rows.join(known, "id", "left") if known is not None else rows.withColumn("comp", F.col("id"))).withColumn("comp", F.coalesce("comp", "id"))
         # every block with itself and with the first
         where = F.when(F.col("block") > 0, F.array("block")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
-        links = self._in_blocks(placed.select("cluster", F.explode(where).alias("at"), F.lit(0).alias("by"), "id", F.col("id").alias("comp"), F.lit(True).alias("few"), "set"))
-        comps = connected_components(links)
+        comps = self._merged(comps, self._in_blocks(of(placed, comps).select("cluster", F.explode(where).alias("at"), F.lit(0).alias("by"), "id", "comp", F.lit(True).alias("few"), "set")))
         # what is still apart, in large clusters, with every block
-        large = placed.where("blocks > 1").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        large = of(placed.where("blocks > 1"), comps)
         parts = large.groupBy("cluster", "comp").agg(F.count("*").alias("k")).groupBy("cluster").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"))
         parts = parts.where(F.col("all") > F.col("most")).withColumn("rows", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")).select("cluster", "main", "rows")
         left = written(large.join(parts, "cluster"), "apart")
-        if left.limit(1).count():
-            few = left.where(F.col("comp") != F.col("main")).withColumn("by", F.pmod(F.xxhash64("id", F.lit(1)), F.col("rows")).cast("int"))
-            few = few.select("cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at"), "by", "id", "comp", F.lit(True).alias("few"), "set")
-            rest = left.select("cluster", F.col("block").alias("at"), F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("by"), "id", "comp", F.lit(False).alias("few"), "set")
-            comps = self._merged(comps, self._in_blocks(few.unionByName(rest)))
-        return self._merged(comps, self.confirmed(self._apart(comps)))
+        if not left.limit(1).count():
+            return comps
+        few = left.where(F.col("comp") != F.col("main")).withColumn("by", F.pmod(F.xxhash64("id", F.lit(1)), F.col("rows")).cast("int"))
+        few = few.select("cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at"), "by", "id", "comp", F.lit(True).alias("few"), "set")
+        rest = left.select("cluster", F.col("block").alias("at"), F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("by"), "id", "comp", F.lit(False).alias("few"), "set")
+        return self._merged(comps, self._in_blocks(few.unionByName(rest)))
 
     def _in_blocks(self, rows: DataFrame) -> DataFrame:
         """Confirmed links between components, of the documents in each (cluster, at, by)."""
@@ -320,8 +319,10 @@ class Forest:
             pairs = pairs.join(label, side, "left").withColumn(f"c{side}", F.coalesce("__c", side)).drop("__c")
         return pairs
 
-    def _merged(self, comps: DataFrame, links: DataFrame) -> DataFrame:
+    def _merged(self, comps: DataFrame | None, links: DataFrame) -> DataFrame:
         """comps, joined further by links (a, b) of documents."""
+        if comps is None:
+            return connected_components(links)
         if not links.limit(1).count():
             return comps
         more = connected_components(self._labelled(links, comps).select(F.col("ca").alias("a"), F.col("cb").alias("b"))).toDF("__m", "__to")
@@ -330,7 +331,7 @@ class Forest:
         return written(old.unionByName(new), "components")
 
     def _apart(self, comps: DataFrame) -> DataFrame:
-        """Pairs of different components that meet in a region and whose signatures agree well enough."""
+        """Links (a, b) that chain documents of different components which may be similar enough."""
         rows = self.members.select("tree", "key", "id", "n").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         sparse, deep = None, written(rows, "labelled")
         for depth in range(MIN_DEPTH, DEPTH + 1):
@@ -350,7 +351,7 @@ class Forest:
         return found.unionByName(self._by_rare_shingles(dense)) if dense.limit(1).count() else found
 
     def _by_rare_shingles(self, dense: DataFrame) -> DataFrame:
-        """Pairs of different components among documents (id, comp) that may be similar enough, none left out.
+        """Links (a, b) that chain documents (id, comp) of different components which may be similar enough, none left out.
 
         Sets that are similar enough differ in at most (100 - percent) % of either; so of that many and one more of a set's shingles, the
         other set has one, and if all sets are sorted alike, they meet among both sets' first. Sorted by rarity, few others do.
@@ -361,14 +362,9 @@ class Forest:
         often = each.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
         held = each.join(often, "shingle", "left").withColumn("often", F.coalesce("often", F.lit(1)))
         first = held.withColumn("at", F.row_number().over(Window.partitionBy("id").orderBy("often", "shingle"))).where(F.col("at") <= F.col("n") - F.ceil(self.percent * F.col("n") / 100) + 1)
-        first = written(first.where("often > 1").select("shingle", "id", "n").join(dense, "id"), "rarest")
-        parts = first.groupBy("shingle", "comp").agg(F.count("*").alias("k"))
-        mixed = parts.groupBy("shingle").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1").select("shingle", "main")
-        here = written(first.join(mixed, "shingle"), "mixed")
-        few = here.where("comp <> main").select("shingle", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-        both = few.join(here.select("shingle", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy")), "shingle")
-        both = both.where((F.col("cx") != F.col("cy")) & (100 * F.least("nx", "ny") >= self.percent * F.greatest("nx", "ny")))
-        return agreeing(both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), self.shorts, LEAST_ESTIMATE)
+        first = written(first.where("often > 1").select("shingle", "id").join(dense, "id"), "rarest")
+        mixed = first.groupBy("shingle").agg(F.min("id").alias("b"), F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("shingle", "b")
+        return first.join(mixed, "shingle").select(F.col("id").alias("a"), "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
