@@ -3,7 +3,7 @@
 A template is any function from a list of turns to a text. Rendering successive prefixes of a conversation and comparing each
 output with the one before finds every turn's span without knowing the template; rendering the last turn with a sentinel, and
 with nothing, as its text finds the text's span within it. A template whose output for a prefix isn't a prefix of the next output
-rewrites history; such conversations are marked, and their mask is empty.
+rewrites history; such conversations are marked, and of their turns only those that no later output changed keep their text's span.
 """
 
 from __future__ import annotations
@@ -61,7 +61,9 @@ def common(a: str, b: str) -> int:
 def locate(turns: list[Turn], template: Template) -> tuple[str, bool, list[tuple[int, int, int, int]]]:
     """The formatted conversation, whether the template rewrites history, and each turn's span with its text's span.
 
-    Where an output doesn't begin with the one before it, the turn's span begins where the two part, and its text's span is empty.
+    Where an output doesn't begin with the one before it, the turn's span begins where the two part, and what earlier turns have beyond
+    that is cut off: a text that isn't wholly before it has an empty span, as have the texts of that turn and of later ones. So every
+    span is of the last output.
     """
     out, rewrites, spans = template([]), False, []
     for k, (role, text) in enumerate(turns):
@@ -69,6 +71,7 @@ def locate(turns: list[Turn], template: Template) -> tuple[str, bool, list[tuple
         start = len(before)
         if not out.startswith(before):
             rewrites, start = True, common(before, out)
+            spans = [(min(a, start), min(b, start), *((x, y) if y <= start else (min(a, start),) * 2)) for a, b, x, y in spans]
         sentinel = "\ue000\ue001"
         while sentinel in out:
             sentinel += "\ue001"
@@ -84,7 +87,8 @@ def format_conversations(rows: DataFrame, template: Template = instruct_template
     """Per conv_id of rows (conv_id, turn, role, text): formatted, rewrites, and the spans of its turns, in code points.
 
     Turns go by turn, then role and text, nulls first; repeated rows are turns of their own. Null roles and texts are empty; rows
-    without a conv_id make one conversation. A conversation is one row of the result, so it must fit a task, as its text must.
+    without a conv_id make one conversation; other columns of rows don't matter, and no rows give none. A conversation is one row of
+    the result, so it must fit a task, as its text must; every turn renders those before it, so work grows with the square of turns.
     """
     turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     whole = rows.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))

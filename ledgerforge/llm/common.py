@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerforge.sources.shared import at_most, delete, shared_dir, shared_path, written
 
-__all__ = ["BROADCAST_ROWS", "at_most", "delete", "semi", "shared_dir", "shared_path", "table", "written"]
+__all__ = ["BROADCAST_ROWS", "at_most", "col", "delete", "free", "semi", "shared_dir", "shared_path", "table", "written"]
 
 #: Most rows of a one- or two-column table of longs that a plan may broadcast (16 MB a column).
 BROADCAST_ROWS = 1_000_000
 
+
 def semi(df: DataFrame, ids: DataFrame, column: str, *, how: str = "left_semi", rows: int = BROADCAST_ROWS) -> DataFrame:
     """df's rows whose column is (how='left_anti': isn't) among ids' only column.
 
@@ -25,6 +26,22 @@ def semi(df: DataFrame, ids: DataFrame, column: str, *, how: str = "left_semi",
     return df.join(ids, df[column] == ids["__id"], how)
 
 
+def col(name: str) -> Column:
+    """The column of that name, whatever is in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, with underscores before them as far as columns (case folded) have them already."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, columns: Iterable[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerforge.llm.common import at_most, written
+from ledgerforge.llm.common import at_most, col, free, written
 
 BLOCKS, SEED = 4096, 11
 #: Sections of the bracket that one pass over the sources' totals tells apart, and passes.
@@ -89,7 +89,7 @@ def mixing_plan(rows: DataFrame, *, target_entropy: float, max_epochs: float, bu
     inside = rows.join(cuts.select("source", "block", "left"), ["source", "block"])
     upto = inside.withColumn("sum", F.sum("tokens").over(Window.partitionBy("source").orderBy("place"))).where("sum <= left").groupBy("source").agg(F.max("place").alias("least"))
     out = plan.select("source", "full").join(cuts.drop("left"), "source", "left").join(upto, "source", "left")
-    return out.toDF("__source", "__full", "__last", "__cut", "__least")
+    return out.select("source", "full", F.col("block").alias("last"), "cut", "least")
 
 
 def source_key(source: Column) -> Column:
@@ -107,20 +107,24 @@ def mix(docs: DataFrame, *, target_entropy: float = 0.87, max_epochs: float = 4.
 
     Without a budget every document is there at least once, and the largest source exactly once. With one below that, sources
     that are weighed down lose documents: the rest of a permutation. Null sources make one source; repeated rows of a source have
-    the same place, so they come and go together at the end of a pass. The plan, one row a source, is broadcast up to `plan_rows`.
+    the same place, so they come and go together at the end of a pass. Null and empty texts count one token, their end. Columns of docs
+    stay as they are, whatever their names; where they have one of the three names, the new column has underscores before its own.
+    The plan, one row a source, is broadcast up to `plan_rows`.
     """
-    tokens = word_tokens(F.col(text)) if tokens is None else tokens
-    place = F.xxhash64(F.lit(SEED), F.col(doc_id), F.col(text))
+    tokens = word_tokens(col(text)) if tokens is None else tokens
+    place = F.xxhash64(F.lit(SEED), col(doc_id), col(text))
     block = F.pmod(F.shiftright(place, 20), F.lit(BLOCKS)).cast("int")
-    rows = written(docs.select(source_key(F.col(source)).alias("source"), block.alias("block"), place.alias("place"), tokens.cast("long").alias("tokens")), "tokens")
+    rows = written(docs.select(source_key(col(source)).alias("source"), block.alias("block"), place.alias("place"), tokens.cast("long").alias("tokens")), "tokens")
     plan = written(mixing_plan(rows, target_entropy=target_entropy, max_epochs=max_epochs, budget=budget), "plan")
+    epoch, at, counted, of, hashed, inside, key, full, last, cut, least = free(docs.columns, "__epoch", "__place", "__tokens", "__of", "__hash", "__block", "__source", "__full", "__last", "__cut", "__least")
+    plan = plan.toDF(key, full, last, cut, least)
     if at_most(plan, plan_rows):
         plan = F.broadcast(plan)
-    out = docs.withColumns({"__of": source_key(F.col(source)), "__hash": place, "__block": block})
-    out = out.join(plan, F.col("__of") == F.col("__source"))
-    key = block_key(F.col("__of"), F.col("__block"), F.col("__full"))
-    more = (key < F.col("__cut")) | ((F.col("__block") == F.col("__last")) & (F.col("__hash") <= F.col("__least")))
-    copies = F.col("__full") + F.coalesce(more, F.lit(False)).cast("int")
-    out = out.where(copies > 0).withColumn("__epoch", F.explode(F.sequence(F.lit(0), copies - 1)))
-    at = F.xxhash64(block_key(F.col("__of"), F.col("__block"), F.col("__epoch")), F.col("__hash"))
-    return out.select(*(f"`{c}`" for c in docs.columns), "__epoch", at.alias("__place"), tokens.cast("long").alias("__tokens"))
+    out = docs.withColumns({of: source_key(col(source)), hashed: place, inside: block, counted: tokens.cast("long")})
+    out = out.join(plan, F.col(of) == F.col(key))
+    this = block_key(F.col(of), F.col(inside), F.col(full))
+    more = (this < F.col(cut)) | ((F.col(inside) == F.col(last)) & (F.col(hashed) <= F.col(least)))
+    copies = F.col(full) + F.coalesce(more, F.lit(False)).cast("int")
+    out = out.where(copies > 0).withColumn(epoch, F.explode(F.sequence(F.lit(0), copies - 1)))
+    order = F.xxhash64(block_key(F.col(of), F.col(inside), F.col(epoch)), F.col(hashed))
+    return out.select(*map(col, docs.columns), epoch, order.alias(at), counted)

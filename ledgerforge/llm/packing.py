@@ -16,9 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.taskcontext import TaskContext
 
-from ledgerforge.llm.common import written
+from ledgerforge.llm.common import col, free, written
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, deal long"
 #: Words whose ids a worker remembers; the memory is emptied at that size, so it is bounded on any corpus.
@@ -135,7 +136,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_i
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(deal)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "deal"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).cast("string").alias("text")).mapInArrow(cut, PIECES)
 
 
 def first_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,19 +172,20 @@ def pack_pieces(pieces: DataFrame, *, capacity: int = 2048, group_pieces: int =
     """Adds sequence_id and offset to rows with a `length` (1 to capacity) and a random `deal`.
 
     Sequence ids are unique, not gapless: the group's number times 2^32, plus the bin within the group. The lengths in a sequence
-    follow each other from offset 0 without a gap. An empty table gives an empty table. The pieces are read twice, to count them
-    and to pack them: pass a written table.
+    follow each other from offset 0 without a gap. Other columns stay, but for `deal` and any that are called as the new ones. An empty
+    table gives an empty table. The pieces are read twice, to count them and to pack them: pass a written table.
     """
     groups = max(1, -(-pieces.count() // group_pieces))
-    names = [c for c in pieces.columns if c != "deal"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name != "deal") + ", sequence_id long, offset long"
+    names = [c for c in pieces.columns if c.lower() not in ("deal", "sequence_id", "offset")]
+    schema = StructType([*(pieces.schema[c] for c in names), StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    [group] = free(pieces.columns, "__group")
 
     def pack(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("deal").select(names).combine_chunks()
         bins, offsets = first_fit(rows["length"].to_numpy(), capacity)
         return rows.append_column("sequence_id", pa.array((key[0].as_py() << 32) + bins)).append_column("offset", pa.array(offsets))
 
-    return pieces.withColumn("__group", F.col("deal") % groups).groupBy("__group").applyInArrow(lambda key, rows: pack(key, rows.drop_columns("__group")), schema)
+    return pieces.withColumn(group, F.col("deal") % groups).groupBy(group).applyInArrow(lambda key, rows: pack(key, rows.drop_columns(group)), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 1, group_pieces: int = 4096) -> DataFrame:

@@ -51,7 +51,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_report(table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
+    return secret_report(table(spark, sf_dir, "documents", ["doc_id", "text", "source", "lang"]))
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerforge.llm.common import written
+from ledgerforge.llm.common import at_most, col, free, written
 
 # The kinds in their order, with patterns, the group that holds the secret and its least length.
 # A longest run of at least n characters is found by {n,} as by + and a later test; in assign the test must come later, since a
@@ -29,6 +29,9 @@ KINDS = (
     ("key", r"gh[pousr]_[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|" + PEM, 0, 1),
 )
 BASE = ("assign", "access", "hex")
+#: From so many occurrences on, a string's verdict returns to them by a broadcast: such strings are few, and one of them can be a third
+#: of all candidates. More of them than HOT_STRINGS, which takes a thousand million candidates, go the way of the others.
+HOT_SPANS, HOT_STRINGS = 10_000, 100_000
 SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint,hash:bigint>>"
 CHUNK = 64
 
@@ -67,24 +70,43 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def find_secrets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", repository: str = "source", owner: str = "source", example_owners: int = 3) -> DataFrame:
+def _holder(columns: str | tuple[str, ...]) -> Column:
+    """A key of one or several columns; null tells itself apart from empty."""
+    names = (columns,) if isinstance(columns, str) else columns
+    return F.to_json(F.array(*(F.coalesce(F.concat(F.lit("="), col(c).cast("string")), F.lit("")) for c in names)))
+
+
+def find_secrets(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", repository: str | tuple[str, ...] = ("source", "lang"), owner: str | tuple[str, ...] = "source",
+    example_owners: int = 3, example_repositories: int = 6,
+) -> DataFrame:
     """Per row of docs: row, doc_id, text_hash, and `spans`, an array of (start, rank, kind, end, hash, owners, repositories, live).
 
-    Spans of the base kinds are always there; those of kind `key` only where fewer than `example_owners` owners hold the string.
-    `live` says the same of every span. Spans are sorted by start, then by kind. A null or empty text has no spans; null owners
-    and repositories count as one owner and one repository. Repeated rows are rows of their own.
+    A string is a widely copied example if `example_owners` owners hold it, or two owners in `example_repositories` repositories; else it
+    is live, however often its one owner has it. Owners are told by their column, repositories by theirs: here a source is an owner, and
+    what it has in one language a repository of it. Spans of the base kinds are always there, with `live`; those of kind `key` only if live.
+
+    Spans are sorted by start, then by kind. A null or empty text has no spans; null owners and repositories count as one owner and one
+    repository. Repeated rows are rows of their own; other columns of docs don't matter. No rows give none.
     """
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    body = F.coalesce(col(text).cast("string"), F.lit(""))
     found = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("text_hash"),
-        F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
+        col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("text_hash"), _holder(repository).alias("repository"), _holder(owner).alias("owner"),
         F.concat(*(_spans(body, k) for k in range(len(KINDS)))).alias("found"),
     )
     found = written(found.withColumn("row", F.monotonically_increasing_id()), "secrets")
     each = found.where(F.size("found") > 0).select("row", "repository", "owner", F.explode("found").alias("x"))
-    held = each.groupBy("x.hash", "owner", "repository").count().groupBy("hash").agg(F.countDistinct("owner").alias("owners"), F.count("*").alias("repositories"))
-    judged = each.select("row", "x", F.col("x.hash").alias("hash")).join(held, "hash")
-    judged = judged.withColumn("live", F.col("owners") < example_owners).where(F.col("live") | (F.col("x.rank") < len(BASE)))
+    held = each.groupBy("x.hash", "owner", "repository").count().groupBy("hash").agg(F.countDistinct("owner").alias("owners"), F.count("*").alias("repositories"), F.sum("count").alias("n"))
+    held = written(held, "held")
+    spans = each.select("row", "x", F.col("x.hash").alias("hash"))
+    hot = held.where(F.col("n") >= HOT_SPANS).drop("n")
+    if at_most(hot, HOT_STRINGS):
+        hot = F.broadcast(hot)
+        judged = spans.join(hot, "hash").unionByName(spans.join(hot, "hash", "left_anti").join(held.where(F.col("n") < HOT_SPANS).drop("n"), "hash"))
+    else:
+        judged = spans.join(held.drop("n"), "hash")
+    copied = (F.col("owners") >= example_owners) | ((F.col("owners") > 1) & (F.col("repositories") >= example_repositories))
+    judged = judged.withColumn("live", ~copied).where(F.col("live") | (F.col("x.rank") < len(BASE)))
     parts = ("x.start", "x.rank", "x.kind", "x.end", "x.hash", "owners", "repositories", "live")
     spans = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(*parts))).alias("spans"))
     empty = F.array().cast(spans.schema["spans"].dataType)
@@ -102,18 +124,21 @@ def secret_report(docs: DataFrame, **options) -> DataFrame:
 
 
 def redact(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", mark: str = "<secret>", broadcast_spans: int = 500_000, **options) -> DataFrame:
-    """docs, with every live span of its text replaced by `mark`; widely copied examples stay. No row goes.
+    """docs, with every live span of its text replaced by `mark`; widely copied examples stay. No row goes, and no other column changes.
 
-    The spans return to the texts by a broadcast while they are at most `broadcast_spans` (some 20 MB), else by a shuffle.
+    Rows that repeat an id and a text are treated alike. The spans return to the texts by a broadcast while they are at most
+    `broadcast_spans` (some 20 MB), else by a shuffle.
     """
-    spans = find_secrets(docs, doc_id=doc_id, text=text, **options).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.transform(F.filter("spans", lambda x: x["live"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("__spans"))
-    spans = written(spans.where(F.size("__spans") > 0).dropDuplicates(["__id", "__hash"]), "live")
-    if (spans.agg(F.sum(F.size("__spans"))).first()[0] or 0) <= broadcast_spans:
+    key, hashed, cut = free(docs.columns, "__id", "__hash", "__spans")
+    live = F.transform(F.filter("spans", lambda x: x["live"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+    spans = find_secrets(docs, doc_id=doc_id, text=text, **options).select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed), live.alias(cut))
+    spans = written(spans.where(F.size(cut) > 0).dropDuplicates([key, hashed]), "live")
+    if (spans.agg(F.sum(F.size(cut))).first()[0] or 0) <= broadcast_spans:
         spans = F.broadcast(spans)
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    out = docs.join(spans, F.col(doc_id).cast("long").eqNullSafe(spans["__id"]) & (F.xxhash64(body) == spans["__hash"]), "left")
-    before = running(F.transform("__spans", lambda x: x["end"]), F.lit(0).cast("bigint"), lambda a, b: F.greatest(a, b))
-    cuts = F.zip_with("__spans", before, lambda x, at: F.when(x["end"] <= at, F.lit("")).otherwise(F.concat(F.substring(body, at.cast("int") + 1, F.greatest(x["start"] - at, F.lit(0)).cast("int")), F.lit(mark))))
-    tail = F.substring(body, F.array_max(F.transform("__spans", lambda x: x["end"])).cast("int") + 1, F.length(body))
-    new = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(F.concat(F.array_join(cuts, ""), tail))
-    return out.withColumn(text, new).select(*(f"`{c}`" for c in docs.columns))
+    body = F.coalesce(col(text).cast("string"), F.lit(""))
+    out = docs.join(spans, col(doc_id).cast("long").eqNullSafe(F.col(key)) & (F.xxhash64(body) == F.col(hashed)), "left")
+    before = running(F.transform(cut, lambda x: x["end"]), F.lit(0).cast("bigint"), lambda a, b: F.greatest(a, b))
+    cuts = F.zip_with(cut, before, lambda x, at: F.when(x["end"] <= at, F.lit("")).otherwise(F.concat(F.substring(body, at.cast("int") + 1, F.greatest(x["start"] - at, F.lit(0)).cast("int")), F.lit(mark))))
+    tail = F.substring(body, F.array_max(F.transform(cut, lambda x: x["end"])).cast("int") + 1, F.length(body))
+    new = F.when(F.col(cut).isNull(), col(text)).otherwise(F.concat(F.array_join(cuts, ""), tail))
+    return out.select(*(new.alias(c) if c == text else col(c) for c in docs.columns))

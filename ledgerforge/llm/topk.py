@@ -131,7 +131,12 @@ def quantised(vector: list, scale: int) -> np.ndarray | None:
     if vector is None or any(x is None for x in vector):
         return None
     x = np.array(vector, np.float64)
-    return np.floor(x * scale).astype(np.int64) if np.isfinite(x).all() else None
+    if not np.isfinite(x).all():
+        return None
+    out = np.floor(x * scale)
+    if len(out) * max(1.0, np.abs(out).max(initial=0)) ** 2 >= 2.0**62:
+        raise ValueError(f"a component of {np.abs(x).max()} makes scores that no long can hold")
+    return out.astype(np.int64)
 
 
 def _unpack(data: bytes, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,29 +176,29 @@ def packed(vectors: DataFrame, vec_id: str, vector: str, scale: int, rows: int,
 def top_k(vectors: DataFrame, *, k: int = 20, every: int = 20, scale: int = 64, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score for each row whose id is divisible by `every`, against all other rows.
 
-    The score is the inner product of the vectors floor(scale * x), which must lie within 2^24 or so for sums to fit a long; ties
-    go to the smaller id. Rows with a null id, a null vector, or a null or non-finite component take no part. Vectors of different
-    lengths compare as if filled with zeros. Rows that share an id are left out of their own query together.
+    The score is the inner product of the vectors floor(scale * x); a vector whose product with one like it could pass a long fails the
+    query. Ties go to the smaller id. Rows with a null id, a null vector, or a null or non-finite component take no part. Vectors of different
+    lengths compare as if filled with zeros. Rows that share an id are left out of their own query together. Other columns of vectors
+    don't matter, and no rows give none.
     """
     width = vectors.agg(F.max(F.size(vector))).first()[0]
     if width is None or width < 1:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     rows = vectors.count()
     # as many tasks as full blocks: small files would otherwise make small blocks, whose work is mostly calls
-    whole = vectors.repartition(max(1, math.ceil(rows / BLOCK_ROWS)))
-    index = written(packed(whole, vec_id, vector, scale, 2 * BLOCK_ROWS, width).withColumn("block", F.monotonically_increasing_id()), "index")
+    blocks = max(1, math.ceil(rows / BLOCK_ROWS))
+    index = written(packed(vectors.repartition(blocks), vec_id, vector, scale, 2 * BLOCK_ROWS, width).withColumn("block", F.spark_partition_id().cast("long")), "index")
     few = vectors.where(F.col(vec_id) % every == 0)
     packs = packed(few.repartition(max(1, math.ceil(rows / every / PACK_QUERIES))), vec_id, vector, scale, PACK_QUERIES, width).withColumnRenamed("data", "queries").withColumnRenamed("n", "asked")
-    numbers = sorted(r["block"] for r in index.select("block").toLocalIterator())  # one number for thousands of rows
-    meets = packs.select("asked", "queries", F.explode(F.lit(numbers)).alias("block")) if numbers else packs.select("asked", "queries", F.lit(0).cast("long").alias("block"))
+    meets = packs.select("asked", "queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
     both = meets.repartition("block").join(index, "block").select("asked", "queries", "n", "data", "block")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, block = None, None
         for batch in batches:
             for asked, queries, n, data, at in zip(*batch.columns, strict=True):
-                if last != at.as_py():
-                    last, block = at.as_py(), Block(*_unpack(data.as_py(), n.as_py()))
+                if last != (at.as_py(), n.as_py(), data.as_py()[:64]):  # a task may have filled more than one block
+                    last, block = (at.as_py(), n.as_py(), data.as_py()[:64]), Block(*_unpack(data.as_py(), n.as_py()))
                 ids, values = _unpack(queries.as_py(), asked.as_py())
                 for a in range(0, len(ids), BATCH):
                     found = list(block.best(values[a : a + BATCH], ids[a : a + BATCH], k))
