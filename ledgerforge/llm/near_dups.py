@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerforge.llm.common import at_most, semi, written
@@ -34,6 +34,8 @@ from ledgerforge.operators.components import connected_components
 TREES, MIN_DEPTH, DEPTH = 24, 4, 5
 #: A region with more pairs than this is read one value deeper; at the whole row its documents are compared by rare shingles.
 REGION_PAIRS = 20_000
+#: Shingles of dense regions' documents that are sorted by how often they come (16 bytes each); all rarer ones come before them.
+FREQUENT = 500_000
 #: Texts with copies that may be broadcast (24 bytes each).
 COPIES_BROADCAST = 250_000
 #: Documents in a block of a cluster, about.
@@ -357,12 +359,28 @@ class Forest:
         other set has one, and if all sets are sorted alike, they meet among both sets' first. Sorted by rarity, few others do.
         """
         texts = semi(self.source, dense.select("id"), self.doc_id)
-        sets = shingle_sets(texts, self.doc_id, self.text, self.shingle).dropDuplicates(["id"])
-        each = written(sets.select("id", F.size("set").alias("n"), F.explode("set").alias("shingle")), "shingles")
-        often = each.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
-        held = each.join(often, "shingle", "left").withColumn("often", F.coalesce("often", F.lit(1)))
-        first = held.withColumn("at", F.row_number().over(Window.partitionBy("id").orderBy("often", "shingle"))).where(F.col("at") <= F.col("n") - F.ceil(self.percent * F.col("n") / 100) + 1)
-        first = written(first.where("often > 1").select("shingle", "id").join(dense, "id"), "rarest")
+        sets = written(shingle_sets(texts, self.doc_id, self.text, self.shingle).dropDuplicates(["id"]).join(dense, "id"), "dense_sets")
+        total = sets.agg(F.sum(F.size("set"))).first()[0] or 0
+        often = sets.select(F.explode("set").alias("shingle")).groupBy("shingle").count().where(F.col("count") > max(10, total // FREQUENT)).toArrow()
+        often = often.sort_by([("count", "ascending"), ("shingle", "ascending")])["shingle"].to_numpy()
+        by_value, percent = np.argsort(often, kind="stable"), self.percent
+
+        def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            values = often[by_value]
+            for batch in batches:
+                out: list[np.ndarray] = []
+                for row in batch.column(1):
+                    x = row.values.to_numpy()
+                    rank = np.zeros(len(x), np.int64)
+                    if len(values):
+                        at = np.minimum(np.searchsorted(values, x), len(values) - 1)
+                        rank = np.where(values[at] == x, 1 + by_value[at], 0)
+                    out.append(x[np.lexsort((x, rank))[: len(x) - -(-percent * len(x) // 100) + 1]])
+                n = [len(x) for x in out]
+                columns = (np.repeat(batch.column(k).to_numpy(), n) for k in (0, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*out, np.empty(0, np.int64)])), *map(pa.array, columns)], ["shingle", "id", "comp"])
+
+        first = written(sets.select("id", "set", "comp").mapInArrow(rarest, "shingle long, id long, comp long"), "rarest")
         mixed = first.groupBy("shingle").agg(F.min("id").alias("b"), F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("shingle", "b")
         return first.join(mixed, "shingle").select(F.col("id").alias("a"), "b").distinct()
 
