@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 SPACE = " \t\n\r\x0b\x0c"
 SYMBOLS = "#*$%&|<>"
-#: Words an n-gram, and the largest share of a text's word characters that may lie in n-grams of that length found twice.
-NGRAM_LIMITS = {5: 0.30, 8: 0.25, 13: 0.20}
+#: Words an n-gram, and the largest share of a text's word characters that may lie in n-grams of that length found twice. Short n-grams
+#: tell phrases that come again with other words between, or words said over and over; of sf0.1's clean texts none is beyond these.
+NGRAM_LIMITS = {3: 0.50, 4: 0.40, 5: 0.25, 8: 0.22, 13: 0.22}
 #: The largest share of a text's characters that may lie in lines equal to an earlier line.
 LINE_LIMIT = 0.30
 RESULT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, dup_line_chars long, dup_ngram_chars array<long>, kept boolean"

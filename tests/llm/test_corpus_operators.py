@@ -1,23 +1,27 @@
 import hashlib
 import random
 import re
+import struct
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline as pipeline
 from ledgerforge.llm.chat import digests, escape, format_conversations, locate, parse_instruct, unescape
 from ledgerforge.llm.classifier import classify
 from ledgerforge.llm.html_text import LAYOUT_SHARE, LEAST_PAGES, LEAST_SHARE, LEAST_TOKENS, Page, classes, extract, named, templates
 from ledgerforge.llm.mixing import exponent, mix
 from ledgerforge.llm.near_dups import block_links, near_duplicates
-from ledgerforge.llm.packing import WordEncoder, first_fit, pack_documents, token_pieces
-from ledgerforge.llm.quality_rules import measure, quality_rules
+from ledgerforge.llm.packing import WordEncoder, first_fit, pack_documents, pack_pieces, token_pieces
+from ledgerforge.llm.quality_rules import LINE_LIMIT, NGRAM_LIMITS, measure, quality_rules
 from ledgerforge.llm.queries import TOKENIZER
 from ledgerforge.llm.secrets import find_secrets, redact, secret_report
 from ledgerforge.llm.topk import Block, top_k
-from ledgerforge.llm.warc import CaptureIndex, archive_round_trip, read_archives, surt, write_archives, write_index
+from ledgerforge.llm.warc import CaptureIndex, archive_round_trip, lookup, read_archives, surt, write_archives, write_index
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -77,6 +81,19 @@ def test_pieces_cover_every_id_once(spark):
     assert pack_documents(rows.limit(0), TOKENIZER).count() == 0 and token_pieces(rows.limit(0), TOKENIZER).count() == 0
 
 
+def test_pieces_equal_brute_force(spark):
+    """Every piece's place, length and checksum, from the tokenizer itself; repeated ids and very long texts among them."""
+    draw = random.Random(9)
+    chars = ["a", "B", "é", "<", "|", ">", " ", "\n", "x.", "'s", "1", "あ", "\u0301", "İ", "ab cd "]
+    texts = [None, "", "x" * 300_000, "word " * 70_000, *("".join(draw.choices(chars, k=draw.randrange(6000))) for _ in range(30))]
+    rows = docs(spark, *texts).unionByName(docs(spark, "again", None))
+    tokenizer, want = WordEncoder(TOKENIZER).tokenizer, Counter()
+    for k, t in [*enumerate(texts), (0, "again"), (1, None)]:
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        want.update((k, s, min(2048, len(ids) - s), zlib.crc32(ids[s : s + 2048].tobytes()), len(ids)) for s in range(0, len(ids), 2048))
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in pack_documents(rows, TOKENIZER).collect()) == want
+
+
 # near duplicates
 
 
@@ -174,6 +191,20 @@ def test_rewriting_templates_are_told(spark):
     assert not rewrites and [out[a:b] for _, _, a, b in spans] == ["\n x", ""]
 
 
+def test_masks_are_of_the_last_output():
+    """A template that shortens earlier turns: no text of another turn gets under the loss mask."""
+    def shortens(turns):
+        return "".join(f"[{r}]{t if k == len(turns) - 1 else t[:3]};" for k, (r, t) in enumerate(turns))
+
+    turns = [("user", "hi"), ("assistant", "one two three"), ("user", "more"), ("assistant", "last")]
+    out, rewrites, spans = locate(turns, shortens)
+    assert rewrites and out == "[user]hi;[assistant]one;[user]mor;[assistant]last;"
+    assert [out[x:y] for _, _, x, y in spans] == ["hi", "", "", ""] and all(0 <= a <= b <= len(out) and 0 <= x <= y <= len(out) for a, b, x, y in spans)
+    first_only = lambda turns: f"{len(turns)}|" + "".join(f"{r}:{t};" for r, t in turns)
+    out, rewrites, spans = locate(turns, first_only)
+    assert rewrites and [x == y for _, _, x, y in spans] == [True] * 4
+
+
 def test_conversations_round_trip(spark):
     rows = spark.createDataFrame([(1, 1, "assistant", "</s>é"), (1, 0, "user", None), (1, 1, "assistant", "</s>é"), (None, 0, None, "x"), (2, None, "assistant", "late")], "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit(0))
     got = {r.conv_id: r for r in digests(format_conversations(rows)).collect()}
@@ -195,6 +226,19 @@ def test_classifier_on_held_out_rows(spark):
     assert sum(r.kept for r in clean) >= 0.95 * len(clean)
 
 
+def test_sites_decide_on_doubtful_documents(spark):
+    """The same doubtful text is kept on a site of good documents and not on one of bad ones; a site of one document hardly counts."""
+    good, bad = (lambda k: prose(k, 60, 300)), (lambda k: " ".join(f"junk{random.Random(k * 99 + j).randrange(300)}" for j in range(60)))
+    doubtful = " ".join(f"{a} {b}" for a, b in zip(good(9001).split()[:30], bad(9001).split()[:30], strict=True))
+    rows = [(k, good(k) if k % 2 else bad(k), "en", "good.example" if k % 2 else "bad.example", 0) for k in range(600)]
+    rows += [(1000, doubtful, "en", "good.example", 0), (1001, doubtful, "en", "bad.example", 0), (1002, doubtful, "en", "alone.example", 0)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(300)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in classify(spark.createDataFrame(rows, DOCS), labels).collect()}
+    assert got[1000].doc_odds == got[1001].doc_odds == got[1002].doc_odds
+    assert got[1000].kept and not got[1001].kept and got[1001].site < got[1002].site < got[1000].site
+    assert all(got[k].kept == bool(k % 2) for k in range(600))
+
+
 def test_classifier_of_odd_rows(spark):
     rows = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0)], DOCS)
     labels = spark.createDataFrame([(1, 1, None), (None, 0, 0)], "doc_id long, quality int, toxic int")
@@ -212,11 +256,30 @@ def test_archives_and_their_index(spark, tmp_path):
     assert got == {(3, size): ("revisit", 1), (1, size): ("response", None), (2, 0): ("response", None), (4, 5): ("response", None), (5, 5): ("response", None), (None, size): ("revisit", 1), (6, len(odd)): ("response", None)}
     write_archives(pages, str(tmp_path / "w"))
     write_index(read_archives(spark, str(tmp_path / "w")), str(tmp_path / "i"), block_rows=2)
-    index = CaptureIndex(spark, str(tmp_path / "i"))
-    found = index.captures("http://a.org/y?q=1")
-    assert sorted(c["page_id"] for c in found) == [1, 6, 6] and {index.payload(c) for c in found} == {big.encode(), odd.encode()}
-    assert index.captures("http://nowhere.org/") == [] and surt("https://www.a.b.org/x") == "org,b,a)/x"
-    assert archive_round_trip(pages.limit(0)).count() == 0
+    for rows in (0, 100):
+        index = CaptureIndex(spark, str(tmp_path / "i"), directory_rows=rows)
+        found = index.captures("http://a.org/y?q=1")
+        assert sorted(c["page_id"] for c in found) == [1, 6, 6] and {index.payload(c) for c in found} == {big.encode(), odd.encode()}
+        assert index.captures("http://nowhere.org/") == [] and [c["page_id"] for c in index.captures("http://c.org")] == [None]
+        asked = spark.createDataFrame([("http://www.a.org/y?q=1",), ("http://a.org/y?q=1",), ("http://zzz.org",), (None,)], "url string")
+        assert sorted(r.page_id for r in lookup(spark, str(tmp_path / "i"), asked, directory_rows=rows).collect()) == [1, 2, 6, 6]
+    assert surt("https://www.a.b.org/x") == "org,b,a)/x"
+    empty = pages.limit(0)
+    assert archive_round_trip(empty).count() == 0
+    write_archives(empty, str(tmp_path / "e"))
+    write_index(read_archives(spark, str(tmp_path / "e")), str(tmp_path / "ei"))
+    assert CaptureIndex(spark, str(tmp_path / "ei")).captures("http://a.org/") == [] and lookup(spark, str(tmp_path / "ei"), asked).count() == 0
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    """Large records apart from small ones, so many to a file that it can't pass its bound but by a single record; long URLs of one key."""
+    sizes = [*[50] * 40, *[70_000] * 6, 3_000_000]
+    pages = spark.createDataFrame([(k, "http://a.org/" + "p" * (3000 if k % 2 else 5), f"{k}" + "y" * n) for k, n in enumerate(sizes)], "page_id long, url string, html string").repartition(1)
+    write_archives(pages, str(tmp_path / "w"), file_bytes=2 << 20)
+    files = sorted(f.stat().st_size for f in (tmp_path / "w").glob("part-*"))
+    assert len(files) == 6 and files[-1] > 3_000_000 > 2 << 20 > files[-2] > 70_000
+    got = {r.page_id: (r.payload_bytes, r.payload_digest) for r in archive_round_trip(pages, file_bytes=2 << 20).collect()}
+    assert got == {r.page_id: (len(r.html), hashlib.sha256(r.html.encode()).hexdigest()) for r in pages.collect()}
 
 
 # mixing
@@ -248,6 +311,89 @@ def test_mixing_keeps_all_and_meets_its_budget(spark):
     assert mix(rows.limit(0)).count() == 0
 
 
+def spark_hash(*values):
+    """xxhash64 as the engine has it: each value's bytes seeded by the hash so far, nulls left out."""
+    h = 42
+    for v in values:
+        if v is not None:
+            h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q" if v.bit_length() > 31 or isinstance(v, Long) else "<i", v), h)
+    return h - (h >> 63 << 64)
+
+
+class Long(int):
+    pass
+
+
+def mixed_by_brute_force(rows, target, most):
+    """(doc_id, source, text) rows without a budget: how often each row is there."""
+    key = lambda s: "" if s is None else f"={s}"
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) + 1
+    totals = Counter()
+    for _, s, t in rows:
+        totals[key(s)] += size(t)
+    high, low = max(totals.values()), min(totals.values())
+
+    def entropy(a):
+        p = np.array(list(totals.values()), float) ** a
+        p /= p.sum()
+        return -(p * np.log(p)).sum()
+
+    a, b = 0.0, 1.0
+    if entropy(1.0) >= target * np.log(len(totals)) - 1e-12:
+        a = 1.0
+    else:
+        for _ in range(60):
+            a, b = ((a + b) / 2, b) if entropy((a + b) / 2) >= target * np.log(len(totals)) else (a, (a + b) / 2)
+    if (high / low) ** (1 - a) > most:
+        a = 1 - np.log(most) / np.log(high / low) + 16.0**-6 / 2  # the exponent is told to 16^-6, and from above here
+    copies = Counter()
+    for s, total in totals.items():
+        passes = (high / total) ** (1 - a)
+        full = int(passes + 1e-9)
+        rest = max(0, int((passes - full) * total + 1e-6))
+        order = []
+        for n, (i, source, t) in enumerate(rows):
+            if key(source) == s:
+                copies[n] += full
+                place = spark_hash(11, None if i is None else Long(i), t)
+                block = (place >> 20) % 4096
+                order.append((spark_hash(11, s, block, full), block, place, size(t), n))
+        order.sort()
+        used = 0
+        for at, (k, block, place, n_tokens, n) in enumerate(order):
+            peers = [o for o in order if o[:3] == (k, block, place)]
+            if at == order.index(peers[0]):
+                used += sum(p[3] for p in peers)
+                if used > rest:
+                    break
+                for p in peers:
+                    copies[p[4]] += 1
+    return copies
+
+
+@pytest.mark.parametrize(("target", "most"), [(0.87, 4.0), (0.99, 2.5), (0.5, 4.0)])
+def test_mixing_equals_brute_force(spark, target, most):
+    rows = [(k if k % 50 else None, None if k % 97 == 1 else ("big" if k % 20 else ("mid" if k % 3 else "tiny")), None if k % 60 == 7 else prose(k, 5 + k % 30)) for k in range(700)]
+    rows += rows[:5]
+    got = Counter((r.doc_id, r.source, r.text) for r in mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), target_entropy=target, max_epochs=most).collect())
+    want = Counter()
+    for n, k in mixed_by_brute_force(rows, target, most).items():
+        want[rows[n]] += k
+    assert got == want
+
+
+def test_columns_of_any_name_stay(spark):
+    """Every name that the code uses for itself, dotted names and maps among the columns of docs."""
+    names = ["__epoch", "__place", "__tokens", "__of", "__hash", "__block", "__source", "__full", "__last", "__cut", "__least", "__id", "__spans", "__group", "a.b", "Set", "row", "hash", "`q"]
+    rows = docs(spark, prose(1, 30) + " token=Abc123Xyz", prose(2, 30), None).withColumns({n: F.lit(f"kept {n}") for n in names if "." not in n and "`" not in n})
+    rows = rows.select("*", F.lit("kept a.b").alias("a.b"), F.lit("kept `q").alias("`q"), F.create_map(F.lit("k"), F.lit("v")).alias("m"))
+    for out in (mix(rows), redact(rows), pipeline.near_dups(spark, rows.unionByName(rows), ""), pipeline.mixing(spark, rows, "")):
+        got = out.collect()
+        assert {r.doc_id for r in got} == {0, 1, 2} and all(r[n] == f"kept {n}" for r in got for n in names) and all(r["m"] == {"k": "v"} for r in got)
+    pieces = spark.createDataFrame([(5, 1, "x", 9, "g"), (7, 2, "y", 9, "g")], "length long, deal long, doc string, offset long, __group string")
+    assert sorted((r.length, r.doc, r["__group"], r.offset) for r in pack_pieces(pieces, capacity=20).collect()) == [(5, "x", "g", 7), (7, "y", "g", 0)]
+
+
 # secrets
 
 
@@ -282,6 +428,19 @@ def test_owners_part_examples_from_secrets(spark):
     assert redact(rows).columns == rows.columns
 
 
+def test_owners_and_repositories_are_counted_apart(spark):
+    """Planted copies: the verdict follows the number of owners and, from two owners on, of repositories; hot strings go the same way."""
+    secret = {n: f"token={n}Secret99" for n in ("one", "few", "many", "wide")}
+    rows = [("one", f"o{k % 1}", f"r{k}") for k in range(40)] + [("few", f"o{k % 2}", f"r{k % 2}") for k in range(4)] + [("many", f"o{k}", "r") for k in range(3)] + [("wide", f"o{k % 2}", f"r{k}") for k in range(6)]
+    rows = spark.createDataFrame([(k, f"{secret[n]} ghp_{n}{'a1' * 12}", repo, owner, 0) for k, (n, owner, repo) in enumerate(rows)], DOCS)
+    for hot in (10_000, 5, 1):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr("ledgerforge.llm.secrets.HOT_SPANS", hot)
+            found = {r.spans[0].owners * 100 + r.spans[0].repositories: (r.spans[0].live, len(r.spans)) for r in find_secrets(rows).collect()}
+        assert found == {140: (True, 2), 202: (True, 2), 303: (False, 1), 206: (False, 1)}
+    assert sum(r.text.startswith("<secret> <secret>") for r in redact(rows).collect()) == 44
+
+
 def test_private_keys_are_known_by_their_bodies(spark):
     pem = lambda body, end="\n": f"-----BEGIN RSA PRIVATE KEY-----{end}{body}{end}-----END RSA PRIVATE KEY-----"
     own = [f"{k}a+/B" * 12 + f"\n{k}Qx-y==" for k in range(4)]
@@ -316,6 +475,8 @@ def test_top_k_of_odd_vectors(spark):
     got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("block", F.lit(1)), k=2).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == [(0, 1, 20, 5120), (0, 2, 40, 0), (20, 1, 0, 5120), (20, 2, 40, 0), (40, 1, 0, 0), (40, 2, 4, 0)]
     assert top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    with pytest.raises(Exception, match="no long can hold"):
+        top_k(spark.createDataFrame([(0, [1e9, 1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>")).collect()
 
 
 # quality rules
@@ -340,6 +501,34 @@ def test_quality_measures_equal_brute_force(spark):
     assert got[len(texts) - 1].kept and measure("x " * 5)[-1] is False and quality_rules(docs(spark, "a").limit(0)).count() == 0
 
 
+def test_repetition_decides_where_the_base_rule_keeps(spark):
+    """Characters in repeated n-grams and lines by brute force, and texts that only these reject."""
+    draw = random.Random(6)
+    phrase = " ".join(f"the same four {'words' * 3} u{k}" for k in range(30))  # a phrase of four with another word each time
+    stutter = " ".join(f"w{k} " * 5 for k in range(12))
+    lines = "\n".join(["unique words on this line " + prose(k, 12) for k in range(6)] + [f"{'x' * 80} y"] * 8)
+    clean = prose(2, 400, 4000)
+    texts = [phrase, stutter, lines, clean, *(" ".join(draw.choice(["aa", "b", "cé"]) + draw.choice([" ", "\n", "  "]) for _ in range(draw.randrange(40))) for _ in range(80))]
+    got = {r.doc_id: r for r in quality_rules(docs(spark, *texts)).collect()}
+    for k, t in enumerate(texts):
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        want = []
+        for n in NGRAM_LIMITS:
+            count = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+            inside = {j for i in range(len(words) - n + 1) if count[tuple(words[i : i + n])] > 1 for j in range(i, i + n)}
+            want.append(sum(len(words[j]) for j in inside))
+        seen, again = set(), 0
+        for line in t.split("\n"):
+            again += len(line) if line in seen else 0
+            if line.strip(" \t\n\r\x0b\x0c"):
+                seen.add(line)
+        assert (list(got[k].dup_ngram_chars), got[k].dup_line_chars) == (want, again)
+        beyond = any(d > share * got[k].word_chars for d, share in zip(want, NGRAM_LIMITS.values(), strict=True)) or again > LINE_LIMIT * len(t)
+        assert got[k].kept == (not got[k].base_failed and not beyond)
+    assert [(got[k].base_failed, got[k].kept) for k in range(4)] == [(False, False)] * 3 + [(False, True)]
+    assert quality_rules(docs(spark, "word " * 300_000)).first().n_words == 300_000
+
+
 # web pages
 
 
