@@ -21,8 +21,8 @@ from ledgerforge.llm.common import written
 
 #: Hash buckets of words, and the ratios that follow them in a model's weights, with the constant as the last.
 BUCKETS, RATIOS = 1 << 17, 6
-#: The most labelled rows that a fit uses, and characters of them that it reads at once: the bound of what the driver holds.
-FIT_ROWS = 20_000
+#: The most labelled rows that a fit uses, and word buckets of them (four bytes each): the bound of what the driver holds.
+FIT_ROWS, FIT_BUCKETS = 20_000, 20_000_000
 MODEL_SEED = 7
 #: A word is hashed as it is and without these, so that marks tell of quality and hide no word.
 MARKS = b".,;:!?#*$%&|<>\"'()"
@@ -95,10 +95,12 @@ def _fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, spread:
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, tuple[float, float]], *, fit_rows: int = FIT_ROWS) -> dict[str, Model]:
-    """One model per target column (0/1) of labels, given its spread and least z, on at most `fit_rows` labelled documents, drawn by a hash of their id.
+def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, tuple[float, float]], *, fit_rows: int = FIT_ROWS, fit_buckets: int = FIT_BUCKETS) -> dict[str, Model]:
+    """One model per target column (0/1) of labels, given its spread and least z, on at most `fit_rows` labelled documents, drawn by a hash
+    of their id, and of these the first that have `fit_buckets` word buckets between them.
 
-    Rows without an id or a label don't count; a target without both classes gets a model of zeros.
+    Rows without an id or a label don't count; a target without both classes gets a model of zeros. Of labels that repeat an id one
+    counts; documents that repeat an id are rows of their own.
     """
     sample = labels.where(F.col("doc_id").isNotNull()).select("doc_id", *targets).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     sample = written(sample, "labels")
@@ -108,10 +110,16 @@ def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, tuple[float, floa
         cache: dict[bytes, tuple] = {}
         for batch in batches:
             found = [features(x.as_py() or "", cache) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64())), *batch.columns[2:]], ["doc_id", "buckets", "ratios", *targets])
-
-    schema = "doc_id long, buckets array<long>, ratios array<double>, " + ", ".join(f"{t} int" for t in targets)
-    table = rows.select("doc_id", "text", *(F.col(t).cast("int").alias(t) for t in targets)).mapInArrow(featured, schema).toArrow().sort_by("doc_id")
+            columns = [pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, *batch.columns[2:]], ["doc_id", "buckets", "ratios", *targets])
+
+    schema = "doc_id long, buckets array<int>, ratios array<double>, " + ", ".join(f"{t} int" for t in targets)
+    made = written(rows.select("doc_id", "text", *(F.col(t).cast("int").alias(t) for t in targets)).mapInArrow(featured, schema).withColumn("draw", F.xxhash64("doc_id")), "features")
+    sizes = made.groupBy("draw").agg(F.sum(F.size("buckets")).alias("n")).toArrow().sort_by("draw")
+    within = np.cumsum(sizes["n"].to_numpy()) <= fit_buckets
+    if not within.all():
+        made = made.where(F.col("draw") < int(sizes["draw"].to_numpy()[within.argmin()]))
+    table = made.drop("draw").toArrow().sort_by([("doc_id", "ascending"), *((t, "ascending") for t in targets)])
     got = list(zip(table["buckets"], table["ratios"], strict=True))
     data = [(b.values.to_numpy(), r.values.to_numpy()) for b, r in got]
     out = {}
@@ -173,7 +181,8 @@ def classify(docs: DataFrame, labels: DataFrame, *, keep_odds: float = 0.0, toxi
 
     quality combines the document's odds with how far its site's posterior lies from the mean; a document is kept if its quality
     odds reach `keep_odds` and it isn't toxic. Sites count for quality only: an insult is in the text. Null or empty texts are judged
-    by the ratios of an empty text and their site.
+    by the ratios of an empty text and their site. Null hosts and paths make a site of their own; repeated rows and ids are rows of
+    their own, equal ones judged alike; other columns of docs don't matter.
     """
     models = fit(docs, labels, TARGETS, fit_rows=fit_rows)
     scored = written(document_evidence(docs, models, host=host, path=path), "evidence")
