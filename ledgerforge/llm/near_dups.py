@@ -356,13 +356,21 @@ class Forest:
         """Links (a, b) that chain documents (id, comp) of different components which may be similar enough, none left out.
 
         Sets that are similar enough differ in at most (100 - percent) % of either; so of that many and one more of a set's shingles, the
-        other set has one, and if all sets are sorted alike, they meet among both sets' first. Sorted by rarity, few others do.
+        other set has one, and if all sets are sorted alike, in whatever order, they meet among both sets' first. With frequent shingles
+        last, few others do.
         """
         texts = semi(self.source, dense.select("id"), self.doc_id)
         sets = written(shingle_sets(texts, self.doc_id, self.text, self.shingle).dropDuplicates(["id"]).join(dense, "id"), "dense_sets")
         total = sets.agg(F.sum(F.size("set"))).first()[0] or 0
-        often = sets.select(F.explode("set").alias("shingle")).groupBy("shingle").count().where(F.col("count") > max(10, total // FREQUENT)).toArrow()
-        often = often.sort_by([("count", "ascending"), ("shingle", "ascending")])["shingle"].to_numpy()
+
+        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """How often shingles come in a batch of documents; what no batch has twice is rare."""
+            for batch in batches:
+                values, n = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(values[n > 1], pa.int64()), pa.array(n[n > 1], pa.int64())], ["shingle", "n"])
+
+        often = sets.select("set").mapInArrow(counted, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("count"))
+        often = often.where(F.col("count") > max(10, total // FREQUENT)).toArrow().sort_by([("count", "ascending"), ("shingle", "ascending")])["shingle"].to_numpy()
         by_value, percent = np.argsort(often, kind="stable"), self.percent
 
         def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
