@@ -16,9 +16,10 @@ _GTINS = ("gtin13", "gtin", "gtin12", "gtin14", "gtin8")
 
 
 def ld_products(html: Column) -> Column:
-    """The product objects (variants) of all JSON-LD blocks: @graph unwrapped, @type a text or an array; broken blocks are skipped."""
+    """The product objects (variants) of all JSON-LD blocks: arrays and @graph unwrapped, @type a text or an array; broken blocks are skipped."""
     blocks = F.filter(F.transform(F.regexp_extract_all(html, F.lit(_LD), F.lit(1)), F.try_parse_json), lambda v: v.isNotNull())
-    listed = F.transform(blocks, lambda v: F.coalesce(F.try_variant_get(v, "$['@graph']", "array<variant>"), F.try_variant_get(v, "$", "array<variant>"), F.array(v)))
+    tops = F.flatten(F.transform(blocks, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))))
+    listed = F.transform(tops, lambda v: F.coalesce(F.try_variant_get(v, "$['@graph']", "array<variant>"), F.array(v)))
     one = lambda v: F.try_variant_get(v, "$['@type']", "string") == "Product"
     many = lambda v: F.array_contains(F.try_variant_get(v, "$['@type']", "array<string>"), "Product")
     return F.filter(F.flatten(listed), lambda v: F.coalesce(one(v), F.lit(False)) | F.coalesce(many(v), F.lit(False)))
@@ -29,7 +30,10 @@ def ld_product(html: Column) -> Column:
     named = F.filter(ld_products(html), lambda v: blank_to_null(F.try_variant_get(v, "$.name", "string")).isNotNull())
     v = F.try_element_at(named, F.lit(1))
     get = lambda path: blank_to_null(F.try_variant_get(v, path, "string"))
-    gtin = F.coalesce(*(get(f"$.{g}") for g in _GTINS), *(get(f"$.offers.{g}") for g in _GTINS), *(get(f"$.offers[0].{g}") for g in _GTINS))
+    numbers = lambda x: F.coalesce(*(blank_to_null(F.try_variant_get(x, f"$.{g}", "string")) for g in _GTINS))
+    offers = F.coalesce(F.try_variant_get(v, "$.offers", "array<variant>"), F.array(F.try_variant_get(v, "$.offers", "variant")))
+    offered = F.try_element_at(F.filter(F.transform(offers, numbers), lambda x: x.isNotNull()), F.lit(1))  # of the first offer that has one
+    gtin = F.coalesce(numbers(v), offered)
     return F.struct(get("$.name").alias("name"), get("$.sku").alias("sku"), F.coalesce(get("$.brand.name"), get("$.brand")).alias("brand"), gtin.alias("gtin"))
 
 
@@ -92,7 +96,7 @@ def snake(x: Column) -> Column:
 
 def hierarchy_term(path: Column, skip: list[str], default: str = "General") -> Column:
     """Of a '>'-separated path, the first part behind the root that isn't to be skipped."""
-    parts = F.filter(F.transform(F.slice(F.split(path, ">"), 2, 99), lambda p: F.trim(p)), lambda p: ~p.isin(skip) & (p != ""))
+    parts = F.filter(F.transform(F.slice(F.split(path, ">"), F.lit(2), F.size(F.split(path, ">"))), lambda p: F.trim(p)), lambda p: ~p.isin(skip) & (p != ""))
     return F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit(default))
 
 

@@ -25,9 +25,9 @@ def finish_of(set_name: Column, name: Column) -> Column:
 def ordered_rule_join(items: DataFrame, rules: DataFrame, result: list[str]) -> DataFrame:
     """items (id, brand, set_name), each with the columns of the first rule (rule_no, brand, sets or null for any set) that fits.
 
-    Rules are a hand-kept table of at most some hundred rows; an item without a rule keeps nulls.
+    An item without a rule keeps nulls.
     """
-    r = F.broadcast(rules.withColumnRenamed("brand", "__brand"))
+    r = rules.withColumnRenamed("brand", "__brand")
     fits = (items["brand"] == r["__brand"]) & (r["sets"].isNull() | F.array_contains(r["sets"], items["set_name"]))
     found = items.join(r, fits, "left").groupBy("id").agg(F.min_by(F.struct(*result), "rule_no").alias("x"))
     return found.select("id", *(F.col(f"x.{c}").alias(c) for c in result))

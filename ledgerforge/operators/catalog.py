@@ -14,7 +14,7 @@ def seeds(rows: DataFrame, systems: DataFrame) -> DataFrame:
     quantity is the sum of the contents' quantities, 1 without contents. A key given twice, or an unknown system, fails the query.
     """
     n = F.count("*").over(Window.partitionBy("key"))
-    dim = F.broadcast(systems.select(F.lower("label").alias("__l"), F.col("slug").alias("game_system")))
+    dim = systems.select(F.lower("label").alias("__l"), F.col("slug").alias("game_system"))
     out = rows.withColumn("__n", n).join(dim, F.lower("system") == dim["__l"], "left")
     key = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit("key given twice: "), "key"))).when(F.col("system").isNotNull() & F.col("__l").isNull(), F.raise_error(F.concat(F.lit("unknown system: "), "system"))).otherwise(F.col("key"))
     total = F.aggregate("contents", F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(x["quantity"], F.lit(1)))

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerforge.sources.shared import written
+
 
 def upsert(state: DataFrame, seen: DataFrame, key: str = "key") -> DataFrame:
     """Rows seen replace those held, but for first_seen (the earlier) and last_seen (the later); their streak of misses ends."""
@@ -38,7 +40,7 @@ def liveness(records: DataFrame, seen: DataFrame, sources: DataFrame, threshold:
     """records (path, source, last_seen, miss_streak, flagged) after a run: of sources that failed they stay; of others, seen ones
     start anew and unseen ones miss once more. `event`: flag when a streak reaches the threshold (once), reactivate when a flagged one is seen.
     """
-    out = records.join(F.broadcast(sources.select("source", "succeeded", "run_date")), "source", "left")
+    out = records.join(sources.select("source", "succeeded", "run_date"), "source", "left")
     hit = seen.select(F.col("path").alias("__p")).distinct()
     out = out.join(hit, out["path"] == hit["__p"], "left")
     ran, found = F.coalesce("succeeded", F.lit(False)), F.col("__p").isNotNull()
@@ -63,25 +65,43 @@ def without_orphans(records: DataFrame, paths: DataFrame, healthy: DataFrame, *,
     """Records of healthy sources whose path is gone are dropped, on full runs only."""
     if not full_run:
         return records
-    gone = records.join(F.broadcast(healthy.select("source")), "source", "left_semi").join(paths.select("path"), "path", "left_anti").select("path")
+    gone = records.join(healthy.select("source"), "source", "left_semi").join(paths.select("path"), "path", "left_anti").select("path")
     return records.join(gone, "path", "left_anti")
 
 
+def _granted(wishes: DataFrame) -> DataFrame:
+    """key, target: what keys get in their order, each the first of its wishes (key, way, target) that is left.
+
+    Round by round every key asks for its next wish, and a target keeps the smallest key that asked; who is turned away asks again. As
+    all targets prefer smaller keys, that is what one key after another would have got.
+    """
+    wishes = wishes.groupBy("key").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("way", "target"))), lambda x: x["target"])).alias("wishes")).withColumn("at", F.lit(1))
+    while True:
+        wishes = written(wishes, "wishes")
+        kept = wishes.select("key", F.try_element_at("wishes", F.col("at")).alias("target")).where("target IS NOT NULL").groupBy("target").agg(F.min("key").alias("key"))
+        again = wishes.where(F.col("at") <= F.size("wishes")).join(kept.select("key"), "key", "left_anti")
+        if not again.limit(1).count():
+            return kept.select("key", "target")
+        wishes = wishes.join(again.select("key", F.lit(1).alias("__more")), "key", "left").withColumn("at", F.col("at") + F.coalesce("__more", F.lit(0))).drop("__more")
+
+
 def reconcile(archive: DataFrame, incoming: DataFrame, aliases: DataFrame, retracted: DataFrame) -> DataFrame:
     """The archive after a run: key, url, name, status, first_seen.
 
-    Incoming rows that are retracted don't count. A row with an archived key merges into it; else it renames the archived row with its
-    URL, or that its alias names, unless another row has taken that one (the first key in order wins); else it is new. Names are filled
-    if blank, status only moves away from current, the first date stays. What isn't seen stays; what is retracted goes.
+    Incoming rows that are retracted don't count, and of rows with equal keys the first by URL and name does. A row with an archived key
+    merges into it; else it renames the archived row that has its URL, or, if a smaller key has taken that one, the row that its alias
+    names, if no smaller key has; else it is new. What is retracted is never renamed. Names are filled if blank, status
+    only moves away from current, the first date stays. What isn't seen stays; what is retracted goes.
     """
     new = incoming.join(retracted, "key", "left_anti")
+    new = new.groupBy("key").agg(F.min_by(F.struct(*new.columns), F.struct(F.coalesce("url", F.lit("")), F.coalesce("name", F.lit("")))).alias("x")).select("x.*")
     by_key = new.join(archive.select("key"), "key", "left_semi").withColumn("target", F.col("key"))
     rest = new.join(archive.select("key"), "key", "left_anti")
-    free = archive.join(by_key.select("key"), "key", "left_anti")
-    by_url = rest.where("url IS NOT NULL").join(free.where("url IS NOT NULL").select(F.col("key").alias("target"), "url"), "url").select("key", "target", F.lit(0).alias("way"))
-    by_alias = rest.join(aliases.select(F.col("new").alias("key"), F.col("old").alias("target")), "key").join(free.select(F.col("key").alias("target")), "target", "left_semi").select("key", "target", F.lit(1).alias("way"))
-    wish = by_url.unionByName(by_alias).groupBy("key").agg(F.min(F.struct("way", "target")).alias("x")).select("key", "x.target")
-    taken = wish.groupBy("target").agg(F.min("key").alias("key"))
+    free = archive.join(by_key.select("key"), "key", "left_anti").join(retracted, "key", "left_anti")
+
+    url_wish = rest.where("url IS NOT NULL").join(free.where("url IS NOT NULL").groupBy("url").agg(F.min("key").alias("target")), "url").select("key", F.lit(0).alias("way"), "target")
+    alias_wish = rest.join(aliases.select(F.col("new").alias("key"), F.col("old").alias("target")), "key").join(free.select(F.col("key").alias("target")), "target", "left_semi").select("key", F.lit(1).alias("way"), "target")
+    taken = _granted(url_wish.unionByName(alias_wish))
     renamed = rest.join(taken, "key")
     fresh = rest.join(taken, "key", "left_anti").withColumn("target", F.lit(None).cast(dict(archive.dtypes)["key"]))
     hits = by_key.select(*new.columns, "target").unionByName(renamed.select(*new.columns, "target")).unionByName(fresh.select(*new.columns, "target"))
@@ -111,6 +131,16 @@ def detail_queue(items: DataFrame, state: DataFrame, budget: int, cap: int = 3)
     return q.orderBy("reason", F.col("fetched").asc_nulls_first(), "key").limit(budget).select("key", "reason")
 
 
+def barcode_queue(items: DataFrame, state: DataFrame, pending: DataFrame, budget: int | None, cap: int = 3) -> DataFrame:
+    """key, reason: which details to fetch within a budget: new items (0), those without a barcode and with misses under the cap, or still
+    pending (1), those that changed since (2), the longest known first. Known barcodes of unchanged items aren't fetched again."""
+    s = state.select(F.col("key").alias("__k"), F.col("updated_at").alias("__u"), "value", "misses")
+    q = items.join(s, items["key"] == s["__k"], "left").join(pending.select("key", F.lit(True).alias("__p")).distinct(), "key", "left")
+    reason = F.when(F.col("__k").isNull() & F.col("__p").isNull(), 0).when(F.col("__k").isNull(), 1).when(F.col("updated_at") > F.coalesce("__u", F.lit("")), 2).when(F.col("value").isNull() & (F.coalesce("misses", F.lit(0)) < cap), 1)
+    q = q.withColumn("reason", reason).where("reason IS NOT NULL").orderBy("reason", F.when(F.col("reason") == 2, F.coalesce("__u", F.lit(""))), "key")
+    return (q if budget is None else q.limit(max(budget, 0))).select("key", "reason")
+
+
 def carried(state: DataFrame, fetched: DataFrame, items: DataFrame) -> DataFrame:
     """state after fetches (key, ok, value): errors change nothing, a success without a value is a miss, a changed item counts anew."""
     f = fetched.select(F.col("key").alias("__k"), "ok", F.col("value").alias("__v"))

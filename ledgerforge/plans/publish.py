@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +52,62 @@ def violations(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return rows.withColumn("broken", broken).where(F.size("broken") > 0)
 
 
+def schema_errors(doc: object, schema: dict, at: str = "") -> list[str]:
+    """Where a JSON document isn't as a schema says, of the keywords type, enum, const, required, properties, additionalProperties, items,
+    minItems, minLength, maxLength, pattern, minimum and maximum. Other keywords aren't looked at."""
+    kinds = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None), "number": (int, float), "integer": int}
+    wanted = schema.get("type")
+    names = wanted if isinstance(wanted, list) else [wanted] if wanted else []
+    is_a = lambda k: isinstance(doc, kinds[k]) and (k == "boolean" or not isinstance(doc, bool) or kinds[k] is bool) or k == "integer" and isinstance(doc, float) and doc.is_integer()
+    if names and not any(map(is_a, names)):
+        return [f"{at or '/'}: not of type {'|'.join(names)}"]
+    out = []
+    if "enum" in schema and doc not in schema["enum"] or "const" in schema and doc != schema["const"]:
+        out.append(f"{at or '/'}: not an allowed value")
+    if isinstance(doc, str):
+        out += [f"{at or '/'}: {k}" for k, bad in (("minLength", len(doc) < schema.get("minLength", 0)), ("maxLength", len(doc) > schema.get("maxLength", len(doc))), ("pattern", not re.search(schema.get("pattern", ""), doc))) if bad]
+    if isinstance(doc, int | float) and not isinstance(doc, bool):
+        out += [f"{at or '/'}: {k}" for k, bad in (("minimum", doc < schema.get("minimum", doc)), ("maximum", doc > schema.get("maximum", doc))) if bad]
+    if isinstance(doc, list):
+        out += [f"{at or '/'}: minItems"] * (len(doc) < schema.get("minItems", 0))
+        out += [e for k, x in enumerate(doc) for e in schema_errors(x, schema.get("items", {}), f"{at}/{k}")]
+    if isinstance(doc, dict):
+        own, more = schema.get("properties", {}), schema.get("additionalProperties", True)
+        out += [f"{at}/{k}: missing" for k in schema.get("required", []) if k not in doc]
+        for k, x in doc.items():
+            if k in own:
+                out += schema_errors(x, own[k], f"{at}/{k}")
+            elif more is False:
+                out.append(f"{at}/{k}: not allowed")
+            elif isinstance(more, dict):
+                out += schema_errors(x, more, f"{at}/{k}")
+    return out
+
+
+def against_schema(docs: DataFrame, schema: dict, most: int = 10) -> DataFrame:
+    """partition, errors of documents (partition, body) that aren't as a JSON schema says: up to so many errors each, in order."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for name, body in zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True):
+                try:
+                    errors = schema_errors(json.loads(body or ""), schema)
+                except ValueError:
+                    errors = ["/: no JSON"]
+                if errors:
+                    found.append((name, list(dict.fromkeys(errors))[:most]))
+            columns = list(zip(*found, strict=True)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.list_(pa.string()))], ["partition", "errors"])
+
+    return docs.select(F.col("partition").cast("string").alias("partition"), "body").mapInArrow(check, "partition string, errors array<string>")
+
+
+def checksums(files: DataFrame) -> DataFrame:
+    """name, bytes, sha256 of files (path, content), as binaryFile reads them: what a copy of the schemas is checked by."""
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
 def write_documents(docs: DataFrame, path: str, rules: dict[str, Column] | None = None) -> DataFrame:
     """Writes valid documents, one a line and file partition, and returns the manifest of what was written, read back."""
     bad = violations(docs, rules or {"json": F.try_parse_json("body").isNotNull()}).limit(10).collect()

@@ -1,7 +1,7 @@
 """Payloads of the source platforms to observations, and the registry of strategies.
 
-A strategy takes rows of captured payloads (body, and what else its platform needs) and returns observations: key, name, sku, ean,
-url, price, availability, hints. Fetching is somebody else's work; what to fetch is operators.ledger's.
+A strategy takes rows of captured payloads (body, and what else its platform needs) and returns observations: key, manufacturer, name,
+sku, ean, url, image, price, availability, hints. Fetching is somebody else's work; what to fetch is operators.ledger's.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from ledgerforge.functions.barcode import normalize_ean
 from ledgerforge.functions.text import blank_to_null, plain_text, url_path
 from ledgerforge.operators.enrich import ranked
 
-Strategy = Callable[[DataFrame, str], DataFrame]
+Strategy = Callable[..., DataFrame]
 STRATEGIES: dict[str, Strategy] = {}
 
 
@@ -31,13 +31,13 @@ def strategy(name: str) -> Callable[[Strategy], Strategy]:
 
 
 def _items(rows: DataFrame, path: str, schema: str) -> DataFrame:
-    """One row per item of the JSON array at a path, in order of arrival (`seq`), with the payload's other columns."""
+    """One row per item of the JSON array at a path, in order of arrival (`seq`: by `place` if rows have it), with the payload's other columns."""
     found = F.try_variant_get(F.try_parse_json("body"), path, f"array<struct<{schema}>>")
-    return rows.withColumn("__n", F.monotonically_increasing_id()).select("*", F.posexplode(F.coalesce(found, F.array().cast(f"array<struct<{schema}>>"))).alias("__p", "i")).withColumn("seq", F.struct("__n", "__p"))
+    return rows.withColumn("__n", F.col("place").cast("long") if "place" in rows.columns else F.monotonically_increasing_id()).select("*", F.posexplode(F.coalesce(found, F.array().cast(f"array<struct<{schema}>>"))).alias("__p", "i")).withColumn("seq", F.struct("__n", "__p"))
 
 
 def observation(source: str, key: Column, **fields: Column) -> list[Column]:
-    kinds = {"name": "string", "sku": "string", "ean": "string", "url": "string", "price": "double", "availability": "string", "hints": "map<string,string>"}
+    kinds = {"manufacturer": "string", "name": "string", "sku": "string", "ean": "string", "url": "string", "image": "string", "price": "double", "availability": "string", "hints": "map<string,string>"}
     own = {k: fields.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()}
     return [F.concat_ws(":", F.lit(source), key.cast("string")).alias("key"), *own.values()]
 
@@ -102,11 +102,12 @@ def sitemap_urls(rows: DataFrame, pattern: str) -> DataFrame:
 
 @strategy("sitemap-structured-data")
 def structured_pages(rows: DataFrame, source: str) -> DataFrame:
-    """Product pages (url, body): JSON-LD, then microdata, then the heading, field by field; which of them gave the barcode is kept."""
+    """Product pages (url, body; one row a url): JSON-LD, then microdata, then the heading, field by field; which of them gave the barcode is kept."""
     ld = extract.ld_product(F.col("body"))
     rows = rows.withColumns({"ld": ld, "micro": extract.microdata(F.col("body"), "gtin13"), "micro_sku": extract.microdata(F.col("body"), "sku"), "shown": extract.page_name(F.col("body"))})
     a, b = normalize_ean(F.col("ld.gtin")), normalize_ean(F.col("micro"))
     hints = F.map_filter(F.create_map(F.lit("eanFrom"), F.when(a.isNotNull(), "jsonld").when(b.isNotNull(), "microdata"), F.lit("brand"), F.col("ld.brand")), lambda k, v: v.isNotNull())
+    rows = ranked(rows, ["url"], [F.col("body")])
     return rows.select(*observation(source, url_path(F.col("url")), name=F.coalesce("ld.name", "shown"), sku=F.coalesce("ld.sku", "micro_sku"), ean=F.coalesce(a, b), url=F.col("url"), hints=hints))
 
 
@@ -130,5 +131,5 @@ def trade_sheets(rows: DataFrame, source: str) -> DataFrame:
 def barcode_lookups(rows: DataFrame, source: str) -> DataFrame:
     """Answers (ean, title, brand, names) about a manufacturer's barcodes: only those whose title or brand says one of its names."""
     said = F.lower(F.concat_ws(" ", "title", "brand"))
-    sane = rows.where(F.exists("names", lambda n: F.contains(said, F.lower(n))))
+    sane = ranked(rows.where(F.exists("names", lambda n: F.contains(said, F.lower(n)))), ["ean"], [F.col("title"), F.col("brand")])
     return sane.select(*observation(source, F.col("ean"), name=F.col("title"), ean=normalize_ean(F.col("ean"))))

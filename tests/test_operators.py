@@ -150,6 +150,17 @@ def test_reconcile_renames_once_and_keeps_history(spark):
     assert sorted(map(tuple, ledger.reconcile(got, new, none, gone).collect())) == want
 
 
+def test_renames_go_by_the_order_of_keys(spark):
+    kind = "key string, url string, name string, status string, first_seen string"
+    row = lambda k, u: (k, u, k, "current", "2020")
+    archive = spark.createDataFrame([row("t1", "u1"), row("t2", "u2"), row("t3", "u3"), row("t4", "u4"), row("gone", "u5"), row("same", "u6")], kind)
+    # a takes t1 by its alias before b can by its URL, so b takes t2 by its alias before c can by its URL; d's target is retracted; e comes twice
+    new = spark.createDataFrame([row("a", None), row("b", "u1"), row("c", "u2"), row("d", "u5"), ("e", "u8", "first", "current", "2024"), ("e", "u9", "second", "current", "2024"), row("same", "u4")], kind)
+    aliases = spark.createDataFrame([("a", "t1"), ("b", "t2"), ("c", "t1"), ("d", "gone")], "new string, old string")
+    got = {r.key: (r.url, r.name) for r in ledger.reconcile(archive, new, aliases, spark.createDataFrame([("gone",)], "key string")).collect()}
+    assert got == {"a": ("u1", "a"), "b": ("u1", "b"), "c": ("u2", "c"), "d": ("u5", "d"), "e": ("u8", "first"), "same": ("u4", "same"), "t3": ("u3", "t3"), "t4": ("u4", "t4")}
+
+
 def test_suffix_joins_refuse_ties(spark):
     claims = spark.createDataFrame([("c1", "x-abcdef"), ("c2", "zzdup12")], "claim string, text string")
     dim = spark.createDataFrame([(1, "bcdef"), (2, "abcdef"), (3, "dup12"), (4, "dup12")], "id int, name string")

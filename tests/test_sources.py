@@ -3,8 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerforge.plans import publish
 from ledgerforge.plans.runner import Contract, run_source
-from ledgerforge.sources import evidence, fixtures, robots, strategies, tables
+from ledgerforge.sources import evidence, fixtures, robots, strategies, tables, yaml_text
 
 
 def payload(spark, body):
@@ -93,6 +94,40 @@ def test_robots(spark):
     assert {r.id: r.allowed for r in got.collect()} == {1: False, 2: True, 3: True}
 
 
+def test_all_identities_must_be_allowed(spark):
+    body = "User-agent: one\nDisallow: /a\nCrawl-delay: 2\n\nUser-agent: two\nCrawl-delay: x\nCrawl-delay: 9\nDisallow: /b\n\nUser-agent: *\nCrawl-delay: 1\nDisallow: /c\n"
+    paths = spark.createDataFrame([(1, "/a"), (2, "/b"), (3, "/c"), (4, "/d")], "id int, path string")
+    got = robots.allowed_to_all(paths, robots.parse(body), ["One/1.0 (x)", "Two/2"], "id").collect()
+    assert {r.id: (r.allowed, r.by) for r in got} == {1: (False, "One/1.0 (x)"), 2: (False, "Two/2"), 3: (True, None), 4: (True, None)}
+    delays = robots.crawl_delays(body)
+    assert robots.delay_for(delays, ["One/1.0", "Two/2"]) == 9 and robots.delay_for(delays, ["one", "three"]) == 2 and robots.delay_for([], ["one"]) is None
+    with pytest.raises(ValueError, match="no site"):
+        robots.allowed(paths, spark.range(10_001).selectExpr("'/x' AS pattern", "true AS allow"), "id")
+
+
+def test_yaml_round_trips(spark, tmp_path):
+    value = {"name": "Frogs: big", "n": 1, "x": 1.5, "on": "yes", "code": "0012", "date": "2024-01-02", "t": True, "none": None, "list": [{"a": "b", "c": ["- d", "e # f"]}, "plain text", [1, 2]], "empty": [], "map": {}, "lines": "a\nb", "é": "ü", "hex": "#aabbcc", "k:": "v:"}
+    text = "\n".join(yaml_text.emit(value))
+    assert yaml_text.parse(text) == {k: v for k, v in value.items() if v is not None}
+    assert 'code: "0012"' in text and 'on": "yes"' in text and "none" not in text and yaml_text.parse("# c\n---\na:\n- b\n- c: 1\n  d: 'it''s'\n") == {"a": ["b", {"c": 1, "d": "it's"}]}
+    rows = spark.createDataFrame([("p", 2, "b", None), ("p", 1, "a", "x"), ("q", 3, "007", None)], "part string, id int, name string, note string")
+    docs = yaml_text.partition_documents(rows, "part", ["id"])
+    assert {r["partition"]: r.body for r in docs.collect()}["p"] == "- id: 1\n  name: a\n  note: x\n- id: 2\n  name: b\n"
+    yaml_text.write_yaml(docs, str(tmp_path / "y"))
+    back = yaml_text.read_yaml(spark, str(tmp_path / "y"), "id int, name string, note string").select("partition", "id", "name", "note")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+    state = spark.createDataFrame([(2, {"b": "1", "a": "2"})], "z int, m map<string,string>")
+    assert state.select(yaml_text.cursor_body(F.struct("z", "m"))).first()[0] == 'm:\n  a: "2"\n  b: "1"\nz: 2\n'
+
+
+def test_documents_are_checked_against_a_schema(spark):
+    schema = {"type": "object", "required": ["items", "kind"], "additionalProperties": False, "properties": {"kind": {"const": "paint"}, "items": {"type": "array", "minItems": 1, "items": {"type": "object", "properties": {"hex": {"type": ["string", "null"], "pattern": "^#[0-9a-f]{6}$"}, "n": {"type": "integer", "minimum": 1}}}}}}
+    docs = spark.createDataFrame([("ok", '{"kind":"paint","items":[{"hex":"#aabbcc","n":1},{"hex":null}]}'), ("bad", '{"kind":"x","items":[{"hex":"red","n":0},{"n":true}],"more":1}'), ("none", "{"), ("gone", '{"items":[]}')], "partition string, body string")
+    assert {r["partition"]: list(r.errors) for r in publish.against_schema(docs, schema).collect()} == {
+        "bad": ["/kind: not an allowed value", "/items/0/hex: pattern", "/items/0/n: minimum", "/items/1/n: not of type integer", "/more: not allowed"], "none": ["/: no JSON"], "gone": ["/kind: missing", "/items: minItems"],
+    }
+
+
 def test_a_broken_contract_leaves_the_state(spark):
     state = spark.createDataFrame([], "key string, name string, first_seen date, last_seen date, miss_streak int")
     body = payload(spark, {"hits": [{"objectID": "p-1", "name": "n"}]})
