@@ -66,11 +66,17 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 def fuzzy(claims: DataFrame, dim: DataFrame, block: str, least: float = 0.86) -> DataFrame:
     """(claim, match, ratio): within a block the item whose name is most alike, at `least` or more; ties to the smaller id.
 
-    Names whose lengths alone rule the ratio out are dropped before the Python function sees them.
+    Names are compared once for each pair of distinct ones; those whose lengths, or numbers of equal characters, alone rule the ratio out
+    are dropped before the Python function sees them.
     """
-    pairs = claims.join(dim.withColumnRenamed("name", "other"), block)
+    ours, theirs = claims.select(block, "name").distinct(), dim.select(block, F.col("name").alias("other")).distinct()
     la, lb = F.length("name"), F.length("other")
-    pairs = pairs.where(2.0 * F.least(la, lb) >= least * (la + lb)).withColumn("ratio", sequence_ratio("name", "other")).where(F.col("ratio") >= least)
+    pairs = ours.join(theirs, block).where(2.0 * F.least(la, lb) >= least * (la + lb))
+    letters = lambda x: F.array_sort(F.split(x, ""))
+    numbered = lambda x: F.transform(letters(x), lambda c, k: F.concat(c, (k - F.array_position(letters(x), c)).cast("string")))
+    shared = F.size(F.array_intersect(numbered(F.col("name")), numbered(F.col("other"))))  # equal characters, as often as both have them
+    pairs = pairs.where(2.0 * shared >= least * (la + lb)).withColumn("ratio", sequence_ratio("name", "other")).where(F.col("ratio") >= least)
+    pairs = claims.select("claim", block, "name").join(pairs, [block, "name"]).join(dim.select("id", block, F.col("name").alias("other")), [block, "other"])
     return pairs.groupBy("claim").agg(F.max_by(F.struct("id", "ratio"), F.struct("ratio", -F.col("id"))).alias("x")).select("claim", F.col("x.id").alias("match"), "x.ratio")
 
 
