@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +16,9 @@ from ledgerforge.sources.shared import at_most, written
 ONE_TASK_EDGES = 1_000_000
 
 
-def least_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The nodes of the edges, in order, and for each the place of the least node that it reaches."""
-    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = at[: len(a)], at[len(a) :]
-    label = np.arange(len(nodes))
+def least_labels(x: np.ndarray, y: np.ndarray, nodes: int) -> np.ndarray:
+    """For each of so many nodes, known by number, the least that it reaches over the edges (x, y)."""
+    label = np.arange(nodes)
     while True:
         before = label.copy()
         low = np.minimum(label[x], label[y])
@@ -29,7 +28,7 @@ def least_labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         while not np.array_equal(label, label[label]):
             label = label[label]
         if np.array_equal(before, label):
-            return nodes, label
+            return label
 
 
 def _in_one_task(edges: DataFrame) -> DataFrame:
@@ -39,10 +38,15 @@ def _in_one_task(edges: DataFrame) -> DataFrame:
         parts = [b for b in batches if b.num_rows]
         if parts:
             table = pa.Table.from_batches(parts)
-            nodes, label = least_labels(*(table[c].to_numpy() for c in ("a", "b")))
-            to = table.schema.field("a").type
+            n = table.num_rows
+            coded = pa.concat_arrays([*table["a"].chunks, *table["b"].chunks]).dictionary_encode()
+            order = pc.sort_indices(coded.dictionary)  # texts by their bytes, as minima are
+            nodes, rank = coded.dictionary.take(order), np.empty(len(order), np.int64)
+            rank[order.to_numpy()] = np.arange(len(order))
+            at = rank[coded.indices.to_numpy()]
+            least = nodes.take(pa.array(least_labels(at[:n], at[n:], len(nodes))))
             for k in range(0, len(nodes), 10_000):
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[k : k + 10_000], to), pa.array(nodes[label[k : k + 10_000]], to)], ["id", "comp"])
+                yield pa.RecordBatch.from_arrays([nodes.slice(k, 10_000), least.slice(k, 10_000)], ["id", "comp"])
 
     return written(edges.select("a", "b").repartition(1).mapInArrow(solve, f"id {kind}, comp {kind}"), "components")
 

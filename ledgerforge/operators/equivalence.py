@@ -2,7 +2,8 @@
 
 Distances are evaluated once for each unordered pair of distinct colours, and only for pairs within the lightness bound: a range
 join by lightness buckets, ordered so that a colour meets its own bucket and the next. There are at most 2^24 colours, however
-many items; buckets are few, so one side is salted over tasks.
+many items. The pairs are the work, not the rows: up to a bound one side is broadcast and the other dealt over all tasks; beyond it
+both are shuffled by bucket, which are few, so one side is salted.
 """
 
 from __future__ import annotations
@@ -11,8 +12,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerforge.functions.color import LIGHTNESS_BOUND, rounded, tier, with_delta_e, with_lab
+from ledgerforge.sources.shared import at_most, written
 
-SALTS = 16
+SALTS = 64
+#: Colours that are broadcast (some 50 bytes each), and tasks for each core that pairs are dealt to.
+BROADCAST_COLOURS, TASKS_PER_CORE = 200_000, 3
 
 
 def near_colours(colours: DataFrame, threshold: float) -> DataFrame:
@@ -20,10 +24,13 @@ def near_colours(colours: DataFrame, threshold: float) -> DataFrame:
     width = LIGHTNESS_BOUND * threshold
     lab = with_lab(colours).withColumn("bucket", F.floor(F.col("lab_l") / width))
     left = lab.select(F.col("colour").alias("one"), F.col("lab_l").alias("l1"), F.col("lab_a").alias("a1"), F.col("lab_b").alias("b1"), F.explode(F.array(F.col("bucket"), F.col("bucket") + 1)).alias("bucket"), F.pmod(F.xxhash64("colour"), F.lit(SALTS)).alias("salt"))
-    right = lab.select(F.col("colour").alias("two"), F.col("lab_l").alias("l2"), F.col("lab_a").alias("a2"), F.col("lab_b").alias("b2"), "bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    right = lab.select(F.col("colour").alias("two"), F.col("lab_l").alias("l2"), F.col("lab_a").alias("a2"), F.col("lab_b").alias("b2"), "bucket")
+    if at_most(colours, BROADCAST_COLOURS):
+        both = left.repartition(TASKS_PER_CORE * colours.sparkSession.sparkContext.defaultParallelism).join(F.broadcast(right), "bucket")
+    else:
+        both = left.join(right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["bucket", "salt"])
     later = (F.col("l2") > F.col("l1")) | ((F.col("l2") == F.col("l1")) & (F.col("two") > F.col("one")))
-    # both sides may be small enough to broadcast: the one that streams is dealt out all the same, since the pairs are the work
-    pairs = left.repartition("bucket", "salt").join(right, ["bucket", "salt"]).where(later & (F.col("l2") - F.col("l1") <= width))
+    pairs = both.where(later & (F.col("l2") - F.col("l1") <= width))
     near = with_delta_e(pairs.drop("bucket", "salt"), ("l1", "a1", "b1"), ("l2", "a2", "b2")).where(F.col("delta_e") <= threshold)
     both = near.select(F.inline(F.array(F.struct(F.col("one").alias("one"), F.col("two").alias("two"), "delta_e"), F.struct(F.col("two").alias("one"), F.col("one").alias("two"), "delta_e"))))
     return both.unionByName(colours.select(F.col("colour").alias("one"), F.col("colour").alias("two"), F.lit(0.0).alias("delta_e")))
@@ -34,7 +41,7 @@ def equivalents(items: DataFrame, *, threshold: float = 10.0, close: float = 5.0
     threshold, nearest first, at most `top`; ties go to the smaller index. Items without a colour take no part.
     """
     items = items.where(F.col("r").isNotNull() & F.col("g").isNotNull() & F.col("b").isNotNull()).withColumn("colour", F.col("r") * 65536 + F.col("g") * 256 + F.col("b"))
-    colours = items.select("colour", "r", "g", "b").distinct()
+    colours = written(items.select("colour", "r", "g", "b").distinct(), "colours")
     offers = items.groupBy("colour", F.col("brand").alias("other")).agg(F.min(F.struct("index", "id")).alias("first"))
     best = near_colours(colours, threshold).join(offers, F.col("two") == offers["colour"]).groupBy("one", "other").agg(F.min(F.struct("delta_e", "first.index", "first.id")).alias("best"))
     asked = items.select(F.col("colour").alias("one"), "brand").distinct()

@@ -47,20 +47,42 @@ def once(rows: DataFrame) -> DataFrame:
     return ranked(rows, ["key"], [F.col("seq")]).drop("seq")
 
 
+def attributed(rows: DataFrame, vendor: str, vendors: list[str] | None, manufacturers: DataFrame | None) -> DataFrame:
+    """Rows of the allowed vendors (all without a list) whose vendor is a known manufacturer's (vendor, slug), with `manufacturer`."""
+    if vendors is not None:
+        rows = rows.where(F.coalesce(F.col(vendor), F.lit("")).isin(vendors))
+    if manufacturers is None:
+        return rows.withColumn("manufacturer", F.lit(None).cast("string"))
+    names = manufacturers.select(F.lower("vendor").alias("__v"), F.col("slug").alias("manufacturer")).distinct()
+    return rows.join(names, F.lower(vendor) == names["__v"]).drop("__v")
+
+
+def detailed(rows: DataFrame, key: str, details: DataFrame | None) -> DataFrame:
+    """Rows with `known`: the barcode that earlier details (key, ean) found for their key."""
+    if details is None:
+        return rows.withColumn("known", F.lit(None).cast("string"))
+    return rows.join(details.select(F.col("key").alias("__k"), F.col("ean").alias("known")), F.col(key).cast("string") == F.col("__k"), "left").drop("__k")
+
+
 @strategy("shopify")
-def shopify(rows: DataFrame, source: str) -> DataFrame:
+def shopify(rows: DataFrame, source: str, *, vendors: list[str] | None = None, manufacturers: DataFrame | None = None, details: DataFrame | None = None) -> DataFrame:
+    """Of the vendors in scope, attributed to their manufacturers; a barcode comes from the listing, else from earlier details (key, ean)."""
     i = _items(rows, "$.products", "handle:string,title:string,vendor:string,product_type:string,tags:array<string>,variants:array<struct<sku:string,barcode:string,price:string,available:boolean>>")
+    i = detailed(attributed(i.withColumn("vendor", F.col("i.vendor")), "vendor", vendors, manufacturers), "i.handle", details)
     first = F.try_element_at("i.variants", F.lit(1))
     hints = F.map_filter(F.create_map(F.lit("productType"), F.col("i.product_type"), F.lit("vendor"), F.col("i.vendor")), lambda k, v: v.isNotNull())
     flags = F.transform(F.coalesce("i.variants", F.array()), lambda v: F.coalesce(v["available"], F.lit(False)))
-    return once(i.select(*observation(source, F.col("i.handle"), name=F.col("i.title"), sku=first["sku"], ean=normalize_ean(first["barcode"]), price=extract.price_text(first["price"]), availability=extract.any_available(flags), hints=hints), "seq"))
+    ean = F.coalesce(normalize_ean(first["barcode"]), normalize_ean(F.col("known")))
+    return once(i.select(*observation(source, F.col("i.handle"), manufacturer=F.col("manufacturer"), name=F.col("i.title"), sku=first["sku"], ean=ean, price=extract.price_text(first["price"]), availability=extract.any_available(flags), hints=hints), "seq"))
 
 
 @strategy("woo-store-api")
-def woo(rows: DataFrame, source: str) -> DataFrame:
+def woo(rows: DataFrame, source: str, *, manufacturer: str | None = None, details: DataFrame | None = None) -> DataFrame:
+    """details (key, ean): the barcodes that product pages said, as extract.ld_product reads them."""
     i = _items(rows, "$", "id:bigint,name:string,sku:string,permalink:string,prices:struct<price:string,currency_minor_unit:int>,is_in_stock:boolean,categories:array<struct<slug:string>>")
+    i = detailed(i, "i.id", details)
     hints = F.create_map(F.lit("category"), F.array_join(F.array_sort("i.categories.slug"), ","))
-    return once(i.select(*observation(source, F.col("i.id"), name=plain_text(F.col("i.name")), sku=blank_to_null(F.col("i.sku")), url=F.col("i.permalink"), price=extract.price_minor(F.col("i.prices.price"), F.col("i.prices.currency_minor_unit")), availability=extract.any_available(F.array("i.is_in_stock")), hints=hints), "seq"))
+    return once(i.select(*observation(source, F.col("i.id"), manufacturer=F.lit(manufacturer), name=plain_text(F.col("i.name")), sku=blank_to_null(F.col("i.sku")), ean=normalize_ean(F.col("known")), url=F.col("i.permalink"), price=extract.price_minor(F.col("i.prices.price"), F.col("i.prices.currency_minor_unit")), availability=extract.any_available(F.array("i.is_in_stock")), hints=hints), "seq"))
 
 
 @strategy("algolia")
@@ -72,6 +94,14 @@ def algolia(rows: DataFrame, source: str) -> DataFrame:
     return once(i.select(*observation(source, F.col("i.objectID"), name=F.col("i.name"), sku=sku, url=F.col("i.slug"), price=F.col("i.price"), hints=hints), "seq"))
 
 
+def capped_slices(rows: DataFrame) -> DataFrame:
+    """slice, hits, pages of slices (slice, body) that say they have more hits than their pages gave: a platform's cap cut them off."""
+    v = F.try_parse_json("body")
+    n = F.coalesce(F.size(F.try_variant_get(v, "$.hits", "array<variant>")), F.lit(0))
+    each = rows.select("slice", F.try_variant_get(v, "$.nbHits", "bigint").alias("hits"), F.try_variant_get(v, "$.nbPages", "bigint").alias("pages"), n.alias("n"))
+    return each.groupBy("slice").agg(F.max("hits").alias("hits"), F.max("pages").alias("pages"), F.sum("n").alias("given")).where("hits > given").select("slice", "hits", "pages")
+
+
 @strategy("appsync")
 def appsync(rows: DataFrame, source: str) -> DataFrame:
     i = _items(rows, "$.data.products.products", "id:string,name:string,sku:string,inventory:int,preorder:boolean,seo:array<string>")
@@ -112,18 +142,53 @@ def structured_pages(rows: DataFrame, source: str) -> DataFrame:
 
 
 @strategy("cdx-archive")
-def latest_captures(rows: DataFrame, source: str) -> DataFrame:
-    """Of (original, timestamp, status), the latest good capture of each path; the first of equal times."""
-    good = rows.where("status = '200'").withColumn("path", url_path(F.col("original")))
+def latest_captures(rows: DataFrame, source: str, *, include: str = "", snapshots: DataFrame | None = None) -> DataFrame:
+    """Of (original, timestamp, status), the latest good capture of each path that matches; the first of equal times.
+
+    snapshots (original, timestamp, body), where given, are read as old shop pages: their name, number and price; captures without a
+    snapshot that names a product are then left for a later run.
+    """
+    good = rows.where("status = '200'").withColumn("path", url_path(F.col("original"))).where(F.col("path").rlike(include))
     last = ranked(good, ["path"], [F.desc("timestamp"), F.col("original")])
-    return last.select(*observation(source, F.col("path"), url=F.col("original"), hints=F.create_map(F.lit("archiveTimestamp"), F.col("timestamp"))))
+    hints = F.create_map(F.lit("archiveTimestamp"), F.col("timestamp"))
+    if snapshots is None:
+        return last.select(*observation(source, F.col("path"), url=F.col("original"), hints=hints))
+    pages = snapshots.groupBy("original", "timestamp").agg(F.max("body").alias("body"))
+    read = last.join(pages, ["original", "timestamp"]).withColumn("page", extract.legacy_page(F.col("body"))).where("page.name IS NOT NULL")
+    return read.select(*observation(source, F.col("path"), name=F.col("page.name"), sku=F.col("page.sku"), price=F.col("page.price"), url=F.col("original"), hints=hints))
+
+
+# What a sheet's columns are called, in lower case.
+SHEET_COLUMNS = {"code": ("product code", "code", "ssc"), "name": ("description", "product", "name"), "barcode": ("barcode", "ean", "upc"), "price": ("price", "rrp", "gbp rrp"), "release": ("release date", "launch date")}
+
+
+def sheet_rows(cells: DataFrame) -> DataFrame:
+    """seq, role, code, name, barcode, price, release of sheets' rows (sheet, role, line, cells): the header of a sheet is its first line
+    that names a code and a name; what stands above it, and lines without a code, are none."""
+    folded = F.transform("cells", lambda c: F.lower(F.trim(c)))
+    at = {k: F.array_max(F.transform(F.array(*map(F.lit, names)), lambda n: F.array_position("__h", n))) for k, names in SHEET_COLUMNS.items()}
+    heads = cells.withColumn("__h", folded).where(F.arrays_overlap("__h", F.array(*map(F.lit, SHEET_COLUMNS["code"]))) & F.arrays_overlap("__h", F.array(*map(F.lit, SHEET_COLUMNS["name"]))))
+    heads = heads.groupBy("sheet").agg(F.min_by(F.struct(F.col("line").alias("__from"), "__h"), "line").alias("x")).select("sheet", "x.*")
+    each = cells.join(heads, "sheet").where(F.col("line") > F.col("__from"))
+    fields = [F.when(p > 0, blank_to_null(F.try_element_at("cells", p.cast("int")))).alias(k) for k, p in at.items()]
+    return each.select(F.struct("sheet", "line").alias("seq"), "role", *fields).where("code IS NOT NULL")
 
 
 @strategy("trade-sheets")
-def trade_sheets(rows: DataFrame, source: str) -> DataFrame:
-    """Sheet rows (seq, role, code, name, barcode, price): the first value of each field in scan order; withdrawn and not current is gone."""
+def trade_sheets(rows: DataFrame, source: str, *, prefixes: list[str] | None = None, run_date: str | None = None) -> DataFrame:
+    """Sheet rows (seq, role, code, name, barcode, price, and release, if known): the first value of each field in scan order; withdrawn
+    and not current is gone.
+
+    prefixes, where given, are those of retail barcodes; other numbers are none. Rows to be released after run_date don't count yet.
+    """
+    if run_date is not None and "release" in rows.columns:
+        rows = rows.where(~extract.future(F.col("release"), F.lit(run_date).cast("date")))
     first = lambda c: F.expr(f"min_by({c}, seq) FILTER (WHERE {c} IS NOT NULL)")
-    own = rows.withColumn("barcode", normalize_ean(F.col("barcode"))).groupBy("code").agg(first("name").alias("name"), first("barcode").alias("barcode"), first("price").alias("price"), (F.bool_or(F.col("role") == "withdrawn") & ~F.bool_or(F.col("role") == "current")).alias("gone"))
+    barcode = normalize_ean(F.col("barcode"))
+    if prefixes is not None:
+        bare = F.regexp_replace("barcode", "[^0-9]", "")
+        barcode = F.when((F.length(bare) == 13) & F.coalesce(F.array_contains(F.transform(F.array(*map(F.lit, prefixes)), lambda p: F.startswith(bare, p)), True), F.lit(False)), normalize_ean(bare))
+    own = rows.withColumn("barcode", barcode).groupBy("code").agg(first("name").alias("name"), first("barcode").alias("barcode"), first("price").alias("price"), (F.bool_or(F.col("role") == "withdrawn") & ~F.bool_or(F.col("role") == "current")).alias("gone"))
     return own.select(*observation(source, F.col("code"), name=F.col("name"), sku=F.col("code"), ean=F.col("barcode"), price=extract.price_text(F.col("price")), hints=F.create_map(F.lit("status"), F.when(F.col("gone"), "discontinued").otherwise("current"))))
 
 

@@ -72,7 +72,8 @@ def test_json_ld_graphs_arrays_and_broken_blocks(spark):
 def test_least_labels_are_components(edges):
     import numpy as np
 
-    nodes, label = least_labels(np.array([a for a, _ in edges], int), np.array([b for _, b in edges], int))
+    nodes, at = np.unique(np.array(edges, int).reshape(-1), return_inverse=True)
+    label = least_labels(at[::2], at[1::2], len(nodes))
     root = {n: n for e in edges for n in e}
     for _ in range(len(root)):
         for a, b in edges:

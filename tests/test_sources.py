@@ -74,6 +74,18 @@ def test_sitemaps_pages_captures_and_sheets(spark):
     sheet = spark.createDataFrame([(1, "withdrawn", "c", None, "4006381333931", "0"), (2, "current", "c", "N", None, "£5.00")], "seq int, role string, code string, name string, barcode string, price string")
     r = strategies.trade_sheets(sheet, "s").first()
     assert (r.name, r.ean, r.price, r.hints["status"]) == ("N", "4006381333931", None, "current")
+    old = spark.createDataFrame([("https://e.org/a", "2021", "<title>Frogs - Shop</title> 12345678901 £3.50"), ("https://e.org/b", "2021", "")], "original string, timestamp string, body string")
+    both = caps.unionByName(spark.createDataFrame([("https://e.org/b", "2021", "200"), ("https://e.org/c", "2021", "200")], "original string, timestamp string, status string"))
+    assert [(r.key, r.name, r.sku, r.price) for r in strategies.latest_captures(both, "s", include="^/[ab]", snapshots=old).collect()] == [("s:/a", "Frogs", "12345678901", 3.5)]
+    cells = [("x", "current", 1, ["Price list", None, None, None]), ("x", "current", 2, ["Code", " Description ", "Barcode", "Release date"]), ("x", "current", 3, ["c1", "One", "5011921139590", "2023-01-01"]), ("x", "current", 4, ["c2", "Two", "4006381333931", "2030-01-01"]), ("x", "current", 5, [None, "sum", None, None]), ("x", "current", 6, ["c3", "Three", "4006381333931", None])]
+    lines = strategies.sheet_rows(spark.createDataFrame(cells, "sheet string, role string, line int, cells array<string>"))
+    got = {r.key: (r.name, r.ean) for r in strategies.trade_sheets(lines, "s", prefixes=["50"], run_date="2024-01-01").collect()}
+    assert got == {"s:c1": ("One", "5011921139590" if got["s:c1"][1] else None), "s:c3": ("Three", None)}
+    slices = spark.createDataFrame([("a", '{"hits":[{},{}],"nbHits":3,"nbPages":1}'), ("b", '{"hits":[{}],"nbHits":2,"nbPages":2}'), ("b", '{"hits":[{}],"nbHits":2,"nbPages":2}')], "slice string, body string")
+    assert [(r.slice, r.hits) for r in strategies.capped_slices(slices).collect()] == [("a", 3)]
+    body = payload(spark, {"products": [{"handle": h, "title": h, "vendor": v, "variants": [{"sku": "1"}]} for h, v in (("h1", "Acme"), ("h2", "ACME "), ("h3", "Other"), ("h4", "Acme"))]})
+    makers, known = spark.createDataFrame([("acme", "ac"), ("other", "ot")], "vendor string, slug string"), spark.createDataFrame([("h4", "4006381333931")], "key string, ean string")
+    assert sorted((r.key, r.manufacturer, r.ean) for r in strategies.shopify(body, "s", vendors=["Acme", "ACME "], manufacturers=makers, details=known).collect()) == [("s:h1", "ac", None), ("s:h4", "ac", "4006381333931")]
     found = spark.createDataFrame([("4006381333931", "Acme thing", "", ["ACME"]), ("4006381333931", "else", "", ["ACME"])], "ean string, title string, brand string, names array<string>")
     assert strategies.barcode_lookups(found, "s").count() == 1
 
