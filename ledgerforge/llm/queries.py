@@ -13,7 +13,7 @@ from ledgerforge.llm.html_text import extract
 from ledgerforge.llm.mixing import mix
 from ledgerforge.llm.near_dups import near_duplicates
 from ledgerforge.llm.packing import pack_documents
-from ledgerforge.llm.quality_rules import quality_rules
+from ledgerforge.llm.quality_rules import LINE_LIMIT, NGRAM_LIMITS, quality_rules
 from ledgerforge.llm.secrets import secret_report
 from ledgerforge.llm.topk import top_k
 from ledgerforge.llm.warc import archive_round_trip
@@ -66,6 +66,14 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
 
 
+def _ngram_sql(n: int) -> str:
+    """Sub-queries: of each document the words within n words found twice (`at<n>`), and how many they are with their characters (`cover<n>`)."""
+    return f"""win{n} AS (SELECT row, i, array_to_string(w[i:i + {n - 1}], ' ') AS g FROM (SELECT row, w, unnest(generate_series(1, len(w) - {n - 1})) AS i FROM d WHERE len(w) >= {n})),
+twice{n} AS (SELECT row, g FROM win{n} GROUP BY ALL HAVING count(*) > 1),
+at{n} AS (SELECT DISTINCT row, unnest(generate_series(i, i + {n - 1})) AS i FROM win{n} JOIN twice{n} USING (row, g)),
+cover{n} AS (SELECT at{n}.row, count(*) AS words, sum(length(d.w[i])) AS chars FROM at{n} JOIN d USING (row) GROUP BY ALL)"""
+
+
 QUERIES = {f.__name__: f for f in (op1_packing, op2_near_dups, op3_chat, op4_classifier, op5_warc, op6_mixing, op7_secrets, op8_topk, op9_quality_rules, op10_html)}
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL["op5_warc"] = """
@@ -95,3 +103,27 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(chars + len(role) + 20) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+# Whole sets, compared wherever two documents share a shingle, and what each reaches.
+ORACLE_SQL["op2_near_dups"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM d),
+u AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, a.n AS na, b.n AS nb FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p WHERE 100 * c >= 80 * (na + nb - c)), y AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a, b FROM y UNION SELECT r.a, y.b FROM r JOIN y ON r.b = y.a), m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, least(doc_id, coalesce(m.b, doc_id)) AS component_id, doc_id <= coalesce(m.b, doc_id) AS kept FROM s LEFT JOIN m ON m.a = doc_id
+"""
+ORACLE_SQL["op9_quality_rules"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+{", ".join(_ngram_sql(n) for n in NGRAM_LIMITS)},
+lines AS (SELECT row, x, count(*) AS n FROM (SELECT row, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY ALL),
+again AS (SELECT row, sum(n - 1) AS lines, sum((n - 1) * length(x)) AS chars FROM lines GROUP BY row),
+m AS (SELECT d.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(again.lines, 0) AS n_dup_lines,
+  coalesce(cover5.words, 0) AS n_repeat_words, coalesce(again.chars, 0) AS dup_line_chars, length(t) AS size, [{", ".join(f"coalesce(cover{n}.chars, 0)" for n in NGRAM_LIMITS)}] AS dup
+  FROM d LEFT JOIN again USING (row) {" ".join(f"LEFT JOIN cover{n} USING (row)" for n in NGRAM_LIMITS)}),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  CAST(dup_line_chars AS BIGINT) AS dup_line_chars, list_transform(dup, lambda x: CAST(x AS BIGINT)) AS dup_ngram_chars,
+  NOT base_failed AND {" AND ".join(f"dup[{k}] <= {share} * word_chars" for k, share in enumerate(NGRAM_LIMITS.values(), 1))} AND dup_line_chars <= {LINE_LIMIT} * size AS kept
+FROM b
+"""
