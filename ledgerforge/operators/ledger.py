@@ -31,9 +31,8 @@ def mark_missed(state: DataFrame, seen: DataFrame, *, full_sweep: bool, key: str
 def miss_streaks(sweeps: DataFrame, seen: DataFrame) -> DataFrame:
     """key, streak: sweeps since a key was last seen, over a history of sweeps (sweep) and sightings (key, sweep)."""
     last = seen.groupBy("key").agg(F.max("sweep").alias("last"))
-    numbered = sweeps.distinct().withColumn("n", F.row_number().over(Window.orderBy("sweep")))  # one row a sweep
-    total = numbered.agg(F.max("n").alias("total"))
-    return last.join(F.broadcast(numbered), last["last"] == numbered["sweep"]).join(F.broadcast(total)).select("key", (F.col("total") - F.col("n")).alias("streak"))
+    since = sweeps.distinct().select(F.col("sweep").alias("last"), (F.row_number().over(Window.orderBy(F.desc("sweep"))) - 1).alias("streak"))  # one row a sweep
+    return last.join(since, "last").select("key", "streak")
 
 
 def liveness(records: DataFrame, seen: DataFrame, sources: DataFrame, threshold: int = 3) -> DataFrame:
