@@ -104,13 +104,16 @@ def signatures(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFra
 
 
 def shingle_sets(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """id, digest, set of each row of docs."""
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
         for batch in batches:
-            sets = pa.array([shingle_hashes(x.as_py() or "", shingle, cache).view(np.int64) for x in batch.column(1)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["id", "set"])
+            hashes = [shingle_hashes(x.as_py() or "", shingle, cache) for x in batch.column(1)]
+            digests, sets = pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in hashes], pa.binary()), pa.array([x.view(np.int64) for x in hashes], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), digests, sets], ["id", "digest", "set"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(build, "id long, set array<long>")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(build, "id long, digest binary, set array<long>")
 
 
 def forest_members(classes: DataFrame) -> DataFrame:
@@ -259,13 +262,23 @@ class Forest:
         copies = with_set.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("k"))
         self.copies = written(copies.where("k > 1").select("digest", "id"), "copies")
         classes = with_set.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
-        self.classes = written(classes.select("id", "n", "sig"), "classes")
+        self.classes = written(classes, "classes")
+        self.repeated = with_set.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
+        if self.repeated:  # of several texts of one id alone, one counts
+            self.classes = written(self.classes.groupBy("id").agg(F.min_by(F.struct("digest", "n", "sig"), "digest").alias("x")).select("id", "x.*"), "classes")
         self.members = written(forest_members(self.classes), "members")
         # the lowest byte of each minhash is enough to tell how well two signatures agree
         lowest = lambda sig: F.unhex(F.regexp_replace(F.hex(sig), "[0-9A-F]{6}([0-9A-F]{2})", "$1"))
         met = written(self.members.select("id").distinct(), "met")
         self.shorts = written(semi(self.classes, met, "id").select("id", lowest(F.col("sig")).alias("short")), "shorts")
 
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """id, set of the classes whose id is among ids' only column."""
+        found = shingle_sets(semi(self.source, ids, self.doc_id), self.doc_id, self.text, self.shingle)
+        if self.repeated:
+            found = found.join(self.classes.select("id", "digest"), ["id", "digest"])
+        return found.select("id", "set").dropDuplicates(["id"])
+
     def clusters(self) -> DataFrame:
         """id, cluster: documents chained by neighbours whose signatures agree; those of one only are left out."""
         near = self.members.where("prev IS NOT NULL").select(F.least("id", "prev").alias("a"), F.greatest("id", "prev").alias("b"))
@@ -281,8 +294,7 @@ class Forest:
         """comps (id, comp), joined further by all links between documents of a cluster (id, cluster)."""
         sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         placed = clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        sets = shingle_sets(semi(self.source, clusters.select("id"), self.doc_id), self.doc_id, self.text, self.shingle)
-        placed = written(placed.join(sets, "id").dropDuplicates(["id"]), "sets")
+        placed = written(placed.join(self.sets(clusters.select("id")), "id"), "sets")
         of = lambda rows, known: (rows.join(known, "id", "left") if known is not None else rows.withColumn("comp", F.col("id"))).withColumn("comp", F.coalesce("comp", "id"))
         # every block with itself and with the first
         where = F.when(F.col("block") > 0, F.array("block")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -359,8 +371,7 @@ class Forest:
         other set has one, and if all sets are sorted alike, in whatever order, they meet among both sets' first. With frequent shingles
         last, few others do.
         """
-        texts = semi(self.source, dense.select("id"), self.doc_id)
-        sets = written(shingle_sets(texts, self.doc_id, self.text, self.shingle).dropDuplicates(["id"]).join(dense, "id"), "dense_sets")
+        sets = written(self.sets(dense.select("id")).join(dense, "id"), "dense_sets")
         total = sets.agg(F.sum(F.size("set"))).first()[0] or 0
 
         def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,7 +409,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     Words are runs of characters other than ASCII white space, A-Z lowered. Sets of distinct shingles are linked where
     100 * intersection >= percent * union, confirmed on the full sets of 64-bit shingle hashes. Null or empty texts have no
-    shingles and no links. A null id has a null component and is kept. Rows that repeat an id get the component of their own text.
+    shingles and no links. A null id has a null component and is kept. Rows that repeat an id get the component of their own text, if
+    another id has that text too; of several texts that this id alone has, that of the least digest counts for all.
     Other columns of docs don't matter. Two texts at exactly 0.8 share the first four values in none of the 24 trees with a
     probability of 3e-6, the whole row, where regions are dense, with one of 7e-5, and seem less than 0.62 alike with one of 1e-6.
     """

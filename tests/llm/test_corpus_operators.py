@@ -159,6 +159,31 @@ def test_dense_regions_keep_every_link(spark, monkeypatch, limit):
     assert got == {k: k if k < 600 else k - 600 for k in range(660)}
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """An id with three texts, of which another id has one and a third id a near copy of another."""
+    a, b, c = prose(1, 90), prose(2, 90), prose(3, 90)
+    near = lambda t: t + " more"
+    rows = spark.createDataFrame([(5, a), (5, a), (5, b), (5, c), (3, b), (7, near(a)), (8, near(c)), (9, prose(4, 90))], "doc_id long, text string").repartition(3)
+    runs = [sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(rows).collect()) for _ in range(2)]
+    assert runs[0] == runs[1]
+    got = Counter((d, c) for d, c, _ in runs[0])
+    assert got[5, 3] == 1 and got[5, 5] == 3 and got[3, 3] == 1 and got[9, 9] == 1 and got[7, 5] + got[8, 5] == 1
+
+
+def test_very_long_texts(spark):
+    """Texts of a million characters and more, whole."""
+    long = prose(1, 200_000, 50_000)
+    rows = docs(spark, long, long.replace("w1 ", "changed ", 40), "short " + prose(2, 20))
+    assert sorted((r.doc_id, r.component_id) for r in near_duplicates(rows).collect()) == [(0, 0), (1, 0), (2, 2)]
+    hidden = "x " * 600_000 + "token=Abc123Xyz" + " y" * 600_000
+    [r] = secret_report(docs(spark, hidden)).collect()
+    assert r.spans == "assign:1200000:1200015" and redact(docs(spark, hidden)).first().text == hidden.replace("token=Abc123Xyz", "<secret>")
+    turns = spark.createDataFrame([(1, k, "assistant", "</s>" * 250_000) for k in range(2)], "conv_id long, turn long, role string, text string")
+    assert digests(format_conversations(turns)).first().loss_chars == 2_000_000
+    labels = spark.createDataFrame([(0, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    assert classify(rows, labels).count() == 3 and mix(rows).where("doc_id = 0").first()["__tokens"] == 200_001
+
+
 def test_near_duplicates_of_null_ids_and_no_rows(spark):
     rows = docs(spark, prose(1, 50), prose(1, 50)).withColumn("doc_id", F.when(F.col("doc_id") == 0, F.col("doc_id")))
     assert sorted((r.doc_id is None, r.component_id, r.kept) for r in near_duplicates(rows).collect()) == [(False, 0, True), (True, None, True)]
