@@ -13,7 +13,10 @@ from ledgerforge.sources import paint_shops as P
 from ledgerforge.sources.strategies import STRATEGIES
 
 I = F.col  # noqa: E741
-K = I("p_partkey")
+
+
+def part_key() -> Column:
+    return I("p_partkey")
 
 
 def _text(x: Column) -> Column:
@@ -33,13 +36,13 @@ def _payloads(items: DataFrame, per: Column, item: Column, wrap: str | None, *by
 def shopify_paint_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     item = F.struct(
-        F.concat(F.lit("h"), _text(K)).alias("handle"), F.concat(F.lit("T "), _text(K)).alias("title"), F.concat(F.lit("Vendor"), _text(I("p_size") % 4)).alias("vendor"), F.concat(F.lit("t"), _text(I("p_size") % 5)).alias("product_type"),
-        F.array(F.struct(F.when(K % 5 != 0, F.concat(F.lit("k"), _text(K))).alias("sku"), F.concat(_text(I("p_size")), F.lit(".50")).alias("price"), (K % 4 == 0).alias("available"))).alias("variants"),
+        F.concat(F.lit("h"), _text(part_key())).alias("handle"), F.concat(F.lit("T "), _text(part_key())).alias("title"), F.concat(F.lit("Vendor"), _text(I("p_size") % 4)).alias("vendor"), F.concat(F.lit("t"), _text(I("p_size") % 5)).alias("product_type"),
+        F.array(F.struct(F.when(part_key() % 5 != 0, F.concat(F.lit("k"), _text(part_key()))).alias("sku"), F.concat(_text(I("p_size")), F.lit(".50")).alias("price"), (part_key() % 4 == 0).alias("available"))).alias("variants"),
     )
-    place = F.floor(K / 50).cast("int")
-    pages = _payloads(p.where(K % 2 == 0), place, item, "products").withColumn("collection", F.lit("even")).unionByName(_payloads(p.where(K % 3 == 0), place + 1_000_000, item, "products").withColumn("collection", F.lit("three")))
+    place = F.floor(part_key() / 50).cast("int")
+    pages = _payloads(p.where(part_key() % 2 == 0), place, item, "products").withColumn("collection", F.lit("even")).unionByName(_payloads(p.where(part_key() % 3 == 0), place + 1_000_000, item, "products").withColumn("collection", F.lit("three")))
     makers = spark.createDataFrame([(f"VENDOR{k}", f"m{k}") for k in range(3)], "vendor string, slug string")
-    details = p.where(K % 9 == 0).select(F.concat(F.lit("h"), _text(K)).alias("handle"), F.concat(F.lit("4"), _text(K)).alias("ean"))
+    details = p.where(part_key() % 9 == 0).select(F.concat(F.lit("h"), _text(part_key())).alias("handle"), F.concat(F.lit("4"), _text(part_key())).alias("ean"))
     out = STRATEGIES["shopify-paints"](pages, "s", manufacturers=makers, types=["t1", "t2", "t3", "t4"], details=details)
     return out.select("key", "manufacturer", "name", "sku", "ean", "price", "availability", I("hints")["collections"].alias("collections"))
 
@@ -48,9 +51,9 @@ def shopify_paint_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def woo_paint_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every other part is in a second category, whose page comes later with another price: that counts, so pages repeat the same price."""
     p = table(spark, sf_dir, "part")
-    item = lambda price: F.struct(K.alias("id"), F.concat(F.lit("N &amp; "), _text(K)).alias("name"), F.when(K % 3 != 0, F.concat(F.lit("k"), _text(K))).otherwise("").alias("sku"), F.struct(_text(price).alias("price"), F.lit(2).alias("currency_minor_unit"), F.lit("EUR").alias("currency_code")).alias("prices"), F.array(F.struct(F.lit("z").alias("slug")), F.struct(F.lit("a").alias("slug"))).alias("categories"))
-    early = _payloads(p.where(K % 2 == 0), F.floor(K / 100).cast("int"), item(I("p_size") + 7), None)
-    pages = early.unionByName(_payloads(p, F.floor(K / 100).cast("int") + 1_000_000, item(I("p_size")), None))
+    item = lambda price: F.struct(part_key().alias("id"), F.concat(F.lit("N &amp; "), _text(part_key())).alias("name"), F.when(part_key() % 3 != 0, F.concat(F.lit("k"), _text(part_key()))).otherwise("").alias("sku"), F.struct(_text(price).alias("price"), F.lit(2).alias("currency_minor_unit"), F.lit("EUR").alias("currency_code")).alias("prices"), F.array(F.struct(F.lit("z").alias("slug")), F.struct(F.lit("a").alias("slug"))).alias("categories"))
+    early = _payloads(p.where(part_key() % 2 == 0), F.floor(part_key() / 100).cast("int"), item(I("p_size") + 7), None)
+    pages = early.unionByName(_payloads(p, F.floor(part_key() / 100).cast("int") + 1_000_000, item(I("p_size")), None))
     out = STRATEGIES["woo-paints"](pages, "w", manufacturer="m")
     return out.select("key", "name", "sku", "price", I("hints")["categorySlugs"].alias("slugs"), I("hints")["currency"].alias("currency"))
 
@@ -59,12 +62,12 @@ def woo_paint_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN p_partkey % 2 = 0 THEN p_size + 0.25 END AS price, 'out_of_stock' AS availability, CAST(p_size AS VARCHAR) AS volume, 'https://e.org/a/cat/' || p_partkey || '-x.html' AS url FROM part WHERE p_partkey % 5 <> 0""")
 def numbered_product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    url = lambda path: F.concat(F.lit(f"https://e.org/{path}/cat/"), _text(K), F.lit("-x.html"))
-    urls = p.select(F.explode(F.array(url("b"), url("a"), F.concat(F.lit("https://e.org/blog/"), _text(K)))).alias("url"))
+    url = lambda path: F.concat(F.lit(f"https://e.org/{path}/cat/"), _text(part_key()), F.lit("-x.html"))
+    urls = p.select(F.explode(F.array(url("b"), url("a"), F.concat(F.lit("https://e.org/blog/"), _text(part_key())))).alias("url"))
     body = F.concat(
-        F.lit('<span itemprop="name">Home</span><div itemtype="https://schema.org/Product">'), F.when(K % 5 != 0, F.concat(F.lit('<h1 class="h" itemprop="name"> <b>Ink</b> '), _text(I("p_size")), F.lit(" ml</h1>"))).otherwise(""),
-        F.lit('<meta itemprop="sku" content="R'), _text(K), F.lit('">'), F.when(K % 3 == 0, F.concat(F.lit('<span itemprop="gtin13">8-'), F.lpad(_text(K), 12, "0"), F.lit("</span>"))).otherwise(""),
-        F.lit('<meta itemprop="price" content="'), _text(I("p_size")), F.lit('.25"><meta itemprop="priceCurrency" content="'), F.when(K % 2 == 0, "EUR").otherwise("USD"), F.lit('"><link itemprop="availability" href="https://schema.org/OutOfStock"/></div>'),
+        F.lit('<span itemprop="name">Home</span><div itemtype="https://schema.org/Product">'), F.when(part_key() % 5 != 0, F.concat(F.lit('<h1 class="h" itemprop="name"> <b>Ink</b> '), _text(I("p_size")), F.lit(" ml</h1>"))).otherwise(""),
+        F.lit('<meta itemprop="sku" content="R'), _text(part_key()), F.lit('">'), F.when(part_key() % 3 == 0, F.concat(F.lit('<span itemprop="gtin13">8-'), F.lpad(_text(part_key()), 12, "0"), F.lit("</span>"))).otherwise(""),
+        F.lit('<meta itemprop="price" content="'), _text(I("p_size")), F.lit('.25"><meta itemprop="priceCurrency" content="'), F.when(part_key() % 2 == 0, "EUR").otherwise("USD"), F.lit('"><link itemprop="availability" href="https://schema.org/OutOfStock"/></div>'),
     )
     pages = p.select(url("a").alias("url"), body.alias("body"))
     out = STRATEGIES["sitemap-sd-paints"](pages, "d", urls=P.numbered_urls(urls, "/cat/"), manufacturer="m")
@@ -76,11 +79,11 @@ def numbered_product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listed_product_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All tiles in the first category without a text; the even ones again in the second, with one."""
     p = table(spark, sf_dir, "part")
-    tile = lambda text: F.concat(F.lit('<li class="products__item"><a href="https://e.org/en/products/detail/'), _text(K), F.lit('"><p class="products__item-code"> C'), _text(K), F.lit('</p><p class="products__item-text">'), text, F.lit("</p></a></li>"))
-    listing = lambda rows, text, label, first: rows.groupBy((F.floor(K / 40).cast("int") + first).alias("place")).agg(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", tile(text).alias("t")))), lambda x: x["t"])).alias("body")).withColumn("label", F.lit(label))
-    rows = listing(p, F.lit(""), "one", 0).unionByName(listing(p.where(K % 2 == 0), F.concat(F.lit("<i>Text</i> "), _text(K)), "two", 1_000_000))
-    detail = F.concat(F.lit('<div class="detail-prodinfo__text-area"><h3 class="common__square-title"> Detail '), _text(K), F.lit("</h3><p>Product Number : N-"), _text(K), F.lit("</p> NET Amount: "), _text(I("p_size")), F.lit(".5ml 49"), F.lpad(_text(K), 11, "0"), F.lit(' </div><div class="common__container">'))
-    details = P.detail_fields(p.where(K % 4 == 0).select(_text(K).alias("id"), detail.alias("body")))
+    tile = lambda text: F.concat(F.lit('<li class="products__item"><a href="https://e.org/en/products/detail/'), _text(part_key()), F.lit('"><p class="products__item-code"> C'), _text(part_key()), F.lit('</p><p class="products__item-text">'), text, F.lit("</p></a></li>"))
+    listing = lambda rows, text, label, first: rows.groupBy((F.floor(part_key() / 40).cast("int") + first).alias("place")).agg(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", tile(text).alias("t")))), lambda x: x["t"])).alias("body")).withColumn("label", F.lit(label))
+    rows = listing(p, F.lit(""), "one", 0).unionByName(listing(p.where(part_key() % 2 == 0), F.concat(F.lit("<i>Text</i> "), _text(part_key())), "two", 1_000_000))
+    detail = F.concat(F.lit('<div class="detail-prodinfo__text-area"><h3 class="common__square-title"> Detail '), _text(part_key()), F.lit("</h3><p>Product Number : N-"), _text(part_key()), F.lit("</p> NET Amount: "), _text(I("p_size")), F.lit(".5ml 49"), F.lpad(_text(part_key()), 11, "0"), F.lit(' </div><div class="common__container">'))
+    details = P.detail_fields(p.where(part_key() % 4 == 0).select(_text(part_key()).alias("id"), detail.alias("body")))
     out = STRATEGIES["mr-hobby"](rows, "h", manufacturer="m", details=details)
     return out.select("key", "name", "sku", "ean", I("hints")["volumeMl"].alias("volume"), I("hints")["line"].alias("line"), I("hints")["lines"].alias("lines"))
 
@@ -90,19 +93,19 @@ def listed_product_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def browser_product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two lines whose members overlap, the first by URL counts; every third page of the second line belongs to a line with a system."""
     p = table(spark, sf_dir, "part")
-    link = F.concat(F.lit('<a href="https://e.org/products/p'), _text(K), F.lit('/">'))
+    link = F.concat(F.lit('<a href="https://e.org/products/p'), _text(part_key()), F.lit('/">'))
     line = lambda rows, name, url: rows.agg(F.concat_ws("", F.lit(f"<h1>{name}</h1>"), F.array_sort(F.collect_list(link))).alias("body")).withColumn("url", F.lit(url))
-    lines = line(p.where(K % 5 == 0), "Line 5", "https://e.org/line/a").unionByName(line(p.where((K % 7 == 0) & (K % 3 == 0)), "Line 21", "https://e.org/line/b")).unionByName(line(p.where(K % 7 == 0), "Line 7", "https://e.org/line/c"))
-    pages = p.select(F.concat(F.lit("https://e.org/products/p"), _text(K), F.lit("/")).alias("url"), F.concat(F.lit("<h1>Name "), _text(K), F.lit(" | Shop</h1>")).alias("body"))
+    lines = line(p.where(part_key() % 5 == 0), "Line 5", "https://e.org/line/a").unionByName(line(p.where((part_key() % 7 == 0) & (part_key() % 3 == 0)), "Line 21", "https://e.org/line/b")).unionByName(line(p.where(part_key() % 7 == 0), "Line 7", "https://e.org/line/c"))
+    pages = p.select(F.concat(F.lit("https://e.org/products/p"), _text(part_key()), F.lit("/")).alias("url"), F.concat(F.lit("<h1>Name "), _text(part_key()), F.lit(" | Shop</h1>")).alias("body"))
     out = STRATEGIES["playwright-wp"](pages, "r", lines=lines, systems=spark.createDataFrame([("Line 21", "sys")], "line string, system string"), manufacturer="m")
     return out.select("key", "name", I("hints")["gameSystem"].alias("system"), I("hints")["productLine"].alias("line"))
 
 
 @query("""SELECT 'name ' || (p_partkey % 900) AS name_key, min('c' || (p_partkey // 1000)) AS collection, arg_min('k' || p_partkey, p_partkey) AS sku FROM part GROUP BY p_partkey % 900""")
 def collection_first_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").withColumn("collection", F.concat(F.lit("c"), _text(F.floor(K / 1000))))
-    item = F.struct(F.concat(F.lit(" NAME  "), _text(K % 900)).alias("title"), F.array(F.struct(F.concat(F.lit("k"), _text(K)).alias("sku"))).alias("variants"))
-    pages = _payloads(p, F.floor(K / 100).cast("int"), item, "products", "collection")
+    p = table(spark, sf_dir, "part").withColumn("collection", F.concat(F.lit("c"), _text(F.floor(part_key() / 1000))))
+    item = F.struct(F.concat(F.lit(" NAME  "), _text(part_key() % 900)).alias("title"), F.array(F.struct(F.concat(F.lit("k"), _text(part_key())).alias("sku"))).alias("variants"))
+    pages = _payloads(p, F.floor(part_key() / 100).cast("int"), item, "products", "collection")
     return P.collection_enrichment(pages).select("name_key", "collection", "sku")
 
 
@@ -124,26 +127,26 @@ def prefixed_eans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One in four is a barcode of the prefix; others are of another prefix, a digit short, or have one too many."""
     from ledgerforge.functions.barcode import ean_from_stem
 
-    stem = lambda prefix: ean_from_stem(F.concat(F.lit(prefix), F.lpad(_text(K), 10, "0")))
-    raw = F.when(K % 4 == 0, F.concat_ws(" ", F.substring(stem("50"), 1, 6), F.substring(stem("50"), 7, 7))).when(K % 4 == 1, stem("40")).when(K % 4 == 2, F.substring(stem("50"), 1, 12)).otherwise(F.concat(F.lit("1"), stem("50")))
+    stem = lambda prefix: ean_from_stem(F.concat(F.lit(prefix), F.lpad(_text(part_key()), 10, "0")))
+    raw = F.when(part_key() % 4 == 0, F.concat_ws(" ", F.substring(stem("50"), 1, 6), F.substring(stem("50"), 7, 7))).when(part_key() % 4 == 1, stem("40")).when(part_key() % 4 == 2, F.substring(stem("50"), 1, 12)).otherwise(F.concat(F.lit("1"), stem("50")))
     return table(spark, sf_dir, "part").select("p_partkey", P.retail_ean(raw, ["50", "51"]).alias("ean"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'Toads' WHEN p_partkey % 3 = 1 AND p_partkey % 2 = 0 THEN 'Frogs' WHEN p_partkey % 5 = 0 THEN 'Newts' END AS faction FROM part""")
 def seo_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seo = F.when(K % 3 == 0, F.array(F.lit("none"), F.lit("the TOADS of"), F.lit("frogs"))).when((K % 3 == 1) & (K % 2 == 0), F.array(F.lit("toad"), F.lit("frogs and toads")))
-    return table(spark, sf_dir, "part").select("p_partkey", P.seo_term(seo, F.when(K % 5 == 0, "Big newts").otherwise("x"), ["Frogs", "Toads", "Newts"]).alias("faction"))
+    seo = F.when(part_key() % 3 == 0, F.array(F.lit("none"), F.lit("the TOADS of"), F.lit("frogs"))).when((part_key() % 3 == 1) & (part_key() % 2 == 0), F.array(F.lit("toad"), F.lit("frogs and toads")))
+    return table(spark, sf_dir, "part").select("p_partkey", P.seo_term(seo, F.when(part_key() % 5 == 0, "Big newts").otherwise("x"), ["Frogs", "Toads", "Newts"]).alias("faction"))
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '1' || p_partkey WHEN 1 THEN '2' || p_partkey WHEN 2 THEN '3' || p_partkey WHEN 3 THEN '4' || p_partkey END AS gtin FROM part""")
 def nested_ld_gtins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A graph within an array, offers of which a later one has the number, a number of its own, one beside a broken block; none."""
-    k, block = _text(K), lambda body: F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
+    k, block = _text(part_key()), lambda body: F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))
     html = (
-        F.when(K % 5 == 0, block(F.concat(F.lit('[{"@type":"WebPage"},{"@graph":[{"@type":"Thing"},{"@type":["Product","X"],"name":"n","gtin13":"1'), k, F.lit('"}]}]'))))
-        .when(K % 5 == 1, block(F.concat(F.lit('{"@type":"Product","name":"n","offers":[{"price":1},{"gtin":"2'), k, F.lit('"}]}'))))
-        .when(K % 5 == 2, block(F.concat(F.lit('{"@type":"Product","name":"n","gtin":3'), k, F.lit("}"))))
-        .when(K % 5 == 3, F.concat(block(F.lit("{broken")), block(F.concat(F.lit('{"@type":"Product","name":"n","offers":{"gtin12":"4'), k, F.lit('"}}')))))
+        F.when(part_key() % 5 == 0, block(F.concat(F.lit('[{"@type":"WebPage"},{"@graph":[{"@type":"Thing"},{"@type":["Product","X"],"name":"n","gtin13":"1'), k, F.lit('"}]}]'))))
+        .when(part_key() % 5 == 1, block(F.concat(F.lit('{"@type":"Product","name":"n","offers":[{"price":1},{"gtin":"2'), k, F.lit('"}]}'))))
+        .when(part_key() % 5 == 2, block(F.concat(F.lit('{"@type":"Product","name":"n","gtin":3'), k, F.lit("}"))))
+        .when(part_key() % 5 == 3, F.concat(block(F.lit("{broken")), block(F.concat(F.lit('{"@type":"Product","name":"n","offers":{"gtin12":"4'), k, F.lit('"}}')))))
         .otherwise(block(F.lit('{"@type":"Product","name":"n"}')))
     )
     return table(spark, sf_dir, "part").select("p_partkey", extract.ld_product(html)["gtin"].alias("gtin"))
@@ -185,7 +188,7 @@ def pruned_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT CAST(p_partkey AS VARCHAR) AS id FROM part ORDER BY p_partkey DESC LIMIT 50")
 def numeric_text_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last fifty by number, which by text would be others."""
-    rows = table(spark, sf_dir, "part").select(_text(-K).alias("n"), _text(K).alias("id"))
+    rows = table(spark, sf_dir, "part").select(_text(-part_key()).alias("n"), _text(part_key()).alias("id"))
     return sets.by_number(rows, "n").limit(50).select("id")
 
 
