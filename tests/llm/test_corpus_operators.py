@@ -457,7 +457,7 @@ def test_owners_and_repositories_are_counted_apart(spark):
     """Planted copies: the verdict follows the number of owners and, from two owners on, of repositories; hot strings go the same way."""
     secret = {n: f"token={n}Secret99" for n in ("one", "few", "many", "wide")}
     rows = [("one", f"o{k % 1}", f"r{k}") for k in range(40)] + [("few", f"o{k % 2}", f"r{k % 2}") for k in range(4)] + [("many", f"o{k}", "r") for k in range(3)] + [("wide", f"o{k % 2}", f"r{k}") for k in range(6)]
-    rows = spark.createDataFrame([(k, f"{secret[n]} ghp_{n}{'a1' * 12}", repo, owner, 0) for k, (n, owner, repo) in enumerate(rows)], DOCS)
+    rows = spark.createDataFrame([(k, f"{secret[n]} ghp_{n}{'Z9' * 12}", repo, owner, 0) for k, (n, owner, repo) in enumerate(rows)], DOCS)
     for hot in (10_000, 5, 1):
         with pytest.MonkeyPatch.context() as patch:
             patch.setattr("ledgerforge.llm.secrets.HOT_SPANS", hot)
@@ -531,7 +531,7 @@ def test_repetition_decides_where_the_base_rule_keeps(spark):
     draw = random.Random(6)
     phrase = " ".join(f"the same four {'words' * 3} u{k}" for k in range(30))  # a phrase of four with another word each time
     stutter = " ".join(f"w{k} " * 5 for k in range(12))
-    lines = "\n".join(["unique words on this line " + prose(k, 12) for k in range(6)] + [f"{'x' * 80} y"] * 8)
+    lines = "\n".join([prose(k, 12, 4000) for k in range(8)] + [f"{'x' * 80} y"] * 8)
     clean = prose(2, 400, 4000)
     texts = [phrase, stutter, lines, clean, *(" ".join(draw.choice(["aa", "b", "cé"]) + draw.choice([" ", "\n", "  "]) for _ in range(draw.randrange(40))) for _ in range(80))]
     got = {r.doc_id: r for r in quality_rules(docs(spark, *texts)).collect()}
