@@ -108,7 +108,10 @@ def format_conversations(rows: DataFrame, template: Template = instruct_template
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """Digests read back from the formatted texts alone, and from the loss mask: the text spans of assistant turns."""
+    """Digests read back from the formatted texts alone, and from the loss mask: the text spans of assistant turns.
+
+    A row for each of formatted, a null conv_id and repeated ones too; a text that instruct_template didn't make fails the query.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
