@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 
 from ledgerforge.llm.chat import digests, format_conversations
 from ledgerforge.llm.classifier import classify
+from ledgerforge.llm.clustering import yinyang
 from ledgerforge.llm.common import table
+from ledgerforge.llm.hard_negatives import hard_negatives
 from ledgerforge.llm.html_text import extract
 from ledgerforge.llm.mixing import mix
 from ledgerforge.llm.near_dups import near_duplicates
 from ledgerforge.llm.packing import pack_documents
 from ledgerforge.llm.quality_rules import LINE_LIMIT, NGRAM_LIMITS, quality_rules
 from ledgerforge.llm.secrets import secret_report
+from ledgerforge.llm.simhash import simhash_duplicates
 from ledgerforge.llm.topk import top_k
 from ledgerforge.llm.warc import archive_round_trip
 
@@ -66,6 +69,20 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return yinyang(table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def _ngram_sql(n: int) -> str:
     """Sub-queries: of each document the words within n words found twice (`at<n>`), and how many they are with their characters (`cover<n>`)."""
     return f"""win{n} AS (SELECT row, i, array_to_string(w[i:i + {n - 1}], ' ') AS g FROM (SELECT row, w, unnest(generate_series(1, len(w) - {n - 1})) AS i FROM d WHERE len(w) >= {n})),
@@ -74,7 +91,7 @@ at{n} AS (SELECT DISTINCT row, unnest(generate_series(i, i + {n - 1})) AS i FROM
 cover{n} AS (SELECT at{n}.row, count(*) AS words, sum(length(d.w[i])) AS chars FROM at{n} JOIN d USING (row) GROUP BY ALL)"""
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_near_dups, op3_chat, op4_classifier, op5_warc, op6_mixing, op7_secrets, op8_topk, op9_quality_rules, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_near_dups, op3_chat, op4_classifier, op5_warc, op6_mixing, op7_secrets, op8_topk, op9_quality_rules, op10_html, op11_hard_negatives, op12_clusters, op13_simhash)}
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL["op5_warc"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
@@ -127,3 +144,39 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   NOT base_failed AND {" AND ".join(f"dup[{k}] <= {share} * word_chars" for k, share in enumerate(NGRAM_LIMITS.values(), 1))} AND dup_line_chars <= {LINE_LIMIT} * size AS kept
 FROM b
 """
+ORACLE_SQL["op11_hard_negatives"] = """
+WITH v AS (SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.row, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, coalesce(CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda z: z[1] * z[2])) AS BIGINT), 0) AS score
+  FROM v a, v c WHERE a.vec_id % 50 = 0 AND a.row <> c.row),
+p AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS place FROM s WHERE same AND vec_id <> anchor_id),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.row, p.place ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.row = p.row AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score WHERE p.place <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+def _kmeans_sql(k: int, rounds: int, seed: int, scale: int, dims: int) -> str:
+    """Full scans: a<r> has each vector's nearest centroid of c<r>, c<r + 1> the floored means."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS MATERIALIZED (SELECT v.row, c.no, CAST(list_sum(list_transform(list_zip(v.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS distance FROM v, c{r} c),
+a{r} AS MATERIALIZED (SELECT row, min(distance) AS distance, arg_min(no, (distance, no)) AS no FROM d{r} GROUP BY row)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT a.no, u.i, sum(u.x) AS s, count(*) AS n FROM a{r} a JOIN u USING (row) GROUP BY ALL),
+f{r} AS (SELECT no, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY i) AS e FROM m{r} GROUP BY no),
+c{r + 1} AS MATERIALIZED (SELECT c.no, coalesce(f.e, c.e) AS e FROM c{r} c LEFT JOIN f{r} f USING (no))""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS MATERIALIZED (SELECT row, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM v),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h NULLS LAST, e) - 1 AS INTEGER) AS no, e FROM (SELECT sha256('{seed}:' || vec_id) AS h, e FROM v ORDER BY h NULLS LAST, e LIMIT {k})),
+{", ".join(steps)},
+w AS (SELECT no, sum(distance) AS part FROM a{rounds} GROUP BY no)
+SELECT v.vec_id, a.no AS cluster, a.distance, CAST(w.part AS BIGINT) AS cluster_inertia, CAST((SELECT sum(part) FROM w) AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (row) JOIN w USING (no) JOIN c{rounds} c USING (no)
+"""
+
+
+ORACLE_SQL["op12_clusters"] = _kmeans_sql(8, 10, 3, 1024, 64)
