@@ -8,9 +8,10 @@ is not less than its own (else it is a copied article).
 
 The template's containers nest as the pages' elements do; what a container holds besides the template's texts and its inner
 containers is a slot. The slots of all pages of a host tell the article: it is where most pages have most of their text outside
-links, with what lies within it and the heading before it. Slots within it that hold links alone, or the same text on page after page,
-are the site's. Names of tags, classes and ids part menus, notices, adverts, forms and comments from the rest of those slots; they
-decide alone on pages without such a template.
+links, with what lies within it and the heading before it. Within it nothing goes for its links or for being repeated; the template's
+texts go from containers of their own, which have no other text on the page, and where they frame the article's text on both sides.
+Names of tags, classes and ids part menus, notices, adverts, forms and comments from the rest; they decide alone on pages without
+such a template.
 
 Vectors are never built: a class is known by the exclusive-or of one hash per page and count, an aggregate that combines on the
 map side, so a host with a third of all pages is no burden. Pages stay where they are read; only the templates travel. Pages of
@@ -40,8 +41,6 @@ LEAST_PAGES, LEAST_TOKENS, LEAST_SHARE = 10, 4, 0.9
 LAYOUT_SHARE = 0.1
 #: A slot beside the article's is a part of it with this share of its text, at most this share of it in links, if it differs on this share of pages.
 PART_TEXT, PART_LINKS, PART_FILLS = 0.25, 0.3, 0.9
-#: A slot within the article is the site's with this share of its text in links, or if its fills are at most this share of its pages.
-SITE_LINKS, SITE_FILLS = 0.9, 0.5
 
 # HTML's elements by how they are read.
 _RAW = ("script", "style", "noscript", "template", "iframe", "svg", "canvas", "audio", "video", "textarea", "title", "xmp", "noembed", "noframes")
@@ -255,29 +254,46 @@ class Page:
             out.append(k if e.container and e.token in template else out[e.parent])
         return out
 
-    def text(self, template=frozenset(), mains=(), site=frozenset()) -> str:
-        """The article's blocks without the template's texts.
+    def text(self, template=frozenset(), mains=()) -> str:
+        """The article's blocks without what is the site's.
 
-        mains: (main, parts) containers by rank; the first that the page has holds the article, its parts are of it too. site: containers
-        within that aren't. Where the page has none of them, markup tells the article.
+        mains: (main, parts) containers by rank; the first that the page has holds the article, its parts are of it too. Where the page
+        has none of them, markup tells the article; where that doesn't either, all texts of the template are the site's.
         """
         own = {e.token for e in self.elements} if mains else ()
         region = next(({main, *parts} for main, parts in mains if main in own), None)
         if region is None:
             kept = self.marked()
-        else:
-            state = [0]  # of elements: 1 within the article, -1 within one of the site's containers in it
-            for e in self.elements[1:]:
-                up = state[e.parent]
-                state.append(1 if e.token in region else -1 if up and e.token in site else up)
-            of = [b for b in self.blocks if not b.aside]
-            kept = [b for b in of if state[b.element] == 1]
-            first = next((k for k, b in enumerate(of) if state[b.element] == 1), 0)
-            tags = [self.elements[b.element].tag for b in kept]
-            if "h1" not in tags and (not tags or tags[0] not in _HEADINGS):  # the heading before it, with what lies between
-                head = max((k for k in range(first) if self.elements[of[k].element].tag == "h1" and self.token(of[k]) not in template), default=first)
-                kept = [b for b in of[head:first] if not any(self.elements[e].token in site for e in self.chain(b.element))] + kept
-        return "\n".join(b.text for b in kept if not template or self.token(b) not in template)
+            if not any(b.inside for b in kept):
+                return "\n".join(b.text for b in kept if self.token(b) not in template)
+            return "\n".join(b.text for b in self.without_site(kept, {k for k, e in enumerate(self.elements) if e.tag in ("article", "main")}, template))
+        within = [False]
+        for e in self.elements[1:]:
+            within.append(e.token in region or within[e.parent])
+        of = [b for b in self.blocks if not b.aside]
+        kept = self.without_site([b for b in of if within[b.element]], {k for k, e in enumerate(self.elements) if e.token in region}, template)
+        first = next((k for k, b in enumerate(of) if within[b.element]), 0)
+        tags = [self.elements[b.element].tag for b in kept]
+        if "h1" not in tags and (not tags or tags[0] not in _HEADINGS):  # the heading before it, with what lies between
+            before = [b for b in of[:first] if self.token(b) not in template]
+            head = max((k for k, b in enumerate(before) if self.elements[b.element].tag == "h1"), default=len(before))
+            kept = before[head:] + kept
+        return "\n".join(b.text for b in kept)
+
+    def without_site(self, blocks: list[Block], roots: set[int], template) -> list[Block]:
+        """An article's blocks without the template's texts in containers within the roots that hold nothing else, and without those before
+        and after all other text if there are such on both sides, LEAST_TOKENS together."""
+        site = [self.token(b) in template for b in blocks]
+        if not any(site):
+            return blocks
+        around = [[e for e in self.chain(b.element) if self.elements[e].container] for b in blocks]
+        around = [es[: next((k for k, e in enumerate(es) if e in roots), len(es))] for es in around]  # those within the innermost root
+        filled = {e for es, of_site in zip(around, site, strict=True) if not of_site for e in es}
+        left = [(b, of_site) for b, of_site, es in zip(blocks, site, around, strict=True) if not of_site or filled.issuperset(es)]
+        own = [k for k, (_, of_site) in enumerate(left) if not of_site]
+        if own and own[0] and own[-1] < len(left) - 1 and own[0] + len(left) - 1 - own[-1] >= LEAST_TOKENS:
+            left = left[own[0] : own[-1] + 1]
+        return [b for b, _ in left]
 
 
 def host_of(url: Column) -> Column:
@@ -341,7 +357,7 @@ def _gaps(texts: list[tuple[int, int]], places: list[int], tokens: list[int]) ->
 
 
 def class_places(rows: DataFrame) -> DataFrame:
-    """For each page, class of texts, and class of the page: the places of the first in the second, or its own order.
+    """For each page, class of texts that isn't shared, and class of the page: the places of the first in the second; its own order for all.
 
     rows: host, html, classes. Out: host, id, other, a and b (by all tokens of `other`, and by its texts), fill (a hash of the text
     that is of no class), fill_chars, own_chars (of the class within the article).
@@ -349,12 +365,14 @@ def class_places(rows: DataFrame) -> DataFrame:
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, last, known = ("host", "id", "other", "a", "b", "fill", "fill_chars", "own_chars"), None, {}
+        sure: set[int] = set()
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 out = []
                 for host, source, found in zip(*(batch.column(k).slice(start, 200) for k in range(3)), strict=True):
                     if last != (now := host.as_py()):
                         last, known = now, {unsigned(x): c["id"] for c in found.as_py() for x in c["tokens"]}
+                        sure = {c["id"] for c in found.as_py() if c["shared"]}
                     page = Page(source.as_py() or "")
                     tokens, places, own = page.tokens(), {}, {}
                     for k, x in enumerate(tokens):
@@ -368,7 +386,7 @@ def class_places(rows: DataFrame) -> DataFrame:
                     for c, (at, texts) in both.items():
                         rest = (fill, own.get(None, 0), own.get(c, 0))
                         out.append((last, c, c, _order([tokens[k] for k in at]), _order([tokens[k] for k in texts]), *rest))
-                        if texts:
+                        if texts and c not in sure:
                             pairs = [(k, tokens[k]) for k in texts]
                             out += [(last, c, d, _gaps(pairs, x, tokens), _gaps(pairs, y, tokens), *rest) for d, (x, y) in both.items() if d != c]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.string() if k == 0 else pa.int64()) for k in range(len(names))], names)
@@ -421,7 +439,7 @@ def page_slots(rows: DataFrame) -> DataFrame:
 
 
 def articles(slots: DataFrame) -> DataFrame:
-    """host, mains, site: the containers of the host's articles by the pages they won, each with its parts, and those of the site within."""
+    """host, mains: the containers of the host's articles by the pages they won, each with its parts."""
     facts = slots.groupBy("host", "slot").agg(
         F.min("outer").alias("outer"), F.count("*").alias("pages"), F.count_if("won").alias("won"), F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.count_if(F.col("chars") > 0).alias("filled"),
         F.approx_count_distinct(F.when(F.col("chars") > 0, F.col("fill")), 0.02).alias("fills"),
@@ -444,11 +462,9 @@ def articles(slots: DataFrame) -> DataFrame:
                 continue
             parts = [s for s in of if s != main and of[s]["outer"] == of[main]["outer"] and prose(of[s], of[slot])]
             mains.append({"main": main, "parts": sorted(parts)})
-        heads = {m["main"] for m in mains} | {p for m in mains for p in m["parts"]}
-        site = [s for s, r in of.items() if s not in heads and r["filled"] >= LEAST_PAGES and (r["links"] >= SITE_LINKS * r["chars"] or r["fills"] <= SITE_FILLS * r["filled"])]
-        return pa.table({"host": table["host"][:1], "mains": pa.array([mains], pa.list_(pa.struct([("main", pa.int64()), ("parts", pa.list_(pa.int64()))]))), "site": pa.array([sorted(site)], pa.list_(pa.int64()))})
+        return pa.table({"host": table["host"][:1], "mains": pa.array([mains], pa.list_(pa.struct([("main", pa.int64()), ("parts", pa.list_(pa.int64()))])))})
 
-    return facts.groupBy("host").applyInArrow(choose, "host string, mains array<struct<main:bigint,parts:array<bigint>>>, site array<bigint>")
+    return facts.groupBy("host").applyInArrow(choose, "host string, mains array<struct<main:bigint,parts:array<bigint>>>")
 
 
 def _with(rows: DataFrame, found: DataFrame, columns: list[str], how: str, most: int) -> DataFrame:
@@ -464,7 +480,7 @@ def templates(pages: DataFrame, *, broadcast_tokens: int = 500_000) -> DataFrame
     kept = found.where("shared")
     rarer = found.where("NOT shared").where(F.exists("tokens", lambda x: x.bitwiseAND(F.lit(1)) == 1))
     if rarer.limit(1).count():
-        asked = found.join(rarer.select("host").distinct(), "host", "left_semi").groupBy("host").agg(F.collect_list(F.struct("id", "tokens")).alias("classes"))
+        asked = found.join(rarer.select("host").distinct(), "host", "left_semi").groupBy("host").agg(F.collect_list(F.struct("id", "tokens", "shared")).alias("classes"))
         places = written(class_places(_with(_hosted(pages), written(asked, "asked"), ["classes"], "inner", broadcast_tokens)), "on_pages")
         kept = kept.unionByName(rarer.join(layouts(places), ["host", "id"], "left_semi"))
     # a layout of markup alone needs no place: its containers nest as elements do
@@ -485,27 +501,27 @@ def extract(pages: DataFrame, *, broadcast_tokens: int = 500_000) -> DataFrame:
 
     A null or empty html has an empty text; pages without a host, or of hosts with fewer than LEAST_PAGES pages, have no template, so
     markup alone tells their article. Text of many pages of a host is only taken for the site's if it shares the occurrences of
-    LEAST_TOKENS tokens. Repeated rows are pages of their own; other columns of pages don't matter. Templates are broadcast up to
+    LEAST_TOKENS tokens; within the article it stays but in boxes of its own and frames (without_site). Repeated rows are pages of their own; other columns of pages don't matter. Templates are broadcast up to
     `broadcast_tokens` tokens, joined by a shuffle beyond that.
     """
     hosted = pages.where(host_of(F.col("url").cast("string")) != "")
     found = written(templates(hosted, broadcast_tokens=broadcast_tokens), "templates")
-    plan = found.withColumns({"mains": F.lit(None).cast("array<struct<main:bigint,parts:array<bigint>>>"), "site": F.lit(None).cast("array<bigint>")})
+    plan = found.withColumn("mains", F.lit(None).cast("array<struct<main:bigint,parts:array<bigint>>>"))
     if found.limit(1).count():
         chosen = articles(page_slots(_with(_hosted(hosted), found, ["template"], "inner", broadcast_tokens)))
         plan = written(found.join(chosen, "host", "left"), "plans")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    rows = _with(rows.withColumn("host", host_of(F.col("url"))), plan, ["template"], "left", broadcast_tokens).select("page_id", "url", "html", "host", "template", "mains", "site")
+    rows = _with(rows.withColumn("host", host_of(F.col("url"))), plan, ["template"], "left", broadcast_tokens).select("page_id", "url", "html", "host", "template", "mains")
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, plan = None, (frozenset(), (), frozenset())
+        last, plan = None, (frozenset(), ())
         for batch in batches:
             texts = []
-            for source, at, tokens, mains, site in zip(*(batch.column(k) for k in range(2, 7)), strict=True):
+            for source, at, tokens, mains in zip(*(batch.column(k) for k in range(2, 6)), strict=True):
                 if last != (now := at.as_py()):
                     last = now
                     regions = [(unsigned(m["main"]), frozenset(map(unsigned, m["parts"]))) for m in mains.as_py() or ()]
-                    plan = frozenset(map(unsigned, tokens.as_py() or ())), regions, frozenset(map(unsigned, site.as_py() or ()))
+                    plan = frozenset(map(unsigned, tokens.as_py() or ())), regions
                 texts.append(Page(source.as_py() or "").text(*plan))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])
 

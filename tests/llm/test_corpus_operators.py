@@ -566,11 +566,30 @@ def test_articles_without_the_rest():
     assert Page("<div><nav>x</nav><p>body</div>").text() == "body"
 
 
-def test_templates_take_what_all_pages_share(spark):
-    rows = [(k, "http://one.org/x", PAGE.format(k=k)) for k in range(12)] + [(90, "http://two.org", PAGE.format(k=9)), (91, None, None), (92, "::", "")]
+@pytest.mark.parametrize("size", [1, 9, 10, 24])
+def test_articles_are_whole_on_hosts_of_any_size(spark, size):
+    """Reference lists, abstracts with few texts and a sentence on all pages stay; what is named otherwise goes."""
+    links = lambda k, what: "".join(f'<li><a href="/{what}{k}/{j}">{what} {k} {j}</a></li>' for j in range(4))
+    body = lambda k: f'<h1>Title {k}</h1><div class="abstract">{"In brief: one." if k % 2 else "In brief: two."}</div><p>{prose(k, 60, 60)}</p><p>This sentence is on all pages.</p><p>{prose(900 + k, 30, 60)}</p><ul class="references">{links(k, "source")}</ul>'
+    other = '<div class="share-buttons">Share this</div><nav class="toc"><a href="#a">On this page</a></nav>'
+    page = lambda k: f'<html><head><title>t</title></head><body><nav><a href="/">Home</a><a href="/b">About</a></nav><article>{body(k)}{other}<ul class="related-posts">{links(k, "more")}</ul></article><footer><p>Imprint</p><p>Terms</p></footer></body></html>'
+    rows = [(k, f"http://h{size}.org/{k}", page(k)) for k in range(size)] + [(100, "http://common.org/", PAGE.format(k=1)), (101, None, None), (102, "::", "")]
     got = {r.page_id: r for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(1))).collect()}
-    assert "Same line everywhere" not in got[3].text and got[3].text.startswith("Head & 3") and "Same line everywhere" in got[90].text
-    assert got[91].text == "" and got[92].n_chars == 0 and got[3].n_chars == len(got[3].text)
+    for k in range(size):
+        want = [f"Title {k}", "In brief: one." if k % 2 else "In brief: two.", prose(k, 60, 60), "This sentence is on all pages.", prose(900 + k, 30, 60), *(f"source {k} {j}" for j in range(4))]
+        assert got[k].text.split("\n") == want and got[k].n_chars == len(got[k].text)
+    assert got[100].text == Page(PAGE.format(k=1)).text() and got[101].text == "" and got[102].n_chars == 0
+
+
+def test_boxes_and_frames_of_a_template_go(spark):
+    """Without names: a notice's box within the article, and lines before and after its text, are the site's; one line on all pages isn't."""
+    box = '<div class="k9"><p>We use things</p><p>Read more about them</p></div>'
+    page = lambda k: f"<html><body><article><p>Line one</p><p>Line two</p><p>{prose(k, 40)}</p>{box}<p>The same here</p><p>{prose(700 + k, 40)}</p><p>Line three</p><p>Line four</p></article></body></html>"
+    plain = lambda k: f"<html><body><article><h1>All pages say so</h1><p>{prose(k, 40)}</p><p>One</p><p>Two</p><p>Three</p><p>Four</p></article></body></html>"
+    rows = [(k, "http://one.org/", page(k)) for k in range(15)] + [(100 + k, "http://two.org/", plain(k).replace("<h1>All pages say so</h1>", "")) for k in range(15)]
+    got = {r.page_id: r.text.split("\n") for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == [prose(k, 40), "The same here", prose(700 + k, 40)] for k in range(15))
+    assert all(got[100 + k] == [prose(k, 40), "One", "Two", "Three", "Four"] for k in range(15))
 
 
 def test_layouts_have_templates_of_their_own(spark):
