@@ -38,8 +38,8 @@ REGION_PAIRS = 20_000
 FREQUENT = 500_000
 #: Texts with copies that may be broadcast (24 bytes each).
 COPIES_BROADCAST = 250_000
-#: Documents in a block of a cluster, about.
-BLOCK = 400
+#: Documents in a block of a cluster, and shingles of them (16 MB), about: whichever is reached first.
+BLOCK, BLOCK_SHINGLES = 400, 2_000_000
 #: Least share of equal minhashes with which neighbours are of one cluster, and with which a pair's sets are compared; at a similarity
 #: of 0.8 the deviation is 0.037.
 CLUSTER_ESTIMATE, LEAST_ESTIMATE = 0.74, 0.62
@@ -292,8 +292,10 @@ class Forest:
 
     def compared(self, clusters: DataFrame, comps: DataFrame | None) -> DataFrame:
         """comps (id, comp), joined further by all links between documents of a cluster (id, cluster)."""
-        sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        placed = clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        blocks = lambda rows, shingles: F.ceil(F.greatest(rows / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+        weighed = clusters.join(self.classes.select("id", "n"), "id")
+        sizes = weighed.groupBy("cluster").agg(blocks(F.count("*"), F.sum("n")).alias("blocks"))
+        placed = weighed.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         placed = written(placed.join(self.sets(clusters.select("id")), "id"), "sets")
         of = lambda rows, known: (rows.join(known, "id", "left") if known is not None else rows.withColumn("comp", F.col("id"))).withColumn("comp", F.coalesce("comp", "id"))
         # every block with itself and with the first
@@ -301,8 +303,8 @@ class Forest:
         comps = self._merged(comps, self._in_blocks(of(placed, comps).select("cluster", F.explode(where).alias("at"), F.lit(0).alias("by"), "id", "comp", F.lit(True).alias("few"), "set")))
         # what is still apart, in large clusters, with every block
         large = of(placed.where("blocks > 1"), comps)
-        parts = large.groupBy("cluster", "comp").agg(F.count("*").alias("k")).groupBy("cluster").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"))
-        parts = parts.where(F.col("all") > F.col("most")).withColumn("rows", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")).select("cluster", "main", "rows")
+        parts = large.groupBy("cluster", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("s")).groupBy("cluster").agg(F.max(F.struct("k", "comp", "s")).alias("x"), F.sum("k").alias("all"), F.sum("s").alias("shingles"))
+        parts = parts.where(F.col("all") > F.col("x.k")).select("cluster", F.col("x.comp").alias("main"), blocks(F.col("all") - F.col("x.k"), F.col("shingles") - F.col("x.s")).alias("rows"))
         left = written(large.join(parts, "cluster"), "apart")
         if not left.limit(1).count():
             return comps

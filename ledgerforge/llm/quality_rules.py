@@ -105,7 +105,7 @@ def filter_quality(docs: DataFrame, *, text: str = "text", limits: dict[int, flo
         for batch in batches:
             yield batch.filter(pa.array([measure(x.as_py() or "", limits, line_limit)[-1] for x in batch.column(at)], pa.bool_()))
 
-    at = docs.columns.index(text)
+    at = [c.lower() for c in docs.columns].index(text.lower())  # as Spark knows columns
     return docs.mapInArrow(keep, docs.schema)
 
 

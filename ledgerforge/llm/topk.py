@@ -178,8 +178,8 @@ def top_k(vectors: DataFrame, *, k: int = 20, every: int = 20, scale: int = 64,
 
     The score is the inner product of the vectors floor(scale * x); a vector whose product with one like it could pass a long fails the
     query. Ties go to the smaller id. Rows with a null id, a null vector, or a null or non-finite component take no part. Vectors of different
-    lengths compare as if filled with zeros. Rows that share an id are left out of their own query together. Other columns of vectors
-    don't matter, and no rows give none.
+    lengths compare as if filled with zeros. Rows that share an id are left out of their own query together; each of them is ranked by
+    itself, if that id is a query's. Other columns of vectors don't matter, and no rows give none.
     """
     width = vectors.agg(F.max(F.size(vector))).first()[0]
     if width is None or width < 1:
@@ -187,23 +187,26 @@ def top_k(vectors: DataFrame, *, k: int = 20, every: int = 20, scale: int = 64,
     rows = vectors.count()
     # as many tasks as full blocks: small files would otherwise make small blocks, whose work is mostly calls
     blocks = max(1, math.ceil(rows / BLOCK_ROWS))
-    index = written(packed(vectors.repartition(blocks), vec_id, vector, scale, 2 * BLOCK_ROWS, width).withColumn("block", F.spark_partition_id().cast("long")), "index")
+    index = written(packed(vectors.repartition(blocks), vec_id, vector, scale, 2 * BLOCK_ROWS, width).withColumns({"block": F.spark_partition_id().cast("long"), "part": F.monotonically_increasing_id()}), "index")
     few = vectors.where(F.col(vec_id) % every == 0)
     packs = packed(few.repartition(max(1, math.ceil(rows / every / PACK_QUERIES))), vec_id, vector, scale, PACK_QUERIES, width).withColumnRenamed("data", "queries").withColumnRenamed("n", "asked")
-    meets = packs.select("asked", "queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    both = meets.repartition("block").join(index, "block").select("asked", "queries", "n", "data", "block")
+    packs = written(packs.withColumn("pack", F.monotonically_increasing_id()), "packs")
+    meets = packs.select("pack", "asked", "queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+    both = meets.repartition("block").join(index, "block").select("pack", "asked", "queries", "n", "data", "part")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, block = None, None
         for batch in batches:
-            for asked, queries, n, data, at in zip(*batch.columns, strict=True):
-                if last != (at.as_py(), n.as_py(), data.as_py()[:64]):  # a task may have filled more than one block
-                    last, block = (at.as_py(), n.as_py(), data.as_py()[:64]), Block(*_unpack(data.as_py(), n.as_py()))
+            for pack, asked, queries, n, data, part in zip(*batch.columns, strict=True):
+                if last != part:  # a task may have filled more than one block
+                    last, block = part, Block(*_unpack(data.as_py(), n.as_py()))
                 ids, values = _unpack(queries.as_py(), asked.as_py())
                 for a in range(0, len(ids), BATCH):
                     found = list(block.best(values[a : a + BATCH], ids[a : a + BATCH], k))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64)), pa.array(np.concatenate([f[1] for f in found])), pa.array(np.concatenate([f[2] for f in found]))], ["query_id", "vec_id", "score"])
+                    sizes = [len(f[1]) for f in found]
+                    columns = (np.full(sum(sizes), pack.as_py()), np.repeat(np.arange(a, a + len(found)), sizes), np.repeat([f[0] for f in found], sizes), np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["pack", "place", "query_id", "vec_id", "score"])
 
-    near = both.mapInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    near = both.mapInArrow(search, "pack long, place long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("pack", "place").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

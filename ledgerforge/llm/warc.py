@@ -36,8 +36,8 @@ ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type"
 FILE_BYTES, SIZES = 256 << 20, (1 << 16, 1 << 20, 1 << 24, 1 << 40)
 #: Compressed blocks in a file of the index (some 200 kB each).
 FILE_BLOCKS = 200
-#: Blocks that a directory may have to be held whole: one for every 3,000 captures.
-DIRECTORY_ROWS = 200_000
+#: Blocks that a directory may have to be held whole: one for every 3,000 captures. Up to so many files of the index a lookup names.
+DIRECTORY_ROWS, NAMED_FILES = 200_000, 1000
 
 
 def surt(url: str) -> str:
@@ -202,8 +202,9 @@ def read_index(blocks: DataFrame) -> DataFrame:
 def lookup(spark: SparkSession, path: str, urls: DataFrame, *, directory_rows: int = DIRECTORY_ROWS) -> DataFrame:
     """All captures in the index of keys that a row of urls (url) has, each once; a null url has the key of an empty one.
 
-    Tasks binary-search the directory while it has at most `directory_rows` rows; only the blocks found are read on. Beyond that all
-    blocks are read, which as many lookups would name anyway.
+    Tasks binary-search the directory while it has at most `directory_rows` rows; only the files with blocks found are read (all, if
+    they are more than NAMED_FILES), and of them only those blocks unpacked. Beyond that all blocks are read, which as many lookups would
+    name anyway.
     """
     keys = written(urls.select(F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url")).distinct().mapInArrow(_keyed, "key string, url string").select("key").distinct(), "keys")
     blocks = spark.read.text(f"{path}/blocks")
@@ -220,6 +221,9 @@ def lookup(spark: SparkSession, path: str, urls: DataFrame, *, directory_rows: i
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], ["number"])
 
         asked = written(keys.mapInArrow(search, "number long").distinct(), "blocks")
+        files = written(directory.join(F.broadcast(asked), "number", "left_semi").select("path").distinct(), "files")
+        if at_most(files, NAMED_FILES):
+            blocks = spark.read.text([r["path"] for r in files.collect()] or [f"{path}/blocks"])
         number = F.split_part("value", F.lit(" "), F.lit(1)).cast("long")
         blocks = blocks.withColumn("number", number).join(F.broadcast(asked), "number", "left_semi")
     return read_index(blocks).join(keys, "key", "left_semi").select(*NAMES)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from ledgerforge.llm.chat import digests, escape, format_conversations, locate, parse_instruct, unescape
-from ledgerforge.llm.classifier import classify
+from ledgerforge.llm.classifier import classify, site_posteriors
 from ledgerforge.llm.html_text import LAYOUT_SHARE, LEAST_PAGES, LEAST_SHARE, LEAST_TOKENS, Page, classes, extract, named, templates
 from ledgerforge.llm.mixing import exponent, mix
 from ledgerforge.llm.near_dups import block_links, near_duplicates
@@ -170,6 +170,16 @@ def test_near_duplicates_of_repeated_ids(spark):
     assert got[5, 3] == 1 and got[5, 5] == 3 and got[3, 3] == 1 and got[9, 9] == 1 and got[7, 5] + got[8, 5] == 1
 
 
+def test_blocks_are_bounded_by_shingles(spark, monkeypatch):
+    """Sets so large that a block holds few of them give the same rows."""
+    base = [prose(k, 300, 3000) for k in range(3)]
+    texts = [" ".join(b.split()[: 300 - j]) for j in range(8) for b in base] + [prose(99, 300, 3000)]
+    rows = docs(spark, *texts)
+    want = sorted(map(tuple, near_duplicates(rows).collect()))
+    monkeypatch.setattr("ledgerforge.llm.near_dups.BLOCK_SHINGLES", 700)
+    assert sorted(map(tuple, near_duplicates(rows).collect())) == want and len({r[2] for r in want}) == 4
+
+
 def test_very_long_texts(spark):
     """Texts of a million characters and more, whole."""
     long = prose(1, 200_000, 50_000)
@@ -264,6 +274,30 @@ def test_sites_decide_on_doubtful_documents(spark):
     assert all(got[k].kept == bool(k % 2) for k in range(600))
 
 
+def test_posteriors_equal_brute_force(spark):
+    """Shares and prior strengths by the method of moments, host by host and path by path."""
+    draw = random.Random(8)
+    rows = [(h, p, draw.gauss(bias + q, 1)) for h, bias in (("a", 2.0), ("b", -2.0), ("c", 0.0), ("", 1.0)) for p, q, n in (("x", 0.5, 60), ("y", -0.5, 7), ("z", 0.0, 1)) for _ in range(n)]
+    got = {(r.host, r.path): (r.site, r.mean) for r in site_posteriors(spark.createDataFrame(rows, "host string, path string, odds double"), "odds").collect()}
+    share = [(h, p, 1 / (1 + np.exp(-x))) for h, p, x in rows]
+    mean, total = np.mean([x for *_, x in share]), len(share)
+
+    def strength(groups):
+        sizes, sums = np.array([len(g) for g in groups]), np.array([sum(g) for g in groups])
+        between = (sum(n * (s / n - mean) ** 2 for n, s in zip(sizes, sums, strict=True)) - (len(groups) - 1) * mean * (1 - mean)) / (total - sum(sizes**2) / total)
+        return min(max(mean * (1 - mean) / between - 1, 1), 1e4) if between > 0 else 1e4
+
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for h, p, x in share:
+        hosts[h].append(x)
+        paths[h, p].append(x)
+    upper, lower = strength(list(hosts.values())), strength(list(paths.values()))
+    assert 1 < upper < 1e4 and set(got) == set(paths)
+    for (h, p), xs in paths.items():
+        above = (sum(hosts[h]) + upper * mean) / (len(hosts[h]) + upper)
+        assert got[h, p] == pytest.approx(((sum(xs) + lower * above) / (len(xs) + lower), mean))
+
+
 def test_classifier_of_odd_rows(spark):
     rows = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0)], DOCS)
     labels = spark.createDataFrame([(1, 1, None), (None, 0, 0)], "doc_id long, quality int, toxic int")
@@ -307,6 +341,17 @@ def test_archives_are_bounded_by_bytes(spark, tmp_path):
     assert got == {r.page_id: (len(r.html), hashlib.sha256(r.html.encode()).hexdigest()) for r in pages.collect()}
 
 
+def test_lookups_read_the_files_they_name(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("ledgerforge.llm.warc.FILE_BLOCKS", 1)
+    pages = spark.createDataFrame([(k, f"http://h{k % 50:02}.org/{k}", f"page {k}") for k in range(400)], "page_id long, url string, html string")
+    write_archives(pages, str(tmp_path / "w"))
+    write_index(read_archives(spark, str(tmp_path / "w")), str(tmp_path / "i"), block_rows=10)
+    few = lookup(spark, str(tmp_path / "i"), pages.where("page_id IN (3, 203)").select("url"))
+    assert sorted(r.page_id for r in few.collect()) == [3, 203]
+    assert len(few.inputFiles()) < 10 < len(list((tmp_path / "i" / "blocks").glob("part-*")))
+    assert lookup(spark, str(tmp_path / "i"), pages.limit(0).select("url")).count() == 0
+
+
 # mixing
 
 
@@ -500,6 +545,9 @@ def test_top_k_of_odd_vectors(spark):
     got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("block", F.lit(1)), k=2).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == [(0, 1, 20, 5120), (0, 2, 40, 0), (20, 1, 0, 5120), (20, 2, 40, 0), (40, 1, 0, 0), (40, 2, 4, 0)]
     assert top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    twice = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.5]), (2, [0.25, 1.0])]
+    got = top_k(spark.createDataFrame(twice, "vec_id long, embedding array<float>"), k=1).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == [(0, 1, 1, 4096), (0, 1, 2, 4096)]  # each row by itself
     with pytest.raises(Exception, match="no long can hold"):
         top_k(spark.createDataFrame([(0, [1e9, 1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>")).collect()
 
