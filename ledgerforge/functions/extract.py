@@ -89,6 +89,13 @@ def volume_ml(*texts: Column) -> Column:
     return F.coalesce(*(F.nullif(F.regexp_extract(F.lower(t), r"(\d{1,4})\s*ml", 1), F.lit("")).cast("int") for t in texts))
 
 
+def millilitres(text: Column) -> Column:
+    """The first number that ml follows, decimals included; a comma is a point."""
+    words = F.split(F.regexp_replace(F.lower(text), r"([0-9])\s*ml\b", "$1 ml"), r"[^\w.,]+")
+    at = F.filter(F.sequence(F.lit(2), F.greatest(F.size(words), F.lit(2))), lambda k: (F.get(words, k - 1) == "ml") & F.replace(F.get(words, k - 2), F.lit(","), F.lit(".")).try_cast("double").isNotNull())
+    return F.replace(F.get(words, F.try_element_at(at, F.lit(1)) - 2), F.lit(","), F.lit(".")).try_cast("double")
+
+
 def snake(x: Column) -> Column:
     """The last part of a schema.org term, camel case to snake case."""
     return F.lower(F.regexp_replace(F.substring_index(x, "/", -1), r"(?<!^)(?=[A-Z])", "_"))
