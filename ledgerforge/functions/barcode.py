@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerforge.functions.text import digits
+
 
 def check_digit(stem: Column) -> Column:
     """The check digit of the first twelve digits: weights 1 and 3 in turn."""
@@ -34,3 +36,10 @@ def ean_from_code(prefix: Column, code: Column) -> Column:
 def plausible_barcode(raw: Column) -> Column:
     """Eight to fourteen digits that aren't all zero, else null."""
     return F.when(raw.rlike("^[0-9]{8,14}$") & ~raw.rlike("^0+$"), raw)
+
+
+def retail_ean(raw: Column, prefixes: list[str]) -> Column:
+    """A valid thirteen-digit barcode of one of the company prefixes; longer and shorter numbers are no retail barcodes."""
+    bare = digits(F.trim(raw.cast("string")))
+    ean = F.when(F.length(bare) == 13, normalize_ean(bare))
+    return F.when(F.array_contains(F.transform(F.array(*map(F.lit, prefixes)), lambda p: F.startswith(ean, p)), True), ean)

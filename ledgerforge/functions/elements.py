@@ -12,12 +12,14 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerforge.functions.text import blank_to_null
 
 #: what: '.class', '@property', 'tag', or '@@' for an item; at, until: the places of its start and end; scope: the place of the item around
 #: it, 0 for none; parts: its texts in order, trimmed.
-ELEMENT = "what string, at int, until int, scope int, kind string, parts array<string>, attributes map<string,string>"
+_TEXT = T.StringType()
+ELEMENT = T.StructType().add("what", _TEXT).add("at", T.IntegerType()).add("until", T.IntegerType()).add("scope", T.IntegerType()).add("kind", _TEXT).add("parts", T.ArrayType(_TEXT)).add("attributes", T.MapType(_TEXT, _TEXT))
 _VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 
 
@@ -73,7 +75,7 @@ def elements(*wanted: str) -> Callable[[Column], Column]:
     """A function of a column of pages: the array of ELEMENTs that are wanted, in order; null pages have none."""
     names = frozenset(wanted)
 
-    @F.pandas_udf(f"array<struct<{ELEMENT.replace(' ', ':').replace(',:', ',')}>>")
+    @F.pandas_udf(T.ArrayType(ELEMENT))
     def read(pages: pd.Series) -> pd.Series:
         def one(page: str | None) -> list[dict]:
             reader = _Reader(names)
@@ -122,6 +124,7 @@ def _pairs(pieces: Column) -> Column:
 
 
 _GTINS = ("gtin13", "gtin", "gtin12", "gtin14", "gtin8")
+_FIELDS = ["name", "sku", "mpn", "gtin", "brand", "price", "currency", "availability", "image"]
 _PRODUCT = frozenset(f"@{p}" for p in ("name", "sku", "mpn", *_GTINS, "brand", "price", "priceCurrency", "availability", "image"))
 
 
@@ -134,7 +137,7 @@ def _value(element: dict | None) -> str | None:
     return found.strip() or None
 
 
-@F.pandas_udf("name string, sku string, mpn string, gtin string, brand string, price string, currency string, availability string, image string")
+@F.pandas_udf(T.StructType([T.StructField(f, _TEXT) for f in _FIELDS]))
 def product(pages: pd.Series) -> pd.DataFrame:
     """Of each page's first item that is a Product; all null without one.
 
@@ -149,7 +152,7 @@ def product(pages: pd.Series) -> pd.DataFrame:
         found = reader.result()
         item = next((e for e in found if e["what"] == "@@" and (e["kind"] or "").lower().rstrip("/").endswith("schema.org/product")), None)
         if item is None:
-            return dict.fromkeys(("name", "sku", "mpn", "gtin", "brand", "price", "currency", "availability", "image"))
+            return dict.fromkeys(_FIELDS)
         own = lambda name, at=item["at"]: next((e for e in found if e["what"] == f"@{name}" and e["scope"] == at), None)
         below = lambda name: _value(next((e for e in found if e["what"] == f"@{name}" and item["at"] < e["at"] <= item["until"]), None))
         brand = own("brand")
@@ -157,4 +160,4 @@ def product(pages: pd.Series) -> pd.DataFrame:
         out["brand"] = brand and (_value(own("name", brand["at"])) or _value(brand))
         return out | {"price": below("price"), "currency": below("priceCurrency"), "availability": below("availability")}
 
-    return pd.DataFrame([one(p) for p in pages], columns=["name", "sku", "mpn", "gtin", "brand", "price", "currency", "availability", "image"])
+    return pd.DataFrame([one(p) for p in pages], columns=_FIELDS)

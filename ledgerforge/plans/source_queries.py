@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.functions import extract
+from ledgerforge.functions import barcode, extract
 from ledgerforge.operators import ledger, sets
 from ledgerforge.plans.derive import PAINTS_SQL, check_sql, paints, table
 from ledgerforge.plans.registry import query
@@ -129,13 +129,13 @@ def prefixed_eans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     stem = lambda prefix: ean_from_stem(F.concat(F.lit(prefix), F.lpad(_text(part_key()), 10, "0")))
     raw = F.when(part_key() % 4 == 0, F.concat_ws(" ", F.substring(stem("50"), 1, 6), F.substring(stem("50"), 7, 7))).when(part_key() % 4 == 1, stem("40")).when(part_key() % 4 == 2, F.substring(stem("50"), 1, 12)).otherwise(F.concat(F.lit("1"), stem("50")))
-    return table(spark, sf_dir, "part").select("p_partkey", P.retail_ean(raw, ["50", "51"]).alias("ean"))
+    return table(spark, sf_dir, "part").select("p_partkey", barcode.retail_ean(raw, ["50", "51"]).alias("ean"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'Toads' WHEN p_partkey % 3 = 1 AND p_partkey % 2 = 0 THEN 'Frogs' WHEN p_partkey % 5 = 0 THEN 'Newts' END AS faction FROM part""")
 def seo_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     seo = F.when(part_key() % 3 == 0, F.array(F.lit("none"), F.lit("the TOADS of"), F.lit("frogs"))).when((part_key() % 3 == 1) & (part_key() % 2 == 0), F.array(F.lit("toad"), F.lit("frogs and toads")))
-    return table(spark, sf_dir, "part").select("p_partkey", P.seo_term(seo, F.when(part_key() % 5 == 0, "Big newts").otherwise("x"), ["Frogs", "Toads", "Newts"]).alias("faction"))
+    return table(spark, sf_dir, "part").select("p_partkey", extract.seo_term(seo, F.when(part_key() % 5 == 0, "Big newts").otherwise("x"), ["Frogs", "Toads", "Newts"]).alias("faction"))
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '1' || p_partkey WHEN 1 THEN '2' || p_partkey WHEN 2 THEN '3' || p_partkey WHEN 3 THEN '4' || p_partkey END AS gtin FROM part""")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerforge.functions import elements as E
 from ledgerforge.functions import extract
-from ledgerforge.functions.barcode import normalize_ean
 from ledgerforge.functions.text import blank_to_null, digits, last_segment, name_key, plain_text, url_path
 from ledgerforge.sources.strategies import _items, observation, strategy
 
@@ -60,7 +59,7 @@ def shopify_paints(rows: DataFrame, source: str, *, manufacturers: DataFrame, ve
     return each.select(*observation(source, F.col("handle"), manufacturer=F.col("__m"), name=F.col("i.title"), sku=blank_to_null(first["sku"]), ean=F.col("__e"), image=F.try_element_at("i.images", F.lit(1))["src"], price=extract.price_text(first["price"]), availability=extract.any_available(flags), hints=hints))
 
 
-@strategy("woo-paints")
+@strategy("woo-paints", "full")
 def woo_paints(rows: DataFrame, source: str, *, manufacturer: str | None) -> DataFrame:
     """Pages of categories (body, place): of a product that categories repeat the last arrival counts. Without a manufacturer there are none."""
     i = _items(rows, "$", "id:bigint,name:string,sku:string,permalink:string,prices:struct<price:string,currency_minor_unit:int,currency_code:string>,is_in_stock:boolean,categories:array<struct<slug:string>>,images:array<struct<src:string>>")
@@ -178,18 +177,3 @@ def collection_enrichment(rows: DataFrame) -> DataFrame:
     i = _items(rows, "$.products", "title:string,images:array<struct<src:string>>,variants:array<struct<sku:string>>")
     each = i.select("seq", "collection", name_key(F.col("i.title")).alias("name_key"), blank_to_null(F.try_element_at("i.variants", F.lit(1))["sku"]).alias("sku"), F.try_element_at("i.images", F.lit(1))["src"].alias("image")).where("name_key <> ''")
     return each.groupBy("name_key").agg(F.min_by(F.struct("collection", "sku", "image"), "seq").alias("x")).select("name_key", "x.*")
-
-
-def retail_ean(raw: Column, prefixes: list[str]) -> Column:
-    """A valid thirteen-digit barcode of one of the company prefixes; longer and shorter numbers are no retail barcodes."""
-    bare = digits(F.trim(raw.cast("string")))
-    ean = F.when(F.length(bare) == 13, normalize_ean(bare))
-    return F.when(F.array_contains(F.transform(F.array(*map(F.lit, prefixes)), lambda p: F.startswith(ean, p)), True), ean)
-
-
-def seo_term(seo: Column, name: Column, candidates: list[str]) -> Column:
-    """The first candidate that the first text says that says any, in any case; else the first that the name says; else null."""
-    options = F.array(*map(F.lit, candidates)) if candidates else F.array().cast("array<string>")
-    said = lambda x: F.try_element_at(F.filter(options, lambda c: F.contains(F.lower(x), F.lower(c))), F.lit(1))
-    hits = F.filter(F.transform(F.coalesce(seo, F.array().cast("array<string>")), said), lambda x: x.isNotNull())
-    return F.coalesce(F.try_element_at(hits, F.lit(1)), said(name))
