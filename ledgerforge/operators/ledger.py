@@ -29,9 +29,14 @@ def mark_missed(state: DataFrame, seen: DataFrame, *, full_sweep: bool, key: str
 
 
 def miss_streaks(sweeps: DataFrame, seen: DataFrame) -> DataFrame:
-    """key, streak: sweeps since a key was last seen, over a history of sweeps (sweep) and sightings (key, sweep)."""
+    """key, streak: listed sweeps since a key was last seen, over a history of sweeps (sweep) and sightings (key, sweep).
+
+    A key whose last sighting is of no listed sweep counts those after it.
+    """
     last = seen.groupBy("key").agg(F.max("sweep").alias("last"))
-    since = sweeps.distinct().select(F.col("sweep").alias("last"), (F.row_number().over(Window.orderBy(F.desc("sweep"))) - 1).alias("streak"))  # one row a sweep
+    listed = sweeps.select(F.col("sweep").alias("last"), F.lit(1).alias("n")).unionByName(last.select("last", F.lit(0).alias("n"))).groupBy("last").agg(F.max("n").alias("n"))
+    later = Window.orderBy(F.desc("last")).rowsBetween(Window.unboundedPreceding, -1)  # one row a sweep
+    since = listed.select("last", F.coalesce(F.sum("n").over(later), F.lit(0)).alias("streak"))
     return last.join(since, "last").select("key", "streak")
 
 

@@ -122,7 +122,11 @@ def forced_fixpoint(rows: DataFrame, joins: DataFrame, slug: Column, aliases: Da
     its targets' ids at the start; of these one row each comes to the driver, since a merged id follows from them.
     """
     spark = rows.sparkSession
-    new = {r["old"]: r["new"] for r in aliases.collect()} if aliases is not None else {}
+    def known(olds: DataFrame) -> dict:
+        """Of the aliases only those that olds (old) has."""
+        return {r["old"]: r["new"] for r in aliases.join(F.broadcast(olds), "old", "left_semi").select("old", "new").collect()} if aliases is not None else {}
+
+    new = known(joins.select(F.col("entity").alias("old")).distinct())
     wanted = {(r["key"], new.get(r["entity"], r["entity"])) for r in joins.select("key", "entity").collect()}
     keys = F.broadcast(spark.createDataFrame([(k,) for k in sorted({k for k, _ in wanted})], joins.select("key").schema))
     targets = F.broadcast(spark.createDataFrame([(t,) for t in sorted({t for _, t in wanted})], "entity string"))
@@ -132,6 +136,13 @@ def forced_fixpoint(rows: DataFrame, joins: DataFrame, slug: Column, aliases: Da
     reach = rows.select("comp").join(rows.select("key", "comp").join(keys, "key").select("comp").distinct(), "comp", "left_semi").unionByName(entity_ids(rows, slug, aliases).join(targets, "entity", "left_semi").select("comp")).distinct()
     state = {r["comp"]: (r["first"], r["code"]) for r in rows.withColumn("__slug", slug).join(reach, "comp", "left_semi").groupBy("comp").agg(first, code).collect()}
     rank = lambda x: tuple((v is not None, v) for v in x[:2])
+    # whatever merges, an id is a manufacturer with a code or a name of these components
+    makers = {x["m"] for (_, _, x), _ in state.values()}
+    tails = {t for (_, _, x), best in state.values() for t in (x["__slug"], best and best["x"]) if t is not None}
+    if aliases is not None and state:
+        parts = aliases.select("old", F.substring_index("old", "/", 1).alias("__m"), F.expr("substring(old, locate('/', old) + 1)").alias("__t"))
+        parts = parts.join(F.broadcast(spark.createDataFrame([(m,) for m in sorted(m for m in makers if m is not None)], "__m string")), "__m", "left_semi")
+        new |= known(parts.join(F.broadcast(spark.createDataFrame([(t,) for t in sorted(tails)], "__t string")), "__t", "left_semi").select("old").distinct())
 
     def name(at) -> str:
         (_, _, x), best = state[at]

@@ -302,15 +302,19 @@ def merge_first_nonnull(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.merged_first(observations(spark, sf_dir), ["part"], "key", ["code", "price"])
 
 
-@query("SELECT i % 50 AS img, median((i * 7) % 256) AS r, median((i * 13) % 256) AS g, median((i * 29) % 256) AS b, CAST(floor((stddev_pop((i * 7) % 256) + stddev_pop((i * 13) % 256) + stddev_pop((i * 29) % 256)) / 3 * 1000 + 1e-6) AS BIGINT) AS spread_milli FROM range(20000) t(i) GROUP BY 1")
+@query("""WITH px AS (SELECT l_orderkey % 50 AS img, l_partkey % 256 AS r, (l_orderkey * 13 + l_linenumber) % 256 AS g, (l_suppkey * 29) % 256 AS b FROM lineitem)
+  SELECT img, median(r) AS r, median(g) AS g, median(b) AS b, CAST(floor((stddev_pop(r) + stddev_pop(g) + stddev_pop(b)) / 3 * 1000 + 1e-6) AS BIGINT) AS spread_milli FROM px GROUP BY 1""")
 def pixel_median_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    px = spark.range(20000).select((I("id") % 50).alias("img"), (I("id") * 7 % 256).alias("r"), (I("id") * 13 % 256).alias("g"), (I("id") * 29 % 256).alias("b"))
+    px = table(spark, sf_dir, "lineitem").select((I("l_orderkey") % 50).alias("img"), (I("l_partkey") % 256).alias("r"), ((I("l_orderkey") * 13 + I("l_linenumber")) % 256).alias("g"), (I("l_suppkey") * 29 % 256).alias("b"))
     return raster.swatches(px).select("img", "r", "g", "b", F.floor(I("spread") * 1000 + 1e-6).alias("spread_milli"))
 
 
-@query("WITH c AS (SELECT i // 12 AS r, i % 12 AS c FROM range(120) t(i)) SELECT CAST(r AS INTEGER) AS row, CAST(c AS INTEGER) AS \"column\", CAST(100 + row_number() OVER (ORDER BY r, c) AS INTEGER) AS code FROM c WHERE NOT ((r = 0 AND c = 3) OR (r = 4 AND c = 0)) QUALIFY code <= 210")
+@query("""WITH s AS (SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS r FROM supplier), c AS (SELECT r, c FROM s, range(12) t(c)), k AS (SELECT r, c, 100 + row_number() OVER (ORDER BY r, c) AS code FROM c WHERE NOT ((r = 0 AND c = 3) OR (r = 4 AND c = 0)))
+  SELECT CAST(r AS INTEGER) AS row, CAST(c AS INTEGER) AS "column", CAST(code AS INTEGER) AS code FROM k WHERE code <= 80 + 12 * (SELECT count(*) FROM supplier)""")
 def grid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raster.grid_codes(spark, 10, 12, 101, [(0, 3), (4, 0)], 210)
+    """A grid with a row for each supplier."""
+    rows = table(spark, sf_dir, "supplier").count()
+    return raster.grid_codes(spark, rows, 12, 101, [(0, 3), (4, 0)], 80 + 12 * rows)
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, CAST(floor(sum(value) * 1000 + 0.5) AS BIGINT) AS milli FROM events GROUP BY ALL")

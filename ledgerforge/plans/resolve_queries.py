@@ -83,7 +83,7 @@ def ambiguous_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.name_candidates(_components(spark, sf_dir), _slug()).where("targets > 1").select("comp", "targets")
 
 
-# Hand-kept lists and the rows they are about: (key, code, ean, name), all of manufacturer m but q's. Forced joins chain (x's target arises
+# Hand-kept lists and the rows they are about, once for each supplier: keys, manufacturers and barcodes end in its number. Forced joins chain (x's target arises
 # from y's), follow aliases, keep a barcode database's row that nobody corroborates, and keep a name from joining.
 FORCED_ROWS = [
     ("a1", "retailer", 2, "m", "A1", None, "Alpha"), ("b1", "retailer", 2, "m", "B1", None, "Beta"), ("c1", "retailer", 3, "m", None, "501", "Gamma"), ("d1", "barcode-db", 4, "m", None, "599", "Delta"),
@@ -98,27 +98,46 @@ FORCED_ALIASES = [("m/B1", "m/new"), ("m/old", "m/A1")]
 FORCED_ENTITIES = {"a1": "m/A1", "b1": "m/new", "c1": "m/new", "d1": "m/A1", "f1": "m/new", "g1": "m/Z9", "h1": "m/zeta", "m1": "o/C7", "q1": "o/C7", "r1": "o/C7", "s1": "m/S3", "v1": "m/V1"}
 
 
-def _forced(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    rows = spark.createDataFrame(FORCED_ROWS, "key string, kind string, priority int, manufacturer string, code string, ean string, name string").withColumn("source", F.col("key"))
-    aliases = spark.createDataFrame(FORCED_ALIASES, "old string, new string")
-    joins = spark.createDataFrame(FORCED_JOINS, "key string, entity string")
-    return rows, aliases, joins, R.resolve(rows, F.regexp_replace(_slug(), "^-|-$", ""), aliases=aliases, joins=joins, codes=spark.createDataFrame([("v1", "V1")], "key string, code string"))
+def _of(*, entity: str = "entity", supplier: str = "s_suppkey") -> Column:
+    """An entity with the supplier's number behind its manufacturer."""
+    return F.concat(F.substring(entity, 1, 1), F.col(supplier).cast("string"), F.substring(entity, 2, 100))
 
 
-@query(f"SELECT * FROM (VALUES {', '.join(map(str, FORCED_ENTITIES.items()))}) t(key, entity)")
+def _each(spark: SparkSession, sf_dir: str, rows: list[tuple], schema: str) -> DataFrame:
+    """The rows, each once for every supplier."""
+    kinds = [x.split() for x in schema.split(", ")]
+    listed = F.array(*(F.struct(*(F.lit(v).cast(kind).alias(c) for v, (c, kind) in zip(r, kinds, strict=True))) for r in rows))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(listed).alias("x")).select("s_suppkey", "x.*")
+
+
+def _forced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    numbered = lambda c: F.concat(F.col(c), F.lit(":"), F.col("s_suppkey").cast("string")).alias(c)
+    rows = _each(spark, sf_dir, FORCED_ROWS, "key string, kind string, priority int, manufacturer string, code string, ean string, name string")
+    rows = rows.select(numbered("key"), "kind", "priority", F.concat("manufacturer", F.col("s_suppkey").cast("string")).alias("manufacturer"), "code", numbered("ean"), "name").withColumn("source", F.col("key"))
+    aliases = _each(spark, sf_dir, FORCED_ALIASES, "old string, new string").select(_of(entity="old").alias("old"), _of(entity="new").alias("new"))
+    joins = _each(spark, sf_dir, FORCED_JOINS, "key string, entity string").select(numbered("key"), _of().alias("entity"))
+    codes = _each(spark, sf_dir, [("v1", "V1")], "key string, code string").select(numbered("key"), "code")
+    return rows, aliases, joins, R.resolve(rows, F.regexp_replace(_slug(), "^-|-$", ""), aliases=aliases, joins=joins, codes=codes)
+
+
+def _forced_sql(values: str, last: str = "entity") -> str:
+    return f"SELECT key || ':' || s_suppkey AS key, {'substr(entity, 1, 1) || s_suppkey || substr(entity, 2) AS entity' if last == 'entity' else last} FROM supplier, (VALUES {values}) t(key, {last})"
+
+
+@query(_forced_sql(", ".join(map(str, FORCED_ENTITIES.items()))))
 def forced_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _forced(spark)[3].select("key", "entity")
+    return _forced(spark, sf_dir)[3].select("key", "entity")
 
 
-@query("SELECT * FROM (VALUES ('q1', 'm/C7'), ('s1', 'm/none')) t(key, entity)")
+@query(_forced_sql("('q1', 'm/C7'), ('s1', 'm/none')"))
 def unresolved_forced_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, aliases, joins, resolved = _forced(spark)
+    rows, aliases, joins, resolved = _forced(spark, sf_dir)
     return R.unlanded(rows, joins, resolved, aliases)
 
 
-@query("SELECT * FROM (VALUES ('t1', 'unattributed'), ('u1', 'degenerate-name'), ('e1', 'barcode-db-unjoined')) t(key, report)")
+@query(_forced_sql("('t1', 'unattributed'), ('u1', 'degenerate-name'), ('e1', 'barcode-db-unjoined')", "report"))
 def left_out_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _, joins, _ = _forced(spark)
+    rows, _, joins, _ = _forced(spark, sf_dir)
     out = R.unattributed(rows).select("key", F.lit("unattributed").alias("report"))
     out = out.unionByName(R.degenerate_names(rows, F.regexp_replace(_slug(), "^-|-$", ""), joins).select("key", F.lit("degenerate-name").alias("report")))
     return out.unionByName(R.unjoined_barcode_claims(rows, joins).select("key", F.lit("barcode-db-unjoined").alias("report")))

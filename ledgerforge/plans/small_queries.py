@@ -173,9 +173,12 @@ def colour_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("middle", F.round(I("within") * 1e6).cast("long").alias("within"))
 
 
-@query("SELECT key, entity FROM (VALUES ('k1', 'm/new'), ('k2', 'm/x')) t(key, entity)")
+@query("SELECT 'a' || s_suppkey AS key, 'm' || s_suppkey || '/new' AS entity FROM supplier UNION ALL SELECT 'b' || s_suppkey, 'm' || s_suppkey || '/x' FROM supplier")
 def aliased_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An alias renames an entity; what is retracted then is gone."""
-    rows = spark.createDataFrame([("k1", "a", "retailer", 1, "m", "A", None, "a"), ("k2", "a", "retailer", 1, "m", None, None, "x"), ("k3", "a", "retailer", 1, "m", "B", None, "b")], "key string, source string, kind string, priority int, manufacturer string, code string, ean string, name string")
-    out = R.resolve(rows, F.lower("name"), aliases=spark.createDataFrame([("m/A", "m/new")], "old string, new string"), retracted=spark.createDataFrame([("m/B",)], "entity string"))
+    """Of three entities of each supplier an alias renames one, and one is retracted."""
+    s = table(spark, sf_dir, "supplier").select(_text(I("s_suppkey")).alias("s"), F.explode(F.array(*map(F.lit, "abx"))).alias("n"))
+    rows = s.select(F.concat(F.translate("n", "xb", "bc"), "s").alias("key"), F.lit("a").alias("source"), F.lit("retailer").alias("kind"), F.lit(1).alias("priority"), F.concat(F.lit("m"), "s").alias("manufacturer"), F.when(I("n") != "x", F.upper("n")).alias("code"), F.lit(None).cast("string").alias("ean"), I("n").alias("name"))
+    of = lambda code: F.concat(F.lit("m"), "s", F.lit(f"/{code}"))
+    each = s.select("s").distinct()
+    out = R.resolve(rows, F.lower("name"), aliases=each.select(of("A").alias("old"), of("new").alias("new")), retracted=each.select(of("B").alias("entity")))
     return out.select("key", "entity")

@@ -18,7 +18,7 @@ def read_paint_tables(spark: SparkSession, path: str, brands: dict[str, str]) ->
     cells = F.transform(F.split(F.regexp_replace(F.trim("value"), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     rows = lines.where(F.startswith(F.trim("value"), F.lit("|"))).join(known, "stem").withColumn("c", cells)
     coded = rows.where(F.array_contains("c", "Name") & F.array_contains("c", "Hex")).groupBy("stem").agg(F.bool_or(F.array_contains("c", "Code")).alias("coded"))
-    rows = rows.join(F.broadcast(coded), "stem").where(F.size("c") == F.when(F.col("coded"), 7).otherwise(6))
+    rows = rows.join(coded, "stem").where(F.size("c") == F.when(F.col("coded"), 7).otherwise(6))
     at = lambda k: F.get("c", k + F.when(F.col("coded") & F.lit(k > 0), 1).otherwise(0))
     hexa = F.regexp_extract(at(5), r"#([0-9A-Fa-f]{6})", 1)
     rows = rows.where(F.length(hexa) == 6).select("brand", "place", F.get("c", F.lit(0)).alias("name"), F.when(F.col("coded"), F.nullif(F.get("c", F.lit(1)), F.lit(""))).alias("code"), at(1).alias("set_name"), F.concat(F.lit("#"), hexa).alias("hex"))
