@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterator
+import uuid
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerforge.functions.json_schema import schema_problems
 from ledgerforge.functions.text import blank_to_null
+from ledgerforge.sources import files
 
 
 def products(canonical: DataFrame) -> DataFrame:
@@ -52,55 +51,10 @@ def violations(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return rows.withColumn("broken", broken).where(F.size("broken") > 0)
 
 
-def schema_errors(doc: object, schema: dict, at: str = "") -> list[str]:
-    """Where a JSON document isn't as a schema says, of the keywords type, enum, const, required, properties, additionalProperties, items,
-    minItems, minLength, maxLength, pattern, minimum and maximum. Other keywords aren't looked at."""
-    kinds = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None), "number": (int, float), "integer": int}
-    wanted = schema.get("type")
-    names = wanted if isinstance(wanted, list) else [wanted] if wanted else []
-    is_a = lambda k: isinstance(doc, kinds[k]) and (k == "boolean" or not isinstance(doc, bool) or kinds[k] is bool) or k == "integer" and isinstance(doc, float) and doc.is_integer()
-    if names and not any(map(is_a, names)):
-        return [f"{at or '/'}: not of type {'|'.join(names)}"]
-    out = []
-    if "enum" in schema and doc not in schema["enum"] or "const" in schema and doc != schema["const"]:
-        out.append(f"{at or '/'}: not an allowed value")
-    if isinstance(doc, str):
-        out += [f"{at or '/'}: {k}" for k, bad in (("minLength", len(doc) < schema.get("minLength", 0)), ("maxLength", len(doc) > schema.get("maxLength", len(doc))), ("pattern", not re.search(schema.get("pattern", ""), doc))) if bad]
-    if isinstance(doc, int | float) and not isinstance(doc, bool):
-        out += [f"{at or '/'}: {k}" for k, bad in (("minimum", doc < schema.get("minimum", doc)), ("maximum", doc > schema.get("maximum", doc))) if bad]
-    if isinstance(doc, list):
-        out += [f"{at or '/'}: minItems"] * (len(doc) < schema.get("minItems", 0))
-        out += [e for k, x in enumerate(doc) for e in schema_errors(x, schema.get("items", {}), f"{at}/{k}")]
-    if isinstance(doc, dict):
-        own, more = schema.get("properties", {}), schema.get("additionalProperties", True)
-        out += [f"{at}/{k}: missing" for k in schema.get("required", []) if k not in doc]
-        for k, x in doc.items():
-            if k in own:
-                out += schema_errors(x, own[k], f"{at}/{k}")
-            elif more is False:
-                out.append(f"{at}/{k}: not allowed")
-            elif isinstance(more, dict):
-                out += schema_errors(x, more, f"{at}/{k}")
-    return out
-
-
 def against_schema(docs: DataFrame, schema: dict, most: int = 10) -> DataFrame:
-    """partition, errors of documents (partition, body) that aren't as a JSON schema says: up to so many errors each, in order."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for name, body in zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True):
-                try:
-                    errors = schema_errors(json.loads(body or ""), schema)
-                except ValueError:
-                    errors = ["/: no JSON"]
-                if errors:
-                    found.append((name, list(dict.fromkeys(errors))[:most]))
-            columns = list(zip(*found, strict=True)) or [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.list_(pa.string()))], ["partition", "errors"])
-
-    return docs.select(F.col("partition").cast("string").alias("partition"), "body").mapInArrow(check, "partition string, errors array<string>")
+    """partition, errors of documents (partition, body) that aren't as a JSON schema says (schema_problems): up to so many distinct ones each."""
+    found = docs.select(F.col("partition").cast("string").alias("partition"), F.try_parse_json("body").alias("v"))
+    return found.select("partition", schema_problems(F.col("v"), schema, most).alias("errors")).where(F.size("errors") > 0)
 
 
 def checksums(files: DataFrame) -> DataFrame:
@@ -108,11 +62,54 @@ def checksums(files: DataFrame) -> DataFrame:
     return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
-def write_documents(docs: DataFrame, path: str, rules: dict[str, Column] | None = None) -> DataFrame:
-    """Writes valid documents, one a line and file partition, and returns the manifest of what was written, read back."""
-    bad = violations(docs, rules or {"json": F.try_parse_json("body").isNotNull()}).limit(10).collect()
-    if bad:
-        raise ValueError(f"documents break rules: {[(r['partition'], r['broken']) for r in bad]}")
-    docs.select("partition", F.col("body").alias("value")).write.mode("overwrite").partitionBy("partition").text(path)
-    back = docs.sparkSession.read.text(path)
-    return back.select(F.col("partition").cast("string").alias("partition"), F.octet_length("value").cast("long").alias("bytes"), F.sha2("value", 256).alias("sha256"))
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """partition, bytes, sha256 of the documents in a tree, as they are read back."""
+    return spark.read.text(path).select(F.col("partition").cast("string").alias("partition"), F.octet_length("value").cast("long").alias("bytes"), F.sha2("value", 256).alias("sha256"))
+
+
+def write_documents(docs: DataFrame, path: str, rules: dict[str, Column] | None = None, *, schema: dict | None = None) -> DataFrame:
+    """Publishes valid documents, one a line and file partition, as the tree at path, and returns its manifest, read back.
+
+    They are written to a staging folder beside the tree and compared there, by checksum, with what they should be; then the staging
+    folder takes the tree's place by renames. A run that fails before leaves the old tree as it is; one that fails between the two
+    renames leaves it beside, where the next run's `recover` puts it back. What this run didn't write is gone after it.
+    """
+    spark = docs.sparkSession
+    path = path.rstrip("/")
+    recover(spark, path)
+    bad = violations(docs, rules or {"json": F.try_parse_json("body").isNotNull()}).select("partition", "broken")
+    if schema is not None:
+        bad = bad.select(F.col("partition").cast("string").alias("partition"), "broken").unionByName(against_schema(docs, schema).withColumnRenamed("errors", "broken"))
+    if found := bad.limit(10).collect():
+        raise ValueError(f"documents break rules: {[(r['partition'], r['broken']) for r in found]}")
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    docs.select("partition", F.col("body").alias("value")).write.partitionBy("partition").text(staging)
+    if not files.exists(spark, staging):
+        raise ValueError("nothing was written")
+    wanted = docs.select(F.col("partition").cast("string").alias("partition"), F.octet_length("body").cast("long").alias("bytes"), F.sha2("body", 256).alias("sha256"))
+    written_ = manifest(spark, staging) if docs.limit(1).count() else wanted.limit(0)
+    if wanted.exceptAll(written_).limit(1).count() or written_.exceptAll(wanted).limit(1).count():
+        files.delete(spark, staging)
+        raise ValueError("what was written isn't what was to be written")
+    replace(spark, staging, path)
+    return manifest(spark, path) if docs.limit(1).count() else wanted.limit(0)
+
+
+def replace(spark: SparkSession, staging: str, path: str) -> None:
+    """Puts a folder in place of another, which stands beside it until it is."""
+    old = f"{path}.old-{uuid.uuid4().hex}"
+    if files.exists(spark, path):
+        files.rename(spark, path, old)
+    files.rename(spark, staging, path)
+    files.delete(spark, old)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Undoes what a run left that died: a tree that was moved aside returns, staging folders go."""
+    parent, _, name = path.rpartition("/")
+    left = [x for x in files.children(spark, parent) if x.startswith((f"{name}.old-", f"{name}.staging-"))]
+    for x in left:
+        if x.startswith(f"{name}.old-") and not files.exists(spark, path):
+            files.rename(spark, f"{parent}/{x}", path)
+        else:
+            files.delete(spark, f"{parent}/{x}")

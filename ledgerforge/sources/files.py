@@ -38,13 +38,13 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 def rename(spark: SparkSession, old: str, new: str) -> None:
     """Moves a file or folder in one step; a file in its place is replaced, a folder is not."""
     jvm = spark.sparkContext._jvm
-    _, a = _at(spark, old)
-    _, b = _at(spark, new)
+    fs, a = _at(spark, old)
+    a, b = fs.makeQualified(a), fs.makeQualified(_at(spark, new)[1])
     kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
     how = spark.sparkContext._gateway.new_array(kind, 1)
     how[0] = kind.OVERWRITE
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(a.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    context.rename(context.makeQualified(a), context.makeQualified(b), how)
+    context.rename(a, b, how)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

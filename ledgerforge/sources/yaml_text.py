@@ -1,7 +1,7 @@
 """YAML documents as text: what catalogs, manifests and cursors are kept in. A small, fixed form of it, written and read back.
 
 Block maps and lists with two spaces a level, keys as they come, nulls left out, no anchors. Texts are quoted where a reader could take
-them for something else, or have more than one line.
+them for something else; texts of several lines are block literals. Also read: comments, quoted texts, and lists and maps in brackets.
 """
 
 from __future__ import annotations
@@ -21,18 +21,44 @@ _PLAIN = re.compile(r"[^\s\-?:,\[\]{}#&*!|>'\"%@`=~][^\n]*")
 _OTHER = re.compile(r"(?i)[-+]?(\d[\d_,.:]*(e[-+]?\d+)?|\.\d+|0x[0-9a-f]+|0o?[0-7]+|\.inf|\.nan)|true|false|yes|no|on|off|y|n|null|~|\d{4}-\d{1,2}-\d{1,2}.*")
 
 
+_INT, _FLOAT = re.compile(r"[-+]?(0|[1-9][0-9]*)"), re.compile(r"[-+]?(\.[0-9]+|(0|[1-9][0-9]*)(\.[0-9]*)?)([eE][-+]?[0-9]+)?")
+_SPECIAL = {".nan": float("nan"), ".inf": float("inf"), "+.inf": float("inf"), "-.inf": float("-inf")}
+
+
+def _a_number(x: str) -> bool:
+    """Whether some reader takes a text for a number."""
+    try:
+        float(x)
+    except ValueError:
+        return False
+    return True
+
+
 def scalar(x: object) -> str:
     if x is None:
         return "null"
     if isinstance(x, bool):
         return "true" if x else "false"
+    if isinstance(x, float) and (x != x or x in (float("inf"), float("-inf"))):
+        return next(k for k, v in _SPECIAL.items() if repr(v) == repr(x))
     if isinstance(x, int | float):
         return repr(x)
     x = str(x)
-    plain = _PLAIN.fullmatch(x) and not _OTHER.fullmatch(x) and ": " not in x and " #" not in x and x == x.strip() and not x.endswith(":") and x.isprintable()
+    plain = _PLAIN.fullmatch(x) and not _OTHER.fullmatch(x) and not _a_number(x) and ": " not in x and " #" not in x and x == x.strip() and not x.endswith(":") and x.isprintable()
     return x if plain else json.dumps(x, ensure_ascii=False)
 
 
+def _literal(x: object, pad: str) -> list[str] | None:
+    """The lines of a block literal, its mark first; None if a text isn't one: of one line, or with lines that wouldn't come back."""
+    if not isinstance(x, str) or "\n" not in x:
+        return None
+    body, end = x.rstrip("\n"), len(x) - len(x.rstrip("\n"))
+    lines = body.split("\n")
+    if not body or lines[0][:1] in ("", " ") or any(not line.isprintable() for line in lines):
+        return None
+    return [("|-", "|", "|+")[min(end, 2)], *(pad + line if line else "" for line in lines), *[""] * max(0, end - 1)]
+
+
 def emit(x: object, level: int = 0) -> list[str]:
     """The lines of a map, list or scalar."""
     pad = "  " * level
@@ -41,13 +67,16 @@ def emit(x: object, level: int = 0) -> list[str]:
         for k, v in x.items():
             if v is None:
                 continue
+            if lines := _literal(v, pad + "  "):
+                out += [f"{pad}{scalar(k)}: {lines[0]}", *lines[1:]]
+                continue
             nested = isinstance(v, dict | list) and len(v)
             out += [f"{pad}{scalar(k)}:", *emit(v, level + 1)] if nested else [f"{pad}{scalar(k)}: {emit(v)[0] if isinstance(v, dict | list) else scalar(v)}"]
         return out or [f"{pad}{{}}"]
     if isinstance(x, list):
         out = []
         for v in x:
-            lines = emit(v, level + 1)
+            lines = _literal(v, pad + "  ") or emit(v, level + 1)
             out += [f"{pad}- {lines[0].strip()}", *lines[1:]]
         return out or [f"{pad}[]"]
     return [f"{pad}{scalar(x)}"]
@@ -58,27 +87,87 @@ def sorted_keys(x: object) -> object:
     return {k: sorted_keys(x[k]) for k in sorted(x)} if isinstance(x, dict) else [sorted_keys(v) for v in x] if isinstance(x, list) else x
 
 
+def _quoted(text: str) -> int:
+    """The length of the quoted text that a text begins with, 0 if there is none."""
+    m = re.match(r'"(?:[^"\\]|\\.)*"|\'(?:[^\']|\'\')*\'', text)
+    return m.end() if m else 0
+
+
 def _value(text: str) -> object:
-    if text[:1] in '"[{':
-        return json.loads(text)
+    if n := _quoted(text):
+        if text[n:].strip() and not text[n:].lstrip().startswith("#"):
+            raise ValueError(f"can't read {text!r}")
+        return json.loads(text[:n]) if text[0] == '"' else text[1 : n - 1].replace("''", "'")
+    if text[:1] in ("[", "{"):
+        value, rest = _flow(text)
+        if rest.strip() and not rest.lstrip().startswith("#"):
+            raise ValueError(f"can't read {text!r}")
+        return value
+    text = re.split(r"(?:^|\s)#", text)[0].strip()  # a comment begins behind white space
     if text in ("null", "~", ""):
         return None
     if text in ("true", "false"):
         return text == "true"
-    for kind in (int, float):
-        try:
-            return kind(text)
-        except ValueError:
-            pass
-    return text[1:-1].replace("''", "'") if len(text) > 1 and text[0] == text[-1] == "'" else text
-
-
-_KEY = re.compile(r'("(?:[^"\\]|\\.)*"|\'[^\']*\'|[^:#"\']+?)\s*:(?:\s+(.*))?')
+    if text.lower() in _SPECIAL:
+        return _SPECIAL[text.lower()]
+    return int(text) if _INT.fullmatch(text) else float(text) if _FLOAT.fullmatch(text) else text
+
+
+def _flow(text: str) -> tuple[object, str]:
+    """The value in brackets that a text begins with, and what follows it."""
+    closing, out, pairs = "]" if text[0] == "[" else "}", [], {}
+    rest = text[1:].lstrip()
+    while not rest.startswith(closing):
+        if not rest:
+            raise ValueError(f"can't read {text!r}")
+        key = None
+        if closing == "}":
+            n = _quoted(rest)
+            key, _, rest = (_value(rest[:n]), "", rest[n:].lstrip().removeprefix(":")) if n else rest.partition(":")
+            key, rest = key.strip() if isinstance(key, str) else key, rest.lstrip()
+        if rest[:1] in ("[", "{"):
+            value, rest = _flow(rest)
+        else:
+            n = _quoted(rest) or re.match(r"[^,\[\]{}]*", rest).end()
+            value, rest = _value(rest[:n].strip()), rest[n:]
+        out.append(value)
+        pairs[key] = value
+        rest = rest.lstrip().removeprefix(",").lstrip()
+    return (out if closing == "]" else pairs), rest[1:]
+
+
+_KEY = re.compile(r'("(?:[^"\\]|\\.)*"|\'(?:[^\']|\'\')*\'|[^\s"\'\[{#].*?)\s*:(?:\s+(.*))?')
+_LITERAL = re.compile(r"(.*(?::|-)\s+)\|([-+]?)\s*(?:#.*)?")
+
+
+def _lines(text: str) -> list[tuple[int, str]]:
+    """Indentation and text of each line that says something; block literals as quoted texts on the line of their mark."""
+    raw, out, at = text.split("\n"), [], 0
+    while at < len(raw):
+        line, depth = raw[at], len(raw[at]) - len(raw[at].lstrip(" "))
+        at += 1
+        if not line.strip() or line.lstrip().startswith("#") or line.strip() == "---":
+            continue
+        if m := _LITERAL.fullmatch(line.strip()):
+            dashes = re.match(r"(?:- +)*", m[1]).end()
+            base = depth + dashes - 2 * (dashes == len(m[1]))  # where the list or map is that holds the text
+            held = []
+            while at < len(raw) and (not raw[at].strip() or len(raw[at]) - len(raw[at].lstrip(" ")) > base):
+                held.append(raw[at])
+                at += 1
+            if at == len(raw) and held and not held[-1]:
+                held.pop()  # the text's own last line end
+            inner = next((len(x) - len(x.lstrip(" ")) for x in held if x.strip()), 0)
+            body = "\n".join(x[inner:] for x in held) + "\n"
+            body = body if m[2] == "+" else body.rstrip("\n") + ("" if m[2] == "-" else "\n")
+            line = line[:depth] + m[1] + json.dumps(body)
+        out.append((depth, line.strip()))
+    return out
 
 
 def parse(text: str) -> object:
-    """The value of a document in this form; comments of their own lines and document marks are passed over."""
-    lines = [(len(x) - len(x.lstrip(" ")), x.strip()) for x in text.split("\n") if x.strip() and not x.lstrip().startswith("#") and x.strip() != "---"]
+    """The value of a document in this form; comments and document marks are passed over."""
+    lines = _lines(text)
     at = 0
 
     def block(indent: int) -> object:
@@ -90,21 +179,21 @@ def parse(text: str) -> object:
                 if not rest:
                     at += 1
                     out.append(block(lines[at][0]) if at < len(lines) and lines[at][0] > indent else None)
-                elif _KEY.fullmatch(rest) and rest[0] not in "[{" or rest.startswith("- "):
+                elif _KEY.fullmatch(rest) or rest.startswith("- "):
                     lines[at] = (indent + 2, rest)
                     out.append(block(indent + 2))
                 else:
                     at += 1
                     out.append(_value(rest))
             return out
-        if not _KEY.fullmatch(lines[at][1]) or lines[at][1][0] in "[{":
+        if not _KEY.fullmatch(lines[at][1]):
             at += 1
             return _value(lines[at - 1][1])
         found: dict = {}
         while at < len(lines) and lines[at][0] == indent and (m := _KEY.fullmatch(lines[at][1])):
             key, rest = _value(m[1]), m[2]
             at += 1
-            if rest:
+            if rest and not rest.startswith("#"):
                 found[key] = _value(rest)
             elif at < len(lines) and (lines[at][0] > indent or lines[at][0] == indent and lines[at][1].startswith("- ")):
                 found[key] = block(lines[at][0])

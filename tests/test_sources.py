@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,6 +133,18 @@ def test_yaml_round_trips(spark, tmp_path):
     assert state.select(yaml_text.cursor_body(F.struct("z", "m"))).first()[0] == 'm:\n  a: "2"\n  b: "1"\nz: 2\n'
 
 
+def test_yaml_keeps_what_texts_look_like():
+    odd = {"a": "nan", "b": "Infinity", "c": "0123", "d": "5 # note", "e": "a\nb", "f": "a\nb\n", "g": "x\n\ny\n\n", "h": ["p\nq", {"z": "r\ns\n"}, ["t\nu"], "1_000"], "i": float("inf"), "j": 1.5e10, "k": -3, "l": "+5", "n": " lead\nx", "o": "1e5", "p": "tab\tx\ny", "last": "q\n\n"}
+    text = "\n".join(yaml_text.emit(odd)) + "\n"
+    assert yaml_text.parse(text) == odd and "e: |-\n  a\n  b\nf: |\n  a\n  b\n" in text
+    assert yaml_text.parse("a: 0123\nb: 5 # note\nc: [x, 'y z', 3, {k: v, \"q\": [1, 2]}] # c\ne: |\n  one\n   two\n\n  three\ng: 1.5\nh: 'a: b' # c\ni: # none\nj:\n- x#y\n") == {"a": "0123", "b": 5, "c": ["x", "y z", 3, {"k": "v", "q": [1, 2]}], "e": "one\n two\n\nthree\n", "g": 1.5, "h": "a: b", "i": None, "j": ["x#y"]}
+    draw = random.Random(3)
+    some = lambda: "".join(draw.choice("ab:#-'\"\n ,[]{}|0157.enyof&*!%@`~\\") for _ in range(draw.randrange(9)))
+    for _ in range(3000):
+        value = {some(): draw.choice([some(), [some(), {some(): some()}], {some(): [[some()]]}, 5, -2.5, True, []]) for _ in range(3)}
+        assert yaml_text.parse("\n".join(yaml_text.emit(value)) + "\n") == value
+
+
 def test_documents_are_checked_against_a_schema(spark):
     schema = {"type": "object", "required": ["items", "kind"], "additionalProperties": False, "properties": {"kind": {"const": "paint"}, "items": {"type": "array", "minItems": 1, "items": {"type": "object", "properties": {"hex": {"type": ["string", "null"], "pattern": "^#[0-9a-f]{6}$"}, "n": {"type": "integer", "minimum": 1}}}}}}
     docs = spark.createDataFrame([("ok", '{"kind":"paint","items":[{"hex":"#aabbcc","n":1},{"hex":null}]}'), ("bad", '{"kind":"x","items":[{"hex":"red","n":0},{"n":true}],"more":1}'), ("none", "{"), ("gone", '{"items":[]}')], "partition string, body string")
