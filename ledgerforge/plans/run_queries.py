@@ -1,4 +1,4 @@
-"""Queries on what runs of sources do: fields of pages by origin, archived evidence, lookups that are due, posts with terms and media."""
+"""Queries on what runs do: fields of pages by origin, archived evidence, lookups that are due, posts with terms, replayed logs."""
 
 from __future__ import annotations
 
@@ -10,6 +10,9 @@ from ledgerforge.operators import resolve
 from ledgerforge.plans.derive import check_sql, table
 from ledgerforge.plans.registry import query
 from ledgerforge.sources import strategies
+from ledgerforge.sources.decisions import DecisionLog
+from ledgerforge.sources.shared import shared_path
+from ledgerforge.streaming.buckets import BucketedLedger
 
 
 def _key() -> Column:
@@ -87,3 +90,42 @@ def posts_with_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = strategies.STRATEGIES["wp-rest-paints"](pages, "w", terms=sets.unionByName(lines), media=media, paint_terms=["Set 1", "Set 2"])
     asked = strategies.missing_media(pages, media).select(_said("missing:", F.col("id")).alias("key"), F.lit(None).cast("string").alias("terms"), F.lit(None).cast("string").alias("image"))
     return found.select("key", F.try_element_at("hints", F.lit("terms")).alias("terms"), "image").unionByName(asked)
+
+
+@query("""WITH l AS (SELECT 'h' || o_custkey AS input, o_orderkey % 4 AS run, o_orderkey AS place, o_orderpriority AS choice, (o_orderkey % 100) / 100.0 AS confidence FROM orders),
+  k AS (SELECT * FROM l WHERE run < 3 OR place < (SELECT max(place) FROM l WHERE run = 3)), d AS (SELECT input, arg_max(choice, ROW(run, place)) AS choice, max(ROW(run, place)) AS at FROM k GROUP BY input)
+  SELECT c_custkey AS customer, CASE WHEN d.input IS NULL THEN 'pending' WHEN (d.at[2] % 100) / 100.0 >= 0.5 THEN d.choice ELSE 'refused' END AS outcome FROM customer LEFT JOIN d ON d.input = 'h' || c_custkey""")
+def decision_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs of decisions, one of them appended twice, one compacted, the last cut off in its last line; what candidates get of them."""
+    log = DecisionLog(spark, shared_path(spark, "decisions"))
+    k = F.col("o_orderkey")
+    said = table(spark, sf_dir, "orders").select(_said("h", F.col("o_custkey")).alias("input"), (k % 4).alias("run"), k.alias("place"), F.lit("item").alias("item"), F.col("o_orderpriority").alias("choice"), ((k % 100) / 100.0).alias("confidence"))
+    for run in (1, 0):
+        log.append(said.where(F.col("run") == run))
+    log.compact()
+    for run in (1, 2):
+        log.append(said.where(F.col("run") == run))
+    last = said.where("run = 3")
+    cut = last.agg(F.max("place").alias("cut"))
+    line = F.to_json(F.struct(*said.columns))
+    last.join(F.broadcast(cut)).select(F.when(F.col("place") == F.col("cut"), F.substring(line, 1, 20)).otherwise(line).alias("value")).write.text(f"{log.path}/log/torn")
+    candidates = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer"), _said("h", F.col("c_custkey")).alias("input"))
+    accepted = log.accepted(candidates, 0.5).select("customer", F.col("choice").alias("outcome"))
+    waiting = log.pending(candidates).select("customer", F.lit("pending").alias("outcome"))
+    done = accepted.unionByName(waiting)
+    return done.unionByName(candidates.join(done.select("customer"), "customer", "left_anti").select("customer", F.lit("refused").alias("outcome")))
+
+
+@query("""WITH e AS (SELECT user_id AS key, CAST(ts AS DATE) AS d, event_type FROM events)
+  SELECT key, min(d) AS first_seen, max(d) AS last_seen, max(ROW(d, event_type))[2] AS event_type FROM e GROUP BY key""")
+def bucketed_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of events as batches out of order, one of them twice, with a compaction between."""
+    ledger = BucketedLedger(spark, shared_path(spark, "ledger"), "key long, first_seen date, last_seen date, event_type string", buckets=8)
+    day = F.to_date("ts")
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), day.alias("first_seen"), day.alias("last_seen"), "event_type", (F.dayofyear(day) % 5).alias("n"))
+    for k in (3, 1, 4):
+        ledger.apply(rows.where(F.col("n") == k), k)
+    ledger.compact()
+    for k in (0, 3, 2, 0):
+        ledger.apply(rows.where(F.col("n") == k), k)
+    return ledger.read()

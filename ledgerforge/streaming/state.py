@@ -1,37 +1,13 @@
-"""Stateful operators on streams: the evidence ledger, streaks and liveness, fed micro-batch by micro-batch."""
+"""Stateful operators on streams: streaks, fed micro-batch by micro-batch. The ledger that a stream feeds is in `buckets`."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ledgerforge.operators.ledger import upsert
-
-
-def upsert_batches(spark: SparkSession, path: str, columns: str):
-    """A foreachBatch function that keeps the ledger under path: a new version per batch, written before it is named.
-
-    A batch that runs twice gives the same version twice: versions go by batch id, and each reads the last whole one before it. Batches
-    without rows write none.
-    """
-    jvm = spark.sparkContext._jvm
-    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        if not batch.limit(1).count():
-            return
-        written = files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/v=*/_SUCCESS")) or []
-        before = [n for x in written if (n := int(x.getPath().getParent().getName()[2:])) < batch_id]
-        state = spark.read.parquet(f"{path}/v={max(before)}") if before else spark.createDataFrame([], columns)
-        rows = batch.groupBy("key").agg(*(F.max_by(c, "last_seen").alias(c) if c not in ("first_seen", "last_seen") else (F.min if c == "first_seen" else F.max)(c).alias(c) for c in state.columns if c != "key"))
-        upsert(state, rows.select(*state.columns)).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
-
-    return apply
-
 
 class Streak(StatefulProcessor):
     """Per key the sweeps missed in a row: rows (key, sweep, seen) in any order within a batch; one row out per key and batch."""

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ledgerforge.functions.json_schema import schema_problems
 from ledgerforge.plans import publish
 from ledgerforge.sources import files
+from ledgerforge.sources.decisions import SCHEMA as DECISIONS
+from ledgerforge.sources.decisions import DecisionLog
 
 SCHEMA = {
     "type": "object", "required": ["kind", "items"], "additionalProperties": False,
@@ -65,3 +67,26 @@ def test_publishing_replaces_a_tree_whole(spark, tmp_path, monkeypatch):
         assert tree(tmp_path / "out") == {"b": {"n": 3}, "c": {"n": 4}} and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["out"]
     publish.write_documents(docs(spark, e={"n": 9}), at)
     assert tree(tmp_path / "out") == {"e": {"n": 9}}
+
+
+def test_decisions_are_replayed_from_their_log(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame(list(r), DECISIONS)
+    first = rows(("h1", 1, 0, "a", "x", 0.9), ("h2", 1, 1, "b", "y", 0.5), ("h1", 1, 2, "a", "z", 0.85))
+    second = rows(("h2", 2, 0, "b", None, 0.95), ("h3", 2, 1, "c", "w", 0.99))
+    want = {"h1": ("z", 0.85), "h2": (None, 0.95), "h3": ("w", 0.99)}
+    for k, steps in enumerate(((first, second), (second, first, first), (first, "compact", second, first, "compact", "compact"))):
+        log = DecisionLog(spark, f"file://{tmp_path}/{k}")
+        assert log.last().count() == log.torn().count() == 0
+        for step in steps:
+            log.compact() if step == "compact" else log.append(step)
+        assert {r.input: (r.choice, r.confidence) for r in log.last().collect()} == want
+        # a file that was cut off loses its last line alone
+        torn = tmp_path / str(k) / "log" / "torn"
+        torn.mkdir(parents=True)
+        (torn / "part-0").write_text('{"input":"h4","run":3,"place":0,"item":"d","choice":"v","confidence":1.0}\n{"input":"h1","run":3,"pla')
+        assert {r.input for r in log.last().collect()} == {*want, "h4"} and log.torn().count() == 1
+        candidates = spark.createDataFrame([("h1", 1), ("h2", 2), ("h5", 5)], "input string, n int")
+        assert [(r.input, r.n) for r in log.pending(candidates).collect()] == [("h5", 5)]
+        assert sorted((r.n, r.choice) for r in log.accepted(candidates).collect()) == [(1, "z"), (2, None)]
+        log.compact()
+        assert log.last().count() == 4 and log.torn().count() == 0 and files.children(spark, f"{log.path}/log") == []
