@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ledgerforge.functions.text import hex_channel
+
 
 def additions(base: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
     """base, and the rows of new whose keys (case folded, null as '') base hasn't; of several with equal keys the first by `order`."""
@@ -27,6 +29,18 @@ def fill_blanks(base: DataFrame, more: DataFrame, key: list[str], fields: list[s
     return out.withColumns({f: pick(f) for f in fields}).drop(*(f"__{f}" for f in fields))
 
 
+def override_colours(base: DataFrame, overrides: DataFrame, key: list[str], fields: list[str]) -> DataFrame:
+    """base (with hex, r, g, b) with the overrides' values that aren't blank; where one names another colour, its channels follow from it.
+
+    An override's hex is taken with or without '#', in either case; one that is no colour changes nothing.
+    """
+    given = F.upper(F.regexp_replace(F.trim("hex"), "^#", ""))
+    known = overrides.withColumn("hex", F.when(given.rlike("^[0-9A-F]{6}$"), F.concat(F.lit("#"), given)))
+    out = fill_blanks(base.withColumn("__was", F.col("hex")), known, key, [*dict.fromkeys([*fields, "hex"])], wins=True)
+    new = ~F.lower("hex").eqNullSafe(F.lower("__was"))
+    return out.withColumns({c: F.when(new, hex_channel(F.col("hex"), k)).otherwise(F.col(c)) for k, c in enumerate("rgb")}).drop("__was")
+
+
 def ratchet(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
     """new, and what old has under keys that new hasn't."""
     return new.unionByName(old.join(new.select(*keys).distinct(), keys, "left_anti"))
@@ -63,19 +77,61 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+def _numbered(pieces: Column) -> Column:
+    """Of a text's pieces in order (part, at, single): the second of equal ones told from the first, and so on, so that a set stands for a
+    multiset; where it lies; and whether it is the only one of its kind."""
+    ordered = F.array_sort(F.transform(pieces, lambda c, k: F.struct(c.alias("c"), k.alias("at"))))
+    kinds = F.transform(ordered, lambda x: x["c"])
+    return F.transform(ordered, lambda x, k: F.struct(F.concat(x["c"], F.lit("\x01"), (k + 1 - F.array_position(kinds, x["c"])).cast("string")).alias("part"), x["at"].alias("at"), (F.size(F.filter(kinds, lambda c: c == x["c"])) == 1).alias("single")))
+
+
+def _letters(x: Column) -> Column:
+    return _numbered(F.filter(F.split(x, ""), lambda c: c != ""))
+
+
+def _bigrams(x: Column) -> Column:
+    return _numbered(F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - 1, F.lit(1))), lambda k: F.substring(x, k, F.lit(2))))
+
+
+def similar_names(ours: DataFrame, theirs: DataFrame, block: str, least: float) -> DataFrame:
+    """block, name, other: the pairs of distinct names of a block that may be alike by `least`, and few others.
+
+    The ratio is twice the characters in common blocks over both lengths. Between two such blocks a character is left over, so names
+    that are alike have so many pairs of neighbouring characters in common: (la + lb) * (1.5 * least - 1) - 1 at least. Of a name's pairs,
+    rarest in the block first, all but that many and one more are its prefix; two names that are alike meet in a prefix, by a pair that
+    lies in a common block, and so in places no farther apart than there are characters left over. Names so short that the bound says
+    nothing go by single characters, with all names of a length near theirs.
+    """
+    gain, stretch = 1.5 * least - 1, (2 - least) / least
+    # (la + la / stretch) * gain - 1 must reach one
+    short = 2 / (gain * (1 + 1 / stretch)) if gain > 0 else float("inf")
+    names = ours.withColumn("side", F.lit(0)).unionByName(theirs.withColumnRenamed("other", "name").withColumn("side", F.lit(1))).withColumn("n", F.length("name"))
+    by_pairs = names.where(F.col("n") >= short).select("side", block, "name", _bigrams(F.col("name")).alias("parts"), F.ceil(F.col("n") * (1 + 1 / stretch) * gain - 1 - 1e-9).alias("common"))
+    by_letters = names.where((F.col("n") > 0) & (F.col("n") <= short * stretch)).select("side", block, "name", _letters(F.col("name")).alias("parts"), F.ceil(least * F.col("n") * (1 + 1 / stretch) / 2 - 1e-9).alias("common"))
+    rows = by_pairs.withColumn("kind", F.lit(2)).unionByName(by_letters.withColumn("kind", F.lit(1)))
+    each = rows.select("side", block, "name", "kind", "common", F.inline("parts"))
+    often = each.groupBy(block, "kind", "part").agg(F.count("*").alias("n"))
+    prefix = F.slice(F.array_sort(F.collect_list(F.struct("n", "part", "at", "single"))), F.lit(1), F.greatest(F.count("*") - F.first("common") + 1, F.lit(1)).cast("int"))
+    first = each.join(often, [block, "kind", "part"]).groupBy("side", block, "name", "kind").agg(prefix.alias("first")).select("side", block, "name", "kind", F.inline("first")).drop("n")
+    left, right = first.where("side = 0").drop("side"), first.where("side = 1").select(block, "kind", "part", F.col("name").alias("other"), F.col("at").alias("at_b"), F.col("single").alias("single_b"))
+    la, lb = F.length("name"), F.length("other")
+    near = ~(F.col("single") & F.col("single_b")) | (F.abs(F.col("at") - F.col("at_b")) <= (1 - least) * (la + lb) + 1e-9)
+    return left.join(right, [block, "kind", "part"]).where(near & (2.0 * F.least(la, lb) >= least * (la + lb) - 1e-9)).select(block, "name", "other").distinct()
+
+
 def fuzzy(claims: DataFrame, dim: DataFrame, block: str, least: float = 0.86) -> DataFrame:
     """(claim, match, ratio): within a block the item whose name is most alike, at `least` or more; ties to the smaller id.
 
-    Names are compared once for each pair of distinct ones; those whose lengths, or numbers of equal characters, alone rule the ratio out
-    are dropped before the Python function sees them.
+    Names are compared once for each pair of distinct ones that similar_names gives; of these, pairs whose numbers of equal characters
+    alone rule the ratio out are dropped before the Python function sees them. Two empty names are alike.
     """
     ours, theirs = claims.select(block, "name").distinct(), dim.select(block, F.col("name").alias("other")).distinct()
+    empty = ours.where("name = ''").join(theirs.where("other = ''"), block).select(block, "name", "other")
+    pairs = similar_names(ours, theirs, block, least).unionByName(empty)
     la, lb = F.length("name"), F.length("other")
-    pairs = ours.join(theirs, block).where(2.0 * F.least(la, lb) >= least * (la + lb))
-    letters = lambda x: F.array_sort(F.split(x, ""))
-    numbered = lambda x: F.transform(letters(x), lambda c, k: F.concat(c, (k - F.array_position(letters(x), c)).cast("string")))
-    shared = F.size(F.array_intersect(numbered(F.col("name")), numbered(F.col("other"))))  # equal characters, as often as both have them
-    pairs = pairs.where(2.0 * shared >= least * (la + lb)).withColumn("ratio", sequence_ratio("name", "other")).where(F.col("ratio") >= least)
+    parts = lambda x: F.transform(_letters(x), lambda p: p["part"])
+    shared = F.size(F.array_intersect(parts(F.col("name")), parts(F.col("other"))))  # equal characters, as often as both have them
+    pairs = pairs.where(2.0 * shared >= least * (la + lb) - 1e-9).withColumn("ratio", sequence_ratio("name", "other")).where(F.col("ratio") >= least)
     pairs = claims.select("claim", block, "name").join(pairs, [block, "name"]).join(dim.select("id", block, F.col("name").alias("other")), [block, "other"])
     return pairs.groupBy("claim").agg(F.max_by(F.struct("id", "ratio"), F.struct("ratio", -F.col("id"))).alias("x")).select("claim", F.col("x.id").alias("match"), "x.ratio")
 
@@ -103,6 +159,11 @@ def suffixed(rows: DataFrame, id_column: str, order: list[Column]) -> DataFrame:
     return rows.withColumn("__n", n).withColumn(id_column, F.when(F.col("__n") > 1, F.concat_ws("-", id_column, F.col("__n").cast("string"))).otherwise(F.col(id_column))).drop("__n")
 
 
-def merged_first(rows: DataFrame, by: list[str], order: str, scalars: list[str]) -> DataFrame:
-    """Per group the first value of each field that isn't null, in scan order."""
-    return rows.groupBy(*by).agg(*(F.expr(f"min_by({c}, {order}) FILTER (WHERE {c} IS NOT NULL)").alias(c) for c in scalars))
+def merged_first(rows: DataFrame, by: list[str], order: str, scalars: list[str], hints: str | None = None) -> DataFrame:
+    """Per group the first value of each field that isn't null, in scan order; of hints (a map column) the first value of each key."""
+    out = rows.groupBy(*by).agg(*(F.expr(f"min_by({c}, {order}) FILTER (WHERE {c} IS NOT NULL)").alias(c) for c in scalars))
+    if hints is None:
+        return out
+    first = rows.select(*by, F.col(order).alias("__o"), F.explode(hints).alias("__k", "__v")).where("__v IS NOT NULL").groupBy(*by, "__k").agg(F.min_by("__v", "__o").alias("__v"))
+    merged = first.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("__k", "__v")))).alias(hints))
+    return out.join(merged, by, "left").withColumn(hints, F.coalesce(hints, F.create_map().cast(merged.schema[hints].dataType)))

@@ -58,3 +58,14 @@ def bidirectional(edges: DataFrame) -> DataFrame:
     both = edges.select("id", "match", "delta_e", "tier").unionByName(swapped).where("id <> match")
     least = both.groupBy("id", "match").agg(F.min(F.struct("delta_e", "tier")).alias("x"))
     return least.groupBy("id").agg(F.count("*").alias("n"), F.min("x.delta_e").alias("nearest"), F.array_sort(F.collect_list(F.struct(rounded(F.col("x.delta_e")).alias("delta_e"), F.col("match"), F.col("x.tier").alias("tier")))).alias("equivalents"))
+
+
+def linked_by_key(links: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
+    """a, b, distance: links whose ends are named by keys (<key>_a, <key>_b, distance) as links of items' ids, the least distance of each.
+
+    A key that several items have stands for the smallest of their ids. Links of which an end is no item, and links to itself, go.
+    """
+    first = items.groupBy(*keys).agg(F.min("id").alias("id"))
+    side = lambda s: first.select(*(F.col(k).alias(f"{k}_{s}") for k in keys), F.col("id").alias(s))
+    out = links.join(side("a"), [f"{k}_a" for k in keys]).join(side("b"), [f"{k}_b" for k in keys]).where("a <> b")
+    return out.groupBy("a", "b").agg(F.min("distance").alias("distance"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.functions import barcode, color, extract, text
-from ledgerforge.operators import catalog, ledger, quality, raster
+from ledgerforge.functions import barcode, color, extract, rules, text
+from ledgerforge.operators import catalog, enrich, equivalence, ledger, quality, raster
 from ledgerforge.operators import resolve as R
 from ledgerforge.plans import publish
 from ledgerforge.plans.derive import PAINTS_SQL, paints, table
@@ -182,3 +182,51 @@ def aliased_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = s.select("s").distinct()
     out = R.resolve(rows, F.lower("name"), aliases=each.select(of("A").alias("old"), of("new").alias("new")), retracted=each.select(of("B").alias("entity")))
     return out.select("key", "entity")
+
+
+def _type_rules() -> list[tuple[int, str | None, str, str, str]]:
+    """Three hundred invented rules, of brands and of none, on sets and names, some of whose parts are parts of others'."""
+    parts = ("ECONOMY", "small", "Standard", "medium", "PROMO", "large", "ec", "mall", "dar", "um", "lar", "red", "blue", "hot", "ring", "widget", "bolt", "gear", "e b", "d w", "t g", "in", "zz")
+    return [(k, f"Brand#{1 + k * 3 % 25}" if k % 4 or k > 250 else None, "name" if k % 2 else "set_name", parts[k * 5 % len(parts)], f"T{k % 17}") for k in range(300, 0, -1)]
+
+
+@query(f"""WITH {PAINTS_SQL}, r(no, brand, field, part, result) AS (VALUES {", ".join(f"({n}, {f"'{b}'" if b else "NULL"}, '{f}', '{p.lower()}', '{r}')" for n, b, f, p, r in _type_rules())}),
+  m AS (SELECT id, no, result, row_number() OVER (PARTITION BY id ORDER BY r.brand IS NULL, no) AS k FROM paint JOIN r ON contains(lower(CASE WHEN field = 'name' THEN name ELSE set_name END), part) AND (r.brand IS NULL OR r.brand = paint.brand))
+  SELECT paint.id, no AS rule, coalesce(result, 'Standard') AS result FROM paint LEFT JOIN m ON m.id = paint.id AND k = 1""")
+def type_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first of three hundred substring rules, those of a brand before those of any."""
+    return rules.substring_rules(paints(spark, sf_dir).select("id", "brand", "set_name", "name"), _type_rules(), default="Standard").select("id", "rule", "result")
+
+
+@query(f"""WITH {PAINTS_SQL}, o AS (SELECT id, CASE WHEN id % 4 = 0 THEN '#' || printf('%02X', r) || '80' || printf('%02X', b) WHEN id % 4 = 1 THEN '#' || printf('%02X%02X%02X', r, g, b) END AS hex, CASE WHEN id % 2 = 0 THEN 'n' || id END AS name FROM paint WHERE id % 3 <> 0)
+  SELECT p.id, coalesce(o.name, p.name) AS name, coalesce(o.hex, '#' || printf('%02X%02X%02X', p.r, p.g, p.b)) AS hex, p.r AS r, CASE WHEN o.hex IS NOT NULL AND p.id % 4 = 0 THEN 128 ELSE p.g END AS g, p.b AS b FROM paint p LEFT JOIN o ON o.id = p.id""")
+def recoloured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overrides of names and colours: channels follow a new hex, written in lower case without its mark; what is no colour changes nothing."""
+    two = lambda c: F.lpad(F.hex(c), 2, "0")
+    p = paints(spark, sf_dir).select("id", "name", "r", "g", "b").withColumn("hex", F.concat(F.lit("#"), two("r"), two("g"), two("b")))
+    over = F.when(I("id") % 4 == 0, F.concat(F.lower(two("r")), F.lit("80"), F.lower(two("b")))).when(I("id") % 4 == 1, F.concat(F.lit(" #"), two("r"), two("g"), two("b"))).when(I("id") % 4 == 2, "#12")
+    more = p.where("id % 3 <> 0").select("id", over.alias("hex"), F.when(I("id") % 2 == 0, F.concat(F.lit("n"), I("id").cast("string"))).alias("name"))
+    return enrich.override_colours(p, more, ["id"], ["name"]).select("id", "name", "hex", "r", "g", "b")
+
+
+@query("""WITH e AS (SELECT user_id, event_id, CASE WHEN event_id % 3 <> 0 THEN event_type END AS name, event_id % 5 AS k, CASE WHEN event_id % 4 <> 0 THEN event_type || event_id % 7 END AS v FROM events),
+  n AS (SELECT user_id, arg_min(name, event_id) FILTER (WHERE name IS NOT NULL) AS name FROM e GROUP BY 1), h AS (SELECT user_id, k, arg_min(v, event_id) AS v FROM e WHERE v IS NOT NULL GROUP BY ALL)
+  SELECT n.user_id, n.name, string_agg('h' || k || '=' || v, ',' ORDER BY k) AS hints FROM n LEFT JOIN h USING (user_id) GROUP BY ALL""")
+def merged_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first name of a user's events and, of their hints, the first value of each key."""
+    k = I("event_id")
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.when(k % 3 != 0, I("event_type")).alias("name"), F.create_map(F.concat(F.lit("h"), _text(k % 5)), F.when(k % 4 != 0, F.concat("event_type", _text(k % 7)))).alias("hints"))
+    out = enrich.merged_first(rows, ["user_id"], "event_id", ["name"], "hints")
+    said = F.array_join(F.transform(F.array_sort(F.map_entries("hints")), lambda x: F.concat(x["key"], F.lit("="), x["value"])), ",")
+    return out.select("user_id", "name", F.nullif(said, F.lit("")).alias("hints"))
+
+
+@query(f"""WITH {PAINTS_SQL}, first AS (SELECT brand, set_name, name, min(id) AS id FROM paint GROUP BY ALL), l AS (SELECT p.id, q.brand, q.set_name, q.name, p.id % 7 AS d FROM paint p JOIN paint q ON q.id = p.id - p.id % 5 AND p.id % 11 <> 0)
+  SELECT a.id AS a, b.id AS b, min(d) AS distance FROM l JOIN paint p USING (id) JOIN first a ON a.brand = p.brand AND a.set_name = p.set_name AND a.name = p.name JOIN first b ON b.brand = l.brand AND b.set_name = l.set_name AND b.name = l.name WHERE a.id <> b.id GROUP BY ALL""")
+def links_by_natural_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links whose ends are named by brand, set and name; some lead nowhere or to themselves."""
+    p = paints(spark, sf_dir).select("id", "brand", "set_name", "name")
+    to = F.when(I("id") % 11 == 0, -1).otherwise(I("id") - I("id") % 5)
+    other = p.select(I("id").alias("to"), *(I(c).alias(f"{c}_b") for c in ("brand", "set_name", "name")))
+    links = p.withColumn("to", to).join(other, "to", "left").select(*(I(c).alias(f"{c}_a") for c in ("brand", "set_name", "name")), *(F.coalesce(f"{c}_b", F.lit("nowhere")).alias(f"{c}_b") for c in ("brand", "set_name", "name")), (I("id") % 7).alias("distance"))
+    return equivalence.linked_by_key(links, p, ["brand", "set_name", "name"])

@@ -93,13 +93,15 @@ def _quoted(text: str) -> int:
     return m.end() if m else 0
 
 
-def _value(text: str) -> object:
+def _value(text: str, verbatim: bool = False) -> object:
     if n := _quoted(text):
         if text[n:].strip() and not text[n:].lstrip().startswith("#"):
             raise ValueError(f"can't read {text!r}")
         return json.loads(text[:n]) if text[0] == '"' else text[1 : n - 1].replace("''", "'")
+    if text[:1] in ('"', "'"):
+        raise ValueError(f"a quote that doesn't end: {text!r}")
     if text[:1] in ("[", "{"):
-        value, rest = _flow(text)
+        value, rest = _flow(text, verbatim)
         if rest.strip() and not rest.lstrip().startswith("#"):
             raise ValueError(f"can't read {text!r}")
         return value
@@ -108,12 +110,14 @@ def _value(text: str) -> object:
         return None
     if text in ("true", "false"):
         return text == "true"
+    if verbatim:
+        return text
     if text.lower() in _SPECIAL:
         return _SPECIAL[text.lower()]
     return int(text) if _INT.fullmatch(text) else float(text) if _FLOAT.fullmatch(text) else text
 
 
-def _flow(text: str) -> tuple[object, str]:
+def _flow(text: str, verbatim: bool = False) -> tuple[object, str]:
     """The value in brackets that a text begins with, and what follows it."""
     closing, out, pairs = "]" if text[0] == "[" else "}", [], {}
     rest = text[1:].lstrip()
@@ -126,10 +130,10 @@ def _flow(text: str) -> tuple[object, str]:
             key, _, rest = (_value(rest[:n]), "", rest[n:].lstrip().removeprefix(":")) if n else rest.partition(":")
             key, rest = key.strip() if isinstance(key, str) else key, rest.lstrip()
         if rest[:1] in ("[", "{"):
-            value, rest = _flow(rest)
+            value, rest = _flow(rest, verbatim)
         else:
             n = _quoted(rest) or re.match(r"[^,\[\]{}]*", rest).end()
-            value, rest = _value(rest[:n].strip()), rest[n:]
+            value, rest = _value(rest[:n].strip(), verbatim), rest[n:]
         out.append(value)
         pairs[key] = value
         rest = rest.lstrip().removeprefix(",").lstrip()
@@ -165,8 +169,8 @@ def _lines(text: str) -> list[tuple[int, str]]:
     return out
 
 
-def parse(text: str) -> object:
-    """The value of a document in this form; comments and document marks are passed over."""
+def parse(text: str, *, verbatim: bool = False) -> object:
+    """The value of a document in this form; comments and document marks are passed over. verbatim: numbers are kept as they are written."""
     lines = _lines(text)
     at = 0
 
@@ -184,17 +188,17 @@ def parse(text: str) -> object:
                     out.append(block(indent + 2))
                 else:
                     at += 1
-                    out.append(_value(rest))
+                    out.append(_value(rest, verbatim))
             return out
         if not _KEY.fullmatch(lines[at][1]):
             at += 1
-            return _value(lines[at - 1][1])
+            return _value(lines[at - 1][1], verbatim)
         found: dict = {}
         while at < len(lines) and lines[at][0] == indent and (m := _KEY.fullmatch(lines[at][1])):
-            key, rest = _value(m[1]), m[2]
+            key, rest = _value(m[1], verbatim), m[2]
             at += 1
             if rest and not rest.startswith("#"):
-                found[key] = _value(rest)
+                found[key] = _value(rest, verbatim)
             elif at < len(lines) and (lines[at][0] > indent or lines[at][0] == indent and lines[at][1].startswith("- ")):
                 found[key] = block(lines[at][0])
             else:
