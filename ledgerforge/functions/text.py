@@ -138,3 +138,24 @@ def percent(part: Column, whole: Column) -> Column:
 def canonical_hash(*fields: Column) -> Column:
     """SHA-256 of a JSON object with keys in the given order, nulls left out."""
     return F.sha2(F.to_json(F.struct(*fields)), 256)
+
+
+def name_from_slug(x: Column) -> Column:
+    """A slug's words with capitals: 'dark-red-2' is 'Dark Red 2'; null if it has none."""
+    return blank_to_null(F.initcap(F.regexp_replace(x, "[-_]+", " ")))
+
+
+def without_zeros(x: Column) -> Column:
+    """A code without the zeros before it; of zeros alone one stays."""
+    bare = F.ltrim(x, F.lit("0"))
+    return F.when((bare == "") & (x != ""), F.lit("0")).otherwise(bare)
+
+
+def without_tail(x: Column, letters: str) -> Column:
+    """A code without the given letters at its end, as many as there are."""
+    return F.rtrim(x, F.lit(letters))
+
+
+def without_prefix(x: Column, prefix: str) -> Column:
+    """A text without the prefix, once, if it has it."""
+    return F.when(F.startswith(x, F.lit(prefix)), F.substring(x, len(prefix) + 1, 2**31 - 1)).otherwise(x)

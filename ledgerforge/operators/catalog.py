@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerforge.functions.text import slug_ascii
@@ -61,3 +61,13 @@ def work_queue(rows: DataFrame, length: int = 300) -> DataFrame:
 
 def observed_factions(rows: DataFrame) -> DataFrame:
     return rows.where("game_system IS NOT NULL AND faction IS NOT NULL").groupBy("game_system").agg(F.array_sort(F.collect_set("faction")).alias("factions"))
+
+
+def migrated(legacy: DataFrame, archive: DataFrame, key: list[str], made: dict[str, Column]) -> DataFrame:
+    """The archive after a migration: its own rows as they are, word for word, and of legacy rows whose key it hasn't one each, in the
+    archive's form (made: its columns from legacy ones), the first by all of them. Run again it changes nothing."""
+    rows = legacy.select(*(x.alias(c) for c, x in made.items()))
+    fold = lambda df: F.concat_ws("\x01", *(F.lower(F.trim(F.coalesce(df[k].cast("string"), F.lit("")))) for k in key))
+    first = rows.withColumn("__k", fold(rows)).groupBy("__k").agg(F.min(F.struct(*archive.columns)).alias("x"))
+    held = archive.select(fold(archive).alias("__k")).distinct()
+    return archive.unionByName(first.join(held, "__k", "left_anti").select("x.*"))

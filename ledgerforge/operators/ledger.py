@@ -167,5 +167,28 @@ def due(last: Column, run_date: Column, days: int) -> Column:
     return F.coalesce(F.datediff(run_date, last) >= days, F.lit(True))
 
 
-def full_sweep(pending: DataFrame, *, capped: bool) -> bool:
-    return not capped and not pending.limit(1).count()
+def paging(captures: DataFrame, *, most_rows: int | None = None, most_pages: int | None = None) -> DataFrame:
+    """slice, rows, next_page, state of listings by their captured pages (slice, page from 1, rows, reported: how many pages the platform
+    says, or null): 'done' at a page without rows or at the last reported one, 'capped' where the platform gives no more, else 'open'.
+
+    What counts are the pages before the first that is missing, which is the next one: a page that failed is asked again.
+    """
+    pages = captures.groupBy("slice", "page").agg(F.max("rows").alias("rows"), F.max("reported").alias("reported"))
+    after = pages.select("slice", (F.col("page") + 1).alias("page")).unionByName(pages.select("slice", F.lit(1).cast(pages.schema["page"].dataType).alias("page")).distinct())
+    gap = after.join(pages.select("slice", "page"), ["slice", "page"], "left_anti").groupBy("slice").agg(F.min("page").alias("next_page"))
+    seen = pages.join(gap, "slice").where(F.col("page") < F.col("next_page"))
+    sums = seen.groupBy("slice").agg(F.sum("rows").alias("rows"), F.max("reported").alias("reported"), F.bool_or(F.col("rows") == 0).alias("empty"))
+    out = gap.join(sums, "slice", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
+    done = F.coalesce("empty", F.lit(False)) | F.coalesce(F.col("next_page") > F.col("reported"), F.lit(False))
+    capped = F.lit(False)
+    if most_rows is not None:
+        capped = capped | (F.col("rows") >= most_rows)
+    if most_pages is not None:
+        capped = capped | (F.col("next_page") > most_pages)
+    state = F.when(done, "done").when(capped, "capped").otherwise("open")
+    return out.select("slice", "rows", F.when(state == "open", F.col("next_page")).alias("next_page"), state.alias("state"))
+
+
+def full_sweep(pending: DataFrame, *, capped: bool = False, walks: DataFrame | None = None) -> bool:
+    """Whether a run saw all that its source has: nothing is pending, no listing was capped, and (walks, as paging gives them) all were walked to their end."""
+    return not capped and not pending.limit(1).count() and (walks is None or not walks.where("state <> 'done'").limit(1).count())

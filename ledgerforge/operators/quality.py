@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerforge.functions.barcode import normalize_ean
+
 
 def truthy(c: str, kind: str) -> Column:
     """Present and not empty: as fill rates count, where an empty text or a zero is none."""
@@ -83,3 +85,23 @@ def accepted(decisions: DataFrame, candidates: DataFrame, least: float = 0.8) ->
     """Decisions (item, choice, confidence) that name a known candidate, with enough confidence; a null choice clears."""
     known = decisions.join(candidates.select("item", "choice").distinct(), ["item", "choice"], "left_semi")
     return known.unionByName(decisions.where("choice IS NULL")).where(F.col("confidence") >= least)
+
+
+def migration_report(rows: DataFrame, migrated: DataFrame) -> DataFrame:
+    """metric, value of a migration from rows (key, manufacturer, raw barcode `ean`) to migrated ones (manufacturer, ean, confidence):
+    counts of both, distinct valid barcodes, barcodes that are none, keys given twice; and of each manufacturer its rows, entities, those
+    with a barcode and those confirmed."""
+    valid = normalize_ean(F.col("ean").cast("string"))
+    one = rows.agg(F.count("*").alias("observations"), F.countDistinct(valid).alias("distinct valid barcodes"), F.count_if(F.col("ean").isNotNull() & (F.trim("ean") != "") & valid.isNull()).alias("invalid barcodes"))
+    twice = rows.groupBy("key").count().where("count > 1").agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("key collisions"))
+    two = migrated.agg(F.count("*").alias("entities"))
+    names = [*one.columns, *twice.columns, *two.columns]
+    wide = one.crossJoin(twice).crossJoin(two)  # one row each
+    out = wide.select(F.inline(F.array(*(F.struct(F.lit(n).alias("metric"), F.col(f"`{n}`").cast("long").alias("value")) for n in names))))
+    of = lambda df, *pairs: df.where("manufacturer IS NOT NULL").groupBy("manufacturer").agg(*(x.alias(n) for n, x in pairs))
+    before = of(rows, ("rows", F.count("*")))
+    after = of(migrated, ("entities", F.count("*")), ("with barcode", F.count("ean")), ("confirmed", F.count_if(F.col("ean").isNotNull() & (F.col("confidence") == "confirmed"))))
+    both = before.join(after, "manufacturer", "full")
+    kinds = ("rows", "entities", "with barcode", "confirmed")
+    each = both.select(F.inline(F.array(*(F.struct(F.concat(F.col("manufacturer").cast("string"), F.lit(f": {n}")).alias("metric"), F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("long").alias("value")) for n in kinds))))
+    return out.unionByName(each)

@@ -113,3 +113,21 @@ def recover(spark: SparkSession, path: str) -> None:
             files.rename(spark, f"{parent}/{x}", path)
         else:
             files.delete(spark, f"{parent}/{x}")
+
+
+def copy_checked(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Copies a folder's files (schemas, say) beside the tree they belong to and returns their checksums, read back at the target.
+
+    The copy is compared with the source before it takes its place; files that the source no longer has are gone after it.
+    """
+    target = target.rstrip("/")
+    recover(spark, target)
+    staging = f"{target}.staging-{uuid.uuid4().hex}"
+    for name in files.children(spark, source):
+        files.copy(spark, f"{source.rstrip('/')}/{name}", f"{staging}/{name}")
+    read = lambda path: checksums(spark.read.format("binaryFile").load(path))
+    if read(source).exceptAll(read(staging)).limit(1).count():
+        files.delete(spark, staging)
+        raise ValueError("the copy isn't what was to be copied")
+    replace(spark, staging, target)
+    return read(target)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerforge.sources import files
+
 SCHEMA = (
     "key string, url string, manufacturer string, name string, sku string, ean string, priceGbp double, priceUsd double, priceEur double, priceCad double, "
     "imageUrl string, availability string, hints map<string,string>, firstSeen date, lastSeen date, missStreak int, archived boolean, extractor string"
@@ -14,8 +16,11 @@ SCHEMA = (
 def read_evidence(spark: SparkSession, path: str) -> DataFrame:
     """Observations of all sources under path/<source>/observations.jsonl, with source_id; identifiers stay texts.
 
-    Of lines with equal keys the last counts, by file and then by place; lines that don't parse fail the read.
+    Of lines with equal keys the last counts, by file and then by place; lines that don't parse fail the read. Without files there is
+    no evidence.
     """
+    if not any(files.exists(spark, f"{path}/{s}/observations.jsonl") for s in files.children(spark, path)):
+        return spark.createDataFrame([], f"{SCHEMA}, source_id string")
     rows = spark.read.schema(SCHEMA).option("mode", "FAILFAST").json(f"{path}/*/observations.jsonl")
     rows = rows.withColumns({"__file": F.col("_metadata.file_path"), "__place": F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())})
     fields = [f for f in rows.columns if not f.startswith("__")]

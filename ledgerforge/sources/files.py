@@ -62,3 +62,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     fs, at = _at(spark, path)
     fs.delete(at, True)
+
+
+def copy(spark: SparkSession, old: str, new: str) -> None:
+    """Copies one file, or a folder with all in it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, at = _at(spark, old)
+    b, to = _at(spark, new)
+    b.mkdirs(to.getParent())
+    jvm.org.apache.hadoop.fs.FileUtil.copy(a, at, b, to, False, conf)

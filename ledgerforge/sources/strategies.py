@@ -115,10 +115,13 @@ def appsync(rows: DataFrame, source: str, *, factions: list[str] | None = None)
 
 @strategy("reaper", "full")
 def reaper(rows: DataFrame, source: str) -> DataFrame:
-    """The page embeds an array; prices are in cents, the main image comes first."""
+    """The page embeds an array; prices are in cents, the main image comes first. Of a set's parts the paints are its contents."""
     body = rows.withColumn("body", F.regexp_extract("body", r"(?s)products\s*=\s*(\[.*?\]);", 1))
-    i = _items(body, "$", "sku:string,name:string,price:int,images:array<struct<type:string,`order`:int,url:string>>")
-    return once(i.select(*observation(source, F.col("i.sku"), name=F.col("i.name"), sku=F.col("i.sku"), price=F.col("i.price") / 100.0, hints=F.create_map(F.lit("image"), extract.main_image(F.col("i.images")))), "seq"))
+    i = _items(body, "$", "sku:string,name:string,price:int,images:array<struct<type:string,`order`:int,url:string>>,associatedProducts:array<struct<sku:string,material:string>>")
+    paints = F.filter(F.coalesce("i.associatedProducts", F.array().cast("array<struct<sku:string,material:string>>")), lambda x: (F.lower(x["material"]) == "paint") & x["sku"].isNotNull())
+    contents = F.array_join(F.array_sort(F.array_distinct(F.transform(paints, lambda x: x["sku"]))), ",")
+    hints = F.map_filter(F.create_map(F.lit("image"), extract.main_image(F.col("i.images")), F.lit("contents"), F.nullif(contents, F.lit(""))), lambda k, v: (k == "image") | v.isNotNull())
+    return once(i.select(*observation(source, F.col("i.sku"), name=F.col("i.name"), sku=F.col("i.sku"), price=F.col("i.price") / 100.0, hints=hints), "seq"))
 
 
 @strategy("wp-rest-paints", "full")
@@ -228,6 +231,20 @@ def sheet_rows(cells: DataFrame) -> DataFrame:
     return each.select(F.struct("sheet", "line").alias("seq"), "role", *fields).where("code IS NOT NULL")
 
 
+def workbooks(assets: DataFrame, patterns: list[str], suffixes: tuple[str, ...] = (".xlsx", ".xlsm")) -> DataFrame:
+    """url, name of the assets to read, in the order of their URLs: listed by whatever countries (country, url, name), each once; those whose
+    name, else the URL's last part, is a workbook's and matches a pattern, in any case."""
+    first = assets.where("url <> ''").groupBy("url").agg(F.min_by("name", F.struct("country", F.coalesce("name", F.lit("")))).alias("name"))
+    named = first.withColumn("name", F.coalesce(blank_to_null(F.col("name")), F.substring_index("url", "/", -1)))
+    fits = F.lit(False)
+    for p in patterns:
+        fits = fits | F.col("name").rlike(f"(?i){p}")
+    readable = F.lit(False)
+    for s in suffixes:
+        readable = readable | F.endswith(F.lower("name"), F.lit(s))
+    return named.where(readable & fits).orderBy("url").select("url", "name")
+
+
 @strategy("trade-sheets", "partial")
 def trade_sheets(rows: DataFrame, source: str, *, prefixes: list[str] | None = None, run_date: str | None = None) -> DataFrame:
     """Sheet rows (seq, role, code, name, barcode, price, and release, if known): the first value of each field in scan order; withdrawn

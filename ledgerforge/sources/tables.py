@@ -38,3 +38,9 @@ def with_labels(rows: DataFrame, labels: DataFrame, column: str, out: str) -> Da
     found = rows.join(dim, rows[column] == dim["__s"], "left")
     missing = F.raise_error(F.concat(F.lit(f"no label for {column} "), F.col(column)))
     return found.withColumn(out, F.when(F.col(column).isNull(), None).when(F.col("__s").isNull(), missing).otherwise(F.col("__l"))).drop("__s", "__l")
+
+
+def write_labels(labels: DataFrame, path: str) -> None:
+    """Writes slugs and their labels, checked, as one list in the order of slugs: path/part-*, a line of JSON each."""
+    rows = labels_checked(labels).repartition(1).sortWithinPartitions("slug")  # a label list is small, and one file by its nature
+    rows.select(F.to_json(F.struct("label", "slug")).alias("value")).write.mode("overwrite").text(path)
