@@ -17,7 +17,8 @@ from ledgerforge.sources.shared import shared_path
 from ledgerforge.sources.store import SourceStore
 from ledgerforge.sources.strategies import STRATEGIES, workbooks
 
-K = F.col("p_partkey")
+def _k() -> Column:
+    return F.col("p_partkey")
 
 
 def _said(*parts: Column | str) -> Column:
@@ -26,8 +27,8 @@ def _said(*parts: Column | str) -> Column:
 
 def _pages(rows: DataFrame, item: Column, wrap: str | None, size: int = 100) -> DataFrame:
     """Pages (place, body) of items in the order of parts: a JSON array, or nested objects of which the innermost holds it."""
-    listed = F.transform(F.array_sort(F.collect_list(F.struct(K, item.alias("x")))), lambda r: r["x"])
-    pages = rows.groupBy(F.floor(K / size).alias("place")).agg(listed.alias("rows"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(_k(), item.alias("x")))), lambda r: r["x"])
+    pages = rows.groupBy(F.floor(_k() / size).alias("place")).agg(listed.alias("rows"))
     inner = F.col("rows")
     for name in reversed(wrap.split(".") if wrap else []):
         inner = F.struct(inner.alias(name))
@@ -35,43 +36,43 @@ def _pages(rows: DataFrame, item: Column, wrap: str | None, size: int = 100) ->
 
 
 def _ean(prefix: str = "50") -> Column:
-    return ean_from_stem(F.concat(F.lit(prefix), F.lpad(K.cast("string"), 10, "0")))
+    return ean_from_stem(F.concat(F.lit(prefix), F.lpad(_k().cast("string"), 10, "0")))
 
 
 _STEM = "('50' || lpad(CAST(p_partkey AS VARCHAR), 10, '0'))"
 EAN_SQL = f"({_STEM} || {check_sql(_STEM)})"
 
 
-@query(f"""SELECT 's:h' || p_partkey AS key, 'm' || p_partkey % 3 AS manufacturer, p_name AS name, CASE WHEN p_partkey % 4 = 0 THEN {EAN_SQL} WHEN p_partkey % 4 = 1 THEN '5011921139590' END AS ean, p_size + 0.5 AS price, CASE WHEN p_partkey % 5 = 0 THEN 'in_stock' ELSE 'out_of_stock' END AS availability
+@query(f"""SELECT 's:h' || p_partkey AS key, 'm' || p_partkey % 3 AS manufacturer, p_name AS name, CASE WHEN p_partkey % 4 = 0 THEN {EAN_SQL} WHEN p_partkey % 4 = 1 THEN '5011921139590' END AS ean, CAST(p_size + 0.5 AS DOUBLE) AS price, CASE WHEN p_partkey % 5 = 0 THEN 'in_stock' ELSE 'out_of_stock' END AS availability
   FROM part WHERE p_partkey % 10 < 8 AND p_partkey % 7 <> 6""")
 def shopify_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vendors out of scope and unknown ones are left out; a barcode of the listing comes before one of earlier details."""
     p = table(spark, sf_dir, "part")
-    variant = F.struct(_said("k", K).alias("sku"), F.when(K % 4 == 0, _ean()).alias("barcode"), _said(F.col("p_size"), ".50").alias("price"), (K % 5 == 0).alias("available"))
-    item = F.struct(_said("h", K).alias("handle"), F.col("p_name").alias("title"), F.when(K % 10 < 8, _said("V", K % 3)).otherwise(F.lit("other")).alias("vendor"), F.array(variant).alias("variants"))
+    variant = F.struct(_said("k", _k()).alias("sku"), F.when(_k() % 4 == 0, _ean()).alias("barcode"), _said(F.col("p_size"), ".50").alias("price"), (_k() % 5 == 0).alias("available"))
+    item = F.struct(_said("h", _k()).alias("handle"), F.col("p_name").alias("title"), F.when(_k() % 10 < 8, _said("V", _k() % 3)).otherwise(F.lit("other")).alias("vendor"), F.array(variant).alias("variants"))
     stranger = item.withField("vendor", F.lit("V9"))
-    rows = _pages(p, F.when(K % 7 == 6, stranger).otherwise(item), "products")
+    rows = _pages(p, F.when(_k() % 7 == 6, stranger).otherwise(item), "products")
     makers = spark.createDataFrame([(f"v{k}", f"m{k}") for k in range(3)], "vendor string, slug string")
-    details = p.where(K % 2 == 1).where(K % 4 == 1).select(_said("h", K).alias("key"), F.lit("5011921139590").alias("ean"))
+    details = p.where(_k() % 2 == 1).where(_k() % 4 == 1).select(_said("h", _k()).alias("key"), F.lit("5011921139590").alias("ean"))
     return STRATEGIES["shopify"](rows, "s", vendors=["V0", "V1", "V2", "V9"], manufacturers=makers, details=details).select("key", "manufacturer", "name", "ean", "price", "availability")
 
 
 @query("""SELECT 'w:' || p_partkey AS key, 'A & ' || p_partkey AS name, CASE WHEN p_partkey % 2 = 0 THEN 'k' || p_partkey END AS sku, p_size / 100.0 AS price, 'a,c' || p_partkey % 3 AS category FROM part""")
 def woo_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    item = F.struct(K.alias("id"), _said("A &amp; <b>", K, "</b>").alias("name"), F.when(K % 2 == 0, _said("k", K)).otherwise(" ").alias("sku"), F.struct(F.col("p_size").cast("string").alias("price"), F.lit(2).alias("currency_minor_unit")).alias("prices"), F.array(F.struct(_said("c", K % 3).alias("slug")), F.struct(F.lit("a").alias("slug"))).alias("categories"))
+    item = F.struct(_k().alias("id"), _said("A &amp; <b>", _k(), "</b>").alias("name"), F.when(_k() % 2 == 0, _said("k", _k())).otherwise(" ").alias("sku"), F.struct(F.col("p_size").cast("string").alias("price"), F.lit(2).alias("currency_minor_unit")).alias("prices"), F.array(F.struct(_said("c", _k() % 3).alias("slug")), F.struct(F.lit("a").alias("slug"))).alias("categories"))
     return STRATEGIES["woo-store-api"](_pages(table(spark, sf_dir, "part"), item, None), "w").select("key", "name", "sku", "price", F.col("hints")["category"].alias("category"))
 
 
 @query("""SELECT 'a:p-' || p_partkey % 500 AS key, arg_min(p_name, p_partkey) AS name, CAST(p_partkey % 500 AS VARCHAR) AS sku, arg_min(CASE WHEN p_partkey % 2 = 0 THEN 'Toads' ELSE 'General' END, p_partkey) AS faction FROM part GROUP BY p_partkey % 500""")
 def algolia_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slices that repeat objects: the first arrival counts."""
-    item = F.struct(_said("p-", K % 500).alias("objectID"), F.col("p_name").alias("name"), F.when(K % 2 == 0, "Root > Toads > x").otherwise("Root").alias("gameHierarchy"))
+    item = F.struct(_said("p-", _k() % 500).alias("objectID"), F.col("p_name").alias("name"), F.when(_k() % 2 == 0, "Root > Toads > x").otherwise("Root").alias("gameHierarchy"))
     return STRATEGIES["algolia"](_pages(table(spark, sf_dir, "part"), item, "hits"), "a").select("key", "name", "sku", F.col("hints")["faction"].alias("faction"))
 
 
 @query("""SELECT 'g:' || p_partkey AS key, CASE WHEN p_partkey % 3 = 0 THEN 'pre_order' WHEN p_size % 2 = 1 THEN 'in_stock' ELSE 'out_of_stock' END AS availability, CASE WHEN p_partkey % 4 = 0 THEN 'Newts' WHEN contains(p_name, 'red') THEN 'Red' END AS faction FROM part""")
 def appsync_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    item = F.struct(K.alias("id"), F.col("p_name").alias("name"), (F.col("p_size") % 2).alias("inventory"), (K % 3 == 0).alias("preorder"), F.when(K % 4 == 0, F.array(F.lit("the newts"))).otherwise(F.array(F.lit("none"))).alias("seo"))
+    item = F.struct(_k().alias("id"), F.col("p_name").alias("name"), (F.col("p_size") % 2).alias("inventory"), (_k() % 3 == 0).alias("preorder"), F.when(_k() % 4 == 0, F.array(F.lit("the newts"))).otherwise(F.array(F.lit("none"))).alias("seo"))
     rows = _pages(table(spark, sf_dir, "part"), item, "data.products.products")
     return STRATEGIES["appsync"](rows, "g", factions=["Newts", "Red"]).select("key", "availability", F.try_element_at("hints", F.lit("faction")).alias("faction"))
 
@@ -81,30 +82,30 @@ def reaper_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays in pages' scripts; the main image comes first, and of a set's parts the paints are its contents."""
     image = lambda kind, order, url: F.struct(F.lit(kind).alias("type"), F.lit(order).alias("order"), url.alias("url"))
     part = lambda sku, of: F.struct(sku.cast("string").alias("sku"), F.lit(of).alias("material"))
-    item = F.struct(K.cast("string").alias("sku"), F.col("p_name").alias("name"), F.col("p_size").alias("price"), F.array(image("side", 1, _said("s", K)), image("main", 5, _said("m", K))).alias("images"), F.when(K % 6 == 0, F.array(part(K + 2, "Paint"), part(F.lit(1), "paint"), part(K, "brush"))).alias("associatedProducts"))
+    item = F.struct(_k().cast("string").alias("sku"), F.col("p_name").alias("name"), F.col("p_size").alias("price"), F.array(image("side", 1, _said("s", _k())), image("main", 5, _said("m", _k()))).alias("images"), F.when(_k() % 6 == 0, F.array(part(_k() + 2, "Paint"), part(F.lit(1), "paint"), part(_k(), "brush"))).alias("associatedProducts"))
     rows = _pages(table(spark, sf_dir, "part"), item, None).withColumn("body", F.concat(F.lit("<script>var products = "), "body", F.lit(";</script>")))
     return STRATEGIES["reaper"](rows, "r").select("key", "price", F.col("hints")["image"].alias("image"), F.try_element_at("hints", F.lit("contents")).alias("contents"))
 
 
-@query("""SELECT 'c:/p/' || p_partkey AS key, 'Name ' || p_partkey AS name, lpad(CAST(p_partkey AS VARCHAR), 11, '0') AS sku, p_size + 0.25 AS price, true AS archived FROM part WHERE p_partkey % 3 <> 0""")
+@query("""SELECT 'c:/p/' || p_partkey AS key, 'Name ' || p_partkey AS name, lpad(CAST(p_partkey AS VARCHAR), 11, '0') AS sku, CAST(p_size + 0.25 AS DOUBLE) AS price, true AS archived FROM part WHERE p_partkey % 3 <> 0""")
 def archive_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest good capture of each path, read as an old shop's page; paths of which no snapshot names a product are left for later."""
     p = table(spark, sf_dir, "part")
-    each = p.select(K, F.col("p_size"), F.explode(F.array(*map(F.lit, ("2019", "2020", "2021")))).alias("timestamp"))
-    caps = each.select(_said("http://e.org/p/", K, "?x=", F.col("timestamp")).alias("original"), "timestamp", F.when(F.col("timestamp") == "2021", "404").otherwise("200").alias("status"))
-    page = _said("<title>Name ", K, F.when(F.col("timestamp") == "2020", " | Shop").otherwise(" older"), "</title>code ", F.lpad(K.cast("string"), 11, "0"), " £ ", F.col("p_size"), "<sup>25</sup>")
-    old = each.select(_said("http://e.org/p/", K, "?x=", F.col("timestamp")).alias("original"), "timestamp", F.when(K % 3 != 0, page).otherwise("").alias("body"))
+    each = p.select(_k(), F.col("p_size"), F.explode(F.array(*map(F.lit, ("2019", "2020", "2021")))).alias("timestamp"))
+    caps = each.select(_said("http://e.org/p/", _k(), "?x=", F.col("timestamp")).alias("original"), "timestamp", F.when(F.col("timestamp") == "2021", "404").otherwise("200").alias("status"))
+    page = _said("<title>Name ", _k(), F.when(F.col("timestamp") == "2020", " | Shop").otherwise(" older"), "</title>code ", F.lpad(_k().cast("string"), 11, "0"), " £ ", F.col("p_size"), "<sup>25</sup>")
+    old = each.select(_said("http://e.org/p/", _k(), "?x=", F.col("timestamp")).alias("original"), "timestamp", F.when(_k() % 3 != 0, page).otherwise("").alias("body"))
     return STRATEGIES["cdx-archive"](caps, "c", include="^/p/", snapshots=old).select("key", "name", "sku", "price", "archived")
 
 
 @query(f"""SELECT 't:c' || p_partkey AS key, p_name AS name, CASE WHEN p_partkey % 2 = 0 THEN {EAN_SQL} END AS ean, CASE WHEN p_partkey % 5 = 0 AND p_partkey % 4 <> 0 THEN 'discontinued' ELSE 'current' END AS status FROM part WHERE p_partkey % 9 <> 0""")
 def trade_sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets with titles above their headers: withdrawn and not current is gone, what is to come doesn't count, other numbers are no barcodes."""
-    p = table(spark, sf_dir, "part").where(K % 9 != 0)
+    p = table(spark, sf_dir, "part").where(_k() % 9 != 0)
     heads = spark.createDataFrame([("w", "withdrawn", 1, ["Withdrawn", None, None, None]), ("w", "withdrawn", 2, ["CODE", "Product", "EAN", "Release Date"]), ("v", "current", 1, ["code", "name", "barcode", "release date"])], "sheet string, role string, line int, cells array<string>")
-    line = lambda sheet, role, rows, name, day: rows.select(F.lit(sheet).alias("sheet"), F.lit(role).alias("role"), (K + 10).cast("int").alias("line"), F.array(_said("c", K), name, F.when(K % 2 == 0, _ean()).otherwise(_said("40", K)), F.lit(day)).alias("cells"))
-    rows = heads.unionByName(line("w", "withdrawn", p.where(K % 5 == 0), F.lit(" "), "2020-01-01")).unionByName(line("v", "current", p.where((K % 5 != 0) | (K % 4 == 0)), F.col("p_name"), "2020-01-01"))
-    rows = rows.unionByName(line("u", "withdrawn", p.where((K % 5 == 0) & (K % 4 != 0)), F.col("p_name"), "")).unionByName(line("f", "withdrawn", p, F.lit("future"), "2999-01-01"))
+    line = lambda sheet, role, rows, name, day: rows.select(F.lit(sheet).alias("sheet"), F.lit(role).alias("role"), (_k() + 10).cast("int").alias("line"), F.array(_said("c", _k()), name, F.when(_k() % 2 == 0, _ean()).otherwise(_said("40", _k())), F.lit(day)).alias("cells"))
+    rows = heads.unionByName(line("w", "withdrawn", p.where(_k() % 5 == 0), F.lit(" "), "2020-01-01")).unionByName(line("v", "current", p.where((_k() % 5 != 0) | (_k() % 4 == 0)), F.col("p_name"), "2020-01-01"))
+    rows = rows.unionByName(line("u", "withdrawn", p.where((_k() % 5 == 0) & (_k() % 4 != 0)), F.col("p_name"), "")).unionByName(line("f", "withdrawn", p, F.lit("future"), "2999-01-01"))
     rows = rows.unionByName(heads.where("sheet = 'v'").select(F.lit("u").alias("sheet"), F.lit("withdrawn").alias("role"), "line", "cells")).unionByName(heads.where("sheet = 'v'").select(F.lit("f").alias("sheet"), F.lit("withdrawn").alias("role"), "line", "cells"))
     from ledgerforge.sources.strategies import sheet_rows
 
@@ -115,17 +116,17 @@ def trade_sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def barcode_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers that name the manufacturer, in title or brand; of several the first title."""
     p = table(spark, sf_dir, "part")
-    one = p.select(_ean().alias("ean"), F.when(K % 3 == 0, _said("acme ", K)).otherwise(_said("other ", K)).alias("title"), F.lit(None).cast("string").alias("brand"), F.array(F.lit("ACME")).alias("names"))
-    two = p.where(K % 3 == 0).select(_ean().alias("ean"), _said("zzz ", K).alias("title"), F.lit("The Acme Co").alias("brand"), F.array(F.lit("Acme")).alias("names"))
+    one = p.select(_ean().alias("ean"), F.when(_k() % 3 == 0, _said("acme ", _k())).otherwise(_said("other ", _k())).alias("title"), F.lit(None).cast("string").alias("brand"), F.array(F.lit("ACME")).alias("names"))
+    two = p.where(_k() % 3 == 0).select(_ean().alias("ean"), _said("zzz ", _k()).alias("title"), F.lit("The Acme Co").alias("brand"), F.array(F.lit("Acme")).alias("names"))
     return STRATEGIES["barcode-db"](one.unionByName(two), "b").select("key", "name")
 
 
-@query("""SELECT concat_ws('>', 'o', p_partkey % 5) AS source, count(*) AS n, sum(CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END) AS with_sku, min('n' || p_partkey) AS first_name FROM part GROUP BY p_partkey % 5""")
+@query("""SELECT concat_ws('>', 'o', p_partkey % 5) AS source, count(*) AS n, CAST(sum(CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS with_sku, min('n' || p_partkey) AS first_name FROM part GROUP BY p_partkey % 5""")
 def evidence_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations written as a ledger of JSON lines, one folder a source, and read back."""
     p = table(spark, sf_dir, "part")
     none = {c: F.lit(None) for c in ("url", "manufacturer", "ean", "priceGbp", "priceUsd", "priceEur", "priceCad", "imageUrl", "availability", "hints")}
-    fields = {**none, "key": _said("o", K % 5, ":", K), "name": _said("n", K), "sku": F.when(K % 3 == 0, _said("00", K)), "firstSeen": F.lit("2024-01-01"), "lastSeen": F.lit("2024-01-02"), "missStreak": F.lit(1), "archived": F.lit(False), "extractor": F.lit("x")}
+    fields = {**none, "key": _said("o", _k() % 5, ":", _k()), "name": _said("n", _k()), "sku": F.when(_k() % 3 == 0, _said("00", _k())), "firstSeen": F.lit("2024-01-01"), "lastSeen": F.lit("2024-01-02"), "missStreak": F.lit(1), "archived": F.lit(False), "extractor": F.lit("x")}
     rows = p.select(*(fields[x.split()[0]].cast(x.split()[1]).alias(x.split()[0]) for x in evidence.SCHEMA.split(", ")))
     path = shared_path(spark, "evidence")
     evidence.write_evidence(rows, path)
@@ -156,7 +157,7 @@ def paint_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT p_brand AS partition, p_partkey AS id, '00' || p_partkey AS code, CASE WHEN p_partkey % 2 = 0 THEN p_name || chr(10) || 'two lines' WHEN p_partkey % 5 = 0 THEN '# yes: no' ELSE 'nan' END AS note FROM part""")
 def yaml_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by brand, with texts that look like numbers, comments and maps, and texts of two lines, written and read back."""
-    rows = table(spark, sf_dir, "part").select(F.regexp_replace("p_brand", "#", "_").alias("part"), K.alias("id"), _said("00", K).alias("code"), F.when(K % 2 == 0, F.concat("p_name", F.lit("\ntwo lines"))).when(K % 5 == 0, "# yes: no").otherwise("nan").alias("note"))
+    rows = table(spark, sf_dir, "part").select(F.regexp_replace("p_brand", "#", "_").alias("part"), _k().alias("id"), _said("00", _k()).alias("code"), F.when(_k() % 2 == 0, F.concat("p_name", F.lit("\ntwo lines"))).when(_k() % 5 == 0, "# yes: no").otherwise("nan").alias("note"))
     path = shared_path(spark, "yaml")
     yaml_text.write_yaml(yaml_text.partition_documents(rows, "part", ["id"]), path)
     back = yaml_text.read_yaml(spark, path, "id long, code string, note string")
@@ -221,8 +222,8 @@ def page_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
   UNION SELECT DISTINCT 'https://e.org/f/' || p_partkey % 300 || '.xlsx', p_partkey % 300 || '.xlsx' FROM part WHERE p_partkey % 300 % 4 = 2 AND p_partkey % 300 < 100 AND p_partkey % 300 >= 10""")
 def workbook_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that several countries list, by name or, where they have none, by their URL."""
-    n = K % 300
-    assets = table(spark, sf_dir, "part").select((K % 7).alias("country"), _said("https://e.org/f/", n, F.when(K % 2 == 0, ".xlsx").otherwise(".xls")).alias("url"), F.when(n % 4 == 0, _said("Trade ", n, ".XLSX")).otherwise("").alias("name"))
+    n = _k() % 300
+    assets = table(spark, sf_dir, "part").select((_k() % 7).alias("country"), _said("https://e.org/f/", n, F.when(_k() % 2 == 0, ".xlsx").otherwise(".xls")).alias("url"), F.when(n % 4 == 0, _said("Trade ", n, ".XLSX")).otherwise("").alias("name"))
     return workbooks(assets, ["^trade", r"^\d\d\."])
 
 
@@ -232,8 +233,8 @@ def workbook_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
   UNION ALL SELECT manufacturer || ': rows', count(*) FROM p GROUP BY manufacturer UNION ALL SELECT manufacturer || ': entities', count(*) FROM m GROUP BY manufacturer UNION ALL SELECT manufacturer || ': with barcode', count(ean) FROM m GROUP BY manufacturer UNION ALL SELECT manufacturer || ': confirmed', count(ean) FILTER (WHERE sure) FROM m GROUP BY manufacturer""")
 def migration_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    rows = p.select(_said("k", K % 1900).alias("key"), _said("m", K % 4).alias("manufacturer"), F.when(K % 5 == 0, _said("bad", K)).when(K % 5 < 3, _ean()).alias("ean"))
-    made = p.where(K % 3 == 0).select(_said("m", K % 4).alias("manufacturer"), F.when((K % 5).isin(1, 2), _ean()).alias("ean"), F.when(K % 2 == 0, "confirmed").otherwise("provisional").alias("confidence"))
+    rows = p.select(_said("k", _k() % 1900).alias("key"), _said("m", _k() % 4).alias("manufacturer"), F.when(_k() % 5 == 0, _said("bad", _k())).when(_k() % 5 < 3, _ean()).alias("ean"))
+    made = p.where(_k() % 3 == 0).select(_said("m", _k() % 4).alias("manufacturer"), F.when((_k() % 5).isin(1, 2), _ean()).alias("ean"), F.when(_k() % 2 == 0, "confirmed").otherwise("provisional").alias("confidence"))
     return quality.migration_report(rows, made)
 
 
@@ -242,13 +243,13 @@ def migration_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def migration_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A migration that is run three times: the archive's rows stay word for word, and the second and third run change nothing."""
     p = table(spark, sf_dir, "part")
-    archive = p.where("p_size % 9 = 0").groupBy(F.col("p_brand").alias("brand"), F.col("p_type").alias("set_name")).agg(_said("kept ", F.min(K)).alias("details"))
-    made = {"brand": F.col("p_brand"), "set_name": F.col("p_type"), "details": _said("from ", K)}
+    archive = p.where("p_size % 9 = 0").groupBy(F.col("p_brand").alias("brand"), F.col("p_type").alias("set_name")).agg(_said("kept ", F.min(_k())).alias("details"))
+    made = {"brand": F.col("p_brand"), "set_name": F.col("p_type"), "details": _said("from ", _k())}
     for _ in range(3):
-        archive = catalog.migrated(p.where(K % 3 != 0), archive, ["brand", "set_name"], made)
+        archive = catalog.migrated(p.where(_k() % 3 != 0), archive, ["brand", "set_name"], made)
     return archive
 
 
 @query("""SELECT p_partkey, 'Dark Red ' || p_partkey AS name, CAST(p_partkey AS VARCHAR) AS bare, 'c' || p_partkey AS trimmed, 'x' || p_partkey AS rest FROM part""")
 def code_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(K, text.name_from_slug(_said("dark-red_", K)).alias("name"), text.without_zeros(_said("00", K)).alias("bare"), text.without_tail(_said("c", K, "PSSP"), "PS").alias("trimmed"), text.without_prefix(_said("pre-x", K), "pre-").alias("rest"))
+    return table(spark, sf_dir, "part").select(_k(), text.name_from_slug(_said("dark-red_", _k())).alias("name"), text.without_zeros(_said("00", _k())).alias("bare"), text.without_tail(_said("c", _k(), "PSSP"), "PS").alias("trimmed"), text.without_prefix(_said("pre-x", _k()), "pre-").alias("rest"))

@@ -61,7 +61,7 @@ def listing_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH p AS (SELECT p_brand AS a, CASE WHEN p_partkey % 10 <> 0 THEN p_type END AS b, CASE WHEN p_partkey % 7 <> 0 THEN CAST(p_size % 5 AS VARCHAR) END AS c FROM part),
   l1 AS (SELECT a, count(*) AS n FROM p GROUP BY a), l2 AS (SELECT a, b, count(*) AS n FROM p WHERE b IS NOT NULL GROUP BY ALL), l3 AS (SELECT a, b, c, count(*) AS n FROM p WHERE b IS NOT NULL AND c IS NOT NULL GROUP BY ALL),
   s1 AS (SELECT * FROM l1 WHERE n > 20), s2 AS (SELECT l2.* FROM l2 JOIN s1 USING (a) WHERE l2.n > 20),
-  r1 AS (SELECT s1.a, s1.n, sum(l2.n) AS m FROM s1 LEFT JOIN l2 USING (a) GROUP BY ALL), r2 AS (SELECT s2.a, s2.b, s2.n, sum(l3.n) AS m FROM s2 LEFT JOIN l3 USING (a, b) GROUP BY ALL)
+  r1 AS (SELECT s1.a, s1.n, CAST(sum(l2.n) AS BIGINT) AS m FROM s1 LEFT JOIN l2 USING (a) GROUP BY ALL), r2 AS (SELECT s2.a, s2.b, s2.n, CAST(sum(l3.n) AS BIGINT) AS m FROM s2 LEFT JOIN l3 USING (a, b) GROUP BY ALL)
   SELECT a AS path, n AS hits, 'fetch' AS state FROM l1 WHERE n <= 20
   UNION ALL SELECT a, CASE WHEN m IS NULL THEN n ELSE n - m END, CASE WHEN m IS NULL THEN 'capped' ELSE 'rest' END FROM r1 WHERE m IS NULL OR n > m
   UNION ALL SELECT concat_ws('>', a, b), l2.n, 'fetch' FROM l2 JOIN s1 USING (a) WHERE l2.n <= 20
