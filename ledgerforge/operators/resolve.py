@@ -71,7 +71,7 @@ def joinable(obs: DataFrame, joins: DataFrame | None = None) -> DataFrame:
 
 def group_links(obs: DataFrame, by: list[str]) -> DataFrame:
     """(a, b): each row of a group and the group's first row in the order of trust."""
-    given = obs.dropna(subset=by)
+    given = obs.dropna(subset=by).select("key", "priority", *by)
     first = given.groupBy(*by).agg(F.min_by("key", order()).alias("b"))
     return given.select("key", *by).join(first, by).select(F.col("key").alias("a"), "b").where("a <> b")
 
@@ -81,9 +81,11 @@ def ean_owners(obs: DataFrame) -> DataFrame:
     return obs.where("ean IS NOT NULL").groupBy("ean").agg(F.min_by("manufacturer", order()).alias("owner"), F.countDistinct("manufacturer").alias("claims"))
 
 
-def owned(obs: DataFrame) -> DataFrame:
-    """Rows whose barcode their manufacturer owns."""
-    return obs.join(ean_owners(obs), "ean").where(F.col("manufacturer") == F.col("owner"))
+def owned_links(obs: DataFrame) -> DataFrame:
+    """(a, b): each row of a barcode that its manufacturer owns and the barcode's first row, which is the owner's."""
+    given = obs.where("ean IS NOT NULL").select("key", "manufacturer", "ean", "priority")
+    first = given.groupBy("ean").agg(F.min_by(F.struct("manufacturer", "key"), order()).alias("first"))
+    return given.join(first, "ean").where((F.col("manufacturer") == F.col("first.manufacturer")) & (F.col("key") != F.col("first.key"))).select(F.col("key").alias("a"), F.col("first.key").alias("b"))
 
 
 def disputed(obs: DataFrame) -> DataFrame:
@@ -320,7 +322,7 @@ def linked(obs: DataFrame, joins: DataFrame | None = None, slug: Column | None =
     if slug is not None:
         rows = _with_forced(rows, joins).where(~_nameless(slug)).select(*obs.columns)
     rows = written(rows, "joinable")
-    edges = group_links(rows, ["manufacturer", "code"]).unionByName(group_links(owned(rows).select(*rows.columns), ["manufacturer", "ean"]))
+    edges = group_links(rows, ["manufacturer", "code"]).unionByName(owned_links(rows))
     return written(labelled(rows, edges), "labelled")
 
 
