@@ -14,8 +14,8 @@ Names of tags, classes and ids part menus, notices, adverts, forms and comments
 such a template.
 
 Vectors are never built: a class is known by the exclusive-or of one hash per page and count, an aggregate that combines on the
-map side, so a host with a third of all pages is no burden. Pages stay where they are read; only the templates travel. Pages of
-hosts that have a template are read once more for their slots, and once for the places of their tokens if the host has layouts.
+map side, so a host with a third of all pages is no burden. Pages are parsed twice: once to a narrow table of what their elements and
+blocks are, which classes, places and slots are read from, and once for their text; in between only templates travel.
 """
 
 from __future__ import annotations
@@ -247,13 +247,6 @@ class Page:
         article = any(b.inside and not b.aside for b in self.blocks)
         return [b for b in self.blocks if not b.aside and (b.inside or not article)]
 
-    def slots(self, template) -> list[int]:
-        """For each element the innermost of the template's containers that it is or lies in, 0 for none."""
-        out = [0]
-        for k, e in enumerate(self.elements[1:], 1):
-            out.append(k if e.container and e.token in template else out[e.parent])
-        return out
-
     def text(self, template=frozenset(), mains=()) -> str:
         """The article's blocks without what is the site's.
 
@@ -301,26 +294,78 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+#: What a page's elements and blocks are, without its text: parents and elements by number, texts by their hashes and sizes.
+PARSED = "host string, e_token array<long>, e_parent array<int>, e_container array<boolean>, b_token array<long>, b_text array<long>, b_element array<int>, b_chars array<int>, b_links array<int>, b_inside array<int>, b_aside array<boolean>, place array<int>"
+PARSED_NAMES = [x.split()[0] for x in PARSED.split(", ")]
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """Each page (url, html) as a row of PARSED; pages that are such rows already stay."""
+    if "e_token" in pages.columns:
+        return pages
+    kinds = {"string": pa.string(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<boolean>": pa.list_(pa.bool_())}
+    arrow = [kinds[x.split()[1]] for x in PARSED.split(", ")]
+    signed = lambda xs: np.array(xs, np.uint64).view(np.int64)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 200):
+                rows = []
+                for host, source in zip(batch.column(0).slice(a, 200), batch.column(1).slice(a, 200), strict=True):
+                    page = Page(source.as_py() or "")
+                    e, b = list(zip(*page.elements, strict=True)), list(zip(*page.blocks, strict=True)) or [()] * 5
+                    texts = [xxhash.xxh3_64_intdigest(t) for t in b[1]]
+                    rows.append((host.as_py(), signed(e[2]), e[0], e[3], signed([page.token(x) for x in page.blocks]), signed(texts), b[0], list(map(len, b[1])), b[2], b[3], b[4], page.order))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), arrow, strict=True)], PARSED_NAMES)
+
+    return written(_hosted(pages).mapInArrow(parse, PARSED), "parsed")
+
+
+class Outline:
+    """A page as a row of PARSED tells it."""
+
+    def __init__(self, row: tuple):
+        self.host = row[0].as_py()
+        e_token, self.parent, self.container, b_token, self.b_text, self.b_element, self.b_chars, self.b_links, self.b_inside, self.b_aside, place = (x.values.to_numpy(zero_copy_only=False) for x in row[1:12])
+        self.e_token, self.b_token = e_token.view(np.uint64), b_token.view(np.uint64)
+        # in the page's order
+        self.tokens = np.where(place >= 0, self.e_token[np.maximum(place, 0)], self.b_token[np.maximum(~place, 0)] if len(b_token) else 0).astype(np.uint64)
+
+    def marked(self) -> np.ndarray:
+        """The blocks of the article as markup tells it, or of all where no element is one, without those set aside."""
+        kept = ~self.b_aside
+        inside = kept & (self.b_inside > 0)
+        return np.flatnonzero(inside if inside.any() else kept)
+
+    def slots(self, template) -> list[int]:
+        """For each element the innermost of the template's containers that it is or lies in, 0 for none."""
+        out = [0]
+        for k, (token, up, container) in enumerate(zip(self.e_token[1:].tolist(), self.parent[1:].tolist(), self.container[1:].tolist(), strict=True), 1):
+            out.append(k if container and token in template else out[up])
+        return out
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
     """host, token, page (a hash of the row's place in the scan and of the count) for each distinct token of each page."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for a in range(0, batch.num_rows, 200):
-                hosts, tokens, vector = [], [], []
-                for host, source in zip(batch.column(0).slice(a, 200), batch.column(1).slice(a, 200), strict=True):
-                    found, counts = np.unique(np.array([0, *Page(source.as_py() or "").tokens()], np.uint64), return_counts=True)
-                    seed = xxhash.xxh3_64_intdigest(row.to_bytes(8, "little"))
-                    hosts += [host.as_py()] * len(found)
-                    tokens.append(found.view(np.int64))
-                    mixed = (counts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(seed)
-                    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-                    vector.append((mixed ^ (mixed >> np.uint64(31))).view(np.int64))
-                    row += 1
+            hosts, tokens, vector = [], [], []
+            for values in zip(*batch.columns, strict=True):
+                page = Outline(values)
+                found, counts = np.unique(np.append(page.tokens, np.uint64(0)), return_counts=True)
+                seed = xxhash.xxh3_64_intdigest(row.to_bytes(8, "little"))
+                hosts += [page.host] * len(found)
+                tokens.append(found.view(np.int64))
+                mixed = (counts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(seed)
+                mixed *= np.uint64(0xBF58476D1CE4E5B9)
+                vector.append((mixed ^ (mixed >> np.uint64(31))).view(np.int64))
+                row += 1
+            if hosts:
                 yield pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(np.concatenate(tokens)), pa.array(np.concatenate(vector))], ["host", "token", "page"])
 
-    return _hosted(pages).mapInArrow(walk, "host string, token long, page long")
+    return parsed(pages).mapInArrow(walk, "host string, token long, page long")
 
 
 def classes(pages: DataFrame) -> DataFrame:
@@ -359,7 +404,7 @@ def _gaps(texts: list[tuple[int, int]], places: list[int], tokens: list[int]) ->
 def class_places(rows: DataFrame) -> DataFrame:
     """For each page, class of texts that isn't shared, and class of the page: the places of the first in the second; its own order for all.
 
-    rows: host, html, classes. Out: host, id, other, a and b (by all tokens of `other`, and by its texts), fill (a hash of the text
+    rows: PARSED's columns and classes. Out: host, id, other, a and b (by all tokens of `other`, and by its texts), fill (a hash of the text
     that is of no class), fill_chars, own_chars (of the class within the article).
     """
 
@@ -369,19 +414,19 @@ def class_places(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 out = []
-                for host, source, found in zip(*(batch.column(k).slice(start, 200) for k in range(3)), strict=True):
-                    if last != (now := host.as_py()):
-                        last, known = now, {unsigned(x): c["id"] for c in found.as_py() for x in c["tokens"]}
+                for *values, found in zip(*(c.slice(start, 200) for c in batch.columns), strict=True):
+                    page = Outline(values)
+                    if last != page.host:
+                        last, known = page.host, {unsigned(x): c["id"] for c in found.as_py() for x in c["tokens"]}
                         sure = {c["id"] for c in found.as_py() if c["shared"]}
-                    page = Page(source.as_py() or "")
-                    tokens, places, own = page.tokens(), {}, {}
+                    tokens, places, own = page.tokens.tolist(), {}, {}
                     for k, x in enumerate(tokens):
                         if x in known:
                             places.setdefault(known[x], []).append(k)
-                    article = [(b.text, known.get(page.token(b))) for b in page.marked()]
-                    for t, c in article:
-                        own[c] = own.get(c, 0) + len(t)
-                    fill = _digest([t for t, c in article if c is None])
+                    article = [(int(page.b_chars[k]), int(page.b_text[k]), known.get(int(page.b_token[k]))) for k in page.marked()]
+                    for n, _, c in article:
+                        own[c] = own.get(c, 0) + n
+                    fill = _digest([t for _, t, c in article if c is None])
                     both = {c: (at, [k for k in at if tokens[k] & 1]) for c, at in places.items()}
                     for c, (at, texts) in both.items():
                         rest = (fill, own.get(None, 0), own.get(c, 0))
@@ -391,7 +436,7 @@ def class_places(rows: DataFrame) -> DataFrame:
                             out += [(last, c, d, _gaps(pairs, x, tokens), _gaps(pairs, y, tokens), *rest) for d, (x, y) in both.items() if d != c]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.string() if k == 0 else pa.int64()) for k in range(len(names))], names)
 
-    return rows.select("host", "html", "classes").mapInArrow(walk, "host string, id long, other long, a long, b long, fill long, fill_chars long, own_chars long")
+    return rows.select(*PARSED_NAMES, "classes").mapInArrow(walk, "host string, id long, other long, a long, b long, fill long, fill_chars long, own_chars long")
 
 
 def layouts(places: DataFrame) -> DataFrame:
@@ -408,7 +453,7 @@ def layouts(places: DataFrame) -> DataFrame:
 
 
 def page_slots(rows: DataFrame) -> DataFrame:
-    """Per page (rows: host, html, template) and container of the template: host, slot, outer (the container around it), chars and links
+    """Per page (rows: PARSED's columns and template) and container of the template: host, slot, outer (the container around it), chars and links
     (characters, and those in links, of its slot: what inner containers, the template's texts and set-aside elements leave), fill (a hash
     of that text), won (whether no slot of the page has more text outside links)."""
 
@@ -417,25 +462,25 @@ def page_slots(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 out = []
-                for host, source, tokens in zip(*(batch.column(k).slice(start, 200) for k in range(3)), strict=True):
-                    if last != (now := host.as_py()):
-                        last, template = now, frozenset(map(unsigned, tokens.as_py()))
-                    page = Page(source.as_py() or "")
-                    inner = page.slots(template)
+                for *values, tokens in zip(*(c.slice(start, 200) for c in batch.columns), strict=True):
+                    page = Outline(values)
+                    if last != page.host:
+                        last, template = page.host, frozenset(map(unsigned, tokens.as_py()))
+                    inner, token = page.slots(template), page.e_token.tolist()
                     found: dict[int, list] = {}
-                    for k, e in enumerate(page.elements):
-                        if k and inner[k] == k:
-                            found.setdefault(e.token, [page.elements[inner[e.parent]].token, 0, 0, []])
-                    for b in page.blocks:
-                        if not b.aside and (k := inner[b.element]) and page.token(b) not in template:
-                            slot = found[page.elements[k].token]
-                            slot[1:] = slot[1] + len(b.text), slot[2] + b.links, [*slot[3][-1:], _digest((slot[3], b.text))]
+                    for k in range(1, len(token)):
+                        if inner[k] == k:
+                            found.setdefault(token[k], [token[inner[page.parent[k]]], 0, 0, []])
+                    for b in np.flatnonzero(~page.b_aside).tolist():
+                        if (k := inner[page.b_element[b]]) and int(page.b_token[b]) not in template:
+                            slot = found[token[k]]
+                            slot[1:] = slot[1] + int(page.b_chars[b]), slot[2] + int(page.b_links[b]), [*slot[3][-1:], _digest((slot[3], int(page.b_text[b])))]
                     most = max((x[1] - x[2] for x in found.values()), default=0)
                     out += [(last, t - (t >> 63 << 64), o - (o >> 63 << 64), n, links, fill[-1] if fill else 0, most > 0 and n - links == most) for t, (o, n, links, fill) in found.items()]
                 kinds = (pa.string(), *[pa.int64()] * 5, pa.bool_())
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kinds[k]) for k in range(len(names))], names)
 
-    return rows.select("host", "html", "template").mapInArrow(walk, "host string, slot long, outer long, chars long, links long, fill long, won boolean")
+    return rows.select(*PARSED_NAMES, "template").mapInArrow(walk, "host string, slot long, outer long, chars long, links long, fill long, won boolean")
 
 
 def articles(slots: DataFrame) -> DataFrame:
@@ -476,12 +521,13 @@ def _with(rows: DataFrame, found: DataFrame, columns: list[str], how: str, most:
 
 def templates(pages: DataFrame, *, broadcast_tokens: int = 500_000) -> DataFrame:
     """host, template: the tokens of the classes that nearly all of the host's pages have, and of those of its layouts."""
+    pages = parsed(pages)
     found = written(classes(pages), "classes")
     kept = found.where("shared")
     rarer = found.where("NOT shared").where(F.exists("tokens", lambda x: x.bitwiseAND(F.lit(1)) == 1))
     if rarer.limit(1).count():
         asked = found.join(rarer.select("host").distinct(), "host", "left_semi").groupBy("host").agg(F.collect_list(F.struct("id", "tokens", "shared")).alias("classes"))
-        places = written(class_places(_with(_hosted(pages), written(asked, "asked"), ["classes"], "inner", broadcast_tokens)), "on_pages")
+        places = written(class_places(_with(pages, written(asked, "asked"), ["classes"], "inner", broadcast_tokens)), "on_pages")
         kept = kept.unionByName(rarer.join(layouts(places), ["host", "id"], "left_semi"))
     # a layout of markup alone needs no place: its containers nest as elements do
     markup = found.where("NOT shared").where(~F.exists("tokens", lambda x: x.bitwiseAND(F.lit(1)) == 1))
@@ -504,11 +550,11 @@ def extract(pages: DataFrame, *, broadcast_tokens: int = 500_000) -> DataFrame:
     LEAST_TOKENS tokens; within the article it stays but in boxes of its own and frames (without_site). Repeated rows are pages of their own; other columns of pages don't matter. Templates are broadcast up to
     `broadcast_tokens` tokens, joined by a shuffle beyond that.
     """
-    hosted = pages.where(host_of(F.col("url").cast("string")) != "")
+    hosted = parsed(pages.where(host_of(F.col("url").cast("string")) != ""))
     found = written(templates(hosted, broadcast_tokens=broadcast_tokens), "templates")
     plan = found.withColumn("mains", F.lit(None).cast("array<struct<main:bigint,parts:array<bigint>>>"))
     if found.limit(1).count():
-        chosen = articles(page_slots(_with(_hosted(hosted), found, ["template"], "inner", broadcast_tokens)))
+        chosen = articles(page_slots(_with(hosted, found, ["template"], "inner", broadcast_tokens)))
         plan = written(found.join(chosen, "host", "left"), "plans")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     rows = _with(rows.withColumn("host", host_of(F.col("url"))), plan, ["template"], "left", broadcast_tokens).select("page_id", "url", "html", "host", "template", "mains")
