@@ -42,6 +42,13 @@ def free(columns: Iterable[str], *names: str) -> list[str]:
     return out
 
 
+#: Tasks over which an input of fewer files is dealt, at most.
+DEALT = 64
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, columns: Iterable[str] | None = None) -> DataFrame:
+    """A table, dealt over the cores where its files make fewer tasks: one small file would be one task's work."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    tasks = min(DEALT, spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
