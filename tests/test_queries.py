@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from ledgerforge.plans.catalog_queries import ORACLE_SQL, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
-SOME = ["shopify_paint_collections", "woo_paint_categories", "numbered_product_pages", "listed_product_tiles", "browser_product_lines", "nested_ld_gtins", "decisions_applied", "verdict_counters", "equiv_top5", "lab_convert", "ean_normalize", "slug_marks", "gs1_prefix_attribution", "jsonld_extract", "components", "survivorship", "ean_primary", "ean_decision", "lifecycle_status", "category_fallback", "forced_join", "unresolved_forced_joins", "left_out_reports", "reconcile", "liveness_flags", "detail_queue_budget", "windows_session"]
+SOME = ["sitemap_tree", "listing_names", "facet_plan", "page_origins", "archived_evidence", "decision_replay", "bucketed_ledger", "source_runs", "page_walks", "type_rules", "yaml_round_trip", "migration_again", "shopify_paint_collections", "woo_paint_categories", "numbered_product_pages", "listed_product_tiles", "browser_product_lines", "nested_ld_gtins", "decisions_applied", "verdict_counters", "equiv_top5", "lab_convert", "ean_normalize", "slug_marks", "gs1_prefix_attribution", "jsonld_extract", "components", "survivorship", "ean_primary", "ean_decision", "lifecycle_status", "category_fallback", "forced_join", "unresolved_forced_joins", "left_out_reports", "reconcile", "liveness_flags", "detail_queue_budget", "windows_session"]
 
 
 def plain(v):
