@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.sources import yaml_text
+from ledgerforge.sources.yaml_text import emit, parse
 
 ROW = "file string, place int, fields map<string,string>, reason string, text string"
 
@@ -31,14 +31,14 @@ def read_item(text: str, required: list[str]) -> tuple[dict[str, str] | None, st
     Tabs are read as spaces. Lists and maps within an item are kept as YAML.
     """
     try:
-        value = yaml_text.parse(text.replace("\t", " "), verbatim=True)
+        value = parse(text.replace("\t", " "), verbatim=True)
     except (ValueError, IndexError) as e:
         return None, f"unreadable: {str(e)[:200]}"
     value = value[0] if isinstance(value, list) and len(value) == 1 else value
     if not isinstance(value, dict):
         return None, "no map"
     plain = {True: "true", False: "false"}
-    fields = {str(k): plain[v] if isinstance(v, bool) else v if isinstance(v, str) else "\n".join(yaml_text.emit(v)) for k, v in value.items() if v is not None}
+    fields = {str(k): plain[v] if isinstance(v, bool) else v if isinstance(v, str) else "\n".join(emit(v)) for k, v in value.items() if v is not None}
     missing = [k for k in required if not fields.get(k, "").strip()]
     return (None, f"without {', '.join(missing)}") if missing else (fields, None)
 
