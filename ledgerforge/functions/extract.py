@@ -61,17 +61,17 @@ def embedded_object(x: pd.Series) -> pd.Series:
     return x.map(find)
 
 
-def heading(html: Column) -> Column:
-    return plain_text(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1))
+def heading(html: Column, references: dict[str, str] | None = None) -> Column:
+    return plain_text(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1), references)
 
 
-def title(html: Column) -> Column:
-    return plain_text(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
+def title(html: Column, references: dict[str, str] | None = None) -> Column:
+    return plain_text(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1), references)
 
 
-def page_name(html: Column) -> Column:
+def page_name(html: Column, references: dict[str, str] | None = None) -> Column:
     """The heading, else the title, without what follows a bar."""
-    return blank_to_null(F.split_part(F.coalesce(heading(html), title(html)), F.lit("|"), F.lit(1)))
+    return blank_to_null(F.split_part(F.coalesce(heading(html, references), title(html, references)), F.lit("|"), F.lit(1)))
 
 
 def price_minor(amount: Column, exponent: Column) -> Column:

@@ -66,9 +66,17 @@ def blank_to_null(x: Column) -> Column:
     return F.nullif(F.trim(x), F.lit(""))
 
 
-def plain_text(x: Column) -> Column:
-    """Without markup, references decoded; null if nothing is left."""
-    return blank_to_null(unescape_html(F.regexp_replace(x, "<[^>]+>", "")))
+def plain_text(x: Column, references: dict[str, str] | None = None) -> Column:
+    """Without markup, references decoded; null if nothing is left.
+
+    All references are decoded, as browsers do, also such as lack their semicolon. Given references, these alone are, in their order.
+    """
+    bare = F.regexp_replace(x, "<[^>]+>", "")
+    if references is None:
+        return blank_to_null(unescape_html(bare))
+    for said, meant in references.items():
+        bare = F.replace(bare, F.lit(said), F.lit(meant))
+    return blank_to_null(bare)
 
 
 def entity_id(manufacturer: Column, code: Column, name: Column) -> Column:
