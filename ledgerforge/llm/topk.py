@@ -5,7 +5,7 @@ query adds the slices of the attributes its own bits name, with carries, for all
 attributes each are prepared, one for each subset, so that a query looks up sixteen of them a bit instead of sixty-four. The best
 rows are then found from the sum's most significant slice downward; where a tie goes over the edge, the smaller ids are taken.
 
-Queries meet the index in blocks: packs of queries are sent to every index block, by an equi-join on the block's number.
+Queries meet the index in blocks: packs of queries are sent to every index block, and lie behind it in one sorted partition, so no join has a side to broadcast.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerforge.llm.common import written
+from ledgerforge.llm.vectors import beside, meetings
 
 BLOCK_ROWS, PACK_QUERIES, GROUP, BATCH = 8192, 1024, 4, 64
 SIGN = np.uint64(1)
@@ -191,20 +192,16 @@ def top_k(vectors: DataFrame, *, k: int = 20, every: int = 20, scale: int = 64,
     few = vectors.where(F.col(vec_id) % every == 0)
     packs = packed(few.repartition(max(1, math.ceil(rows / every / PACK_QUERIES))), vec_id, vector, scale, PACK_QUERIES, width).withColumnRenamed("data", "queries").withColumnRenamed("n", "asked")
     packs = written(packs.withColumn("pack", F.monotonically_increasing_id()), "packs")
-    meets = packs.select("pack", "asked", "queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    both = meets.repartition("block").join(index, "block").select("pack", "asked", "queries", "n", "data", "part")
+    both = beside(index.select("block", "part", "n", "data"), packs.select(F.col("asked").alias("n"), F.col("queries").alias("data"), F.col("pack").alias("part")), blocks)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, block = None, None
-        for batch in batches:
-            for pack, asked, queries, n, data, part in zip(*batch.columns, strict=True):
-                if last != part:  # a task may have filled more than one block
-                    last, block = part, Block(*_unpack(data.as_py(), n.as_py()))
-                ids, values = _unpack(queries.as_py(), asked.as_py())
+        for kept, pack, asked, queries in meetings(batches, lambda data, n: Block(*_unpack(data, n))):
+            ids, values = _unpack(queries, asked)
+            for block in kept:  # a task may have filled more than one block
                 for a in range(0, len(ids), BATCH):
                     found = list(block.best(values[a : a + BATCH], ids[a : a + BATCH], k))
                     sizes = [len(f[1]) for f in found]
-                    columns = (np.full(sum(sizes), pack.as_py()), np.repeat(np.arange(a, a + len(found)), sizes), np.repeat([f[0] for f in found], sizes), np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found]))
+                    columns = (np.full(sum(sizes), pack), np.repeat(np.arange(a, a + len(found)), sizes), np.repeat([f[0] for f in found], sizes), np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found]))
                     yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["pack", "place", "query_id", "vec_id", "score"])
 
     near = both.mapInArrow(search, "pack long, place long, query_id long, vec_id long, score long")

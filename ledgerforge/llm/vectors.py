@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -89,3 +89,26 @@ def width_of(vectors: DataFrame, vector: str) -> int | None:
 
 def blocks_of(rows: int, width: int) -> int:
     return max(1, math.ceil(rows / block_rows(width)))
+
+
+def beside(file: DataFrame, packs: DataFrame, blocks: int) -> DataFrame:
+    """block, kind, part, n, data: the blocks of a file (kind 0), and behind each, in one partition, all packs (kind 1).
+
+    A union, dealt and sorted by block: a join would broadcast a side that is small on disk, with every pack once for each block.
+    """
+    columns = [F.col("block").cast("int").alias("block"), "kind", F.col("part").cast("long").alias("part"), F.col("n").cast("long").alias("n"), "data"]
+    each = packs.withColumn("kind", F.lit(1)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return file.withColumn("kind", F.lit(0)).select(*columns).unionByName(each.select(*columns)).repartition(blocks, "block").sortWithinPartitions("block", "kind", "part")
+
+
+def meetings(batches: Iterator[pa.RecordBatch], made: Callable) -> Iterator[tuple[list, int, int, bytes]]:
+    """Of rows as `beside` gives them: for each pack the blocks before it, as made(data, n) makes them, its part, n and data."""
+    at, kept = None, []
+    for batch in batches:
+        for block, kind, part, n, data in zip(*batch.columns, strict=True):
+            if at != block.as_py():
+                at, kept = block.as_py(), []
+            if kind.as_py() == 0:
+                kept.append(made(data.as_py(), n.as_py()))
+            else:
+                yield kept, part.as_py(), n.as_py(), data.as_py()
