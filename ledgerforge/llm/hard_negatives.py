@@ -6,7 +6,7 @@ the inner product; looking a row's bytes up gives bounds of its score. Rows are
 among the best, or may enter a window and be among its best.
 
 Two passes: an anchor's positives are found first, for the windows follow from their scores. In either, packs of anchors meet every
-block by an equi-join on the block's number, so hot labels and copies don't gather anywhere: a label is a stretch of each block.
+block, behind which they lie in one sorted partition, so hot labels and copies don't gather anywhere: a label is a stretch of each block.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerforge.llm.common import col, written
-from ledgerforge.llm.vectors import blocks_of, packed, quantised, unpacked, width_of
+from ledgerforge.llm.vectors import beside, blocks_of, meetings, packed, quantised, unpacked, width_of
 
 CELLS, PACK_ANCHORS = 16, 1024
 
@@ -96,18 +96,17 @@ class CellBlock:
 
 def _meet(file: DataFrame, packs: DataFrame, blocks: int, longs: int, search: Callable, schema: str) -> DataFrame:
     """search(block, longs, matrix) -> columns, for each pack of anchors and each block of the file."""
-    packs = packs.select(F.col("n").alias("asked"), F.col("data").alias("anchors"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    both = packs.repartition("block").join(file, "block").select("asked", "anchors", "n", "data", "block", "part")
+    both = beside(file, packs.select("n", "data", F.lit(0).cast("long").alias("part")), blocks)
     names = [x.split()[0] for x in schema.split(", ")]
 
+    def made(data: bytes, n: int) -> CellBlock:
+        (ids, labels), values = unpacked(data, n, 2)
+        return CellBlock(ids, labels, values)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, block = None, None
-        for batch in batches:
-            for asked, anchors, n, data, number, part in zip(*batch.columns, strict=True):
-                if last != (number.as_py(), part.as_py()):
-                    (ids, labels), values = unpacked(data.as_py(), n.as_py(), 2)
-                    last, block = (number.as_py(), part.as_py()), CellBlock(ids, labels, values)
-                found = search(block, *unpacked(anchors.as_py(), asked.as_py(), longs))
+        for kept, _, asked, anchors in meetings(batches, made):
+            for block in kept:
+                found = search(block, *unpacked(anchors, asked, longs))
                 yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in found], names)
 
     return both.mapInArrow(run, schema)
@@ -153,7 +152,7 @@ def hard_negatives(
     place = F.row_number().over(Window.partitionBy("no").orderBy(F.desc("score"), "id"))
     first = near.withColumn("place", place).where(F.col("place") <= positives).where(f"score * {least} <= score * {most}")
     # at most `positives` a row: lists of a few
-    lists = first.groupBy("no").agg(F.array_sort(F.collect_list(F.struct("place", "id", "score"))).alias("p")).join(anchors, "no")
+    lists = first.groupBy("no").agg(F.array_sort(F.collect_list(F.struct("place", "id", "score"))).alias("p")).join(anchors.hint("merge"), "no")
     known = [f"{what}{k}" for what in ("id", "score") for k in range(positives)]
     lists = lists.select("no", "label", F.size("p").cast("long").alias("count"), *(F.coalesce(F.get("p", F.lit(k))[what], F.lit(0).cast("long")).alias(f"{what}{k}") for what in ("id", "score") for k in range(positives)), "q")
 
