@@ -156,7 +156,9 @@ def listed_paints(rows: DataFrame, source: str, *, manufacturer: str | None, det
 
 def line_members(lines: DataFrame, member: str = r'href="[^"]*/products/([^"/]+)/?"') -> DataFrame:
     """slug, line: the name of the first line, by URL, whose page (url, body) links to the product."""
-    named = lines.select("url", extract.page_name(F.col("body")).alias("line"), F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit(member), F.lit(1)))).alias("slug")).where("line IS NOT NULL")
+    # the name before the links are dealt: else each link would carry its page to where names are read
+    named = lines.select("url", extract.page_name(F.col("body")).alias("line"), F.array_distinct(F.regexp_extract_all("body", F.lit(member), F.lit(1))).alias("slugs"))
+    named = named.where("line IS NOT NULL").select("url", "line", F.explode("slugs").alias("slug"))
     return named.groupBy("slug").agg(F.min_by("line", "url").alias("line"))
 
 
