@@ -39,18 +39,11 @@ def barcode_rollup(rows: DataFrame, by: str) -> DataFrame:
     """Per group (rows: ean, rank, seq) its primary barcode, that of the highest rank in order of arrival, and the others, sorted.
 
     A row of a higher rank takes the place of the primary one, which joins the others; equal ranks don't, and no barcode is in both.
+    Only distinct barcodes are kept of a group, however many rows it has.
     """
-    listed = F.array_sort(F.collect_list(F.struct("seq", "rank", "ean")))
-    start = F.struct(F.lit(None).cast("string").alias("ean"), F.lit(-1).cast("long").alias("rank"), F.array().cast("array<string>").alias("others"))
-
-    def step(acc, x):
-        higher = x["rank"] > acc["rank"]
-        beside = F.when(higher, acc["ean"]).otherwise(x["ean"])
-        others = F.when(beside.isNull() | (beside == F.when(higher, x["ean"]).otherwise(acc["ean"])), acc["others"]).otherwise(F.array_append(acc["others"], beside))
-        return F.struct(F.when(higher, x["ean"]).otherwise(acc["ean"]).alias("ean"), F.when(higher, x["rank"].cast("long")).otherwise(acc["rank"]).alias("rank"), others.alias("others"))
-
-    done = rows.groupBy(by).agg(F.aggregate(listed, start, step).alias("x"))
-    return done.select(by, F.col("x.ean").alias("ean"), F.array_sort(F.array_distinct(F.array_remove("x.others", F.col("x.ean")))).alias("others"))
+    first = F.expr("min_by(struct(ean), struct(-CAST(rank AS LONG), seq, ean)) FILTER (WHERE rank >= 0)").alias("x")
+    done = rows.groupBy(by).agg(first, F.collect_set("ean").alias("all"))
+    return done.select(by, F.col("x.ean").alias("ean"), F.array_sort(F.array_remove("all", F.col("x.ean"))).alias("others"))
 
 
 def work_queue(rows: DataFrame, length: int = 300) -> DataFrame:
