@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -72,17 +73,26 @@ def longest_suffix(claims: DataFrame, dim: DataFrame, least: int = 5) -> DataFra
     return best.where("x.k = 1").select("claim", "x.match")
 
 
-@F.pandas_udf(DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+def ratio_from(least: float) -> Callable[[Column, Column], Column]:
+    """A function of two columns of texts: how alike they are, null if their numbers of equal characters alone rule `least` out."""
+
+    @F.pandas_udf(DoubleType())
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        def one(x: str, y: str) -> float | None:
+            pair = SequenceMatcher(None, x, y)
+            return pair.ratio() if pair.quick_ratio() >= least - 1e-9 else None
+
+        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    return ratio
 
 
 def _numbered(pieces: Column) -> Column:
     """Of a text's pieces in order (part, at, single): the second of equal ones told from the first, and so on, so that a set stands for a
     multiset; where it lies; and whether it is the only one of its kind."""
-    ordered = F.array_sort(F.transform(pieces, lambda c, k: F.struct(c.alias("c"), k.alias("at"))))
-    kinds = F.transform(ordered, lambda x: x["c"])
-    return F.transform(ordered, lambda x, k: F.struct(F.concat(x["c"], F.lit("\x01"), (k + 1 - F.array_position(kinds, x["c"])).cast("string")).alias("part"), x["at"].alias("at"), (F.size(F.filter(kinds, lambda c: c == x["c"])) == 1).alias("single")))
+    told = lambda o: F.transform(o, lambda x, k: F.struct(F.concat(x["c"], F.lit("\x01"), (k + 1 - F.array_position(o["c"], x["c"])).cast("string")).alias("part"), x["at"].alias("at"), (F.size(F.filter(o["c"], lambda c: c == x["c"])) == 1).alias("single")))
+    # as a function's argument the pieces are put in order once, not once for each of them
+    return F.flatten(F.transform(F.array(F.array_sort(F.transform(pieces, lambda c, k: F.struct(c.alias("c"), k.alias("at"))))), told))
 
 
 def _letters(x: Column) -> Column:
@@ -122,19 +132,19 @@ def similar_names(ours: DataFrame, theirs: DataFrame, block: str, least: float)
 def fuzzy(claims: DataFrame, dim: DataFrame, block: str, least: float = 0.86) -> DataFrame:
     """(claim, match, ratio): within a block the item whose name is most alike, at `least` or more; ties to the smaller id.
 
-    Names are compared once for each pair of distinct ones that similar_names gives; of these, pairs whose numbers of equal characters
-    alone rule the ratio out are dropped before the Python function sees them. Two empty names are alike.
+    Names are compared once for each pair of distinct ones that similar_names gives; pairs whose numbers of equal characters alone rule
+    the ratio out aren't compared further. Two empty names are alike.
     """
     ours, theirs = claims.select(block, "name").distinct(), dim.select(block, F.col("name").alias("other")).distinct()
     empty = ours.where("name = ''").join(theirs.where("other = ''"), block).select(block, "name", "other")
     pairs = similar_names(ours, theirs, block, least).unionByName(empty)
-    la, lb = F.length("name"), F.length("other")
-    letters = lambda x: F.array_sort(F.split(x, ""))
-    numbered = lambda x: F.transform(letters(x), lambda c, k: F.concat(c, (k - F.array_position(letters(x), c)).cast("string")))
-    shared = F.size(F.array_intersect(numbered(F.col("name")), numbered(F.col("other"))))  # equal characters, as often as both have them
-    pairs = pairs.where(2.0 * shared >= least * (la + lb) - 1e-9).withColumn("ratio", sequence_ratio("name", "other")).where(F.col("ratio") >= least)
-    pairs = claims.select("claim", block, "name").join(pairs, [block, "name"]).join(dim.select("id", block, F.col("name").alias("other")), [block, "other"])
-    return pairs.groupBy("claim").agg(F.max_by(F.struct("id", "ratio"), F.struct("ratio", -F.col("id"))).alias("x")).select("claim", F.col("x.id").alias("match"), "x.ratio")
+    pairs = pairs.withColumn("ratio", ratio_from(least)("name", "other")).where(F.col("ratio") >= least)
+    # a name's best match is sought before claims and items are rows again: those of one name would meet in all pairs
+    order = lambda x="": F.struct(f"{x}ratio", -F.col(f"{x}id"))
+    items = dim.groupBy(block, F.col("name").alias("other")).agg(F.min("id").alias("id"))
+    best = pairs.join(items, [block, "other"]).groupBy(block, "name").agg(F.max_by(F.struct("id", "ratio"), order()).alias("x"))
+    found = claims.select("claim", block, "name").join(best, [block, "name"])
+    return found.groupBy("claim").agg(F.max_by("x", order("x.")).alias("x")).select("claim", F.col("x.id").alias("match"), "x.ratio")
 
 
 def pair_candidates(rows: DataFrame, rules: dict[str, tuple[list[Column], list[Column]]]) -> DataFrame:
