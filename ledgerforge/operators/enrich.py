@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from difflib import SequenceMatcher
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -148,15 +150,28 @@ def fuzzy(claims: DataFrame, dim: DataFrame, block: str, least: float = 0.86) ->
 
 
 def pair_candidates(rows: DataFrame, rules: dict[str, tuple[list[Column], list[Column]]]) -> DataFrame:
-    """(a, b, rules) for a < b: pairs of rows (id) that a rule's two keys join; null keys join nothing."""
+    """(a, b, rules) for a < b: pairs of rows (id, which is one row's) that a rule's two keys join; null keys join nothing.
+
+    A pair is made by the first rule that joins it, which sees from both rows' keys what the others say. So rows are shuffled with their
+    keys, and pairs, which may be far more, aren't.
+    """
+    names = sorted(rules)
+    keys = [[(f"left{i}_{k}", f"right{i}_{k}") for k in range(len(rules[n][0]))] for i, n in enumerate(names)]
+    both = [c.alias(f"{way}{i}_{k}") for i, n in enumerate(names) for way, side in zip(("left", "right"), rules[n], strict=True) for k, c in enumerate(side)]
+    sides = rows.select("id", *both)
+    x, y = (sides.toDF(*(f"{at}_{c}" for c in sides.columns)) for at in "xy")
+    joins = lambda i, a, b: reduce(and_, (F.col(f"{a}_{left}") == F.col(f"{b}_{right}") for left, right in keys[i]))
+    says = lambda i, a, b: F.coalesce(joins(i, a, b), F.lit(False))
     out = None
-    for name, (left, right) in rules.items():
-        keys = [f"k{i}" for i in range(len(left))]
-        one = rows.select(F.col("id").alias("x"), *(c.alias(k) for c, k in zip(left, keys, strict=True))).dropna()
-        two = rows.select(F.col("id").alias("y"), *(c.alias(k) for c, k in zip(right, keys, strict=True))).dropna()
-        pairs = one.join(two, keys).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit(name).alias("rule"))
+    for i, name in enumerate(names):
+        # of a rule that joins a pair both ways one way counts
+        once = (F.col("x_id") < F.col("y_id")) | ((F.col("x_id") > F.col("y_id")) & ~says(i, "y", "x"))
+        fresh = reduce(and_, (~says(j, "x", "y") & ~says(j, "y", "x") for j in range(i)), once)
+        others = [F.when(says(j, "x", "y") | says(j, "y", "x"), F.array(F.lit(names[j]))).otherwise(F.array().cast("array<string>")) for j in range(i + 1, len(names))]
+        pairs = x.where(reduce(and_, (F.col(f"x_{left}").isNotNull() for left, _ in keys[i]))).join(y, joins(i, "x", "y") & fresh)
+        pairs = pairs.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b"), F.concat(F.array(F.lit(name)), *others).alias("rules"))
         out = pairs if out is None else out.unionByName(pairs)
-    return out.groupBy("a", "b").agg(F.array_sort(F.collect_set("rule")).alias("rules"))
+    return out
 
 
 def ranked(rows: DataFrame, by: list[str], order: list[Column], keep: int = 1) -> DataFrame:
