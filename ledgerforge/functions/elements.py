@@ -6,7 +6,7 @@ expressions over that array.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerforge.functions.slices import sliced
 from ledgerforge.functions.text import blank_to_null
 
 #: what: '.class', '@property', 'tag', or '@@' for an item; at, until: the places of its start and end; scope: the place of the item around
@@ -76,14 +77,15 @@ def elements(*wanted: str) -> Callable[[Column], Column]:
     names = frozenset(wanted)
 
     @F.pandas_udf(T.ArrayType(ELEMENT))
-    def read(pages: pd.Series) -> pd.Series:
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         def one(page: str | None) -> list[dict]:
             reader = _Reader(names)
             reader.feed(page or "")
             reader.close()
             return reader.result()
 
-        return pages.map(one)
+        for pages in sliced(batches):
+            yield pages.map(one)
 
     return read
 
@@ -138,7 +140,7 @@ def _value(element: dict | None) -> str | None:
 
 
 @F.pandas_udf(T.StructType([T.StructField(f, _TEXT) for f in _FIELDS]))
-def product(pages: pd.Series) -> pd.DataFrame:
+def product(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """Of each page's first item that is a Product; all null without one.
 
     A property is the item's own: what belongs to an inner item (a brand's name, a review's) isn't. A brand that is an item is known by its
@@ -160,4 +162,5 @@ def product(pages: pd.Series) -> pd.DataFrame:
         out["brand"] = brand and (_value(own("name", brand["at"])) or _value(brand))
         return out | {"price": below("price"), "currency": below("priceCurrency"), "availability": below("availability")}
 
-    return pd.DataFrame([one(p) for p in pages], columns=_FIELDS)
+    for pages in sliced(batches):
+        yield pd.DataFrame([one(p) for p in pages], columns=_FIELDS)

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ledgerforge.functions.slices import sliced
+
 SPACE = r"\s+"
 
 
@@ -19,8 +22,15 @@ def _ascii(x: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(StringType())
-def _unmarked(x: pd.Series) -> pd.Series:
-    return x.map(lambda s: None if s is None else "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c) != "Mn"))
+def _unmarked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def one(s: str | None) -> str | None:
+        if s is None or s.isascii():
+            return s
+        apart = unicodedata.normalize("NFD", s)
+        return apart.translate({ord(c): None for c in set(apart) if unicodedata.category(c) == "Mn"})
+
+    for x in sliced(batches):
+        yield x.map(one)
 
 
 @F.pandas_udf(StringType())
