@@ -15,6 +15,7 @@ from ledgerforge.functions import elements, extract
 from ledgerforge.functions.barcode import normalize_ean, retail_ean
 from ledgerforge.functions.text import blank_to_null, plain_text, url_path
 from ledgerforge.operators.enrich import ranked
+from ledgerforge.sources.shared import at_most, written
 
 Strategy = Callable[..., DataFrame]
 STRATEGIES: dict[str, Strategy] = {}
@@ -226,7 +227,10 @@ def sheet_rows(cells: DataFrame) -> DataFrame:
     at = {k: F.array_max(F.transform(F.array(*map(F.lit, names)), lambda n: F.array_position("__h", n))) for k, names in SHEET_COLUMNS.items()}
     heads = cells.withColumn("__h", folded).where(F.arrays_overlap("__h", F.array(*map(F.lit, SHEET_COLUMNS["code"]))) & F.arrays_overlap("__h", F.array(*map(F.lit, SHEET_COLUMNS["name"]))))
     heads = heads.groupBy("sheet").agg(F.min_by(F.struct(F.col("line").alias("__from"), "__h"), "line").alias("x")).select("sheet", "x.*")
-    each = cells.join(heads, "sheet").where(F.col("line") > F.col("__from"))
+    # columns are found once a sheet; few sheets go to the rows, whose shuffle would put each sheet into one task
+    heads = written(heads.select("sheet", "__from", F.struct(*(p.alias(k) for k, p in at.items())).alias("__at")), "heads")
+    each = cells.join(F.broadcast(heads) if at_most(heads, 100_000) else heads, "sheet").where(F.col("line") > F.col("__from"))
+    at = {k: F.col(f"__at.{k}") for k in at}
     fields = [F.when(p > 0, blank_to_null(F.try_element_at("cells", p.cast("int")))).alias(k) for k, p in at.items()]
     return each.select(F.struct("sheet", "line").alias("seq"), "role", *fields).where("code IS NOT NULL")
 
