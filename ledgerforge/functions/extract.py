@@ -28,7 +28,12 @@ def ld_products(html: Column) -> Column:
 def ld_product(html: Column) -> Column:
     """The first product with a name: struct(name, sku, brand, gtin); a gtin of its own comes before one of its offers."""
     named = F.filter(ld_products(html), lambda v: blank_to_null(F.try_variant_get(v, "$.name", "string")).isNotNull())
-    v = F.try_element_at(named, F.lit(1))
+    # each field reads the product: a function's argument is found once, where an expression would read the page again for each of them
+    fields = F.try_element_at(F.transform(F.slice(named, 1, 1), _ld_fields), F.lit(1))
+    return F.coalesce(fields, F.struct(*(F.lit(None).cast("string").alias(c) for c in ("name", "sku", "brand", "gtin"))))
+
+
+def _ld_fields(v: Column) -> Column:
     get = lambda path: blank_to_null(F.try_variant_get(v, path, "string"))
     numbers = lambda x: F.coalesce(*(blank_to_null(F.try_variant_get(x, f"$.{g}", "string")) for g in _GTINS))
     offers = F.coalesce(F.try_variant_get(v, "$.offers", "array<variant>"), F.array(F.try_variant_get(v, "$.offers", "variant")))
