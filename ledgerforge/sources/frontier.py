@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from ledgerforge.sources.shared import at_most, written
 
 
+# Fixed value: of so many rounds the visited documents are kept apart before they are written as one table.
+MOST_TABLES = 8
+
+
 def read_sitemap(content: bytes | None) -> tuple[str, list[str]]:
     """The kind of a sitemap document (its root's name) and its locations, in order; 'broken' if it can't be read.
 
@@ -51,18 +55,19 @@ def sitemap_frontier(captures: DataFrame, roots: DataFrame) -> tuple[DataFrame,
     An index may list indexes; a document that several list, or that a cycle leads back to, is read once. Of several captures of one
     URL the largest counts. Documents of other kinds, broken ones and missing ones contribute nothing.
     """
-    frontier, visited = written(roots.select("url").where("url IS NOT NULL").distinct(), "frontier"), None
+    # documents are read once, whatever the number of rounds, whose joins see addresses alone
+    found = written(sitemap_documents(captures.groupBy("url").agg(F.max("content").alias("content"))), "sitemaps")
+    links = written(found.where("kind = 'sitemapindex'").select("url", F.explode("locations").alias("below")).distinct(), "links")
+    frontier = written(roots.select("url").where("url IS NOT NULL").distinct(), "frontier")
+    visited = [frontier]
     while not at_most(frontier, 0):
-        here = captures.join(frontier, "url", "left_semi").groupBy("url").agg(F.max("content").alias("content"))
-        found = frontier.join(sitemap_documents(here), "url", "left").withColumns({"kind": F.coalesce("kind", F.lit("missing")), "locations": F.coalesce("locations", F.array().cast("array<string>"))})
-        found = written(found, "sitemaps")
-        visited = found if visited is None else visited.unionByName(found)
-        below = found.where("kind = 'sitemapindex'").select(F.explode("locations").alias("url")).distinct()
-        frontier = written(below.join(visited.select("url"), "url", "left_anti"), "frontier")
-    if visited is None:
-        spark = captures.sparkSession
-        return spark.createDataFrame([], "url string"), spark.createDataFrame([], "url string, kind string")
-    return visited.where("kind = 'urlset'").select(F.explode("locations").alias("url")).distinct(), visited.select("url", "kind")
+        below = links.join(frontier, "url", "left_semi").select(F.col("below").alias("url")).distinct()
+        frontier = written(below.join(reduce(DataFrame.unionByName, visited), "url", "left_anti"), "frontier")
+        visited.append(frontier)
+        if len(visited) > MOST_TABLES:  # or a deep walk would read all earlier rounds' tables in each
+            visited = [written(reduce(DataFrame.unionByName, visited).coalesce(8), "visited")]
+    reached = reduce(DataFrame.unionByName, visited).join(found, "url", "left")
+    return reached.where("kind = 'urlset'").select(F.explode("locations").alias("url")).distinct(), reached.select("url", F.coalesce("kind", F.lit("missing")).alias("kind"))
 
 
 def listing_walk(links: DataFrame, starts: DataFrame) -> DataFrame:
